@@ -6,15 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codetables.llm import line_dedup, packing
+from codetables.llm import line_dedup, minhash, packing, quality_rules, secrets, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_secret_scans": secrets.op2_secret_scans,
+        "op5_substring_dedup": substring_dedup.op5_substring_dedup,
         "op6_line_dedup": line_dedup.op6_line_dedup,
+        "op7_quality_rules": quality_rules.op7_quality_rules,
+        "op9_minhash_near_dedup": minhash.op9_minhash_near_dedup,
         "op10_best_fit_packing": packing.op10_best_fit_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": line_dedup.ORACLE}
+    return {
+        "op5_substring_dedup": substring_dedup.ORACLE,
+        "op6_line_dedup": line_dedup.ORACLE,
+        "op9_minhash_near_dedup": minhash.ORACLE,
+    }

@@ -328,14 +328,15 @@ def slots(runs: list[tuple[int, list[int]]]) -> pd.DataFrame:
 # ---- from the plan to each piece's place
 
 
-def place(cut: DataFrame, capacity: int = CAPACITY, small: int = SMALL, groups: int = GROUPS, bucket_rows: int = 50_000) -> DataFrame:
+def place(cut: DataFrame, capacity: int = CAPACITY, small: int = SMALL, groups: int = GROUPS, bucket_rows: int = 500) -> DataFrame:
     """cut (a written table with doc_id, piece, length) with sequence_id and offset."""
     spark = cut.sparkSession
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     found = slots(plan(counts, capacity, small, groups))
     held = spark.sparkContext.broadcast({c: found[c].to_numpy() for c in found})
 
-    salts = max(1, -(-max(counts.values(), default=1) // bucket_rows))
+    # A bucket holds bucket_rows pieces, or a 4096th of all where that is more.
+    salts = max(1, -(-max(counts.values(), default=1) // max(bucket_rows, sum(counts.values()) // 4096)))
     salted = cut.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     sizes = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
