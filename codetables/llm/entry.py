@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codetables.llm import line_dedup, minhash, packing, quality_rules, secrets, substring_dedup
+from codetables.llm import line_dedup, matroska, minhash, packing, pieces, quality_rules, secrets, substring_dedup, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
         "op2_secret_scans": secrets.op2_secret_scans,
+        "op3_token_counts": token_counts.op3_token_counts,
+        "op4_media_columns": matroska.op4_media_columns,
         "op5_substring_dedup": substring_dedup.op5_substring_dedup,
         "op6_line_dedup": line_dedup.op6_line_dedup,
         "op7_quality_rules": quality_rules.op7_quality_rules,
+        "op8_sentencepiece": pieces.op8_sentencepiece,
         "op9_minhash_near_dedup": minhash.op9_minhash_near_dedup,
         "op10_best_fit_packing": packing.op10_best_fit_packing,
     }
@@ -22,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_token_counts": token_counts.ORACLE,
         "op5_substring_dedup": substring_dedup.ORACLE,
         "op6_line_dedup": line_dedup.ORACLE,
         "op9_minhash_near_dedup": minhash.ORACLE,
