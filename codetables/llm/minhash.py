@@ -8,7 +8,8 @@ the full sets.
 
 No bucket is paired out. Documents of equal sets are one node. In each bucket the node that meets most others is
 compared with all others; linked nodes are then one component, and only pairs that still lie in different components
-are compared, first around a second such node, then all that remain, so that no link between components is lost.
+are compared, unless their signatures differ far more than those of linked pairs can: so no link between components is
+lost, but for a probability of 3e-7.
 
 Defined results: a null, empty or wordless text has an empty set and is linked with nothing; fewer than k words are
 one shingle. Rows of equal id count as one document; a missing id is one document before all others. Columns of the
@@ -22,12 +23,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codetables.llm.common import WordHashes, gram_hashes, id_or_least, mixed, signed, staged, table, to_bytes
 
 BANDS, ROWS = 48, 6
+#: Candidates also have a finer sketch, BITS bits of each of VALUES values. Values differ with a probability of
+#: 1 - similarity and then in half of their bits, so a pair at the wanted similarity has more differing bits than FAR
+#: deviations above the mean allow with a probability of 3e-7; such pairs are not compared in full.
+VALUES, BITS, FAR = 1024, 2, 5.0
 #: Ids of documents in shared buckets that are broadcast at most, to fetch their texts; more of them are joined.
 MAX_BROADCAST_IDS = 500_000
 
@@ -55,7 +60,8 @@ class MinMax:
         self.within = random.integers(0, 1 << 63, size=(1, rows), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.band = mixed(np.arange(bands, dtype=np.uint64) + np.uint64(77))
 
-    def keys(self, found: np.ndarray) -> np.ndarray:
+    def values(self, found: np.ndarray) -> np.ndarray:
+        """The least and the greatest of each permutation."""
         low = high = None
         with np.errstate(over="ignore"):
             for at in range(0, len(found), self.CHUNK):
@@ -63,8 +69,17 @@ class MinMax:
                 a, b = values.min(axis=1), values.max(axis=1)
                 low = a if low is None else np.minimum(low, a)
                 high = b if high is None else np.maximum(high, b)
-            both = np.concatenate([low, high]).reshape(self.bands, self.rows)
-            return mixed((mixed(both) * self.within).sum(axis=1, dtype=np.uint64) ^ self.band)
+            return mixed(np.concatenate([low, high]))
+
+    def keys(self, found: np.ndarray) -> np.ndarray:
+        """Band keys."""
+        with np.errstate(over="ignore"):
+            bands = self.values(found).reshape(self.bands, self.rows)
+            return mixed((bands * self.within).sum(axis=1, dtype=np.uint64) ^ self.band)
+
+    def sketch(self, found: np.ndarray) -> np.ndarray:
+        bits = self.values(found).reshape(-1, 64 // BITS) >> np.uint64(64 - BITS)
+        return np.bitwise_or.reduce(bits << np.arange(0, 64, BITS, dtype=np.uint64), axis=1)
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -89,33 +104,36 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int =
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """node, n, items for the documents whose id is in nodes (a written table)."""
+    """node, n, items, sketch for the documents whose id is in nodes (a written table)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, finer = WordHashes(), MinMax(1, VALUES, seed=2)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for at in range(0, len(batch), 500):
-                found = [signed(shingle_set(t, k, hashes)) for t in texts[at : at + 500].to_pylist()]
-                items = pa.array(found, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids[at : at + 500], pa.array(map(len, found), pa.int64()), items], names=["node", "n", "items"])
+                found = [shingle_set(t, k, hashes) for t in texts[at : at + 500].to_pylist()]
+                sketches = [signed(finer.sketch(x)) if len(x) else [] for x in found]
+                cols = [pa.array([signed(x) for x in found], pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([ids[at : at + 500], pa.array(map(len, found), pa.int64()), *cols], names=["node", "n", "items", "sketch"])
 
     few = nodes.count() <= MAX_BROADCAST_IDS
     source = docs.select(id_or_least(id_col).alias("node"), F.col(text_col).alias("text"))
     wanted = source.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
-    return wanted.mapInArrow(emit, "node long, n long, items array<long>")
+    return wanted.mapInArrow(emit, "node long, n long, items array<long>, sketch array<long>")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, least_percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def compared(pairs: DataFrame, sets: DataFrame, least_percent: int) -> DataFrame:
+    """The pairs (a, b) of sizes that can be similar, with n_a, n_b and the number of items they share, `both`."""
     size = sets.select("node", "n")
     sized = pairs.join(size.toDF("a", "n_a"), "a").join(size.toDF("b", "n_b"), "b")
     possible = sized.where(100 * F.least("n_a", "n_b") >= least_percent * F.greatest("n_a", "n_b"))
     full = possible.join(sets.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
     full = full.join(sets.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b")
-    both = F.size(F.array_intersect("items_a", "items_b"))
-    confirmed = full.withColumn("both", both).where(100 * F.col("both") >= least_percent * (F.col("n_a") + F.col("n_b") - F.col("both")))
-    return confirmed.select("a", "b")
+    return full.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("items_a", "items_b")).alias("both"))
+
+
+def similar(both: Column, n_a: Column, n_b: Column, least_percent: int) -> Column:
+    return 100 * both >= least_percent * (n_a + n_b - both)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -157,7 +175,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     shared = staged(nodes.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "buckets")
     member = staged(nodes.join(shared, "key").select("key", "node", "c").distinct(), "members")
-    root = _root_of(docs, member, id_col, text_col, k, least_percent)
+    node_keys = signed_docs.join(ids, "_id", "left_semi").select(F.col("_id").alias("node"), "keys").dropDuplicates(["node"])
+    root = _root_of(docs, member, node_keys, id_col, text_col, k, least_percent)
 
     found = signed_docs.select("_id", "n", "same").join(first, "same", "left")
     if root is not None:
@@ -172,48 +191,61 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return keyed.withColumns(added).drop("_id", "_n", "_component")
 
 
-def _root_of(docs: DataFrame, member: DataFrame, id_col: str, text_col: str, k: int, least_percent: int) -> DataFrame | None:
+def near_sketches(x: str, y: str, least_percent: int) -> Column:
+    """Whether two sketches differ in so few bits that the similarity may be reached."""
+    p = 1 - least_percent / 100
+    mean, spread = VALUES * p * BITS / 2, (VALUES * p * (BITS / 4 + BITS**2 / 4 * (1 - p))) ** 0.5
+    differ = [F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(VALUES * BITS // 64)]
+    return sum(differ[1:], differ[0]) <= F.lit(int(mean + FAR * spread))
+
+
+def _root_of(docs: DataFrame, member: DataFrame, node_keys: DataFrame, id_col: str, text_col: str, k: int, least_percent: int) -> DataFrame | None:
     if member.isEmpty():
         return None
     sets = staged(sets_of(docs, staged(member.select("node").distinct(), "candidates"), id_col, text_col, k).dropDuplicates(["node"]), "set-items")
     popular = member.groupBy("node").agg(F.sum("c").alias("met"))
     member = staged(member.join(popular, "node"), "met")
 
-    edges = tested = root = None
-    for last in (False, False, True):
+    edges = tested = root = hubs = None
+    for last in (False, True):
         if root is None:
             inside = member.withColumn("part", F.col("node"))
         else:
             inside = member.join(root, "node", "left").withColumn("part", F.coalesce("root", "node"))
         # Only buckets that hold several components are still of interest.
-        parts = inside.groupBy("key", "part").agg(F.count("*").alias("size"), F.max_by("node", F.struct("met", "node")).alias("best"), F.max("met").alias("best_met"))
-        main = parts.groupBy("key").agg(
-            F.count("*").alias("parts"),
-            F.max_by("part", F.struct("size", "part")).alias("main"),
-            F.max_by("best", F.struct("best_met", "best")).alias("hub_all"),
-        ).where("parts > 1")
-        main = staged(main, "open-buckets")
+        parts = inside.groupBy("key", "part").agg(F.count("*").alias("size"))
+        main = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("size", "part")).alias("main"))
+        main = staged(main.where("parts > 1"), "open-buckets")
         if main.isEmpty():
             break
         inside = staged(inside.join(main, "key"), "open-members")
         if not last:
-            outside = inside.where(F.col("part") != F.col("main")) if root is not None else inside
-            hub = outside.groupBy("key").agg(F.max_by(F.struct("node", "part"), F.struct("met", "node")).alias("hub"))
-            pair = inside.join(staged(hub, "hubs"), "key").where(F.col("part") != F.col("hub.part")).select(F.col("hub.node").alias("x"), F.col("node").alias("y"))
+            hub = inside.groupBy("key").agg(F.max_by("node", F.struct("met", "node")).alias("hub"))
+            hubs = staged(hub, "hubs")
+            pair = inside.join(hubs, "key").where("node <> hub").select(F.col("hub").alias("x"), F.col("node").alias("y"))
         else:
-            # Each node outside its bucket's largest component meets all nodes of other components.
-            outer = inside.where(F.col("part") != F.col("main")).select("key", F.col("node").alias("x"), F.col("part").alias("part_x"))
-            other = inside.select("key", F.col("node").alias("y"), F.col("part").alias("part_y"), F.col("part") == F.col("main"))
-            other = other.toDF("key", "y", "part_y", "y_main")
-            pair = outer.join(other, "key").where("part_x <> part_y and (y_main or x < y)").select("x", "y")
+            # Each node outside its bucket's largest component meets the nodes of other components that it can be linked
+            # with: by its sketch, and by what both share with the bucket's hub. No two sets have more in common than the
+            # smaller of their parts inside the hub and the smaller of those outside.
+            known = inside.join(sets.select("node", "n", "sketch"), "node").join(node_keys, "node").join(hubs, "key")
+            known = known.withColumns({"a": F.least("hub", "node"), "b": F.greatest("hub", "node")}).join(tested.select("a", "b", "both"), ["a", "b"], "left")
+            known = known.withColumn("both", F.when(F.col("node") == F.col("hub"), F.col("n")).otherwise(F.col("both")))
+            known = staged(known.select("key", "node", "part", "main", "n", "sketch", "both", "keys"), "open-sketches")
+            outer = known.where("part <> main").drop("main").toDF("key", "x", "part_x", "n_x", "s_x", "in_x", "keys_x")
+            other = known.withColumn("y_main", F.expr("part = main")).drop("main").toDF("key", "y", "part_y", "n_y", "s_y", "in_y", "keys_y", "y_main")
+            most = F.expr("if(in_x is null or in_y is null, least(n_x, n_y), least(in_x, in_y) + least(n_x - in_x, n_y - in_y))")
+            near = similar(most, F.col("n_x"), F.col("n_y"), least_percent) & near_sketches("s_x", "s_y", least_percent)
+            # A pair that shares several buckets is of the first of them alone.
+            near = near & (F.get(F.array_intersect("keys_x", "keys_y"), F.lit(0)) == F.col("key"))
+            pair = outer.join(other, "key").where(F.expr("part_x <> part_y and (y_main or x < y)") & near).select("x", "y")
         pair = pair.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tested is not None:
-            pair = pair.join(tested, ["a", "b"], "left_anti")
-        pair = staged(pair, "pairs")
-        tested = pair if tested is None else tested.union(pair)
-        new = staged(linked(pair, sets, least_percent), "links")
-        edges = new if edges is None else edges.union(new)
-        if not new.isEmpty():
+            pair = pair.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        new = staged(compared(staged(pair, "pairs"), sets, least_percent), "compared")
+        tested = new
+        links = new.where(similar(F.col("both"), F.col("n_a"), F.col("n_b"), least_percent)).select("a", "b")
+        edges = staged(links if edges is None else edges.union(links), "links")
+        if not edges.isEmpty():
             root = components(edges)
     return root
 
