@@ -42,7 +42,7 @@ HEAVY = 5_000
 #: Runs in a group, on average.
 GROUP_ROWS = 20_000
 #: Repeated anchors (8 bytes each) that are broadcast at most; more of them are joined.
-MAX_BROADCAST_ANCHORS = 2_000_000
+MAX_BROADCAST_ANCHORS = 400_000
 #: Documents with repeats that are broadcast at most, to meet their texts; more of them are joined.
 MAX_BROADCAST_DOCS = 200_000
 
