@@ -161,10 +161,13 @@ def system_of(df: DataFrame, iri: str, registry: DataFrame) -> DataFrame:
 
 
 def replacement_flags(edges: DataFrame) -> DataFrame:
-    """Edges (prev, next) with `merges` (the next code replaces other codes too) and `splits` (prev has several)."""
-    into = edges.groupBy("next").agg((F.min("prev") != F.max("prev")).alias("merges"))
+    """Edges (prev, next) with `merges` (the next code replaces other codes too; kept if given) and `splits` (prev has
+    several successors)."""
     outof = edges.groupBy("prev").agg((F.min("next") != F.max("next")).alias("splits"))
-    return edges.join(into, "next").join(outof, "prev").select("prev", "next", "merges", "splits")
+    if "merges" not in edges.columns:
+        into = edges.groupBy("next").agg((F.min("prev") != F.max("prev")).alias("merges"))
+        edges = edges.join(into, "next")
+    return edges.join(outof, "prev").select("prev", "next", "merges", "splits")
 
 
 def resolve_replacements(edges: DataFrame, valid: DataFrame, max_hops: int = 50) -> DataFrame:
