@@ -117,6 +117,9 @@ def _statements(form: str) -> Column:
     def one(predicate: str, value: Column, kind: str | None) -> Column:
         return F.struct(F.lit(predicate).alias("predicate"), value.cast("string").alias("object"), F.lit(kind).cast("string").alias("kind"))
 
+    def each(predicate: str, kind: str | None):
+        return lambda v: one(predicate, v, kind)
+
     fixed = {"mapping": (RDF + "type", OWL + "Axiom", "iri"), "member": (RDF + "type", OWL + "Axiom", "iri"), "status": (OWL + "deprecated", "true", XSD + "boolean")}
     parts = []
     if form in fixed:
@@ -125,7 +128,7 @@ def _statements(form: str) -> Column:
     for column, predicate, kind in PREDICATES[form]:
         if COLUMNS[column].startswith("array"):
             none = F.array().cast("array<string>")
-            parts.append(F.transform(F.coalesce(F.col(column), none), lambda v, p=predicate, k=kind: one(p, v, k)))
+            parts.append(F.transform(F.coalesce(F.col(column), none), each(predicate, kind)))
         else:
             parts.append(F.array(one(predicate, F.col(column), kind)))
     return F.filter(F.concat(*parts), lambda s: s["object"].isNotNull())
