@@ -11,8 +11,8 @@ A window is `length` consecutive words of one document; a word goes if a window
    runs share a group, hashed so that a group fits in memory. Prefixes with too many runs are made longer, up to the
    whole window: such suffixes agree to the full depth, so their node is known by its path's hash alone and its earliest
    suffix is found by partial aggregates, for any number of suffixes.
-3. Subtrees. In a group the suffixes (one for each window) are sorted; the common prefixes of neighbours give the
-   tree's internal nodes, and the suffixes of each node as deep as a window repeat its earliest one. Consecutive
+3. Subtrees. In a group the suffixes (one for each window) are sorted by prefix doubling; neighbours that share a
+   window's words are below one internal node of that depth, and all but its earliest suffix repeat it. Consecutive
    repeats are joined to maximal ones.
 4. Each document gets its repeated stretches and is put together without the words they cover.
 
@@ -37,71 +37,94 @@ from pyspark.sql import functions as F
 from codetables.llm.common import WordHashes, gram_hashes, id_or_least, signed, staged, table, to_bytes
 
 LENGTH, GRAM = 20, 8
-#: Runs of one prefix beyond which it is made longer.
-HEAVY = 5_000
+#: Windows in a run at most; longer stretches of one anchor are several runs.
+RUN_WINDOWS = 64
+#: Runs of one prefix beyond which it is made longer: what a group of it holds fits in a task's memory.
+HEAVY = 60_000
 #: Runs in a group, on average.
 GROUP_ROWS = 20_000
-#: Repeated anchors (8 bytes each) that are broadcast at most; more of them are joined.
-MAX_BROADCAST_ANCHORS = 400_000
-#: Documents with repeats that are broadcast at most, to meet their texts; more of them are joined.
-MAX_BROADCAST_DOCS = 200_000
+#: Bytes of repeated stretches that are broadcast at most, to meet their texts; more of them are joined.
+MAX_BROADCAST_BYTES = 16_000_000
+
+
+def _doubled(x: np.ndarray, k: int, join) -> np.ndarray:
+    """join over each run of k neighbours of x, from runs of 1, 2, 4, ... (join may see a neighbour twice)."""
+    size, out = 1, x
+    while size < k:
+        step = min(size, k - size)
+        out = join(out[: len(out) - step], out[step:])
+        size += step
+    return out
+
+
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b + np.uint64(0x632BE59BD9B4E019))
+    out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return out ^ (out >> np.uint64(32))
 
 
 def anchors(h: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, number of windows) of each run of windows with the same anchor."""
-    g = gram_hashes(h, gram)
-    span = length - gram + 1
-    if len(g) < span:
+    """(hash, first window, number of windows) of each run of windows with the same anchor: the least hash of the grams
+    in a window."""
+    if len(h) < length:
         none = np.empty(0, np.int64)
         return np.empty(0, np.uint64), none, none
-    at = np.lib.stride_tricks.sliding_window_view(g, span).argmin(axis=1) + np.arange(len(g) - span + 1)
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return g[at[first]], first, np.diff(np.append(first, len(at)))
+    least = _doubled(_doubled(h, gram, _mix), length - gram + 1, np.minimum)
+    new = np.concatenate([[True], least[1:] != least[:-1]])
+    first = np.flatnonzero(new)
+    sizes = np.diff(np.append(first, len(least)))
+    if sizes.max() > RUN_WINDOWS:  # cut long stretches
+        inside = np.arange(len(least)) - np.repeat(first, sizes)
+        first = np.flatnonzero(new | (inside % RUN_WINDOWS == 0))
+        sizes = np.diff(np.append(first, len(least)))
+    return least[first], first, sizes
+
+
+def anchor_grams(h: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """The hash of each gram that is an anchor, once for each place: a gram is the least of a window exactly if the
+    greatest of the least values of all windows around it is its own."""
+    if len(h) < length:
+        return np.empty(0, np.uint64)
+    span = length - gram + 1
+    g = _doubled(h, gram, _mix)
+    least = np.zeros(len(g) + span - 1, np.uint64)
+    least[span - 1 : len(g)] = _doubled(g, span, np.minimum)
+    return g[_doubled(least, span, np.maximum) == g]
 
 
 def _words(text: str | None) -> list[bytes]:
     return to_bytes(text).split()
 
 
-def anchor_hashes(docs: DataFrame, text_col: str, length: int, gram: int) -> DataFrame:
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            for at in range(0, len(batch), 1000):
-                texts = batch.column(0)[at : at + 1000].to_pylist()
-                found = [anchors(hashes.of(_words(t)), length, gram)[0] for t in texts]
-                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(found)))], names=["anchor"])
-
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(emit, "anchor long")
-
-
 def document_anchors(docs: DataFrame, text_col: str, length: int, gram: int) -> DataFrame:
-    """(_id, anchor) for each run: the join's side where repeated anchors are too many to broadcast."""
+    """(_id, anchor, n): the anchors of each document, with their number of places."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for at in range(0, len(batch), 1000):
-                texts = batch.column(1)[at : at + 1000].to_pylist()
-                found = [np.unique(anchors(hashes.of(_words(t)), length, gram)[0]) for t in texts]
+                found, counts = [], []
+                for text in batch.column(1)[at : at + 1000].to_pylist():
+                    a, n = np.unique(anchor_grams(hashes.of(_words(text)), length, gram), return_counts=True)
+                    found.append(a)
+                    counts.append(n)
                 ids = np.repeat(batch.column(0)[at : at + 1000].to_numpy(), [len(x) for x in found])
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(signed(np.concatenate(found)))], names=["_id", "anchor"])
+                cols = [pa.array(ids), pa.array(signed(np.concatenate(found))), pa.array(np.concatenate(counts).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(cols, names=["_id", "anchor", "n"])
 
-    return docs.select("_id", F.col(text_col).alias("text")).mapInArrow(emit, "_id long, anchor long")
+    return docs.select("_id", F.col(text_col).alias("text")).mapInArrow(emit, "_id long, anchor long, n int")
 
 
 RUN = "anchor long, _id long, start int, windows int, words binary"
 WINDOW = "path long, path2 long, _id long, start int"
 
 
-def _runs(docs: DataFrame, text_col: str, length: int, gram: int, heavy: bool, sets) -> DataFrame:
-    """Runs with a repeated anchor; of heavy ones each window by the hash of its path. sets(batch, row) gives the
-    repeated and the heavy anchors, sorted, that are of interest for a document."""
+def _member(values: np.ndarray, held: list[int] | None) -> np.ndarray:
+    return np.isin(values, np.array(held or (), np.int64))
 
-    def member(values: np.ndarray, held: np.ndarray) -> np.ndarray:
-        if not len(held):
-            return np.zeros(len(values), bool)
-        return held[np.minimum(np.searchsorted(held, values), len(held) - 1)] == values
+
+def _runs(docs: DataFrame, text_col: str, length: int, gram: int, heavy: bool) -> DataFrame:
+    """Runs with a repeated anchor (_known); of heavy ones (_hot) each window by the hash of its path."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -109,19 +132,15 @@ def _runs(docs: DataFrame, text_col: str, length: int, gram: int, heavy: bool, s
         names = [x.split()[0] for x in (WINDOW if heavy else RUN).split(", ")]
         for batch in batches:
             for top in range(0, len(batch), 500):
+                part = batch.slice(top, 500)
                 cols: list[list] = [[] for _ in names]
-                for row in range(top, min(top + 500, len(batch))):
-                    h = hashes.of(_words(batch.column(1)[row].as_py()))
+                for doc, text, known, hot in zip(*(c.to_pylist() for c in part.columns)):
+                    h = hashes.of(_words(text))
                     found, first, windows = anchors(h, length, gram)
-                    if not len(found):
-                        continue
-                    known, hot = sets(batch, row)
                     a = signed(found)
-                    is_hot = member(a, hot)
-                    use = np.flatnonzero(is_hot if heavy else member(a, known) & ~is_hot)
+                    use = np.flatnonzero(_member(a, hot) if heavy else _member(a, known))
                     if not len(use):
                         continue
-                    doc = batch.column(0)[row].as_py()
                     if heavy:
                         starts = np.concatenate([np.arange(first[i], first[i] + windows[i]) for i in use])
                         path = signed(gram_hashes(h, length))[starts]
@@ -129,15 +148,16 @@ def _runs(docs: DataFrame, text_col: str, length: int, gram: int, heavy: bool, s
                         for c, v in zip(cols, (path, path2, np.full(len(starts), doc, np.int64), starts.astype(np.int32))):
                             c.append(v)
                     else:
-                        short = (h >> np.uint64(32)).astype("<u4")
-                        for c, v in zip(cols, (a[use].tolist(), [doc] * len(use), first[use].tolist(), windows[use].tolist(), [short[first[i] : first[i] + windows[i] + length - 1].tobytes() for i in use])):
+                        short = (h >> np.uint64(32)).astype("<u4").tobytes()
+                        ends = first + windows + length - 1
+                        words = [short[4 * i : 4 * j] for i, j in zip(first[use].tolist(), ends[use].tolist())]
+                        for c, v in zip(cols, (a[use].tolist(), [doc] * len(use), first[use].tolist(), windows[use].tolist(), words)):
                             c += v
                 if heavy:
                     cols = [np.concatenate(c) if c else [] for c in cols]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
 
-    columns = ["_id", F.col(text_col).alias("text")] + [c for c in ("_known", "_hot") if c in docs.columns]
-    return docs.select(*columns).mapInArrow(emit, WINDOW if heavy else RUN)
+    return docs.select("_id", F.col(text_col).alias("text"), "_known", "_hot").mapInArrow(emit, WINDOW if heavy else RUN)
 
 
 def subtree_repeats(group: pa.Table, length: int = LENGTH) -> pa.Table:
@@ -145,15 +165,19 @@ def subtree_repeats(group: pa.Table, length: int = LENGTH) -> pa.Table:
     ids, starts = group["_id"].to_numpy(), group["start"].to_numpy().astype(np.int64)
     windows = group["windows"].to_numpy()
     words = [np.frombuffer(w, "<u4") for w in group["words"].to_pylist()]
-    suffix = np.concatenate([np.lib.stride_tricks.sliding_window_view(w, length) for w in words])
     doc = np.repeat(ids, windows)
     start = np.repeat(starts, windows) + np.concatenate([np.arange(n) for n in windows])
-    # Suffix array of the group: big-endian words, so that bytes sort as words do.
-    raw = np.ascontiguousarray(suffix.astype(">u4")).view(f"S{4 * length}").ravel()
-    order = np.lexsort((start, doc, raw))
-    ranked = suffix[order]
-    same = ranked[1:] == ranked[:-1]
-    depth = np.where(same.all(axis=1), length, (~same).argmax(axis=1))  # common words of neighbours
+    # Suffix array of the group by prefix doubling: ranks of one word, then of 2, 4, ... up to `length` words.
+    flat = np.concatenate(words)
+    base = np.repeat(np.cumsum([0] + [len(w) for w in words[:-1]]), windows) + np.concatenate([np.arange(n) for n in windows])
+    rank, size = np.unique(flat, return_inverse=True)[1].astype(np.int64), 1
+    while size < length:
+        step = min(size, length - size)
+        pair = rank[: len(rank) - step] * (len(flat) + 1) + rank[step:]
+        rank, size = np.unique(pair, return_inverse=True)[1].astype(np.int64), size + step
+    node = rank[base]
+    order = np.lexsort((start, doc, node))
+    depth = np.where(node[order][1:] == node[order][:-1], length, 0)  # words that neighbours share, where it is all of them
     # An internal node at full depth: a longest stretch of neighbours that share `length` words. Its first is earliest.
     inner = np.concatenate([[False], depth >= length])
     spot = order[inner]
@@ -164,34 +188,22 @@ def subtree_repeats(group: pa.Table, length: int = LENGTH) -> pa.Table:
     return pa.table({"_id": pa.array(d[fresh], pa.int64()), "start": pa.array(s[fresh].astype(np.int32)), "windows": pa.array((s[last] - s[fresh] + 1).astype(np.int32))})
 
 
-def repeated_runs(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY, group_rows: int = GROUP_ROWS, max_broadcast: int = MAX_BROADCAST_ANCHORS) -> DataFrame:
+def repeated_runs(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(_id, start, windows): windows that start earlier elsewhere. docs has a column _id."""
-    spark = docs.sparkSession
-    counted = anchor_hashes(docs, text_col, length, gram).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    counted = staged(counted, "anchors")
-    total = counted.agg(F.count("*").alias("keys"), F.sum(F.when(F.col("n") <= heavy, F.col("n"))).alias("runs"), F.max("n").alias("most")).first()
-    if total["keys"] <= max_broadcast:
-        rows = counted.toPandas().sort_values("anchor")
-        known = spark.sparkContext.broadcast(rows["anchor"].to_numpy("int64"))
-        hot = spark.sparkContext.broadcast(rows.loc[rows["n"] > heavy, "anchor"].to_numpy("int64"))
-
-        def sets(batch, row):
-            return known.value, hot.value
-
-    else:
-        by_doc = document_anchors(docs, text_col, length, gram).join(counted, "anchor").groupBy("_id")
-        is_hot = F.col("n") > heavy
-        listed = by_doc.agg(F.array_sort(F.collect_set("anchor")).alias("_known"), F.array_sort(F.collect_set(F.when(is_hot, F.col("anchor")))).alias("_hot"))
-        docs = docs.join(listed, "_id")
-
-        def sets(batch, row):
-            return tuple(np.array(batch.column(c)[row].as_py(), np.int64) for c in ("_known", "_hot"))
+    mine = staged(document_anchors(docs, text_col, length, gram), "anchors")
+    counted = staged(mine.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"), "repeated-anchors")
+    total = counted.agg(F.sum(F.when(F.col("n") <= heavy, F.col("n"))).alias("runs"), F.max("n").alias("most")).first()
+    is_hot = F.col("total") > heavy
+    by_doc = mine.select("_id", "anchor").join(counted.select("anchor", F.col("n").alias("total")), "anchor").groupBy("_id")
+    listed = by_doc.agg(F.collect_list(F.when(~is_hot, F.col("anchor"))).alias("_known"), F.collect_list(F.when(is_hot, F.col("anchor"))).alias("_hot"))
+    listed = staged(listed, "document-anchors")
+    docs = docs.select("_id", text_col).join(listed, "_id")
 
     groups = max(1, -(-(total["runs"] or 0) // group_rows))
-    runs = _runs(docs, text_col, length, gram, False, sets).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(groups)).cast("int"))
+    runs = _runs(docs, text_col, length, gram, False).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(groups)).cast("int"))
     found = runs.groupBy("bucket").applyInArrow(lambda t: subtree_repeats(t, length), "_id long, start int, windows int")
     if (total["most"] or 0) > heavy:
-        paths = staged(_runs(docs, text_col, length, gram, True, sets), "paths")
+        paths = staged(_runs(docs, text_col, length, gram, True), "paths")
         where = F.struct("_id", "start")
         earliest = staged(paths.groupBy("path", "path2").agg(F.min(where).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "nodes")
         later = paths.join(earliest, ["path", "path2"]).where(where > F.col("first"))
@@ -199,34 +211,49 @@ def repeated_runs(docs: DataFrame, text_col: str = "text", length: int = LENGTH,
     return found
 
 
-def _without(text: str | None, starts, windows, length: int) -> tuple[str, int, int]:
+def _stretches(starts, windows, length: int) -> bytes:
+    """The words that runs cover, as joined stretches (start, end) of 32-bit numbers."""
+    a = np.asarray(starts, np.int64)
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], (a + np.asarray(windows, np.int64) + length - 1)[order]
+    reach = np.maximum.accumulate(b)
+    first = np.flatnonzero(np.concatenate([[True], a[1:] > reach[:-1]]))
+    return np.stack([a[first], reach[np.append(first[1:], len(a)) - 1]], axis=1).astype("<i4").tobytes()
+
+
+def _without(text: str | None, gone: bytes | None) -> tuple[str, int, int]:
     words = _words(text)
-    if starts is None:
-        return b" ".join(words).decode("utf-8", "surrogatepass"), len(words), 0
-    edge = np.zeros(len(words) + 1, np.int64)
-    np.add.at(edge, np.minimum(np.asarray(starts), len(words)), 1)
-    np.add.at(edge, np.minimum(np.asarray(starts) + np.asarray(windows) + length - 1, len(words)), -1)
-    stays = np.cumsum(edge[:-1]) == 0
-    kept = [w for w, k in zip(words, stays.tolist()) if k]
-    return b" ".join(kept).decode("utf-8", "surrogatepass"), len(words), len(words) - len(kept)
+    n = len(words)
+    if gone:
+        kept, at = [], 0
+        for start, end in np.frombuffer(gone, "<i4").reshape(-1, 2).tolist():
+            kept += words[at:start]
+            at = end
+        words = kept + words[at:]
+    return b" ".join(words).decode("utf-8", "surrogatepass"), n, n - len(words)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY, max_broadcast: int = MAX_BROADCAST_ANCHORS, max_broadcast_docs: int = MAX_BROADCAST_DOCS) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """docs with the words that stay (joined by one space) as text, n_words and n_removed."""
     docs = docs.withColumn("_id", id_or_least(id_col))
-    found = repeated_runs(docs.select("_id", text_col), text_col, length, gram, heavy, max_broadcast=max_broadcast)
-    by_doc = staged(found.groupBy("_id").agg(F.collect_list("start").alias("_starts"), F.collect_list("windows").alias("_windows")), "repeats")
-    few = by_doc.count() <= max_broadcast_docs
+    found = repeated_runs(docs.select("_id", text_col), text_col, length, gram, heavy)
+
+    @F.pandas_udf("binary")
+    def stretches(starts: pd.Series, windows: pd.Series) -> pd.Series:
+        return pd.Series([_stretches(s, w, length) for s, w in zip(starts, windows)], dtype=object)
+
+    by_doc = found.groupBy("_id").agg(F.collect_list("start").alias("s"), F.collect_list("windows").alias("w"))
+    by_doc = staged(by_doc.select("_id", stretches("s", "w").alias("_gone")), "repeats")
+    size = by_doc.agg(F.sum(F.length("_gone") + 40)).first()[0] or 0
 
     @F.pandas_udf("text string, n_words long, n_removed long")
-    def shortened(texts: pd.Series, starts: pd.Series, windows: pd.Series) -> pd.DataFrame:
-        rows = [_without(t, s, w, length) for t, s, w in zip(texts, starts, windows)]
-        return pd.DataFrame(rows, columns=["text", "n_words", "n_removed"])
+    def shortened(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_without(t, g) for t, g in zip(texts, gone)], columns=["text", "n_words", "n_removed"])
 
-    out = docs.join(F.broadcast(by_doc) if few else by_doc, "_id", "left")
-    out = out.withColumn("_kept", shortened(F.col(text_col), "_starts", "_windows"))
+    out = docs.join(F.broadcast(by_doc) if size <= max_broadcast_bytes else by_doc, "_id", "left")
+    out = out.withColumn("_kept", shortened(F.col(text_col), "_gone"))
     added = {text_col: F.col("_kept.text"), "n_words": F.col("_kept.n_words"), "n_removed": F.col("_kept.n_removed")}
-    return out.withColumns(added).drop("_id", "_starts", "_windows", "_kept")
+    return out.withColumns(added).drop("_id", "_gone", "_kept")
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
