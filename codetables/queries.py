@@ -483,3 +483,123 @@ def system_of(spark, sf):
 @query()
 def nquad_lines(spark, sf):
     return _named_parts(spark, sf).select("key", F.explode(row_lines()).alias("line"))
+
+
+@query("SELECT s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name < 'B'")
+def licence_gate(spark, sf):
+    rows = _t(spark, sf, "supplier").withColumnRenamed("s_nationkey", "source")
+    sources = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("source"), F.col("n_regionkey").alias("licence"))
+    licences = _t(spark, sf, "region").select(F.col("r_regionkey").alias("licence"), (F.col("r_name") < "B").alias("publishes"))
+    return R.licence_gate(rows, sources, licences).select("s_suppkey")
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS iri FROM customer WHERE c_nationkey = 1 OR c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 3)")
+def active_series(spark, sf):
+    series = _t(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("iri"), F.when(F.col("c_nationkey") != 1, F.col("c_nationkey")).alias("kind"))
+    return R.active_series(series, _t(spark, sf, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("kind"))).select("iri")
+
+
+@query(f"SELECT DISTINCT '{PART}' || l_partkey AS code FROM lineitem UNION SELECT DISTINCT '{SUPP}' || l_suppkey FROM lineitem")
+def codes_named(spark, sf):
+    from codetables.operators.carry import codes_named as named
+
+    return named(_supplies(spark, sf))
+
+
+_LINKS = """
+WITH v AS (SELECT o_orderkey AS k, o_custkey AS s, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS revises FROM orders),
+c AS (SELECT s, max(k) AS k FROM v GROUP BY s)
+"""
+
+
+@query(_LINKS + """
+SELECT c.s AS series, c.k AS version, 'current' AS role FROM c
+UNION ALL SELECT c.s, v.revises, 'previous' FROM c JOIN v ON v.k = c.k WHERE v.revises IS NOT NULL""")
+def current_and_previous(spark, sf):
+    return S.current_and_previous(*_order_versions(spark, sf))
+
+
+def _order_versions(spark, sf):
+    from pyspark.sql.window import Window
+
+    o = _t(spark, sf, "orders")
+    versions = o.select(F.col("o_orderkey").alias("iri"), F.col("o_custkey").alias("series"), F.lag("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).alias("revises"))
+    return o.groupBy(F.col("o_custkey").alias("iri")).agg(F.max("o_orderkey").alias("current_version")), versions
+
+
+@query(_LINKS + """, w AS (SELECT c.s, c.k FROM c UNION SELECT c.s, v.revises FROM c JOIN v ON v.k = c.k WHERE v.revises IS NOT NULL)
+SELECT DISTINCT w.s AS series, w.k AS version FROM w JOIN lineitem ON l_orderkey = w.k WHERE w.k % 17 = 0""")
+def verify_versions(spark, sf):
+    series, versions = _order_versions(spark, sf)
+    line = _t(spark, sf, "lineitem").join(_t(spark, sf, "orders").select(F.col("o_orderkey").alias("version"), F.col("o_custkey").alias("series")), F.expr("l_orderkey = version"))
+    rows = line.select("series", "version", F.sha2(F.concat_ws("|", "l_partkey", "l_linenumber"), 256).alias("content"))
+    # The record was made of these rows, but for the versions of every 17th order.
+    said = rows.where("version % 17 <> 0").union(rows.where("version % 17 = 0").withColumn("content", F.sha2("content", 256)))
+    recorded = V.content_fingerprint(said, by=["version"]).withColumnRenamed("version", "iri")
+    return V.verify_versions(series, versions.join(recorded, "iri", "left"), rows).select("series", "version")
+
+
+@query("SELECT source, strftime(max(TIMESTAMP '2026-01-01' + INTERVAL 1 HOUR * n_chars), '%Y-%m-%d') AS label FROM documents GROUP BY source")
+def release_label(spark, sf):
+    d = _t(spark, sf, "documents").select("source", F.expr("timestamp_ntz'2026-01-01' + make_dt_interval(0, n_chars)").alias("modified"))
+    return S.release_label(d)
+
+
+@query("""
+WITH n AS (SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'O' AND o_totalprice > 50000) AS n FROM orders GROUP BY o_custkey)
+SELECT CAST(o_custkey AS VARCHAR) AS key, 'marks ' || n || ' entries as current' AS message FROM n WHERE n <> 1""")
+def exactly_one_current(spark, sf):
+    o = _t(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("list"), (F.col("o_orderstatus") == "O").alias("current"), (F.col("o_totalprice") > 50000).alias("complete"))
+    return S.exactly_one_current(o)
+
+
+@query("""
+WITH a AS (SELECT DISTINCT p_brand AS code FROM part WHERE p_size > 5), n AS (SELECT a.code, min(p_type) AS name, max(p_type) AS other FROM a LEFT JOIN part ON p_brand = code AND p_size > 48 GROUP BY a.code)
+SELECT code AS key, CASE WHEN name IS NULL THEN 'has no name' ELSE 'has two names' END AS message FROM n WHERE name IS NULL OR name <> other""")
+def names_for_used(spark, sf):
+    p = _t(spark, sf, "part")
+    return R.names_for_used(p.where("p_size > 5").select(F.col("p_brand").alias("code")), p.where("p_size > 48").select(F.col("p_brand").alias("code"), F.col("p_type").alias("name")))[1]
+
+
+@query("""
+WITH a AS (SELECT DISTINCT CASE WHEN l_returnflag = 'R' THEN l_suppkey ELSE l_partkey END AS drug, CASE WHEN l_returnflag = 'R' THEN l_partkey ELSE l_suppkey END AS class, l_returnflag AS relation FROM lineitem WHERE l_returnflag IN ('R', 'A'))
+SELECT * FROM a""")
+def class_assignments(spark, sf):
+    line = _t(spark, sf, "lineitem")
+    assoc = line.select(F.col("l_returnflag").alias("relation"), F.col("l_partkey").alias("from_code"), F.lit("x").alias("from_name"), F.col("l_suppkey").alias("to_code"), F.lit("y").alias("to_name"))
+    rules = line.select("l_returnflag").distinct().where("l_returnflag in ('R', 'A')").select(F.col("l_returnflag").alias("relation"), (F.col("l_returnflag") == "R").alias("reversed"), F.lit(None).cast("string").alias("suffix"))
+    return R.class_assignments(assoc, rules)[0].select("drug", "class", "relation")
+
+
+@query("""
+SELECT CAST(event_id AS VARCHAR) AS iri, url_encode(event_type || ' ' || props) AS code FROM events""")
+def encoded_codes(spark, sf):
+    e = _t(spark, sf, "events")
+    return e.select(F.col("event_id").cast("string").alias("iri"), X.encode_for_uri(F.concat_ws(" ", "event_type", "props")).alias("code"))
+
+
+@query("SELECT event_id, event_type || ' ' || props AS code FROM events")
+def decoded_codes(spark, sf):
+    e = _t(spark, sf, "events")
+    return e.select("event_id", X.code_of(PART, X.code_iri(PART, F.concat_ws(" ", "event_type", "props"))).alias("code"))
+
+
+@query("""
+WITH s AS (SELECT l_orderkey AS k, l_partkey AS v FROM lineitem WHERE l_linenumber < 3 UNION SELECT o_orderkey, o_custkey FROM orders),
+b AS (SELECT v FROM s GROUP BY v HAVING count(DISTINCT k) > 60)
+SELECT k, array_to_string(list_sort(list(DISTINCT v)), '|') AS vals FROM s WHERE v NOT IN (SELECT v FROM b) GROUP BY k""")
+def set_expressions(spark, sf):
+    a = _t(spark, sf, "lineitem").where("l_linenumber < 3").select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("v"))
+    b = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("v"))
+    busy = a.union(b).distinct().groupBy("v").agg(F.count("*").alias("n")).where("n > 60")
+    return S.set_expressions([a, b], "k", "v", busy).select("k", F.array_join(F.transform("values", lambda x: x.cast("string")), "|").alias("vals"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS key, 'is no version name' AS message FROM orders WHERE o_orderkey % 10 = 0")
+def catalog_checks(spark, sf):
+    series, versions = _order_versions(spark, sf)
+    name = lambda c: F.concat(F.lit("ni:///sha-256;"), F.substring(F.sha2(F.col(c).cast("string"), 256), 1, 43))
+    v = versions.select(F.when(F.col("iri") % 10 != 0, name("iri")).otherwise(F.col("iri").cast("string")).alias("iri"), F.concat(F.lit("urn:uuid:"), F.col("series").cast("string")).alias("series"), F.when(F.col("revises") % 10 != 0, name("revises")).otherwise(F.col("revises").cast("string")).alias("revises"), F.lit("x").alias("label"), F.lit("2026").alias("issued"))
+    s = series.select(F.concat(F.lit("urn:uuid:"), F.col("iri").cast("string")).alias("iri"), F.lit("x").alias("label"), F.when(F.col("current_version") % 10 != 0, name("current_version")).otherwise(F.col("current_version").cast("string")).alias("current_version"))
+    i = _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("iri"), F.sha2("text", 256).alias("checksum"), F.col("source").alias("title"))
+    return Q.check_catalog(s, v, i, i.select(F.lit("v").alias("version"), F.col("iri").alias("input"))).select("key", "message")
