@@ -9,7 +9,7 @@ the full sets.
 No bucket is paired out. Documents of equal sets are one node. In each bucket the node that meets most others is
 compared with all others; linked nodes are then one component, and only pairs that still lie in different components
 are compared, unless their signatures differ far more than those of linked pairs can: so no link between components is
-lost, but for a probability of 3e-7.
+lost, but for a probability of 3e-6.
 
 Defined results: a null, empty or wordless text has an empty set and is linked with nothing; fewer than k words are
 one shingle. Rows of equal id count as one document; a missing id is one document before all others. Columns of the
@@ -31,8 +31,8 @@ from codetables.llm.common import WordHashes, gram_hashes, id_or_least, mixed, s
 BANDS, ROWS = 48, 6
 #: Candidates also have a finer sketch, BITS bits of each of VALUES values. Values differ with a probability of
 #: 1 - similarity and then in half of their bits, so a pair at the wanted similarity has more differing bits than FAR
-#: deviations above the mean allow with a probability of 3e-7; such pairs are not compared in full.
-VALUES, BITS, FAR = 1024, 2, 5.0
+#: deviations above the mean allow with a probability of 3e-6; such pairs are not compared in full.
+VALUES, BITS, FAR = 1024, 2, 4.5
 #: Ids of documents in shared buckets that are broadcast at most, to fetch their texts; more of them are joined.
 MAX_BROADCAST_IDS = 500_000
 
@@ -122,13 +122,10 @@ def sets_of(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, k: in
     return wanted.mapInArrow(emit, "node long, n long, items array<long>, sketch array<long>")
 
 
-def compared(pairs: DataFrame, sets: DataFrame, least_percent: int) -> DataFrame:
-    """The pairs (a, b) of sizes that can be similar, with n_a, n_b and the number of items they share, `both`."""
-    size = sets.select("node", "n")
-    sized = pairs.join(size.toDF("a", "n_a"), "a").join(size.toDF("b", "n_b"), "b")
-    possible = sized.where(100 * F.least("n_a", "n_b") >= least_percent * F.greatest("n_a", "n_b"))
-    full = possible.join(sets.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
-    full = full.join(sets.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b")
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the sizes of their sets and the number of items they share, `both`."""
+    full = pairs.join(sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("items_a")), "a")
+    full = full.join(sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("items_b")), "b")
     return full.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("items_a", "items_b")).alias("both"))
 
 
@@ -230,18 +227,18 @@ def _root_of(docs: DataFrame, member: DataFrame, node_keys: DataFrame, id_col: s
             known = inside.join(sets.select("node", "n", "sketch"), "node").join(node_keys, "node").join(hubs, "key")
             known = known.withColumns({"a": F.least("hub", "node"), "b": F.greatest("hub", "node")}).join(tested.select("a", "b", "both"), ["a", "b"], "left")
             known = known.withColumn("both", F.when(F.col("node") == F.col("hub"), F.col("n")).otherwise(F.col("both")))
-            known = staged(known.select("key", "node", "part", "main", "n", "sketch", "both", "keys"), "open-sketches")
+            known = known.select("key", "node", "part", "main", "n", "sketch", "both", F.transform("keys", lambda k: k.bitwiseAND(0x7FFFFFFF).cast("int")).alias("keys"))
             outer = known.where("part <> main").drop("main").toDF("key", "x", "part_x", "n_x", "s_x", "in_x", "keys_x")
             other = known.withColumn("y_main", F.expr("part = main")).drop("main").toDF("key", "y", "part_y", "n_y", "s_y", "in_y", "keys_y", "y_main")
             most = F.expr("if(in_x is null or in_y is null, least(n_x, n_y), least(in_x, in_y) + least(n_x - in_x, n_y - in_y))")
             near = similar(most, F.col("n_x"), F.col("n_y"), least_percent) & near_sketches("s_x", "s_y", least_percent)
-            # A pair that shares several buckets is of the first of them alone.
-            near = near & (F.get(F.array_intersect("keys_x", "keys_y"), F.lit(0)) == F.col("key"))
+            # A pair that shares several buckets is of the first of them alone (told by 31 bits of their keys).
+            near = near & (F.get(F.array_intersect("keys_x", "keys_y"), F.lit(0)) == F.col("key").bitwiseAND(0x7FFFFFFF))
             pair = outer.join(other, "key").where(F.expr("part_x <> part_y and (y_main or x < y)") & near).select("x", "y")
         pair = pair.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tested is not None:
             pair = pair.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        new = staged(compared(staged(pair, "pairs"), sets, least_percent), "compared")
+        new = staged(compared(staged(pair, "pairs"), sets), "compared")
         tested = new
         links = new.where(similar(F.col("both"), F.col("n_a"), F.col("n_b"), least_percent)).select("a", "b")
         edges = staged(links if edges is None else edges.union(links), "links")
