@@ -24,6 +24,7 @@ CASCADE = "https://ns.cascadeprotocol.org/cascade#"
 CURATED = "https://w3id.org/semapv/vocab/ManualMappingCuration"
 CHAINED = "https://w3id.org/semapv/vocab/MappingChaining"
 MEMBER_OF = "http://purl.obolibrary.org/obo/RO_0002350"
+HAS_MEMBER = "http://purl.obolibrary.org/obo/RO_0002351"
 
 #: The columns of all forms together.
 COLUMNS = {

@@ -56,7 +56,7 @@ def dotted(code: C) -> Column:
     return F.when(F.length(c) > 3, F.concat(F.substring(c, 1, 3), F.lit("."), F.substring(c, 4, 1 << 30))).otherwise(c)
 
 
-def split_codes(cell: C, form: str = r"^[A-Z][0-9A-Z]{2,6}$|^[A-Z][0-9A-Z]{2}\.[0-9A-Z]{1,4}$") -> Column:
+def split_codes(cell: C, form: str = ICD) -> Column:
     """The codes in a cell, cut at commas, semicolons, & and the word and; other text names none."""
     parts = F.transform(F.split(_c(cell), r"\s*(?:,|;|&|\band\b)\s*"), lambda p: F.trim(p))
     return F.filter(parts, lambda p: p.rlike(form))
@@ -104,7 +104,9 @@ def count_listed(text: C, sep: str = "|") -> Column:
 
 
 def is_coding_expression(iri: C) -> Column:
-    return F.coalesce(_c(iri).rlike(r"^" + SPACES["hgvs"].replace(".", r"\.") + r"NM_\d+\.\d+(:|%3A)c\."), F.lit(False))
+    """Whether an address is that of a coding expression in its normal form."""
+    space = SPACES["hgvs"].replace(".", r"\.")
+    return F.coalesce(_c(iri).rlike(rf"^{space}NM_[0-9]+\.[0-9]+%3Ac\.([A-Za-z0-9._~-]|%[0-9A-F]{{2}})+$"), F.lit(False))
 
 
 def parse_version(text: C, parts: int = 6) -> Column:

@@ -75,7 +75,8 @@ def add_version(catalog: dict[str, DataFrame], version: DataFrame, inputs: DataF
     moved = version.select(F.col("series").alias("iri"), F.col("iri").alias("_new"))
     series = catalog["series"].join(moved, "iri", "left").withColumn("current_version", F.coalesce("_new", "current_version")).drop("_new")
     new = inputs.dropDuplicates(["iri"]).join(catalog["inputs"], "iri", "left_anti")
-    links = version.select(F.col("iri").alias("version")).crossJoin(F.broadcast(inputs.select(F.col("iri").alias("input")).limit(10_000)))
+    names = [r["iri"] for r in version.select("iri").collect()]  # one for each series that changed
+    links = inputs.select(F.explode(F.array(*[F.lit(n) for n in names]).cast("array<string>")).alias("version"), F.col("iri").alias("input"))
     return catalog | {
         "series": series,
         "versions": catalog["versions"].unionByName(version, allowMissingColumns=True),

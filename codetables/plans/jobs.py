@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from codetables.functions.rows import (
-    CASCADE, CHAINED, CURATED, DCT, MEMBER_OF, SKOS,
+    CASCADE, CHAINED, CURATED, DCT, HAS_MEMBER, MEMBER_OF, SKOS,
     classification_rows, mapping_rows, member_rows, names_rows, status_rows, term_type_rows,
 )
 from codetables.functions.scalars import (
@@ -232,7 +232,7 @@ def labs(terms: DataFrame, panels: DataFrame, map_to: DataFrame, series: dict[st
     rows = names_rows(full.withColumn("iri", iri("code")), series["names"], "iri", "name", F.lit(None), "code")
     rows = rows.unionByName(status_rows(replaced.withColumns({"iri": iri("code"), "to": F.transform("replaced_by", iri)}), series["status"], "iri", "to"))
     members = member.withColumns({"a": iri("code"), "b": iri("panel")})
-    return BuildResult(rows.unionByName(member_rows(members, series["members"], "a", MEMBER_OF, "b", "sequence", "required")), [twice, unknown_panel, bad_line, unknown_member, bad_term, unknown_target])
+    return BuildResult(rows.unionByName(member_rows(members, series["members"], "b", HAS_MEMBER, "a", "sequence", "required")), [twice, unknown_panel, bad_line, unknown_member, bad_term, unknown_target])
 
 
 def variants(summary: DataFrame, snapshot: DataFrame, genes: list[str], classes: DataFrame, statuses: DataFrame, series: dict[str, str]) -> BuildResult:
