@@ -40,7 +40,7 @@ LENGTH, GRAM = 20, 8
 #: Windows in a run at most; longer stretches of one anchor are several runs.
 RUN_WINDOWS = 64
 #: Runs of one prefix beyond which it is made longer: what a group of it holds fits in a task's memory.
-HEAVY = 60_000
+HEAVY = 120_000
 #: Runs in a group, on average.
 GROUP_ROWS = 20_000
 #: Bytes of repeated stretches that are broadcast at most, to meet their texts; more of them are joined.

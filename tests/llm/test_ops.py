@@ -69,7 +69,7 @@ def test_lines(docs, nothing, texts, held):
     assert line_dedup.drop_shared_lines(nothing, max_broadcast_keys=held).count() == 0
 
 
-@pytest.mark.parametrize(("heavy", "held"), [(60_000, 10**9), (3, 0)])
+@pytest.mark.parametrize(("heavy", "held"), [(120_000, 10**9), (3, 0)])
 def test_substrings(docs, nothing, texts, heavy, held):
     order = sorted(range(len(texts)), key=lambda k: -1 if k == 90 else k)
     first, expected = {}, {}
