@@ -19,9 +19,10 @@ A window is `length` consecutive words of one document; a word goes if a window
 Word hashes of 32 bits at each of 20 places and 64-bit gram hashes stand for words; a wrong match needs two windows
 that differ only in words of equal hash.
 
-Defined results: a null, empty or short text loses nothing. Rows of equal id are one document, so they don't repeat
-each other; a missing id is one document before all others. Columns of the input stay, but for the text and for
-n_words and n_removed, which replace columns of the same name.
+Defined results: a null, empty or short text loses nothing. Each row is a document of its own: rows without an id come
+before all others, and rows of equal or missing id follow each other by their text's hash and then as they are stored.
+Where ids are not unique, rows are therefore stored once more, in that order, with a key of their own. Columns of the
+input stay, but for the text and for n_words and n_removed, which replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -189,7 +190,7 @@ def subtree_repeats(group: pa.Table, length: int = LENGTH) -> pa.Table:
 
 
 def repeated_runs(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(_id, start, windows): windows that start earlier elsewhere. docs has a column _id."""
+    """(_id, start, windows): windows that start earlier elsewhere. docs has a column _id, unique."""
     mine = staged(document_anchors(docs, text_col, length, gram), "anchors")
     counted = staged(mine.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"), "repeated-anchors")
     total = counted.agg(F.sum(F.when(F.col("n") <= heavy, F.col("n"))).alias("runs"), F.max("n").alias("most")).first()
@@ -233,9 +234,18 @@ def _without(text: str | None, gone: bytes | None) -> tuple[str, int, int]:
     return b" ".join(words).decode("utf-8", "surrogatepass"), n, n - len(words)
 
 
+def with_own_keys(docs: DataFrame, text_col: str) -> DataFrame:
+    """docs with an _id that no two rows share, in the order of _id. Numbers given after a sort grow with its order; they
+    are stored, so that all later stages see the same."""
+    if docs.groupBy("_id").agg(F.count("*").alias("c")).where("c > 1").isEmpty():
+        return docs
+    placed = docs.withColumn("_row", F.monotonically_increasing_id()).orderBy("_id", F.xxhash64(text_col), "_row")
+    return staged(placed.withColumn("_id", F.monotonically_increasing_id()).drop("_row"), "own-keys")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """docs with the words that stay (joined by one space) as text, n_words and n_removed."""
-    docs = docs.withColumn("_id", id_or_least(id_col))
+    docs = with_own_keys(docs.withColumn("_id", id_or_least(id_col)), text_col)
     found = repeated_runs(docs.select("_id", text_col), text_col, length, gram, heavy)
 
     @F.pandas_udf("binary")

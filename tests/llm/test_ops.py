@@ -89,6 +89,22 @@ def test_substrings(docs, nothing, texts, heavy, held):
     assert substring_dedup.remove_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("heavy", [120_000, 1])
+def test_substrings_of_equal_ids(spark, heavy):
+    own = lambda name: " ".join(f"{name}{k}" for k in range(30))
+    rows = [(7, own("twice")), (7, own("twice")), (7, own("other")), (None, own("a")), (None, own("b")), (None, own("b") + " " + own("c")), (8, own("a")), (9, own("d")), (10, own("d")), (None, None)]
+    out = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), heavy=heavy)
+    got = defaultdict(list)
+    for r in out.collect():
+        got[r["doc_id"]].append(r["text"])
+        assert r["n_words"] - r["n_removed"] == len(r["text"].split())
+    assert sorted(got[7]) == ["", own("other"), own("twice")]
+    # Of the two rows without an id that share a passage, the later one loses it and nothing else.
+    first = sorted(["", "", own("a"), own("b") + " " + own("c")])
+    assert sorted(got[None]) in (first, sorted(["", own("a"), own("b"), own("c")]))
+    assert got[8] == [""] and got[9] == [own("d")] and got[10] == [""]
+
+
 @pytest.mark.parametrize("k", [2, 5])
 def test_near_duplicates(docs, nothing, texts, k):
     def shingles(t):
