@@ -2,11 +2,15 @@
 
 Base spans, leftmost non-overlapping for each kind: assign (a name such as password, a separator and a value of 8 or
 more characters; the span is the whole match), access (AKIA...) and hex (32 or more digits). Entropy spans are added:
-in each candidate string, a run of 24 or more key-like characters that no allow-list pattern explains, a window moves
-along; the counts of its characters change by the one that leaves and the one that enters, and with them the sum of
+in each candidate string, a run of 16 or more key-like characters, or of letters and digits within it, that is not
+explained, a window of 24 characters (16 in shorter candidates) moves along; the counts of its characters change by the one that leaves and the one that enters, and with them the sum of
 c*log2(c), in whole millionths, from which the window's entropy follows. Windows over the limit of the candidate's
-character class (hex digits, or the larger alphabet) are joined to spans of kind entropy; spans within a base span add
-nothing and are left out. Offsets are code points, ends exclusive.
+character class are joined to spans of kind entropy; spans within a base span, or within another of entropy, add nothing
+and are left out. Offsets are code points, ends exclusive.
+
+Each class has its own alphabet, and as its limit what about 99 of 100 random windows over that alphabet reach. A
+candidate is explained if it is a number, a UUID, a ruler, or made of words: no digit before a letter, no number of more
+than 8 digits, and two thirds of its pairs of letters common in European languages, which random letters are not.
 
 Defined results: a null or empty text has no spans. Rows are scanned one by one, so ids may repeat or be missing.
 Columns of the input stay, but for spans_found (and the redacted text), which replace columns of the same name.
@@ -26,17 +30,36 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 WINDOW = 24
-CANDIDATE = r"[A-Za-z0-9+/=_-]{24,}"
+SHORT_WINDOW = 16
+CANDIDATE = r"[A-Za-z0-9+/=_-]{16,}"
+#: Looked at by itself as well, so that a name or separators beside it don't hide its class.
+PART = r"[A-Za-z0-9]{16,}"
+#: Alphabets of the classes, the first that fits counts; all others are wide.
+CLASSES = {
+    "digits": r"^[0-9]+$",
+    "hex": r"^([0-9a-f]+|[0-9A-F]+)$",
+    "one_case": r"^([a-z=+/_-]+|[A-Z=+/_-]+)$",
+    "base32": r"^([a-z2-7=]+|[A-Z2-7=]+)$",
+    "base36": r"^([a-z0-9=+/_-]+|[A-Z0-9=+/_-]+)$",
+    "letters": r"^[A-Za-z]+$",
+}
 #: Bits a character from which a window of a class is a secret.
-LIMITS = {"hex": 3.0, "wide": 3.9}
-#: Candidates that are explained: words, numbers, identifiers made of words, UUIDs, rulers.
+LIMITS = {"digits": 2.6, "hex": 3.0, "one_case": 3.4, "base32": 3.5, "base36": 3.6, "letters": 3.75, "wide": 3.9}
+SHORT_LIMITS = {"digits": 2.3, "hex": 2.65, "one_case": 2.95, "base32": 3.05, "base36": 3.15, "letters": 3.25, "wide": 3.35}
+#: Candidates that are explained besides words: numbers of less than 24 digits, UUIDs, rulers.
 ALLOWED = (
-    r"^[A-Za-z]+$",
-    r"^[0-9=_+/-]+$",
-    r"^[/_-]*[A-Za-z]+([=+/_-]+[A-Za-z]+)*[0-9]{0,8}[=+/_-]*$",
+    r"^(?!.*[0-9]{24})[0-9=_+/-]+$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^(.{1,4}?)\1+$",
 )
+#: What words, also in identifiers, don't have.
+NOT_WORDS = r"[0-9][A-Za-z]|[0-9]{9}"
+#: Pairs of letters that are common in European languages: about a third of all pairs.
+COMMON_PAIRS = (
+    r"(?i)(?=a[bcdgilmnprstuvy]|b[aeiloru]|c[aehikloqrtu]|d[aeiorsu]|e[acdeghilmnprstuvwx]|f[aefiloru]|g[aehilnoru]|h[aeilnort]|i[abcdegklmnoprstvz]"
+    r"|j[aeou]|k[aeilorst]|l[adeilostuy]|m[abeimopu]|n[acdegiknostuz]|o[bcdfglmnoprstuvw]|p[aehiloprstu]|qu|r[acdegiklmnorstuvy]|s[acehiklmopstu]"
+    r"|t[aehilorstuwyz]|u[abcdegilmnprst]|v[aeio]|w[aehio]|x[eipt]|y[eos]|z[aeiou])"
+)
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
 _BLOCK = 256
 
@@ -91,18 +114,23 @@ def hot_windows(candidate: Column) -> Column:
     weight = F.array(*[F.lit(v) for v in scaled])
     chars = F.transform(F.regexp_extract_all(candidate, F.lit("(?s)."), F.lit(0)), lambda c: F.instr(F.lit(_ALPHABET), c) - 1)
     # Entropy >= limit exactly if the sum of c*log2(c) <= W * (log2(W) - limit).
-    most = {k: math.floor(WINDOW * (math.log2(WINDOW) - v) * 1e6) for k, v in LIMITS.items()}
-    limit = F.when(candidate.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(most["hex"])).otherwise(F.lit(most["wide"]))
-    packed = F.struct(candidate.alias("text"), chars.alias("c"), limit.alias("limit"))
+    long = F.length(candidate) >= WINDOW
+    size = F.when(long, F.lit(WINDOW)).otherwise(F.lit(SHORT_WINDOW))
+
+    def most(kind: str) -> Column:
+        return F.when(long, F.lit(math.floor(WINDOW * (math.log2(WINDOW) - LIMITS[kind]) * 1e6))).otherwise(F.lit(math.floor(SHORT_WINDOW * (math.log2(SHORT_WINDOW) - SHORT_LIMITS[kind]) * 1e6)))
+
+    limit = F.coalesce(*[F.when(candidate.rlike(pattern), most(kind)) for kind, pattern in CLASSES.items()], most("wide"))
+    packed = F.struct(candidate.alias("text"), chars.alias("c"), limit.alias("limit"), size.alias("w"))
     none = F.array().cast("array<struct<start:int,end:int>>")
 
     def moved(x: Column) -> Column:
-        head = F.slice(x["c"], 1, WINDOW)
+        head = F.slice(x["c"], 1, x["w"])
         counts = F.transform(F.sequence(F.lit(0), F.lit(len(_ALPHABET) - 1)), lambda k: F.size(F.filter(head, lambda c: c == k)))
         first = F.aggregate(counts, F.lit(0), lambda a, c: a + F.get(weight, c))
 
         def step(a: Column, i: Column) -> Column:
-            out, new = F.get(x["c"], i - 1), F.get(x["c"], i + WINDOW - 1)
+            out, new = F.get(x["c"], i - 1), F.get(x["c"], i + x["w"] - 1)
             stays = (i == 0) | (out == new)
             n_out, n_new = F.get(a["counts"], out), F.get(a["counts"], new)
             total = F.when(stays, a["sum"]).otherwise(a["sum"] - F.get(weight, n_out) + F.get(weight, n_out - 1) - F.get(weight, n_new) + F.get(weight, n_new + 1))
@@ -114,13 +142,13 @@ def hot_windows(candidate: Column) -> Column:
                 now.alias("counts"),
                 total.alias("sum"),
                 F.when(opens, i).otherwise(a["start"]).alias("start"),
-                F.when(joins | opens, i + WINDOW).otherwise(a["end"]).alias("end"),
+                F.when(joins | opens, i + x["w"]).otherwise(a["end"]).alias("end"),
                 F.when(opens & (a["end"] > 0), _append(a["done"], F.struct(a["start"].alias("start"), a["end"].alias("end")))).otherwise(a["done"]).alias("done"),
             )
 
         begin = F.struct(counts.alias("counts"), first.alias("sum"), F.lit(0).alias("start"), F.lit(-1).alias("end"), none.alias("done"))
         return F.aggregate(
-            F.sequence(F.lit(0), F.size(x["c"]) - WINDOW),
+            F.sequence(F.lit(0), F.size(x["c"]) - x["w"]),
             begin,
             step,
             lambda a: F.when(a["end"] > 0, _append(a["done"], F.struct(a["start"].alias("start"), a["end"].alias("end")))).otherwise(a["done"]),
@@ -129,6 +157,11 @@ def hot_windows(candidate: Column) -> Column:
     return F.flatten(F.transform(F.array(packed), moved))
 
 
+def of_words(candidate: Column) -> Column:
+    pairs = F.regexp_count(candidate, F.lit("(?=[A-Za-z]{2})"))
+    return ~candidate.rlike(NOT_WORDS) & (F.regexp_count(candidate, F.lit(COMMON_PAIRS)) * 3 >= pairs * 2)
+
+
 def find_spans(docs: DataFrame, text_col: str = "text", allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
     """docs with spans_found: array of (start, kind, end) in order, kind as its place in KINDS."""
     out = docs.withColumn("_text", F.coalesce(F.col(text_col), F.lit("")))
@@ -140,11 +173,11 @@ def find_spans(docs: DataFrame, text_col: str = "text", allowed: tuple[str, ...]
     })
     out = out.withColumn("_base", F.array_sort(F.concat("_assign", "_access", "_hex")))
     # Candidates that are not explained: most texts have none.
-    out = out.withColumn("_found", located(text, CANDIDATE, 0))
+    out = out.withColumn("_found", F.array_distinct(F.concat(located(text, CANDIDATE, 0), located(text, PART, 0))))
     named = F.transform("_found", lambda x: F.struct(x["start"].alias("start"), F.substring(text, x["start"] + 1, x["part"]).alias("s")))
 
     def strange(x: Column) -> Column:
-        ok = F.lit(True)
+        ok = ~of_words(x["s"])
         for pattern in allowed:
             ok = ok & ~x["s"].rlike(pattern)
         return ok
@@ -152,7 +185,9 @@ def find_spans(docs: DataFrame, text_col: str = "text", allowed: tuple[str, ...]
     out = out.withColumn("_odd", F.when(F.size("_found") > 0, F.filter(named, strange)))
     hot = F.flatten(F.transform("_odd", lambda x: F.transform(hot_windows(x["s"]), lambda w: F.struct((x["start"] + w["start"]).alias("start"), F.lit(3).alias("kind"), (x["start"] + w["end"]).alias("end")))))
     out = out.withColumn("_hot", F.when(F.size("_odd") > 0, hot))
-    new = F.filter("_hot", lambda h: ~F.exists("_base", lambda b: (b["start"] <= h["start"]) & (b["end"] >= h["end"])))
+    out = out.withColumn("_hot", F.array_distinct("_hot"))
+    within = lambda h: F.exists("_hot", lambda x: (x["start"] <= h["start"]) & (x["end"] >= h["end"]) & (x["end"] - x["start"] > h["end"] - h["start"]))
+    new = F.filter("_hot", lambda h: ~within(h) & ~F.exists("_base", lambda b: (b["start"] <= h["start"]) & (b["end"] >= h["end"])))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     out = out.withColumn("spans_found", F.array_sort(F.concat("_base", F.coalesce(new, none))))
     return out.drop("_text", "_assign", "_access", "_hex", "_base", "_found", "_odd", "_hot")

@@ -160,6 +160,21 @@ def test_secrets(spark, nothing):
     assert secrets.find_spans(nothing).count() == 0
 
 
+def test_random_keys_of_each_class(spark):
+    rng = np.random.Generator(np.random.PCG64(11))
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = {"base36": low + digits, "upper36": up + digits, "base32": up + "234567", "low": low, "letters": low + up, "base62": low + up + digits, "base64": low + up + digits + "+/", "hex": "0123456789abcdef"}
+    kinds = [(name, a, n) for name, a in alphabets.items() for n in (16, 20, 24, 28)] + [("digits", digits, 24)]
+    rows = [(name, n, "The key " + "".join(rng.choice(list(a), n)) + " here") for name, a, n in kinds for _ in range(100)]
+    rows += [("named", 24, "API_KEY=" + "".join(rng.choice(list(low + digits), 24))) for _ in range(100)]
+    words = ["internationalisation", "Rechtsschutzversicherung", "responsabilidades", "anticonstitutionnellement", "docs/release-notes/2024/chapter12", "getCurrentUserAccountName", "2024-01-02/2024-03-04", "1234567890123456", "=" * 40]
+    df = spark.createDataFrame([*rows, *[("words", 0, w) for w in words]], "name string, n int, text string")
+    found = secrets.find_spans(df).groupBy("name", "n").agg(F.avg((F.size("spans_found") > 0).cast("int")).alias("share")).collect()
+    share = {(r["name"], r["n"]): r["share"] for r in found}
+    assert share.pop(("words", 0)) == 0
+    assert len(share) == len(kinds) + 1 and all(x >= 0.93 for x in share.values()), share
+
+
 def test_entropy_windows(spark):
     rng = np.random.Generator(np.random.PCG64(9))
     letters = list("ABCDEFGHIJKLMNOPabcdefghijklmnop0123456789")
