@@ -1,15 +1,19 @@
 """Toxicity by class-conditional Kneser-Ney models of words.
 
 Two bigram models, of toxic and of ordinary labelled texts, interpolate discounted counts (modified Kneser-Ney): bigrams
-back off to their class's words, and those to continuation counts that both classes share, so that an expression seen
-once or never says little. An expression counts once a text, so that a text that repeats itself weighs no more than
-others. Counts are made over all labelled rows that are not held out. The models' sizes are bounded by parameters,
-whatever the input: the VOCABULARY most frequent words (others are unknown words that speak for neither side) and the
-BIGRAMS most frequent pairs of them; the mass of others goes to the backoff.
-
-A text's log-likelihoods under both models are normalised by its length and compared, over the whole text and in each
-window of WINDOWS words, so that one insult in a long text counts; the whole text's difference and those of its
-greatest windows are combined by a logistic function. That is fitted (on at most SAMPLE labelled rows of scores, chosen
+back off to their class's words, and those to continuation counts that both classes share. An expression counts once a
+text, so that a text that repeats itself weighs no more than others, and what only one text of a class has is discounted
+wholly: it passes its mass to the backoff, so that an expression seen once or never says as much as the shared counts do.
+Counts are made over all labelled rows that are not held out; they and the models are tables that grow with the input,
+with no cap on words or pairs.
+
+A text's log-likelihoods under both models are normalised by its length and compared: a sum of what each word, each
+word as a context, and each pair that the models hold adds. What the greatest single word says is kept besides, so that
+one insult in a long text counts. The most frequent expressions are looked up in a broadcast table of at most HEAD rows;
+others meet the models' table in a join, if a filter of at most FILTER_BITS bits doesn't rule them out first. Both change
+what is shuffled and nothing else.
+
+Both differences are combined by a logistic function. That is fitted (on at most SAMPLE labelled rows of scores, chosen
 by a hash) on scores from models that did not see the row, and shifted so that 0.7 is the best cut on them.
 
 Defined results: a text without words, empty or null, has differences of 0. Rows are scored one by one, so ids may
@@ -22,185 +26,305 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codetables.llm.common import WordHashes, staged, table
+from codetables.llm.common import dropped, signed, staged, table, word_hashes
 
-VOCABULARY, BIGRAMS, SAMPLE = 65_536, 300_000, 50_000
-WINDOWS = (1,)
+SAMPLE = 50_000
+#: Rows of the models that are broadcast at most, and bits of the filter for the others.
+HEAD, FILTER_BITS = 300_000, 1 << 28
 #: Contexts that every word is given in the shared counts, so that the rarest words say least.
 FLOOR = 100.0
 #: Labels that are broadcast at most (12 bytes each), to meet their texts; more of them are joined.
 MAX_BROADCAST_LABELS = 1_000_000
 CUT = 0.7
-_OTHER = bytes.maketrans(bytes(c for c in range(128) if not chr(c).isalpha()), b" " * sum(not chr(c).isalpha() for c in range(128)))
+#: For each byte whether it is no letter (bytes of other characters than ASCII are).
+NO_LETTER = np.array([c < 128 and not chr(c).isalpha() for c in range(256)])
+#: The models: of all rows that learn, and of either half of them, by fold.
+MODELS = {"all": ("0", "2"), "from0": ("0",), "from2": ("2",)}
+#: Count columns: of ordinary (0) and toxic (1) texts in the folds 0 and 2, which learn.
+COLUMNS = ["c00", "c01", "c20", "c21"]
+_TURN = 23
+
+
+def letter_words(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """Hashes of the runs of letters of each text, in lower case; never 0."""
+    for h in word_hashes([(t or "").lower().encode("utf-8", "surrogatepass") for t in texts], NO_LETTER):
+        yield h | np.uint64(1)
 
 
-def word_hashes(text: str | None, hashes: WordHashes) -> np.ndarray:
-    """Hashes of the runs of letters, in lower case."""
-    return hashes.of((text or "").lower().encode("utf-8", "surrogatepass").translate(_OTHER).split())
+def pair_keys(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return h ^ (w << np.uint64(_TURN) | w >> np.uint64(64 - _TURN))
 
 
-def _ids(h: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Places (from 1) of hashes in the sorted vocabulary; 0 for unknown words."""
-    if not len(words):
-        return np.zeros(len(h), np.int64)
-    at = np.minimum(np.searchsorted(words, h), len(words) - 1)
-    return np.where(words[at] == h, at + 1, 0).astype(np.int64)
+def _pair_key(h: str, w: str) -> Column:
+    turned = F.shiftleft(F.col(w), _TURN).bitwiseOR(F.shiftrightunsigned(F.col(w), 64 - _TURN))
+    return F.col(h).bitwiseXOR(turned)
 
 
 def fold(id_col: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(3)).cast("int")
 
 
-#: Count columns: of ordinary (0) and toxic (1) texts in the folds 0 and 2, which learn.
-COLUMNS = ["c00", "c01", "c20", "c21"]
+# ---- counts and models, as tables
 
 
-def _counted(rows: DataFrame, keys_of, name: str) -> DataFrame:
-    """Key counts by class and fold for rows (text, toxic, fold); batches are counted before they are shuffled."""
+def counted(rows: DataFrame) -> DataFrame:
+    """(h, w, COLUMNS): texts of rows (text, toxic, fold) that have the word w behind h, and with h = 0 at all. Batches are
+    counted before they are shuffled."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             side = batch.column(1).to_numpy() + np.where(batch.column(2).to_numpy() == 2, 2, 0)
-            for at in range(0, len(batch), 2000):
-                found = [np.unique(keys_of(word_hashes(t, hashes))) for t in batch.column(0)[at : at + 2000].to_pylist()]
-                where = np.repeat(side[at : at + 2000], [len(x) for x in found])
-                keys, inverse = np.unique(np.concatenate(found), return_inverse=True)
-                counts = np.bincount(inverse * 4 + where, minlength=4 * len(keys)).reshape(-1, 4)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *[pa.array(counts[:, k]) for k in range(4)]], names=[name, *COLUMNS])
+            for at in range(0, len(batch), 1000):
+                before, words, keys, sizes = [], [], [], []
+                for h in letter_words(batch.column(0)[at : at + 1000].to_pylist()):
+                    pair, place = np.unique(pair_keys(h[:-1], h[1:]), return_index=True)
+                    single = np.unique(h)
+                    before += [np.zeros(len(single), np.uint64), h[place]]
+                    words += [single, h[place + 1]]
+                    keys += [single, pair]
+                    sizes.append(len(single) + len(pair))
+                key, place, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+                where = np.repeat(side[at : at + 1000], sizes)
+                counts = np.bincount(inverse * 4 + where, minlength=4 * len(key)).reshape(-1, 4).astype(np.int32)
+                cols = [pa.array(signed(np.concatenate(x)[place])) for x in (before, words)]
+                yield pa.RecordBatch.from_arrays([*cols, *[pa.array(counts[:, k]) for k in range(4)]], names=["h", "w", *COLUMNS])
 
-    part = rows.select("text", "toxic", "fold").mapInArrow(emit, f"{name} long, " + ", ".join(f"{c} long" for c in COLUMNS))
-    return part.groupBy(name).agg(*[F.sum(c).alias(c) for c in COLUMNS])
+    part = rows.select("text", "toxic", "fold").mapInArrow(emit, "h long, w long, " + ", ".join(f"{c} int" for c in COLUMNS))
+    return part.groupBy("h", "w").agg(*[F.sum(c).alias(c) for c in COLUMNS])
 
 
-@dataclass
-class Ratios:
-    """log P(toxic) - log P(ordinary) of words, backoffs and kept bigrams (by sorted key)."""
-
-    word: np.ndarray
-    back: np.ndarray
-    pairs: np.ndarray
-    pair: np.ndarray
-
-    def of(self, ids: np.ndarray) -> np.ndarray:
-        """The difference for each word of a text, in its context."""
-        if not len(ids):
-            return np.zeros(0)
-        out = self.word[ids].copy()
-        if len(ids) > 1 and len(self.pairs):
-            h, w = ids[:-1], ids[1:]
-            key = h << 20 | w
-            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            out[1:] = np.where(self.pairs[at] == key, self.pair[at], self.back[h] + self.word[w])
-        return out
+def _count(model: str, side: int) -> Column:
+    folds = MODELS[model]
+    return sum((F.col(f"c{f}{side}") for f in folds[1:]), F.col(f"c{folds[0]}{side}"))
 
 
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """Modified Kneser-Ney discounts of counts of 0, 1, 2 and 3 or more, from how many counts of 1 to 4 there are."""
-    n = [max(1, int((counts == k).sum())) for k in range(5)]
-    y = n[1] / (n[1] + 2 * n[2])
-    return np.array([0.0, *[min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.5 * k ** 0.5), 0.95 * k) for k in (1, 2, 3)]])
-
-
-def ratios(unigrams: np.ndarray, shared: np.ndarray, pairs: np.ndarray, counts: np.ndarray) -> Ratios:
-    """unigrams (V + 1, 2), continuation counts (V + 1), kept bigrams' keys and counts (n, 2); index 0 is unknown."""
-    size = len(unigrams)
-    base = (shared + FLOOR) / (shared + FLOOR).sum()
-    word_p, back, pair_p = [], [], []
-    h, w = pairs >> 20, pairs & ((1 << 20) - 1)
-    for c in (0, 1):
-        total = max(1.0, unigrams[:, c].sum())
-        off = discounts(unigrams[:, c])
-        kept = np.maximum(unigrams[:, c] - off[np.minimum(unigrams[:, c], 3).astype(int)], 0)
-        p = kept / total + (total - kept.sum()) / total * base
-        # A word is followed by one word at most in each place, and by all those that the pairs left out.
-        seen = np.maximum(np.bincount(h, counts[:, c], size), unigrams[:, c])
-        off = discounts(counts[:, c])
-        pair_kept = np.maximum(counts[:, c] - off[np.minimum(counts[:, c], 3).astype(int)], 0)
-        left = np.clip(1 - np.bincount(h, pair_kept, size) / np.maximum(seen, 1e-9), 1e-3, 1)
-        word_p.append(p)
-        back.append(left)
-        pair_p.append(pair_kept / np.maximum(1, seen[h]) + left[h] * p[w])
-    word = np.log(word_p[1] / word_p[0])
-    word[0] = 0.0
-    back_ratio = np.log(back[1] / back[0])
-    back_ratio[0] = 0.0
-    pair = np.log(pair_p[1] / pair_p[0])
-    pair[w == 0] = 0.0
-    return Ratios(word, back_ratio, pairs, pair)
-
-
-def differences(ids: np.ndarray, model: Ratios) -> tuple[float, ...]:
-    """Length-normalised difference of the whole text, and the greatest of windows of each length in WINDOWS."""
-    each = model.of(ids)
-    if not len(each):
-        return (0.0,) * (1 + len(WINDOWS))
-    sums = np.concatenate([[0.0], np.cumsum(each)])
-    most = [float((sums[min(n, len(each)) :] - sums[: len(sums) - min(n, len(each))]).max() / n) for n in WINDOWS]
-    return (float(each.mean()), *most)
+def _less(count: Column, off: tuple[float, float]) -> Column:
+    """A count without its discount: all of 1, and the given ones of 2 and of more."""
+    return F.when(count < 2, F.lit(0.0)).when(count == 2, F.lit(2 - off[0])).otherwise(count - F.lit(off[1]))
 
 
-@dataclass
-class Learned:
-    words: np.ndarray
-    model: Ratios
-    weights: np.ndarray  # of a constant and the differences
+def discounts(n: list[int]) -> tuple[float, float]:
+    """Modified Kneser-Ney discounts of counts of 2 and of 3 or more, from how many counts of 1 to 4 there are."""
+    n = [max(1, x) for x in n]
+    y = n[0] / (n[0] + 2 * n[1])
+    return tuple(min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.5 * k**0.5), 0.95 * k) for k in (2, 3))
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = VOCABULARY, bigrams: int = BIGRAMS, sample: int = SAMPLE) -> Learned | None:
-    spark = docs.sparkSession
-    marks = labels.where("toxic is not null").select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
-    marks = marks.withColumn("fold", fold("_id")).where("fold <> 1")
-    few = marks.count() <= MAX_BROADCAST_LABELS
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(marks) if few else marks, "_id")
-
-    total = sum((F.col(c) for c in COLUMNS), F.lit(0))
-    top = _counted(rows, lambda h: h, "word").orderBy(total.desc(), "word").limit(vocabulary).toPandas()
-    top["u"] = top["word"].to_numpy("int64").view("uint64")
-    top = top.sort_values("u", ignore_index=True)
-    words = top["u"].to_numpy()
-    unigrams = np.concatenate([np.zeros((1, 4)), top[COLUMNS].to_numpy(float)]) if len(top) else np.zeros((1, 4))
-    if not (unigrams[:, [0, 2]].sum() and unigrams[:, [1, 3]].sum()):
+@dataclass
+class Learned:
+    model: DataFrame  # key, word (or a pair), of (how many texts have it), and for each of MODELS: add_, back_, peak_
+    unseen: dict[str, float]  # what a word that the models don't hold adds
+    weights: np.ndarray | None = None  # of a constant and the differences
+
+
+def build(rows: DataFrame) -> Learned | None:
+    """The models for rows (text, toxic, fold); None without words of both classes."""
+    counts = staged(counted(rows), "expressions")
+    sides = [(m, c) for m in MODELS for c in (0, 1)]
+    numbers = [F.count("*").alias("rows")]
+    for m, c in sides:
+        x = _count(m, c)
+        numbers += [F.sum(x).alias(f"sum_{m}{c}"), F.count(F.when(x >= 3, 1)).alias(f"more_{m}{c}"), *[F.count(F.when(x == k, 1)).alias(f"n{k}_{m}{c}") for k in (1, 2, 3, 4)]]
+    stats = {bool(r["pair"]): r.asDict() for r in counts.groupBy((F.col("h") != 0).alias("pair")).agg(*numbers).collect()}
+    word = stats.get(False)
+    if not word or not all(word[f"sum_{m}{c}"] for m, c in sides):
         return None
-    held = spark.sparkContext.broadcast(words)
+    pair = stats.get(True) or dict.fromkeys(word, 0)
+    off = {(kind, m, c): discounts([s[f"n{k}_{m}{c}"] for k in (1, 2, 3, 4)]) for kind, s in (("word", word), ("pair", pair)) for m, c in sides}
+    # Share of a class's words that its discounts leave to the shared counts.
+    left = {(m, c): (word[f"n1_{m}{c}"] + word[f"n2_{m}{c}"] * off["word", m, c][0] + word[f"more_{m}{c}"] * off["word", m, c][1]) / word[f"sum_{m}{c}"] for m, c in sides}
+    left = {k: max(v, 1e-6) for k, v in left.items()}
+    all_contexts = pair["rows"] + FLOOR * (word["rows"] + 1)
+
+    pairs = counts.where("h <> 0")
+    contexts = pairs.groupBy("w").agg(F.count("*").alias("contexts"))
+    words = counts.where("h = 0").drop("h").join(contexts, "w", "left")
+    shared = (F.coalesce("contexts", F.lit(0)) + FLOOR) / all_contexts
+    p = {f"p_{m}{c}": _less(_count(m, c), off["word", m, c]) / word[f"sum_{m}{c}"] + left[m, c] * shared for m, c in sides}
+    words = staged(words.withColumns(p).select("w", *COLUMNS, *p), "word-models")
+
+    held = (_count("all", 0) >= 2) | (_count("all", 1) >= 2)
+    kept = {f"k_{m}{c}": _less(_count(m, c), off["pair", m, c]) for m, c in sides}
+    seen = pairs.groupBy("h").agg(*[F.sum(c).alias(f"s{c[1:]}") for c in COLUMNS], *[F.sum(k).alias(f"of_{n}") for n, k in kept.items()])
+    seen = seen.where(" or ".join(f"of_{n} > 0" for n in kept))
+
+    def rest(m: str, c: int) -> Column:
+        """Of what follows a context, the share that the pairs' discounts leave to the backoff."""
+        total = F.greatest(F.lit(1), sum(F.col(f"s{f}{c}") for f in MODELS[m]))
+        return F.greatest(F.lit(1e-3), 1 - F.col(f"of_k_{m}{c}") / total)
+
+    behind = seen.select("h", *[rest(m, c).alias(f"rest_{m}{c}") for m, c in sides], *[F.greatest(F.lit(1), sum(F.col(f"s{f}{c}") for f in MODELS[m])).alias(f"total_{m}{c}") for m, c in sides])
+    behind = staged(behind, "contexts")
+
+    def ratio(x: dict[int, Column]) -> Column:
+        return F.log(x[1] / x[0])
+
+    back = {m: ratio({c: F.col(f"rest_{m}{c}") for c in (0, 1)}) for m in MODELS}
+    says = {m: ratio({c: F.col(f"p_{m}{c}") for c in (0, 1)}) for m in MODELS}
+    texts_of = sum(F.col(c) for c in COLUMNS)
+    single = words.join(behind.withColumnRenamed("h", "w"), "w", "left").where(held | F.col("rest_all0").isNotNull())
+    single = single.select(F.col("w").alias("key"), F.lit(True).alias("word"), texts_of.alias("of"), *[x for m in MODELS for x in (says[m].alias(f"add_{m}"), F.coalesce(back[m], F.lit(0.0)).alias(f"back_{m}"), says[m].alias(f"peak_{m}"))])
+
+    chances = {m: {c: F.col(f"k_{m}{c}") / F.col(f"total_{m}{c}") + F.col(f"rest_{m}{c}") * F.col(f"p_{m}{c}") for c in (0, 1)} for m in MODELS}
+    double = pairs.where(held).withColumns({**kept, "of": texts_of}).drop(*COLUMNS).join(behind, "h").join(words.drop(*COLUMNS), "w")
+    double = double.select(_pair_key("h", "w").alias("key"), F.lit(False).alias("word"), "of", *[x for m in MODELS for x in ((ratio(chances[m]) - says[m] - back[m]).alias(f"add_{m}"), F.lit(0.0).alias(f"back_{m}"), F.lit(None).cast("double").alias(f"peak_{m}"))])
+    model = staged(single.union(double), "models")
+    dropped(counts, words, behind)
+    return Learned(model, {m: float(np.log(left[m, 1] / left[m, 0])) for m in MODELS})
+
+
+# ---- differences of texts
+
+
+class Keyed:
+    """Rows of numbers by 64-bit keys, looked up by the keys' first bits."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.uint64(0))
+        self.values = np.concatenate([values[order], np.zeros((1, values.shape[1]), values.dtype)])
+        bits = max(1, int(len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(self.keys[:-1], np.arange(1 << bits, dtype=np.uint64) << self.shift)
+
+    def find(self, x: np.ndarray) -> np.ndarray:
+        """The place of each key; the last row, of zeros, for others."""
+        at, none = self.first[x >> self.shift], len(self.keys) - 1
+        out, todo = np.full(len(x), none), np.arange(len(x))
+        while len(todo):
+            here = self.keys[at[todo]]
+            found = (here == x[todo]) & (at[todo] < none)
+            out[todo[found]] = at[todo[found]]
+            todo = todo[(here < x[todo]) & (at[todo] < none)]
+            at[todo] += 1
+        return out
 
-    def pairs_of(h: np.ndarray) -> np.ndarray:
-        ids = _ids(h, held.value)
-        known = (ids[:-1] > 0) & (ids[1:] > 0)
-        return (ids[:-1] << 20 | ids[1:])[known].view(np.uint64)
 
-    pairs = staged(_counted(rows, pairs_of, "pair"), "bigrams")
-    # Continuation counts: different words before a word, in either class.
-    after = pairs.groupBy(F.col("pair").bitwiseAND((1 << 20) - 1).alias("w")).agg(F.count("*").alias("n")).toPandas()
-    shared = np.zeros(len(unigrams))
-    shared[after["w"].to_numpy("int64")] = after["n"].to_numpy(float)
-    kept = pairs.where(total >= 3).orderBy(total.desc(), "pair").limit(bigrams).toPandas().sort_values("pair", ignore_index=True)
-    keys, counts = kept["pair"].to_numpy("int64"), kept[COLUMNS].to_numpy(float)
+def _places(key: Column, bits: int) -> list[Column]:
+    """The two bits of the filter that a key sets."""
+    return [key.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(key, 34).bitwiseAND(F.lit(bits - 1))]
 
-    def model(folds: tuple[int, ...]) -> Ratios:
-        add = lambda x: np.stack([sum(x[:, 2 * (f // 2) + c] for f in folds) for c in (0, 1)], axis=1)
-        return ratios(add(unigrams), shared, keys, add(counts))
 
-    other = spark.sparkContext.broadcast({0: model((2,)), 2: model((0,))})
+def _may_hold(filter_words: np.ndarray, x: np.ndarray, bits: int) -> np.ndarray:
+    out = np.ones(len(x), bool)
+    for at in (x & np.uint64(bits - 1), (x >> np.uint64(34)) & np.uint64(bits - 1)):
+        out &= (filter_words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return out
 
-    names = [f"d{k}" for k in range(1 + len(WINDOWS))]
 
-    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            models, vocab = other.value, held.value
-            found = [differences(_ids(word_hashes(t, hashes), vocab), models[f]) for t, f in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
-            cols = [pa.array([x[k] for x in found], pa.float64()) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), *cols], names=["toxic", *names])
+def _split(model: DataFrame, head: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of most texts, `head` at most, and the others."""
+    by = model.groupBy(F.floor(F.log2("of") * 8).alias("b")).agg(F.count("*").alias("n")).collect()
+    least, room = 1 << 30, head
+    for r in sorted(by, key=lambda r: -r["b"]):
+        room -= r["n"]
+        if room < 0:
+            break
+        least = r["b"]
+    frequent = F.floor(F.log2("of") * 8) >= least
+    return model.where(frequent), model.where(~frequent)
+
+
+def differences(docs: DataFrame, learned: Learned, id_col: str, text_col: str, head: int = HEAD, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """For each row of docs its id, and d0_ (length-normalised difference) and d1_ (of the greatest word) by
+    each of MODELS; written."""
+    spark, names = docs.sparkSession, list(MODELS)
+    parts = [f"{part}_{m}" for part in ("add", "back", "peak") for m in names]
+    often, seldom = _split(learned.model, head)
+    top = often.select("key", *parts).toPandas()
+    n_seldom = seldom.count()
+    bits = 1 << min(max(16, (12 * n_seldom).bit_length()), int(filter_bits).bit_length() - 1)
+    marks = np.zeros(bits // 64, np.uint64)
+    if n_seldom:
+        at = seldom.select(F.explode(F.array(*_places(F.col("key"), bits))).alias("at"))
+        one = F.expr("shiftleft(1L, cast(at & 63 as int))")
+        got = at.groupBy(F.shiftright("at", 6).alias("at")).agg(F.bit_or(one).alias("bits")).toPandas()
+        marks[got["at"].to_numpy("int64")] = got["bits"].to_numpy("int64").view("uint64")
+    unseen = np.array([learned.unseen[m] for m in names])
+    # In the table and the sums, what words add is against an unseen word.
+    rows = top[parts].to_numpy("float32")
+    held = spark.sparkContext.broadcast((Keyed(top["key"].to_numpy("int64").view("uint64"), rows), marks, bits, bool(n_seldom)))
+    n = len(names)
 
-    scored = staged(rows.select("text", "toxic", "fold").mapInArrow(cross, "toxic int, " + ", ".join(f"{n} double" for n in names)), "cross-scores")
-    fit = scored.orderBy(F.xxhash64(*names)).limit(sample).toPandas()
-    return Learned(words, model((0, 2)), calibrate(fit[names].to_numpy(float), fit["toxic"].to_numpy(float)))
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keyed, filter_words, size, more = held.value
+        none = len(keyed.keys) - 1
+        for batch in batches:
+            for start in range(0, len(batch), 500):
+                found = list(letter_words(batch.column(1)[start : start + 500].to_pylist()))
+                sizes = np.array([len(h) for h in found])
+                h = np.concatenate(found)
+                ends = np.cumsum(sizes)
+                begins = ends - sizes
+                doc = np.repeat(np.arange(len(found)), sizes)
+                inner = np.ones(len(h), bool)  # with a word behind it
+                inner[ends[sizes > 0] - 1] = False
+                context = np.flatnonzero(inner)
+                pair = pair_keys(h[context], h[context + 1])
+                at_word, at_pair = keyed.find(h), keyed.find(pair)
+                v = keyed.values
+                sums = np.zeros((len(found), n))
+                peaks = np.zeros((len(found), n))
+                full = np.flatnonzero(sizes)
+                for m in range(n):
+                    adds = np.where(at_word == none, unseen[m], v[at_word, m])
+                    adds[context] += v[at_word[context], n + m] + v[at_pair, m]
+                    peak = np.where(at_word == none, unseen[m], v[at_word, 2 * n + m])
+                    if len(full):
+                        sums[full, m] = np.add.reduceat(adds, begins[full])
+                        peaks[full, m] = np.maximum.reduceat(peak, begins[full])
+                ident = batch.column(0)[start : start + 500]
+                own = batch.column(2)[start : start + 500].to_numpy()
+                empty = pa.nulls(len(found), pa.int64())
+                cols = [ident, pa.array(own), empty, empty.cast(pa.int32()), empty.cast(pa.int32()), pa.array(sizes, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*cols, *[pa.array(x[:, m]) for x in (sums, peaks) for m in range(n)]], names=columns)
+                if not more:
+                    continue
+                # What the broadcast rows don't have: as (document, key), how often as a word or pair and how often as a context.
+                w, c = np.flatnonzero(at_word == none), np.flatnonzero(at_pair == none)
+                keys = np.concatenate([h[w], pair[c]])
+                docs_of = np.concatenate([doc[w], doc[context[c]]])
+                follows = np.concatenate([inner[w], np.zeros(len(c), bool)])
+                may = _may_hold(filter_words, keys, size)
+                keys, docs_of, follows = keys[may], docs_of[may], follows[may]
+                order = np.lexsort((keys, docs_of))
+                keys, docs_of, follows = keys[order], docs_of[order], follows[order]
+                new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (docs_of[1:] != docs_of[:-1])])) if len(keys) else np.empty(0, int)
+                if len(new):
+                    times = np.diff(np.append(new, len(keys))).astype(np.int32)
+                    before = np.add.reduceat(follows.astype(np.int32), new).astype(np.int32)
+                    blank = pa.nulls(len(new), pa.float64())
+                    cols = [pa.nulls(len(new), ident.type), pa.array(own[docs_of[new]]), pa.array(signed(keys[new])), pa.array(times), pa.array(before), pa.nulls(len(new), pa.int64())]
+                    yield pa.RecordBatch.from_arrays([*cols, *[blank] * (2 * n)], names=columns)
+
+    columns = ["_id", "_row", "key", "times", "before", "words", *[f"sum_{m}" for m in names], *[f"peak_{m}" for m in names]]
+    kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"_id {kind}, _row long, key long, times int, before int, words long, " + ", ".join(f"{c} double" for c in columns[6:])
+    source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).withColumn("_row", F.monotonically_increasing_id())
+    made = staged(source.mapInArrow(emit, schema), "scored-texts")
+    out = made.where("words is not null").drop("key", "times", "before")
+    if n_seldom:
+        rest = made.where("key is not null").select("_row", "key", "times", "before").join(seldom, "key")
+        # Words were counted as unseen ones before.
+        is_word = F.col("word")
+        more = rest.groupBy("_row").agg(
+            *[F.sum(F.col("times") * (F.col(f"add_{m}") - F.when(is_word, F.lit(float(u))).otherwise(0.0)) + F.col("before") * F.col(f"back_{m}")).alias(f"more_{m}") for m, u in zip(names, unseen)],
+            *[F.max(f"peak_{m}").alias(f"most_{m}") for m in names],
+        )
+        out = out.join(more, "_row", "left")
+        for m in names:
+            out = out.withColumns({f"sum_{m}": F.col(f"sum_{m}") + F.coalesce(f"more_{m}", F.lit(0.0)), f"peak_{m}": F.greatest(f"peak_{m}", f"most_{m}")})
+    d = [x for m in names for x in (F.when(F.col("words") > 0, F.col(f"sum_{m}") / F.col("words")).otherwise(0.0).alias(f"d0_{m}"), F.col(f"peak_{m}").alias(f"d1_{m}"))]
+    out = staged(out.select("_id", *d), "differences")
+    dropped(made)
+    return out
+
+
+# ---- from differences to scores
 
 
 def calibrate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -227,24 +351,56 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.array([w[0], *(w[1:] / scale)])
 
 
-def score(docs: DataFrame, learned: Learned | None, text_col: str = "text", out_col: str = "score") -> DataFrame:
-    """docs with a score from 0 to 1."""
+def _marks(labels: DataFrame) -> DataFrame:
+    """_id, toxic and fold of the labelled rows that learn."""
+    marks = labels.where("toxic is not null").select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
+    return marks.withColumn("fold", fold("_id")).where("fold <> 1")
+
+
+def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    marks = _marks(labels)
+    few = marks.count() <= MAX_BROADCAST_LABELS
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(marks) if few else marks, "_id")
+
+
+def weights(found: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
+    """Weights from the differences of rows that learn, each by the models of the other fold."""
+    of = lambda d: F.when(F.col("fold") == 0, F.col(f"{d}_from2")).otherwise(F.col(f"{d}_from0")).alias(d)
+    cross = found.join(_marks(labels), "_id").select("toxic", of("d0"), of("d1"))
+    fit = cross.orderBy(F.xxhash64("d0", "d1")).limit(sample).toPandas()
+    return calibrate(fit[["d0", "d1"]].to_numpy(float), fit["toxic"].to_numpy(float))
+
+
+def _score(w: np.ndarray) -> Column:
+    z = F.lit(float(w[0])) + F.lit(float(w[1])) * F.col("d0_all") + F.lit(float(w[2])) * F.col("d1_all")
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
+
+
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Learned | None:
+    """Models and weights from labelled rows, to score other documents with."""
+    rows = _labelled(docs, labels, id_col, text_col)
+    learned = build(rows)
+    if learned is not None:
+        learned.weights = weights(differences(rows.select("_id", "text"), learned, "_id", "text"), labels)
+    return learned
+
+
+def score(docs: DataFrame, learned: Learned | None, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The id and score (0 to 1) of each row of docs."""
     if learned is None:
-        return docs.withColumn(out_col, F.lit(0.0))
-    held = docs.sparkSession.sparkContext.broadcast(learned)
+        return docs.select(id_col, F.lit(0.0).alias("score"))
+    return differences(docs, learned, id_col, text_col, **options).select(F.col("_id").alias(id_col), _score(learned.weights).alias("score"))
 
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        hashes = WordHashes()
-        for texts in batches:
-            m = held.value
-            z = [m.weights @ (1.0, *differences(_ids(word_hashes(t, hashes), m.words), m.model)) for t in texts]
-            yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(z, dtype=float), -30, 30))), dtype="float64")
 
-    return docs.withColumn(out_col, scored(F.col(text_col)))
+def learn_and_score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The id and score of each row of docs, by models of its labelled rows; all texts are read once for both."""
+    learned = build(_labelled(docs, labels, id_col, text_col))
+    if learned is None:
+        return score(docs, None, id_col)
+    found = differences(docs, learned, id_col, text_col, **options)
+    return found.select(F.col("_id").alias(id_col), _score(weights(found, labels)).alias("score"))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = score(docs, learn(docs, table(spark, sf_dir, "labels")))
+    out = learn_and_score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", (fold() == 1).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))

@@ -346,11 +346,17 @@ def test_toxicity(spark, docs, nothing):
         marks.append((k, int(k % 5 == 0)))
     df, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([*marks, (9999, None)], "doc_id long, toxic int")
     learned = toxicity.learn(df, labels)
-    scored = toxicity.score(df, learned).join(labels, "doc_id").where(toxicity.fold() == 1)
+    scored = toxicity.score(df, learned).join(labels, "doc_id").where((toxicity.fold() == 1) & F.col("toxic").isNotNull())
     right = scored.where((F.col("score") >= 0.7) == (F.col("toxic") == 1)).count()
     assert right >= 0.97 * scored.count()
+    assert scored.count() == len([k for k in range(600) if zlib.crc32(str(k).encode()) % 3 == 1])
     odd = toxicity.score(docs, learned)
     assert odd.where("score is null or score < 0 or score > 1").count() == 0 and odd.count() == docs.count()
+    # What is broadcast and what is joined makes no difference.
+    joined = by_id(toxicity.score(df, learned, head=10, filter_bits=1 << 16), "score")
+    assert all(abs(joined[k][0] - x) < 1e-6 for k, (x,) in by_id(toxicity.score(df, learned), "score").items())
+    both = by_id(toxicity.learn_and_score(df, labels), "score")
+    assert all(abs(both[k][0] - x[0]) < 1e-6 for k, x in joined.items())
     assert toxicity.learn(nothing, labels) is None and toxicity.score(nothing, None).count() == 0
 
 
