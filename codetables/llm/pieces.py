@@ -24,6 +24,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -76,7 +77,8 @@ def double_array(words: list[tuple[bytes, int]]) -> tuple[list[int], list[int],
             todo.append((s, node[b]))
         while free < len(check) and check[free] >= 0:
             free += 1
-    return base, check, value
+    room = max(base) + 257 - len(check)
+    return base, check + [-1] * room, value + [-1] * room
 
 
 @dataclass
@@ -89,6 +91,7 @@ class Model:
     byte_ids: list[int]
     unknown: float
     fine: bool
+    longest: int  # bytes of a piece
 
     @staticmethod
     def load(path: str, scores: str = "zipf") -> Model:
@@ -108,55 +111,63 @@ class Model:
         for b, i in enumerate(byte_ids):
             pieces[i] = bytes([b])
         trie = double_array([(names[i].encode(), i) for i in plain])
-        return Model(*trie, log, pieces, byte_ids, min(log[i] for i in plain) - UNKNOWN_PENALTY, all(_FINE.fullmatch(names[i]) for i in plain))
+        return Model(*trie, log, pieces, byte_ids, min(log[i] for i in plain) - UNKNOWN_PENALTY, all(_FINE.fullmatch(names[i]) for i in plain), max(len(names[i].encode()) for i in plain))
 
 
 class Encoder(dict):
-    """Ids (as bytes of little-endian unsigned 32-bit numbers) of chunks."""
+    """Ids (as bytes of little-endian unsigned 32-bit numbers) of chunks, remembered up to a bound: of the last LIMIT
+    chunks and those of the LIMIT before them that come again."""
 
-    LIMIT = 150_000
+    LIMIT = 250_000
 
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
+        self.old: dict[str, bytes] = {}
         self.cut = (_FINE if model.fine else _WIDE).findall
+        self.is_byte = np.zeros(len(model.pieces), bool)
+        self.is_byte[model.byte_ids] = True
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self.best(chunk.encode("utf-8", "surrogatepass"))
-        value = struct.pack(f"<{len(ids)}I", *ids)
+        value = self.old.get(chunk)
+        if value is None:
+            ids = self.best(chunk.encode("utf-8", "surrogatepass"))
+            value = struct.pack(f"<{len(ids)}I", *ids)
         if len(chunk) < 64:
             if len(self) >= self.LIMIT:
+                self.old = dict(self)
                 self.clear()
             self[chunk] = value
         return value
 
     def best(self, data: bytes) -> list[int]:
         m, n = self.model, len(data)
-        base, check, value, scores = m.base, m.check, m.value, m.scores
-        top = len(check)
-        low = -math.inf
-        total, came, by = [low] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+        base, check, value, scores, longest = m.base, m.check, m.value, m.scores, m.longest
+        total, came, by = [-math.inf] * (n + 1), [0] * (n + 1), [0] * (n + 1)
         total[0] = 0.0
         at = 0
         while at < n:
             first = data[at]
             width = 1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
-            here, state, single = total[at], 0, False
-            for k in range(at, n):
-                nxt = base[state] + data[k] + 1
-                if nxt >= top or check[nxt] != state:
+            here, state, end, whole = total[at], 0, at, at + width
+            single = False
+            # The arrays end with room for the widest child of any state, so no place is beyond them.
+            for b in data[at : at + longest]:
+                nxt = base[state] + b + 1
+                if check[nxt] != state:
                     break
                 state = nxt
+                end += 1
                 piece = value[state]
                 if piece >= 0:
                     score = here + scores[piece]
-                    if score > total[k + 1]:
-                        total[k + 1], came[k + 1], by[k + 1] = score, at, piece
-                    if k + 1 - at == width:
+                    if score > total[end]:
+                        total[end], came[end], by[end] = score, at, piece
+                    if end == whole:
                         single = True
-            if not single and here + m.unknown > total[at + width]:
-                total[at + width], came[at + width], by[at + width] = here + m.unknown, at, -1
-            at += width
+            if not single and here + m.unknown > total[whole]:
+                total[whole], came[whole], by[whole] = here + m.unknown, at, -1
+            at = whole
         ids: list[int] = []
         while n:
             start = came[n]
@@ -175,8 +186,7 @@ class Encoder(dict):
 
 def decode(ids: bytes, model: Model) -> bytes:
     """The UTF-8 bytes that ids stand for."""
-    pieces = model.pieces
-    out = b"".join([pieces[i] for (i,) in struct.iter_unpack("<I", ids)])
+    out = b"".join(map(model.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
     return out[1:] if out[:1] == b" " else out
 
 
@@ -229,14 +239,13 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder()
-        fallback = frozenset(e.model.byte_ids)
         for batch in batches:
             cols: list[list] = [[] for _ in range(5)]
             for text in batch.column(1):
                 text = text.as_py()
                 ids = e.encode(text)
                 back = decode(ids, e.model)
-                n_bytes = sum(i in fallback for (i,) in struct.iter_unpack("<I", ids))
+                n_bytes = int(e.is_byte[np.frombuffer(ids, "<u4")].sum())
                 row = (len(ids) // 4, n_bytes, zlib.crc32(ids), hashlib.sha256(back).hexdigest(), back == to_bytes(text))
                 for c, v in zip(cols, row):
                     c.append(v)
