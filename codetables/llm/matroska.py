@@ -5,13 +5,15 @@ blocks with all kinds of lacing, and resolves cues. The writer makes a file of o
 that are to be stored losslessly as samples. Each file is read in one task; files are spread over tasks.
 
 Defined results: a null or empty file has no packets; a file that is cut or damaged gives the packets before the damage
-and `complete` false. Rows are read one by one, so ids may repeat or be missing. The payload of a null or empty text is
+and `complete` false. Damage is also a sampling rate that is no positive number, a timestamp scale of 0, times beyond
+64-bit nanoseconds and elements nested deeper than MAX_DEPTH (the format has 8 levels). Rows are read one by one, so ids may repeat or be missing. The payload of a null or empty text is
 one frame of padding.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import struct
 import zlib
 from collections.abc import Iterator
@@ -34,6 +36,7 @@ TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK, BLOCK_DURATION = 0xE7, 0xA3, 0xA0,
 CUE_POINT, CUE_TIME, CUE_TRACK_POSITIONS, CUE_TRACK, CUE_CLUSTER_POSITION = 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
 _PARENTS = {SEGMENT, INFO, TRACKS, TRACK_ENTRY, AUDIO, CLUSTER, BLOCK_GROUP, CUES, CUE_POINT, CUE_TRACK_POSITIONS}
 _TOP = {INFO, TRACKS, CLUSTER, CUES}
+MAX_DEPTH = 32
 LACING = ("none", "xiph", "fixed", "ebml")
 
 FRAME, RATE = 576, 8000
@@ -209,6 +212,11 @@ def read_media(data: bytes | None) -> Media:
         return media
     base = 0
 
+    def timed(value: int) -> int:
+        if not -(1 << 63) <= value < 1 << 63:
+            raise Damaged(value)
+        return value
+
     def block(a: int, b: int, cluster_time: int, simple: bool) -> None:
         track, at = _vint(data, a, b)
         if track is None or at + 3 > b:
@@ -220,11 +228,13 @@ def read_media(data: bytes | None) -> Media:
         time = (cluster_time + relative) * media.scale
         for k, size in enumerate(sizes):
             each = step(size) if step else 0
-            media.packets.append((track, time + k * each, at, at + size, len(media.clusters) - 1, LACING[flags >> 1 & 3], bool(flags & 0x80) if simple else None))
+            media.packets.append((track, timed(time + k * each), at, at + size, len(media.clusters) - 1, LACING[flags >> 1 & 3], bool(flags & 0x80) if simple else None))
             at += size
 
     def walk(a: int, b: int, time: int, path: tuple[int, ...]) -> None:
         nonlocal base
+        if len(path) > MAX_DEPTH:
+            raise Damaged(a)
         track: dict = {}
         cue: dict = {}
         for ident, begin, x, y in _elements(data, a, b, CLUSTER if path[-1:] == (CLUSTER,) else None):
@@ -236,6 +246,8 @@ def read_media(data: bytes | None) -> Media:
                 time = _uint(data, x, y)
             elif ident == TIMESTAMP_SCALE:
                 media.scale = _uint(data, x, y)
+                if not media.scale:
+                    raise Damaged(x)
             elif ident in (SIMPLE_BLOCK, BLOCK):
                 block(x, y, time, ident == SIMPLE_BLOCK)
             elif ident == TRACK_NUMBER:
@@ -248,18 +260,20 @@ def read_media(data: bytes | None) -> Media:
                 found = {i: data[s:e] for i, _, s, e in _elements(data, x, y)}
                 rate = found.get(SAMPLING_FREQUENCY, b"")
                 track["rate"] = struct.unpack(">d" if len(rate) == 8 else ">f", rate)[0] if len(rate) in (4, 8) else 8000.0
+                if not 0 < track["rate"] < math.inf:
+                    raise Damaged(x)
                 track["width"] = max(1, int.from_bytes(found.get(BIT_DEPTH, b"\x08"), "big") // 8) * max(1, int.from_bytes(found.get(CHANNELS, b"\x01"), "big"))
             elif ident == CUE_TIME:
                 cue["time"] = _uint(data, x, y)
             elif ident == CUE_TRACK_POSITIONS:
                 found = {i: _uint(data, s, e) for i, _, s, e in _elements(data, x, y)}
-                media.cues.append((cue.get("time", 0) * media.scale, found.get(CUE_TRACK, 0), base + found.get(CUE_CLUSTER_POSITION, 0)))
+                media.cues.append((timed(cue.get("time", 0) * media.scale), found.get(CUE_TRACK, 0), base + found.get(CUE_CLUSTER_POSITION, 0)))
             elif ident in _PARENTS:
                 walk(x, y, time, (*path, ident))
         if "number" in track:
             if track.get("codec", "").startswith("A_PCM"):
-                rate, width = track["rate"], track["width"]
-                track["frame_ns"] = lambda size: round(size // width * 1e9 / rate)
+                rate, width = track.get("rate", 8000.0), track.get("width", 1)
+                track["frame_ns"] = lambda size: round(min(size // width * 1e9 / rate, 2.0**64))
             media.tracks[track["number"]] = track
 
     try:
