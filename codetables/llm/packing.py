@@ -6,7 +6,8 @@
    with the input. Large lengths are sorted down and rounded up to the largest of their group, groups of equal
    cardinality; the few sizes that remain are packed by a linear program over configurations (column generation with
    a knapsack by dynamic programming); its whole part is kept. Then actual lengths take the places of the rounded ones,
-   and what the program left over and the small pieces go, longest first, into the fullest bin that holds them.
+   the last of a bin as long as fits, and what the program left over and the small pieces go, longest first, into the
+   fullest bin that holds them.
 3. The plan is a list of runs "so many bins with exactly these lengths". A piece's rank among those of its length
    names its run, its bin and its offset. Ranks are counted in salted buckets, so a length that most pieces share is
    not one task.
@@ -18,8 +19,6 @@ equal ids or equal rows are separate documents. An empty table gives an empty re
 from __future__ import annotations
 
 import bisect
-import re
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -38,81 +37,61 @@ SEPARATOR = 0
 SMALL = 256
 #: Sizes that remain after rounding.
 GROUPS = 32
-#: Unused tokens up to which a bin of a configuration is kept; the fewest sequences of these choices win.
-KEPT_WASTE = (0, 2, 8, 32, 128)
+#: Unused tokens up to which a bin of a configuration is kept; the fewest sequences win, and of equal ones the first.
+KEPT_WASTE = (CAPACITY, 512, 128, 64, 32, 16, 8, 4, 2, 1, 0)
 
 
 # ---- tokens
 
 
-def byte_ranks(path: str) -> dict[bytes, int]:
-    """Bytes -> id of a byte-level BPE file, whose printable stand-ins for bytes are undone."""
+def byte_ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Bytes -> id of a byte-level BPE file, whose printable stand-ins for bytes are undone, and its added tokens."""
     import json
 
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     byte_of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(plain)))}
     with open(path, encoding="utf-8") as file:
         parsed = json.load(file)
-    special = {t["content"] for t in parsed.get("added_tokens", ())}
-    return {bytes(byte_of[c] for c in t): i for t, i in parsed["model"]["vocab"].items() if t not in special}
+    added = {t["content"]: t["id"] for t in parsed.get("added_tokens", ())}
+    return {bytes(byte_of[c] for c in t): i for t, i in parsed["model"]["vocab"].items() if t not in added}, added
 
 
-class ChunkTokens(dict):
-    """Token ids (bytes of little-endian unsigned 32-bit numbers) of text chunks, remembered up to a bound.
+class Tokens:
+    """Token ids (little-endian unsigned 32-bit numbers) of texts.
 
-    A byte-level BPE with the public pattern never joins a chunk `optional space + non-space run` with its
-    neighbours, so a text's ids are those of its chunks in order, and frequent words are tokenized once. New chunks
-    go through the same vocabulary as ranks, which is several times faster than a whole encoding for each; special
-    tokens' strings are ordinary text."""
-
-    LIMIT = 200_000
+    The same vocabulary as ranks, which is several times faster; strings of added tokens become their ids. Where a very
+    long run of white space is too much for the pattern there, the file's own library takes the text."""
 
     def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
 
-        super().__init__()
-        self.old: dict[str, bytes] = {}
-        ranks = byte_ranks(path)
-        model = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.encode = model.encode_ordinary
+        self.path = path
+        ranks, added = byte_ranks(path)
+        self.model = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
-    def __missing__(self, chunk: str) -> bytes:
-        value = self.old.get(chunk) or self.whole(chunk)
-        if len(chunk) < 64:
-            if len(self) >= self.LIMIT:
-                self.old = dict(self)
-                self.clear()
-            self[chunk] = value
-        return value
+    def of(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        try:
+            ids = self.model.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            from tokenizers import Tokenizer
 
-    def whole(self, text: str) -> bytes:
-        ids = self.encode(text)
-        return struct.pack(f"<{len(ids)}I", *ids)
+            ids = np.array(Tokenizer.from_file(self.path).encode(text, add_special_tokens=False).ids)
+        return ids.astype("<u4", copy=False).tobytes()
 
 
-_TOKENS: dict[str, ChunkTokens] = {}
+_TOKENS: dict[str, Tokens] = {}
 
 
-def tokens_of(path: str) -> ChunkTokens:
+def tokens_of(path: str) -> Tokens:
     """One tokenizer for each path and Python worker."""
     if path not in _TOKENS:
-        _TOKENS[path] = ChunkTokens(path)
+        _TOKENS[path] = Tokens(path)
     return _TOKENS[path]
 
 
-_CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-_ODD = re.compile("[\x1c-\x1f]")  # white space to Python, but not to the tokenizer
-
-
-def token_bytes(text: str | None, tokens: ChunkTokens) -> bytes:
-    if not text:
-        return b""
-    if _ODD.search(text):
-        return tokens.whole(text)
-    return b"".join([tokens[c] for c in _CHUNK.findall(text)])
-
-
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """One row for each piece: doc_id, piece, start, length, ids_crc32 (and ids, on request)."""
     schema = "doc_id long, piece int, start long, length int, ids_crc32 long" + ", ids binary" * with_ids
@@ -124,7 +103,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
             for at in range(0, len(texts), 1000):
                 cols: list[list] = [[] for _ in range(5 + with_ids)]
                 for doc, text in zip(ids_col[at : at + 1000], texts[at : at + 1000]):
-                    ids = token_bytes(text, tokens) + end
+                    ids = tokens.of(text) + end
                     n = len(ids) // 4
                     first = (n - 1) % capacity + 1
                     start = 0
@@ -208,12 +187,92 @@ def linear_groups(counts: dict[int, int], groups: int) -> list[list[list[int]]]:
     return out
 
 
+class _Stock:
+    """How many pieces of each length each group still has."""
+
+    def __init__(self, dealt: list[list[list[int]]]):
+        self.groups = [{length: n for length, n in g} for g in dealt]
+        self.holders: dict[int, list[int]] = {}
+        for k, g in enumerate(self.groups):
+            for length in g:
+                self.holders.setdefault(length, []).append(k)
+        self.lengths = sorted(self.holders)
+
+    def longest(self, groups: list[int], taken: dict[tuple[int, int], int]) -> tuple[int, int] | None:
+        """(group, length) of the longest piece that these groups have besides those taken."""
+        for k in groups:
+            for length, n in self.groups[k].items():  # longest first
+                if n > taken.get((k, length), 0):
+                    return k, length
+        return None
+
+    def fitting(self, room: int, taken: dict[tuple[int, int], int]) -> tuple[int, int] | None:
+        """The longest piece of any group that the room holds."""
+        at = bisect.bisect_right(self.lengths, room)
+        while at:
+            at -= 1
+            for k in self.holders[self.lengths[at]]:
+                if self.groups[k].get(self.lengths[at], 0) > taken.get((k, self.lengths[at]), 0):
+                    return k, self.lengths[at]
+        return None
+
+    def take(self, taken: dict[tuple[int, int], int], most: int) -> int:
+        """Takes them as often as there are, `most` times at most."""
+        times = min([most, *[self.groups[k][length] // n for (k, length), n in taken.items()]])
+        for (k, length), n in taken.items():
+            self.groups[k][length] -= n * times
+            if not self.groups[k][length]:
+                del self.groups[k][length]
+                self.holders[length].remove(k)
+                if not self.holders[length]:
+                    del self.holders[length], self.lengths[bisect.bisect_left(self.lengths, length)]
+        return times
+
+    def left(self) -> dict[int, int]:
+        out: dict[int, int] = {}
+        for g in self.groups:
+            for length, n in g.items():
+                out[length] = out.get(length, 0) + n
+        return out
+
+
+def configured(large: dict[int, int], capacity: int, groups: int) -> tuple[list[tuple[int, list[int]]], dict[int, int]]:
+    """Bins that configurations of rounded lengths give, with actual lengths in their places, and what is left over.
+
+    Each place takes the longest piece of its group; the last one of a bin takes the longest that is left and fits, also
+    of another group, so that what rounding left unused is used."""
+    dealt = linear_groups(large, groups)
+    rounded = [g[0][0] for g in dealt]
+    sizes = np.array(sorted(set(rounded), reverse=True))
+    of_size = {int(s): [k for k, r in enumerate(rounded) if r == s] for s in sizes}
+    demand = np.array([sum(n for k in of_size[int(s)] for _, n in dealt[k]) for s in sizes], dtype=float)
+    stock, bins = _Stock(dealt), []
+    for config, times in sorted(configurations(sizes, demand, capacity), key=lambda x: -int(x[0] @ sizes)):
+        places = [int(s) for s, k in zip(sizes, config) for _ in range(k)]
+        while times > 0 and places:
+            taken: dict[tuple[int, int], int] = {}
+            lengths: list[int] = []
+            for n, size in enumerate(places, 1):
+                last = n == len(places)
+                found = stock.fitting(capacity - sum(lengths), taken) if last else stock.longest(of_size[size], taken)
+                if found is None:
+                    break
+                taken[found] = taken.get(found, 0) + 1
+                lengths.append(found[1])
+            if len(lengths) < len(places):
+                break
+            run = stock.take(taken, times)
+            bins.append((run, lengths))
+            times -= run
+    return bins, stock.left()
+
+
 def plan(counts: dict[int, int], capacity: int = CAPACITY, small: int = SMALL, groups: int = GROUPS, kept_waste: tuple[int, ...] = KEPT_WASTE) -> list[tuple[int, list[int]]]:
     """Runs (number of bins, lengths in each), using each length as often as it occurs.
 
-    Rounding up leaves room in a bin once actual lengths take their places. Where there are too few small pieces to
-    fill it, such a bin is better opened again: bins with more unused tokens than the bound are dissolved and their
-    pieces placed by best fit with the rest. Several bounds are tried, for the fewest sequences."""
+    Small pieces fill what configurations leave unused. Where there are too few of them, bins with more unused tokens
+    than a bound are better opened again, and their pieces placed by best fit with the rest. Several bounds are tried,
+    for the fewest sequences, and of those the one that opens fewest bins."""
     runs: list[tuple[int, list[int]]] = []
     full = counts.get(capacity, 0)
     if full:
@@ -222,39 +281,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, small: int = SMALL, g
     rest = {x: n for x, n in counts.items() if 0 < x <= small and n}
     bins: list[tuple[int, list[int]]] = []
     if large:
-        dealt = linear_groups(large, groups)
-        rounded = [g[0][0] for g in dealt]
-        sizes = np.array(sorted(set(rounded), reverse=True))
-        queue = {int(s): [] for s in sizes}
-        for size, group in zip(rounded, dealt):
-            queue[size] += group
-        demand = np.array([sum(n for _, n in queue[int(s)]) for s in sizes], dtype=float)
-        for config, times in sorted(configurations(sizes, demand, capacity), key=lambda x: -int(x[0] @ sizes)):
-            slots = [int(s) for s, k in zip(sizes, config) for _ in range(k)]
-            while times > 0 and slots:
-                # Each place takes what is left of its group, longest first; the run lasts until one of them is used up.
-                need = {s: slots.count(s) for s in slots}
-                if any(sum(n for _, n in queue[s]) < k for s, k in need.items()):
-                    break
-                taken, run = [], times
-                for s, k in need.items():
-                    at = 0
-                    for _ in range(k):
-                        while sum(x == (s, at) for x in taken) >= queue[s][at][1]:
-                            at += 1
-                        taken.append((s, at))
-                for s, at in set(taken):
-                    run = min(run, queue[s][at][1] // taken.count((s, at)))
-                for s, at in taken:
-                    queue[s][at][1] -= run
-                bins.append((run, [queue[s][at][0] for s, at in taken]))
-                for s in need:
-                    queue[s] = [x for x in queue[s] if x[1]]
-                times -= run
-        for group in queue.values():
-            for length, n in group:
-                if n:
-                    rest[length] = rest.get(length, 0) + n
+        bins, left = configured(large, capacity, groups)
+        rest |= left
     tried = []
     for waste in kept_waste:
         good = [b for b in bins if capacity - sum(b[1]) <= waste]

@@ -219,7 +219,6 @@ def test_packing(spark, docs, nothing, texts):
 
     path = packing.tokenizer_path()
     model = Tokenizer.from_file(path)
-    model.encode_special_tokens = True
     got = packing.pack(docs, path).collect()
     pieces_of = defaultdict(list)
     for r in got:
@@ -263,10 +262,28 @@ def test_packing_plan():
 def test_odd_tokens():
     from tokenizers import Tokenizer
 
-    model, tokens = Tokenizer.from_file(packing.tokenizer_path()), packing.ChunkTokens(packing.tokenizer_path())
-    model.encode_special_tokens = True
-    for t in ["", " ", "a  b", "it's  we'll 12ab,.!! \n", "x\x1cy \x1f z", "\t\tq", "<|endoftext|> hi", "日本 語　x", "a\r\n b \n", "\u0085x", "🎉 🎉"]:
-        assert packing.token_bytes(t, tokens) == np.array(model.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    model, tokens = Tokenizer.from_file(packing.tokenizer_path()), packing.Tokens(packing.tokenizer_path())
+    odd = ["", " ", "a  b", "it's  we'll 12ab,.!! \n", "x\x1cy \x1f z", "\t\tq", "<|endoftext|> hi", "a <|endoftext|><|endoftext|>  b<|endoftext", "日本 語　x", "a\r\n b \n", "\u0085x", "🎉 🎉", "x" * 100_000, " " * 1_000_000 + "a"]
+    for t in odd:
+        assert tokens.of(t) == np.array(model.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert tokens.of("<|endoftext|>") == np.array([50256], "<u4").tobytes()
+
+
+def test_configurations_decide_bins():
+    rng = np.random.Generator(np.random.PCG64(4))
+    counts = dict(Counter(np.clip(rng.lognormal(5.5, 1, 50_000).astype(int), 1, 2047).tolist()))
+    large = {k: v for k, v in counts.items() if k > packing.SMALL}
+    bins, left = packing.configured(large, 2048, packing.GROUPS)
+    used = Counter(left)
+    for times, lengths in bins:
+        assert sum(lengths) <= 2048
+        for x in lengths:
+            used[x] += times
+    assert used == Counter(large) and sum(left.values()) < 0.4 * sum(large.values())
+    found, plain = packing.plan(counts), packing._best_fit([], counts, 2048)
+    assert sum(n for n, _ in found) <= 1.001 * sum(n for n, _ in plain) + 1
+    kept = sum(n for n, x in bins if sum(x) == 2048)
+    assert kept > 0.3 * sum(n for n, _ in bins)
 
 
 def test_media(spark, nothing, texts):
@@ -286,6 +303,23 @@ def test_media(spark, nothing, texts):
         media = matroska.read_media(data)
         assert [data[p[2] : p[3]] for p in media.packets] == frames and media.packets[0][1] == 15_000_000 and media.complete
         assert not matroska.read_media(data[:-600]).complete
+    # Damage of other kinds: each file gives the packets before it.
+    m = matroska
+    good = m.element(m.CLUSTER, m.number(m.TIMESTAMP, 1) + m.element(m.SIMPLE_BLOCK, b"\x81\x00\x00\x80abc"))
+
+    def with_track(audio: bytes, more: bytes = b"") -> bytes:
+        entry = m.number(m.TRACK_NUMBER, 1) + m.element(m.CODEC_ID, b"A_PCM/INT/LIT") + audio
+        return m.element(m.EBML, b"") + m.element(m.SEGMENT, m.element(m.TRACKS, m.element(m.TRACK_ENTRY, entry)) + good + more)
+
+    deep = b""
+    for _ in range(1500):
+        deep = m.element(m.BLOCK_GROUP, deep)
+    late = m.element(m.CLUSTER, m.number(m.TIMESTAMP, (1 << 64) - 1) + m.element(m.SIMPLE_BLOCK, b"\x81\x00\x00\x80abc"))
+    rate = lambda x: m.element(m.AUDIO, m.element(m.SAMPLING_FREQUENCY, struct.pack(">d", x)))
+    damaged = [with_track(rate(0.0)), with_track(rate(float("nan"))), with_track(rate(-1.0)), with_track(b""), with_track(rate(8000.0), m.element(m.CLUSTER, deep)), with_track(rate(8000.0), late), with_track(rate(1e-300))]
+    assert [(len(m.read_media(x).packets), m.read_media(x).complete) for x in damaged] == [(0, False)] * 3 + [(1, True), (1, False), (1, False), (1, True)]
+    files = spark.createDataFrame(list(enumerate(damaged)), "doc_id long, media binary")
+    assert matroska.packet_table(files, "doc_id", "media").count() == 4
     df = matroska.stored_texts(spark.createDataFrame([(1, "abc"), (2, None)], "doc_id long, text string"))
     table = matroska.packet_table(df, "doc_id", "media")
     assert table.count() == 2 and table.where("cue and end - start = 576").count() == 2
