@@ -124,17 +124,27 @@ def hot_windows(candidate: Column) -> Column:
     packed = F.struct(candidate.alias("text"), chars.alias("c"), limit.alias("limit"), size.alias("w"))
     none = F.array().cast("array<struct<start:int,end:int>>")
 
+    # Counts of 8 characters to a number, 5 bits each, so that a step changes few of them.
+    unit = F.array(*[F.lit(1 << 5 * k).cast("long") for k in range(8)])
+    groups = -(-len(_ALPHABET) // 8)
+    place = lambda c: F.shiftright(c, 3)
+    one = lambda c: F.get(unit, c.bitwiseAND(7))
+    count = lambda counts, c: F.call_function("shiftrightunsigned", F.get(counts, place(c)), c.bitwiseAND(7) * 5).bitwiseAND(F.lit(31)).cast("int")
+
     def moved(x: Column) -> Column:
         head = F.slice(x["c"], 1, x["w"])
-        counts = F.transform(F.sequence(F.lit(0), F.lit(len(_ALPHABET) - 1)), lambda k: F.size(F.filter(head, lambda c: c == k)))
-        first = F.aggregate(counts, F.lit(0), lambda a, c: a + F.get(weight, c))
+        each = F.transform(F.sequence(F.lit(0), F.lit(8 * groups - 1)), lambda k: F.size(F.filter(head, lambda c: c == k)))
+        first = F.aggregate(each, F.lit(0), lambda a, c: a + F.get(weight, c))
+        none_yet = F.array(*[F.lit(0).cast("long")] * groups)
+        counts = F.aggregate(head, none_yet, lambda a, c: F.transform(a, lambda v, j: F.when(j == place(c), v + one(c)).otherwise(v)))
 
         def step(a: Column, i: Column) -> Column:
             out, new = F.get(x["c"], i - 1), F.get(x["c"], i + x["w"] - 1)
             stays = (i == 0) | (out == new)
-            n_out, n_new = F.get(a["counts"], out), F.get(a["counts"], new)
+            n_out, n_new = count(a["counts"], out), count(a["counts"], new)
             total = F.when(stays, a["sum"]).otherwise(a["sum"] - F.get(weight, n_out) + F.get(weight, n_out - 1) - F.get(weight, n_new) + F.get(weight, n_new + 1))
-            now = F.when(stays, a["counts"]).otherwise(F.transform(a["counts"], lambda c, k: c - (k == out).cast("int") + (k == new).cast("int")))
+            changed = F.transform(a["counts"], lambda v, j: v - F.when(j == place(out), one(out)).otherwise(F.lit(0)) + F.when(j == place(new), one(new)).otherwise(F.lit(0)))
+            now = F.when(stays, a["counts"]).otherwise(changed)
             hot = total <= x["limit"]
             joins = hot & (a["end"] >= i)
             opens = hot & (a["end"] < i)
@@ -185,11 +195,19 @@ def find_spans(docs: DataFrame, text_col: str = "text", allowed: tuple[str, ...]
     out = out.withColumn("_odd", F.when(F.size("_found") > 0, F.filter(named, strange)))
     hot = F.flatten(F.transform("_odd", lambda x: F.transform(hot_windows(x["s"]), lambda w: F.struct((x["start"] + w["start"]).alias("start"), F.lit(3).alias("kind"), (x["start"] + w["end"]).alias("end")))))
     out = out.withColumn("_hot", F.when(F.size("_odd") > 0, hot))
-    out = out.withColumn("_hot", F.array_distinct("_hot"))
-    within = lambda h: F.exists("_hot", lambda x: (x["start"] <= h["start"]) & (x["end"] >= h["end"]) & (x["end"] - x["start"] > h["end"] - h["start"]))
-    new = F.filter("_hot", lambda h: ~within(h) & ~F.exists("_base", lambda b: (b["start"] <= h["start"]) & (b["end"] >= h["end"])))
+    # In order of their starts, longest first: a span of entropy is within an earlier one if it ends no later than they do.
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    out = out.withColumn("spans_found", F.array_sort(F.concat("_base", F.coalesce(new, none))))
+    all_spans = F.array_sort(F.transform(F.concat("_base", F.coalesce("_hot", none)), lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind"))))
+    swept = F.aggregate(
+        all_spans,
+        F.struct(F.lit(-1).alias("end"), none.alias("all")),
+        lambda a, x: F.struct(
+            F.greatest(a["end"], -x["back"]).alias("end"),
+            F.when((x["kind"] < 3) | (-x["back"] > a["end"]), _append(a["all"], F.struct(x["start"].alias("start"), x["kind"].alias("kind"), (-x["back"]).alias("end")))).otherwise(a["all"]).alias("all"),
+        ),
+        lambda a: F.array_sort(a["all"]),
+    )
+    out = out.withColumn("spans_found", F.when(F.size("_hot") > 0, swept).otherwise(F.col("_base")))
     return out.drop("_text", "_assign", "_access", "_hex", "_base", "_found", "_odd", "_hot")
 
 

@@ -160,6 +160,17 @@ def test_secrets(spark, nothing):
     assert secrets.find_spans(nothing).count() == 0
 
 
+def test_secrets_in_very_long_texts(spark):
+    rng = np.random.Generator(np.random.PCG64(6))
+    key = lambda n: "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), n))
+    texts = ["a-" * 2000 + "1x2", "ab-" * 300_000 + "1x2", "=" * 300_000, key(40_000), " ".join(key(24) for _ in range(1000)), "token=abcdefgh1 " * 5000]
+    found = {r["k"]: r["spans_found"] for r in secrets.find_spans(spark.createDataFrame(list(enumerate(texts)), "k int, text string")).collect()}
+    assert not found[0] and not found[1] and not found[2]
+    assert sum(s["end"] - s["start"] for s in found[3]) > 39_000
+    assert 900 < len(found[4]) <= 1000 and all(s["end"] - s["start"] <= 24 for s in found[4])
+    assert len(found[5]) == 5000
+
+
 def test_random_keys_of_each_class(spark):
     rng = np.random.Generator(np.random.PCG64(11))
     low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
