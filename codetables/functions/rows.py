@@ -20,7 +20,7 @@ SSSOM = "https://w3id.org/sssom/"
 DCT = "http://purl.org/dc/terms/"
 XSD = "http://www.w3.org/2001/XMLSchema#"
 PROV = "http://www.w3.org/ns/prov#"
-CASCADE = "https://ns.cascadeprotocol.org/cascade#"
+VOCABULARY = "https://ns.cascadeprotocol.org/cascade#"
 CURATED = "https://w3id.org/semapv/vocab/ManualMappingCuration"
 CHAINED = "https://w3id.org/semapv/vocab/MappingChaining"
 MEMBER_OF = "http://purl.obolibrary.org/obo/RO_0002350"
@@ -50,22 +50,22 @@ _MAPPING = [
     ("object_id", OWL + "annotatedTarget", "iri"),
     ("mapping_justification", SSSOM + "mapping_justification", "iri"),
     ("mapping_cardinality", SSSOM + "mapping_cardinality", None),
-    ("sequence", CASCADE + "panelSequence", XSD + "integer"),
-    ("required", CASCADE + "observationRequiredInPanel", None),
+    ("sequence", VOCABULARY + "panelSequence", XSD + "integer"),
+    ("required", VOCABULARY + "observationRequiredInPanel", None),
 ]
 PREDICATES = {
     "mapping": _MAPPING,
     "member": _MAPPING,
     "names": [("prefLabel", SKOS + "prefLabel", None), ("altLabel", SKOS + "altLabel", None), ("notation", SKOS + "notation", None)],
     "status": [("replacedBy", DCT + "isReplacedBy", "iri")],
-    "termType": [("termType", CASCADE + "termType", None)],
+    "termType": [("termType", VOCABULARY + "termType", None)],
     "classification": [
-        ("hgvs", CASCADE + "hgvsExpression", "iri"),
-        ("classification", CASCADE + "clinvarClassification", "iri"),
-        ("reviewStatus", CASCADE + "clinvarReviewStatus", "iri"),
-        ("lastEvaluated", CASCADE + "lastEvaluated", XSD + "date"),
-        ("contributingSubmitterCount", CASCADE + "contributingSubmitterCount", XSD + "integer"),
-        ("submitterCount", CASCADE + "submitterCount", XSD + "integer"),
+        ("hgvs", VOCABULARY + "hgvsExpression", "iri"),
+        ("classification", VOCABULARY + "clinvarClassification", "iri"),
+        ("reviewStatus", VOCABULARY + "clinvarReviewStatus", "iri"),
+        ("lastEvaluated", VOCABULARY + "lastEvaluated", XSD + "date"),
+        ("contributingSubmitterCount", VOCABULARY + "contributingSubmitterCount", XSD + "integer"),
+        ("submitterCount", VOCABULARY + "submitterCount", XSD + "integer"),
     ],
 }
 
@@ -177,8 +177,8 @@ def from_triples(triples: DataFrame) -> DataFrame:
             aggs.append(F.when(F.count(value) > 0, F.array_sort(F.collect_set(value))).alias(column) if kind.startswith("array") else F.max(value).cast(kind).alias(column))
     has = lambda p: F.max(F.when(F.col("predicate") == p, 1))
     form = (
-        F.when(has(CASCADE + "panelSequence") == 1, "member").when(has(OWL + "annotatedSource") == 1, "mapping").when(has(SKOS + "prefLabel") == 1, "names")
-        .when(has(OWL + "deprecated") == 1, "status").when(has(CASCADE + "termType") == 1, "termType").otherwise("classification")
+        F.when(has(VOCABULARY + "panelSequence") == 1, "member").when(has(OWL + "annotatedSource") == 1, "mapping").when(has(SKOS + "prefLabel") == 1, "names")
+        .when(has(OWL + "deprecated") == 1, "status").when(has(VOCABULARY + "termType") == 1, "termType").otherwise("classification")
     )
     found = triples.groupBy("series", "key").agg(form.alias("form"), *aggs)
     key_of = {"subject": ["names", "status", "termType"], "variation": ["classification"]}

@@ -109,11 +109,17 @@ def is_coding_expression(iri: C) -> Column:
     return F.coalesce(_c(iri).rlike(rf"^{space}NM_[0-9]+\.[0-9]+%3Ac\.([A-Za-z0-9._~-]|%[0-9A-F]{{2}})+$"), F.lit(False))
 
 
-def parse_version(text: C, parts: int = 6) -> Column:
-    """The leading dotted number as integers, filled with zeros, so that arrays compare as versions do."""
+def number_key(digits: Column) -> Column:
+    """(length, digits) of a whole number without leading zeros: compares by value, whatever the length."""
+    bare = F.regexp_replace(digits, "^0+(?=.)", "")
+    return F.struct(F.length(bare).alias("n"), bare.alias("digits"))
+
+
+def parse_version(text: C) -> Column:
+    """The leading dotted number as an array of number_key, without zeros at the end, so that arrays compare as versions do."""
     lead = F.regexp_extract(_c(text), r"^(\d+(?:\.\d+)*)", 1)
-    numbers = F.transform(F.split(lead, r"\."), lambda p: p.cast("long"))
-    return F.when(lead != "", F.slice(F.concat(numbers, F.array_repeat(F.lit(0).cast("long"), parts)), 1, parts))
+    bare = F.regexp_replace(lead, r"(?:\.0+)+$", "")
+    return F.when(lead != "", F.transform(F.split(bare, r"\."), number_key))
 
 
 def month_after(month: C, n: int | Column = 1) -> Column:
@@ -146,10 +152,15 @@ def replacements_from_history(parsed: C) -> dict[str, Column]:
     return {"status": status, "retired": retired, "replaced_by": F.array_sort(F.array_distinct(F.array_compact(codes)))}
 
 
-def natural_sort_key(text: C, width: int = 20) -> Column:
-    """A text that sorts as people do: numbers in it by value."""
+def natural_sort_key(text: C) -> Column:
+    """A text that sorts as people do: numbers in it by value, told by their length and then their digits."""
     parts = F.regexp_extract_all(_c(text), F.lit(r"\d+|\D+"), F.lit(0))
-    return F.array_join(F.transform(parts, lambda t: F.when(t.rlike(r"^\d"), F.lpad(t, width, "0")).otherwise(t)), "")
+
+    def sized(t: Column) -> Column:
+        key = number_key(t)
+        return F.concat(F.lpad(key["n"].cast("string"), 10, "0"), key["digits"])
+
+    return F.array_join(F.transform(parts, lambda t: F.when(t.rlike(r"^\d"), sized(t)).otherwise(t)), "")
 
 
 def short_code(iri: C) -> Column:

@@ -153,10 +153,13 @@ def lookup_labels(df: DataFrame, key: str, terms: str, labels: DataFrame) -> tup
 
 
 def system_of(df: DataFrame, iri: str, registry: DataFrame) -> DataFrame:
-    """df with `system`, that of the longest registered space the address begins with. registry(system, space) is a
-    list of code systems, a few dozen rows by nature."""
-    near = F.startswith(df[iri], registry["space"])
-    found = df.select(iri).distinct().join(F.broadcast(registry), near).groupBy(iri).agg(F.max_by("system", F.length("space")).alias("system"))
+    """df with `system`, that of the longest registered space the address begins with. registry(system, space); an
+    address is looked up by its beginnings of the lengths that spaces have, so neither side needs to be small."""
+    sizes = sorted(r["n"] for r in registry.select(F.length("space").alias("n")).distinct().collect())
+    each = df.select(iri).where(F.col(iri).isNotNull()).distinct()
+    starts = each.select(iri, F.explode(F.array(*[F.lit(n) for n in sizes]).cast("array<int>")).alias("_n")).where(F.length(iri) >= F.col("_n"))
+    starts = starts.withColumn("space", F.substring(F.col(iri), F.lit(1), F.col("_n")))
+    found = starts.join(registry, "space").groupBy(iri).agg(F.max_by("system", "_n").alias("system"))
     return df.join(found, iri, "left")
 
 
@@ -170,26 +173,47 @@ def replacement_flags(edges: DataFrame) -> DataFrame:
     return edges.join(outof, "prev").select("prev", "next", "merges", "splits")
 
 
-def resolve_replacements(edges: DataFrame, valid: DataFrame, max_hops: int = 50) -> DataFrame:
+def _on_cycles(edges: DataFrame) -> DataFrame:
+    """The edges (prev, next) that may be on a cycle: those left after taking away, again and again, edges from codes that
+    none leads to and to codes that none leaves."""
+    left = edges.select("prev", "next").distinct()
+    n = left.count()
+    while n:
+        inner = left.join(left.select(F.col("next").alias("prev")).distinct(), "prev", "left_semi")
+        inner = inner.join(left.select(F.col("prev").alias("next")).distinct(), "next", "left_semi").select("prev", "next").checkpoint()
+        before, n, left = n, inner.count(), inner
+        if n == before:
+            break
+    return left
+
+
+def resolve_replacements(edges: DataFrame, valid: DataFrame) -> DataFrame:
     """(code, target, cardinality, direct): from each code that isn't in effect to the codes in effect that replace it.
 
-    Paths follow edges (prev, next), stop at the first code in effect and hold no code twice; dead ends are dropped. On
-    the left a pair is `n` if any hop's target has other sources, on the right if any code on the way has several
-    successors; over several paths, if any of them says so. Each hop's frontier is checkpointed."""
+    Paths follow edges (prev, next) to any length, stop at the first code in effect and hold no code twice; dead ends
+    are dropped. On the left a pair is `n` if any hop's target has other sources, on the right if any code on the way
+    has several successors; over several paths, if any of them says so. A frontier row is a code, where it has come to
+    and what was said on the way, each once, however many paths lead there; only codes on cycles are remembered as
+    visited. Each hop's frontier is checkpointed."""
     flagged = replacement_flags(edges.distinct())
     good = valid.select("code").distinct().withColumn("ok", F.lit(True))
     step = flagged.join(good.withColumnRenamed("code", "next"), "next", "left").select("prev", "next", "merges", "splits", F.coalesce("ok", F.lit(False)).alias("ends"))
-    front = flagged.select(F.col("prev").alias("code")).distinct().join(good, "code", "left_anti")
-    front = front.select("code", F.col("code").alias("at"), F.array("code").alias("path"), F.lit(False).alias("merged"), F.lit(False).alias("split"))
-    ends = []
-    for hops in range(1, max_hops + 2):
-        if hops > max_hops:
-            raise ValueError(f"a chain of replacements is longer than {max_hops}")
-        moved = front.join(step, front["at"] == step["prev"]).where(~F.array_contains("path", F.col("next")))
-        moved = moved.select("code", F.col("next").alias("at"), F.concat("path", F.array("next")).alias("path"), (F.col("merged") | F.col("merges")).alias("merged"), (F.col("split") | F.col("splits")).alias("split"), "ends").distinct()
+    open_steps = step.join(good.select(F.col("code").alias("prev")), "prev", "left_anti").checkpoint()
+    round_about = _on_cycles(open_steps.where("not ends"))
+    cyclic = round_about.select(F.col("prev").alias("next")).union(round_about.select("next")).distinct().withColumn("again", F.lit(True))
+    open_steps = open_steps.join(cyclic, "next", "left").withColumn("again", F.coalesce("again", F.lit(False)))
+    starts = open_steps.select(F.col("prev").alias("code")).distinct()
+    seen = F.when(F.col("again"), F.array("code")).otherwise(F.array().cast(f"array<{edges.schema['prev'].dataType.simpleString()}>"))
+    front = starts.join(cyclic.withColumnRenamed("next", "code"), "code", "left").withColumn("again", F.coalesce("again", F.lit(False)))
+    front = front.select("code", F.col("code").alias("at"), seen.alias("seen"), F.lit(False).alias("merged"), F.lit(False).alias("split"))
+    ends, first = [], True
+    while True:
+        moved = front.join(open_steps, front["at"] == open_steps["prev"]).where(~F.array_contains("seen", F.col("next")))
+        visited = F.when(F.col("again"), F.array_sort(F.concat("seen", F.array("next")))).otherwise(F.col("seen"))
+        moved = moved.select("code", F.col("next").alias("at"), visited.alias("seen"), (F.col("merged") | F.col("merges")).alias("merged"), (F.col("split") | F.col("splits")).alias("split"), "ends").distinct()
         moved = moved.checkpoint()
-        ends.append(moved.where("ends").select("code", F.col("at").alias("target"), "merged", "split", F.lit(hops == 1).alias("direct")))
-        front = moved.where("not ends").drop("ends")
+        ends.append(moved.where("ends").select("code", F.col("at").alias("target"), "merged", "split", F.lit(first).alias("direct")))
+        front, first = moved.where("not ends").drop("ends"), False
         if front.isEmpty():
             break
     found = reduce(DataFrame.union, ends).groupBy("code", "target").agg(F.max("merged").alias("merged"), F.max("split").alias("split"), F.max("direct").alias("direct"))

@@ -71,18 +71,14 @@ def version_label(label: str, builder_version: str, current_label: str | None) -
 
 
 def add_version(catalog: dict[str, DataFrame], version: DataFrame, inputs: DataFrame) -> dict[str, DataFrame]:
-    """The catalog's tables with a version appended, new inputs once, and the series' pointer moved."""
+    """What write_catalog adds for new versions: their rows, inputs that the catalog lacks, links, and the series with
+    their pointers moved (whole)."""
     moved = version.select(F.col("series").alias("iri"), F.col("iri").alias("_new"))
     series = catalog["series"].join(moved, "iri", "left").withColumn("current_version", F.coalesce("_new", "current_version")).drop("_new")
     new = inputs.dropDuplicates(["iri"]).join(catalog["inputs"], "iri", "left_anti")
     names = [r["iri"] for r in version.select("iri").collect()]  # one for each series that changed
-    links = inputs.select(F.explode(F.array(*[F.lit(n) for n in names]).cast("array<string>")).alias("version"), F.col("iri").alias("input"))
-    return catalog | {
-        "series": series,
-        "versions": catalog["versions"].unionByName(version, allowMissingColumns=True),
-        "inputs": catalog["inputs"].unionByName(new, allowMissingColumns=True),
-        "version_inputs": catalog["version_inputs"].union(links),
-    }
+    links = inputs.select(F.explode(F.array(*[F.lit(n) for n in names]).cast("array<string>")).alias("version"), F.col("iri").alias("input")).distinct()
+    return {"versions": version, "inputs": new, "version_inputs": links, "series": series}
 
 
 def needs_build(series: DataFrame, versions: DataFrame, builder: str, builder_version: str, seen_nothing: bool) -> bool:

@@ -18,6 +18,7 @@ from codetables.operators.carry import carry_forward, rekey_carried
 from codetables.operators.checks import check_row_schema
 from codetables.operators.versions import content_fingerprint, diff, diff_counts, notes, version_name, with_content
 from codetables.sources.readers import Refusal
+from codetables.sources.shared import written
 from codetables.sources.sinks import write_version
 
 VIOLATION = ["series", "key", "message"]
@@ -79,6 +80,7 @@ def build_version(
         rows = rows.unionByName(carried)
     merged, wrong = merge_rows(rows)
     refuse(_shaped(wrong))
+    merged = written(merged, "merged")  # what follows reads it again for each series
     before = with_content(current)
     changes = diff(before, merged)
     said = {r["series"]: r["notes"] for r in notes(diff_counts(changes)).collect()}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from codetables.functions.rows import (
-    CASCADE, CHAINED, CURATED, DCT, HAS_MEMBER, MEMBER_OF, SKOS,
+    VOCABULARY, CHAINED, CURATED, DCT, HAS_MEMBER, MEMBER_OF, SKOS,
     classification_rows, mapping_rows, member_rows, names_rows, status_rows, term_type_rows,
 )
 from codetables.functions.scalars import (
@@ -121,7 +121,7 @@ PRECISE_PATHS: dict[str, list[R.Path]] = {
     "SBDF": [[("has_ingredient", "BN"), ("has_precise_ingredient", "PIN")]],
     "SBDG": [[("has_ingredient", "BN"), ("has_precise_ingredient", "PIN")]],
 }
-_ACTIVE, _BROAD, _PRECISE = "http://purl.obolibrary.org/obo/RO_0002248", SKOS + "broadMatch", CASCADE + "hasPreciseIngredient"
+_ACTIVE, _BROAD, _PRECISE = "http://purl.obolibrary.org/obo/RO_0002248", SKOS + "broadMatch", VOCABULARY + "hasPreciseIngredient"
 
 
 def drugs(conso: DataFrame, rels: DataFrame, series: dict[str, str]) -> BuildResult:
@@ -168,10 +168,10 @@ def drug_history(answers: DataFrame, series: str) -> BuildResult:
 
 # Relations to classes and how the names of their classes end.
 CLASS_RELATIONS = [
-    ("has_MoA", False, "[MoA]", CASCADE + "mechanismOfActionClass"),
-    ("has_PE", False, "[PE]", CASCADE + "physiologicEffectClass"),
-    ("has_SC", False, "[EXT]", CASCADE + "chemicalStructureClass"),
-    ("Parent Of", True, "[EPC]", CASCADE + "establishedPharmacologicClass"),
+    ("has_MoA", False, "[MoA]", VOCABULARY + "mechanismOfActionClass"),
+    ("has_PE", False, "[PE]", VOCABULARY + "physiologicEffectClass"),
+    ("has_SC", False, "[EXT]", VOCABULARY + "chemicalStructureClass"),
+    ("Parent Of", True, "[EPC]", VOCABULARY + "establishedPharmacologicClass"),
 ]
 
 

@@ -17,6 +17,7 @@ from codetables.operators import relations as R
 from codetables.operators import summaries as S
 from codetables.operators import versions as V
 from codetables.operators.carry import carry_forward, carry_status, rekey_carried
+from codetables.sources.shared import shared_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,15 +100,17 @@ def merge_conflicts(spark, sf):
 
 def _snapshots(spark, sf):
     o = _t(spark, sf, "orders").withColumns({"key": F.col("o_orderkey").cast("string"), "series": F.col("o_orderstatus")})
-    # Two releases: each lacks some orders, and the later one has other priorities for some.
-    a = o.where("o_orderkey % 7 <> 0").select("series", "key", F.sha2("o_orderpriority", 256).alias("content"))
-    later = F.when(F.col("o_orderkey") % 13 == 0, F.lit("0-NEW")).otherwise(F.col("o_orderpriority"))
-    return a, o.where("o_orderkey % 11 <> 0").select("series", "key", F.sha2(later, 256).alias("content"))
+    # Two releases: the earlier has no orders since 1998, the later no urgent ones of the first year, which it has dropped,
+    # and it says other things of large orders. Every order is in one of them.
+    a = o.where("o_orderdate < timestamp'1998-01-01'").select("series", "key", F.sha2("o_orderpriority", 256).alias("content"))
+    later = F.when(F.col("o_totalprice") > 300000, F.lit("0-NEW")).otherwise(F.col("o_orderpriority"))
+    stays = "o_orderdate >= timestamp'1993-01-01' or o_orderpriority <> '1-URGENT'"
+    return a, o.where(stays).select("series", "key", F.sha2(later, 256).alias("content"))
 
 
 _DIFF = """
-WITH a AS (SELECT o_orderstatus AS s, o_orderkey AS k, o_orderpriority AS v FROM orders WHERE o_orderkey % 7 <> 0),
-b AS (SELECT o_orderstatus AS s, o_orderkey AS k, CASE WHEN o_orderkey % 13 = 0 THEN '0-NEW' ELSE o_orderpriority END AS v FROM orders WHERE o_orderkey % 11 <> 0),
+WITH a AS (SELECT o_orderstatus AS s, o_orderkey AS k, o_orderpriority AS v FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+b AS (SELECT o_orderstatus AS s, o_orderkey AS k, CASE WHEN o_totalprice > 300000 THEN '0-NEW' ELSE o_orderpriority END AS v FROM orders WHERE o_orderdate >= TIMESTAMP '1993-01-01' OR o_orderpriority <> '1-URGENT'),
 d AS (SELECT coalesce(a.s, b.s) AS series, CAST(coalesce(a.k, b.k) AS VARCHAR) AS key,
   CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' WHEN a.v <> b.v THEN 'changed' END AS change
   FROM a FULL JOIN b ON a.s = b.s AND a.k = b.k)
@@ -131,24 +134,26 @@ def _customers(spark, sf):
     # The registry holds the spaces of the nations of two regions.
     n = _t(spark, sf, "nation").where("n_regionkey in (1, 2)")
     registry = n.select(F.col("n_name").alias("system"), F.concat(F.lit("https://example.org/n"), "n_nationkey", F.lit("/")).alias("space"))
-    return rows(c.where("c_custkey % 3 <> 0")), rows(c.where("c_custkey % 5 <> 0")), registry
+    # Customers in debt have left the release, those of one segment came after the current version.
+    return rows(c.where("c_acctbal >= 0")), rows(c.where("c_mktsegment <> 'BUILDING'")), registry
 
 
 @query("""
 SELECT 'https://example.org/n' || c_nationkey || '/' || c_custkey AS key FROM customer JOIN nation ON c_nationkey = n_nationkey
-WHERE c_custkey % 5 <> 0 AND c_custkey % 3 = 0 AND n_regionkey IN (1, 2)""")
+WHERE c_mktsegment <> 'BUILDING' AND c_acctbal < 0 AND n_regionkey IN (1, 2)""")
 def carry_forward_rows(spark, sf):
     built, current, registry = _customers(spark, sf)
     return carry_forward(built, current, ["names"], registry).select("key")
 
 
 @query("""
-SELECT CAST(c_custkey AS VARCHAR) AS code FROM customer WHERE c_nationkey = 2 AND c_custkey % 5 <> 0 AND c_custkey % 3 = 0 AND c_custkey % 2 <> 0
+SELECT CAST(c_custkey AS VARCHAR) AS code FROM customer WHERE c_nationkey = 2 AND c_mktsegment <> 'BUILDING' AND c_acctbal < 0 AND c_mktsegment <> 'MACHINERY'
   AND 2 IN (SELECT n_nationkey FROM nation WHERE n_regionkey IN (1, 2))""")
 def carry_lookup(spark, sf):
     built, current, registry = _customers(spark, sf)
     carried = carry_forward(built, current, ["names"], registry)
-    retired = status_rows(current.where("cast(notation as long) % 2 = 0"), "status", "subject")
+    machinery = _t(spark, sf, "customer").where("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").cast("string").alias("notation"))
+    retired = status_rows(current.join(machinery, "notation", "left_semi"), "status", "subject")
     return carry_status(built, carried, retired, registry, "https://example.org/n2/")[1]
 
 
@@ -223,10 +228,7 @@ w(a, b, p, m, s, n) AS (
 SELECT a AS code, b AS target, CASE WHEN bool_or(m) THEN 'n' ELSE '1' END || ':' || CASE WHEN bool_or(s) THEN 'n' ELSE '1' END AS cardinality, bool_or(n = 1) AS direct
 FROM w WHERE b IN (SELECT k FROM v) GROUP BY a, b""")
 def resolve_replacements(spark, sf):
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp())
+    shared_root(spark)
     p = _t(spark, sf, "part")
     k = F.col("p_partkey")
     edges = p.where(k % 5 != 0).select(k.alias("prev"), (k + 1).alias("next")).union(p.where(k % 9 == 1).select(k, k + 7))
@@ -264,9 +266,10 @@ def keep_known(spark, sf):
     return R.keep_known(_t(spark, sf, "orders"), "o_custkey", _t(spark, sf, "customer").where("c_acctbal > 0"), "c_custkey").select("o_orderkey")
 
 
-@query("SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def unlisted(spark, sf):
-    return R.unlisted(_t(spark, sf, "customer"), "c_custkey", _t(spark, sf, "orders"), "o_custkey")
+    o = _t(spark, sf, "orders")
+    return R.unlisted(o, "o_custkey", o.where("o_orderpriority = '1-URGENT'"), "o_custkey")
 
 
 @query("SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n, CASE o_orderstatus WHEN 'F' THEN 'true' WHEN 'O' THEN 'false' ELSE 'not mapped' END AS retired FROM orders GROUP BY o_orderstatus")
@@ -309,14 +312,14 @@ def page_links(spark, sf):
 
 @query("""
 WITH v AS (SELECT page_id, unnest(regexp_extract_all(html, '([0-9]+\\.[0-9]+)', 1)) AS version FROM pages),
-k AS (SELECT page_id, [CAST(string_split(version, '.')[1] AS HUGEINT), CAST(string_split(version, '.')[2] AS HUGEINT)] AS n FROM v WHERE length(version) < 16)
-SELECT page_id, max(n)[1] || '.' || max(n)[2] AS newest FROM k GROUP BY page_id""")
+s AS (SELECT page_id, regexp_replace(string_split(version, '.')[1], '^0+(.)', '\\1') AS a, regexp_replace(string_split(version, '.')[2], '^0+(.)', '\\1') AS b FROM v),
+k AS (SELECT page_id, CASE WHEN b = '0' THEN [{'n': length(a), 'd': a}] ELSE [{'n': length(a), 'd': a}, {'n': length(b), 'd': b}] END AS n FROM s)
+SELECT page_id, array_to_string(list_transform(max(n), lambda x: x.d), '.') AS newest FROM k GROUP BY page_id""")
 def newest_version(spark, sf):
-    pages = _t(spark, sf, "pages").select("page_id", F.array_join(F.filter(F.regexp_extract_all("html", F.lit(r"([0-9]+\.[0-9]+)"), F.lit(1)), lambda v: F.length(v) < 16), " ").alias("text"))
-    held = pages.limit(0).select("page_id", F.lit("").alias("version"))
-    v = V.newer_versions(pages, held, "page_id", "text", r"([0-9]+\.[0-9]+)")[0]
-    n = X.parse_version("newest", 2)
-    return v.select("page_id", F.concat_ws(".", F.get(n, F.lit(0)), F.get(n, F.lit(1))).alias("newest"))
+    pages = _t(spark, sf, "pages")
+    held = pages.where(F.length("html") < 0).select("page_id", F.lit("").alias("version"))
+    v = V.newer_versions(pages, held, "page_id", "html", r"([0-9]+\.[0-9]+)")[0]
+    return v.select("page_id", F.array_join(X.parse_version("newest")["digits"], ".").alias("newest"))
 
 
 @query("""
@@ -353,12 +356,16 @@ def inputs_held(spark, sf):
 
 
 @query("""
-SELECT DISTINCT source AS title FROM documents WHERE md5(coalesce(text, '')) NOT IN (SELECT md5(coalesce(text, '')) FROM documents WHERE lang = 'en')""")
+WITH f AS (SELECT CAST(o_custkey AS VARCHAR) AS title, CASE WHEN o_orderpriority <> '5-LOW' THEN md5(CAST(o_totalprice AS VARCHAR)) END AS checksum, o_orderdate AS modified, o_orderstatus AS s FROM orders),
+seen AS (SELECT * FROM f WHERE s <> 'F'), recorded AS (SELECT * FROM f WHERE s <> 'O')
+SELECT DISTINCT title FROM seen WHERE
+  CASE WHEN checksum IS NOT NULL THEN NOT EXISTS (SELECT 1 FROM recorded r WHERE r.title = seen.title AND r.checksum = seen.checksum)
+       ELSE NOT EXISTS (SELECT 1 FROM recorded r WHERE r.title = seen.title AND r.modified = seen.modified) END""")
 def changed_inputs(spark, sf):
-    d = _t(spark, sf, "documents").select(F.col("source").alias("t"), "lang", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("checksum"), F.lit(None).cast("timestamp").alias("modified"))
-    seen = d.select(F.lit("x").alias("title"), "checksum", "modified", "t")
-    changed = seen.join(d.where("lang = 'en'").select("checksum").distinct(), "checksum", "left_anti").select(F.col("t").alias("title"), F.col("checksum"), "modified")
-    return V.changed_inputs(changed, d.where("lang = 'en'").select(F.col("t").alias("title"), "checksum", "modified"))
+    """Files of customers: seen are those of orders that are not filled, recorded those of orders that are not open."""
+    total = F.md5(F.col("o_totalprice").cast("string").cast("binary"))
+    f = _t(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("title"), F.when(F.col("o_orderpriority") != "5-LOW", total).alias("checksum"), F.col("o_orderdate").alias("modified"), F.col("o_orderstatus").alias("s"))
+    return V.changed_inputs(f.where("s <> 'F'").drop("s"), f.where("s <> 'O'").drop("s"))
 
 
 def _suppliers(spark, sf):
@@ -425,18 +432,17 @@ def content_fingerprint(spark, sf):
     return V.content_fingerprint(h).select("n", F.col("f1").cast("string").alias("f1"), F.col("f2").cast("string").alias("f2"))
 
 
-def _nations(spark, sf):
-    n = _t(spark, sf, "nation").withColumns({"iri": X.code_iri("https://example.org/nation/", "n_name"), "code": F.col("n_nationkey").cast("string")})
-    return names_rows(n, "urn:uuid:00000000-0000-4000-8000-000000000000", "iri", "n_name", F.lit(None), "code")
+_SERIES = "urn:uuid:00000000-0000-4000-8000-000000000000"
 
 
 @query(f"""
-WITH l AS (SELECT DISTINCT '<https://example.org/nation/' || url_encode(n_name) || '> <http://www.w3.org/2004/02/skos/core#' || p || '> "' || v || '" .' AS line
-  FROM nation, LATERAL (VALUES ('prefLabel', n_name), ('notation', CAST(n_nationkey AS VARCHAR))) AS x(p, v)
-  UNION ALL SELECT '<{V.THIS_VERSION}> <http://www.w3.org/ns/prov#specializationOf> <urn:uuid:00000000-0000-4000-8000-000000000000> .')
+WITH l AS (SELECT DISTINCT '<{SUPP}' || s_suppkey || '> <http://www.w3.org/2004/02/skos/core#' || p || '> "' || v || '" .' AS line
+  FROM supplier, LATERAL (VALUES ('prefLabel', s_name), ('notation', CAST(s_suppkey AS VARCHAR))) AS x(p, v)
+  UNION ALL SELECT '<{V.THIS_VERSION}> <http://www.w3.org/ns/prov#specializationOf> <{_SERIES}> .')
 SELECT 'ni:///sha-256;' || rtrim(translate(base64(unhex(sha256(string_agg(line, chr(10) ORDER BY line) || chr(10)))), '+/', '-_'), '=') AS name FROM l""")
 def version_name(spark, sf):
-    return spark.createDataFrame([(V.version_name(_nations(spark, sf), "urn:uuid:00000000-0000-4000-8000-000000000000"),)], "name string")
+    rows = _suppliers(spark, sf).withColumn("series", F.lit(_SERIES))
+    return spark.createDataFrame([(V.version_name(rows, _SERIES),)], "name string")
 
 
 @query("""
@@ -585,11 +591,11 @@ def decoded_codes(spark, sf):
 
 
 @query("""
-WITH s AS (SELECT l_orderkey AS k, l_partkey AS v FROM lineitem WHERE l_linenumber < 3 UNION SELECT o_orderkey, o_custkey FROM orders),
+WITH s AS (SELECT l_orderkey AS k, l_partkey AS v FROM lineitem UNION SELECT o_orderkey, o_custkey FROM orders),
 b AS (SELECT v FROM s GROUP BY v HAVING count(DISTINCT k) > 60)
 SELECT k, array_to_string(list_sort(list(DISTINCT v)), '|') AS vals FROM s WHERE v NOT IN (SELECT v FROM b) GROUP BY k""")
 def set_expressions(spark, sf):
-    a = _t(spark, sf, "lineitem").where("l_linenumber < 3").select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("v"))
+    a = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("v"))
     b = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("v"))
     busy = a.union(b).distinct().groupBy("v").agg(F.count("*").alias("n")).where("n > 60")
     return S.set_expressions([a, b], "k", "v", busy).select("k", F.array_join(F.transform("values", lambda x: x.cast("string")), "|").alias("vals"))

@@ -79,46 +79,73 @@ _CELL = re.compile(r"([A-Z]+)\d+")
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 
 
+_RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+_TARGETS = "{http://schemas.openxmlformats.org/package/2006/relationships}Relationship"
+
+
+def _text_of(item) -> str:
+    """The text of a string item, without its phonetic runs."""
+    spoken = {t for run in item.iter(f"{_NS}rPh") for t in run.iter(f"{_NS}t")}
+    return "".join(t.text or "" for t in item.iter(f"{_NS}t") if t not in spoken)
+
+
+def _first_sheet(book: zipfile.ZipFile) -> str:
+    """The part of the sheet that the workbook names first; without a workbook part the sheet of least number."""
+    names = book.namelist()
+    if {"xl/workbook.xml", "xl/_rels/workbook.xml.rels"} <= set(names):
+        sheet = next(ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{_NS}sheet"), None)
+        parts = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels")).iter(_TARGETS)}
+        if sheet is not None and sheet.get(_RELATION) in parts:
+            target = parts[sheet.get(_RELATION)]
+            return target[1:] if target.startswith("/") else f"xl/{target}"
+    return min((n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.findall(r"\d+", n)[-1]))
+
+
 def _sheet_rows(content: bytes):
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         shared: list[str] = []
         if "xl/sharedStrings.xml" in book.namelist():
             for item in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{_NS}si"):
-                shared.append("".join(t.text or "" for t in item.iter(f"{_NS}t")))
-        first = min(n for n in book.namelist() if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n))
-        with book.open(first) as sheet:
+                shared.append(_text_of(item))
+        with book.open(_first_sheet(book)) as sheet:
+            number = 0
             for _, row in ElementTree.iterparse(sheet):
                 if row.tag != f"{_NS}row":
                     continue
                 cells: dict[int, str] = {}
+                column, number = 0, int(row.get("r", number + 1))
                 for cell in row.iter(f"{_NS}c"):
-                    column = 0
-                    for letter in _CELL.match(cell.get("r", "A1"))[1]:
-                        column = column * 26 + ord(letter) - 64
+                    named = _CELL.match(cell.get("r", ""))
+                    if named:
+                        column = 0
+                        for letter in named[1]:
+                            column = column * 26 + ord(letter) - 64
+                    else:
+                        column += 1
                     value = cell.find(f"{_NS}v")
                     kind = cell.get("t")
                     if kind == "s":
                         text = shared[int(value.text)]
                     elif kind == "inlineStr":
-                        text = "".join(t.text or "" for t in cell.iter(f"{_NS}t"))
+                        text = _text_of(cell)
                     else:
                         text = value.text or "" if value is not None else ""
                     cells[column - 1] = text
-                yield int(row.get("r", "0")), [cells.get(k, "") for k in range(max(cells, default=-1) + 1)]
+                yield number, [cells.get(k, "") for k in range(max(cells, default=-1) + 1)]
                 row.clear()
 
 
 def read_xlsx_first_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """number and fields of the first sheet's rows; one task reads a workbook."""
+    """file, number and fields of the first sheet's rows; one task reads a workbook."""
     import pandas as pd
 
     def emit(batches):
         for pdf in batches:
-            for content in pdf["content"]:
+            for file, content in zip(pdf["path"], pdf["content"]):
                 rows = list(_sheet_rows(content))
-                yield pd.DataFrame({"number": [n for n, _ in rows], "fields": [f for _, f in rows]})
+                yield pd.DataFrame({"file": file, "number": [n for n, _ in rows], "fields": [f for _, f in rows]})
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(emit, "number long, fields array<string>")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(emit, "file string, number long, fields array<string>")
 
 
 def read_zip_entries(spark: SparkSession, path: str, pattern: str) -> DataFrame:
@@ -152,9 +179,14 @@ def read_headed_tsv(spark: SparkSession, path: str, required: list[str], optiona
     return lines.where(F.col("number") > head[0]["number"]).select("number", *wanted)
 
 
+#: Names of a release's listing that are broadcast at most.
+MAX_BROADCAST_FILES = 100_000
+
+
 def pick_release_files(files: DataFrame, patterns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The one file (name) for each title whose pattern it matches, whatever its case; titles with none or several."""
-    matched = patterns.join(F.broadcast(files), F.expr("name rlike concat('(?i)', pattern)"), "left")
+    few = files.limit(MAX_BROADCAST_FILES + 1).count() <= MAX_BROADCAST_FILES
+    matched = patterns.join(F.broadcast(files) if few else files, F.expr("name rlike concat('(?i)', pattern)"), "left")
     found = matched.groupBy("title").agg(F.count("name").alias("n"), F.min("name").alias("name"))
     wrong = found.where("n <> 1").select("title", F.when(F.col("n") == 0, "no file matches").otherwise("several files match").alias("message"))
     return found.where("n = 1").select("title", "name"), wrong
@@ -164,6 +196,22 @@ _TERM = r'(<[^>]*>|"(?:[^"\\]|\\.)*"(?:\^\^<[^>]*>|@[A-Za-z-]+)?)'
 _QUAD = rf"^<([^>]*)> <([^>]*)> {_TERM}(?: <([^>]*)>)? \.$"
 
 
+_ESCAPED = r"\\U[0-9A-Fa-f]{8}|(?:\\u[0-9A-Fa-f]{4})+|\\.|[^\\]+"
+
+
+def unescaped(text: Column) -> Column:
+    """A literal's characters: code points of four digits (also as surrogate pairs) and of eight, and single letters."""
+    letters = F.create_map(*[F.lit(x) for kv in {"t": "\t", "n": "\n", "r": "\r", "b": "\b", "f": "\f"}.items() for x in kv])
+
+    def plain(t: Column) -> Column:
+        last = F.substring(t, 2, 1)
+        wide = F.decode(F.unhex(F.substring(t, 3, 8)), "UTF-32")
+        short = F.decode(F.unhex(F.replace(t, F.lit("\\u"), F.lit(""))), "UTF-16BE")
+        return F.when(~F.startswith(t, F.lit("\\")), t).when(F.startswith(t, F.lit("\\U")) & (F.length(t) == 10), wide).when(F.startswith(t, F.lit("\\u")) & (F.length(t) > 2), short).otherwise(F.coalesce(F.try_element_at(letters, last), last))
+
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_ESCAPED), F.lit(0)), plain), "")
+
+
 def read_nquads(spark: SparkSession, path: str) -> DataFrame:
     """subject, predicate, object, kind (iri, a datatype, @language or null), graph, with escapes undone, and `ok`:
     false for a line of another form."""
@@ -171,8 +219,7 @@ def read_nquads(spark: SparkSession, path: str) -> DataFrame:
     part = lambda k: F.regexp_extract("value", _QUAD, k)
     term = part(3)
     text = F.regexp_extract(term, r'^"((?:[^"\\]|\\.)*)"', 1)
-    # Escapes with a code point are rare: they go through JSON, which has the four-digit ones.
-    plain = F.from_json(F.concat(F.lit('{"v":"'), F.regexp_replace(text, r"\\U([0-9A-Fa-f]{8})", ""), F.lit('"}')), "v string")["v"]
+    plain = F.when(text.contains("\\"), unescaped(text)).otherwise(text)
     suffix = F.regexp_extract(term, r'"(?:\^\^<([^>]*)>)?(@[A-Za-z-]+)?$', 1)
     language = F.regexp_extract(term, r'"(@[A-Za-z-]+)$', 1)
     iri = F.startswith(term, F.lit("<"))

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from codetables.functions import scalars as X
 from codetables.operators import relations as R
+from codetables.operators import versions as V
 from codetables.plans import jobs as J
-from codetables.sources import readers
+from codetables.sources import readers, sinks
 
 
 def one(spark, column):
@@ -31,6 +32,12 @@ def test_scalars(spark):
     assert str(one(spark, X.listing_time(F.lit("8/13/2026  2:25 PM")))) == "2026-08-13 14:25:00"
     assert str(one(spark, X.http_date(F.lit("Thu, 13 Aug 2026 14:25:00 GMT")))) == "2026-08-13 14:25:00"
     assert one(spark, X.natural_sort_key(F.lit("a9")) < X.natural_sort_key(F.lit("a10")))
+    long = "9" * 25
+    assert one(spark, X.natural_sort_key(F.lit("a" + long)) < X.natural_sort_key(F.lit("a1" + long[:-1] + "10")))
+    assert one(spark, X.natural_sort_key(F.lit("a" + long + "8")) < X.natural_sort_key(F.lit("a" + long + "9")))
+    assert one(spark, X.parse_version(F.lit("1.2.3.4.5.6.7.9")) > X.parse_version(F.lit("1.2.3.4.5.6.7.8")))
+    assert one(spark, X.parse_version(F.lit("2.0.0")) == X.parse_version(F.lit("2"))) and one(spark, X.parse_version(F.lit("x"))) is None
+    assert one(spark, X.parse_version(F.lit("1." + long)) > X.parse_version(F.lit("1." + long[:-1])))
     assert one(spark, X.month_address(F.lit("x/{month}/y"), F.lit("as of 2026-03"))) == "x/2026-03/y"
 
 
@@ -61,6 +68,15 @@ def test_xlsx_and_zip(spark, tmp_path):
     rows = readers.read_xlsx_first_sheet(spark, str(tmp_path / "b.xlsx")).collect()
     assert [(r["number"], r["fields"]) for r in rows] == [(1, ["rich", "", "2.50"]), (3, ["", "in"])]
     assert readers.read_zip_entries(spark, str(tmp_path / "b.xlsx"), "SHEET1").count() == 1
+    # The workbook names another sheet first; spoken forms are left out, and cells and rows without a place follow.
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    with zipfile.ZipFile(tmp_path / "c.xlsx", "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{ns}" xmlns:r="{rel}"><sheets><sheet name="first" sheetId="9" r:id="rId7"/><sheet name="other" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/><Relationship Id="rId7" Target="worksheets/sheet12.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{ns}"><si><t>kanji</t><rPh sb="0" eb="1"><t>kana</t></rPh></si></sst>')
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+        z.writestr("xl/worksheets/sheet12.xml", f'<worksheet xmlns="{ns}"><sheetData><row><c t="s"><v>0</v></c><c><v>2</v></c></row><row><c r="B2"><v>3</v></c></row></sheetData></worksheet>')
+    assert [(r["number"], r["fields"]) for r in readers.read_xlsx_first_sheet(spark, str(tmp_path / "c.xlsx")).collect()] == [(1, ["kanji", "2"]), (2, ["", "3"])]
 
 
 def test_headed_tsv_and_quads(spark, tmp_path):
@@ -71,6 +87,30 @@ def test_headed_tsv_and_quads(spark, tmp_path):
     assert [(r["object"], r["kind"], r["ok"]) for r in rows][:2] == [('a "b" é', "t:1", True), ("o:1", "iri", True)] and not rows[2]["ok"]
 
 
+def test_escapes_of_quads(spark, tmp_path):
+    texts = {r"x\U0001F600y": "x😀y", r"\uD83D\uDE00\u00e9": "😀é", r"a\\U0001F600": r"a\U0001F600", r"t\tn\nq\"b\\": "t\tn\nq\"b\\", "plain": "plain", "": ""}
+    (tmp_path / "q.nq").write_text("".join(f'<s:{k}> <p:1> "{t}" <g:1> .\n' for k, t in enumerate(texts)))
+    got = {r["subject"]: r["object"] for r in readers.read_nquads(spark, str(tmp_path / "q.nq")).collect()}
+    assert [got[f"s:{k}"] for k in range(len(texts))] == list(texts.values())
+
+
+def test_catalog(spark, tmp_path):
+    path = str(tmp_path / "catalog")
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    sinks.write_catalog(spark, path, {"series": frame([("s", None), ("t", None)], "iri string, current_version string"), "versions": frame([], "iri string, series string"), "inputs": frame([], "iri string"), "version_inputs": frame([], "version string, input string")})
+    for n in range(3):
+        held = sinks.read_catalog(spark, path)
+        added = V.add_version(held, frame([(f"v{n}", "s")], "iri string, series string"), frame([("i0",), (f"i{n}",)], "iri string"))
+        if n == 1:  # an attempt that was lost before the pointers were written
+            sinks.write_catalog(spark, path, {k: v for k, v in added.items() if k != "series"})
+        sinks.write_catalog(spark, path, added)
+    got = sinks.read_catalog(spark, path)
+    rows = lambda name: sorted(tuple(r) for r in got[name].collect())
+    assert rows("versions") == [("v0", "s"), ("v1", "s"), ("v2", "s")] and rows("inputs") == [("i0",), ("i1",), ("i2",)]
+    assert rows("version_inputs") == [("v0", "i0"), ("v1", "i0"), ("v1", "i1"), ("v2", "i0"), ("v2", "i2")]
+    assert {r["iri"]: r["current_version"] for r in got["series"].collect()} == {"s": "v2", "t": None}
+
+
 def test_diagnoses(spark):
     order = [("A000", "0"), ("B001", "0"), ("C002", "1"), ("C003", "1"), ("Z002", "1")]
     lines = [(k, c, f, "short", "long " + c) for k, (c, f) in enumerate(order, 1)]
@@ -181,3 +221,11 @@ def test_replacement_cycles(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "b"), ("c", "d"), ("x", "y")], "prev string, next string")
     found = R.resolve_replacements(edges, spark.createDataFrame([("d",)], "code string"))
     assert {(r["code"], r["target"], r["cardinality"], r["direct"]) for r in found.collect()} == {("a", "d", "n:n", False), ("b", "d", "1:n", False), ("c", "d", "1:n", True)}
+
+
+def test_long_and_branching_replacements(spark):
+    # 30 times a path splits and merges again: 2**30 paths.
+    edges = [e for k in range(30) for e in ((f"n{k}", f"a{k}"), (f"n{k}", f"b{k}"), (f"a{k}", f"n{k + 1}"), (f"b{k}", f"n{k + 1}"))]
+    found = R.resolve_replacements(spark.createDataFrame(edges, "prev string, next string"), spark.createDataFrame([("n30",)], "code string"))
+    got = {r["code"]: (r["target"], r["cardinality"], r["direct"]) for r in found.where("code in ('n0', 'a29', 'n29')").collect()}
+    assert got == {"n0": ("n30", "n:n", False), "a29": ("n30", "n:1", True), "n29": ("n30", "n:n", False)}
