@@ -79,20 +79,35 @@ class Rollup:
     def _place(self, batch: str) -> str:
         return f"{self.path}/batches/batch-{batch.encode().hex()}"
 
-    def _folded(self) -> tuple[str | None, set[str]]:
-        """The newest compacted folder and the ids that it holds. Its name ends in the number of its generation."""
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path)) if s.getPath().getName().startswith("base-")]
-        if not names:
-            return None, set()
-        base = f"{self.path}/{max(names)}"
-        return base, set(json.loads(self.spark.read.text(f"{base}/ids").first()[0]))
-
-    def _open(self) -> list[str]:
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.path}/batches"))]
-        return [bytes.fromhex(n[6:]).decode() for n in names if n.startswith("batch-")]
+    def _names(self, folder: str, prefix: str) -> list[str]:
+        return sorted(n for n in (s.getPath().getName() for s in self._fs.listStatus(self._path(folder))) if n.startswith(prefix))
+
+    def _state(self) -> tuple[str | None, set[str], list[str]]:
+        """The newest compacted folder, the ids that it holds, and the batches that are committed besides. Batches are
+        listed before the base is looked for: one that compaction folds meanwhile is then in both, and counts once."""
+        batches = [bytes.fromhex(n[6:]).decode() for n in self._names(f"{self.path}/batches", "batch-")]
+        bases = self._names(self.path, "base-")
+        if not bases:
+            return None, set(), batches
+        base = f"{self.path}/{bases[-1]}"
+        ids = set(json.loads(self.spark.read.text(f"{base}/ids").first()[0]))
+        return base, ids, [b for b in batches if b not in ids]
 
     def committed(self) -> set[str]:
-        return self._folded()[1] | set(self._open())
+        _, ids, batches = self._state()
+        return ids | set(batches)
+
+    def _renamed(self, attempt: str, place: str) -> bool:
+        """Renames a folder into place unless one is there. Some file systems move it into that one instead; it is then
+        taken out again."""
+        if self._fs.exists(self._path(place)):
+            return False
+        name = attempt.rsplit("/", 1)[1]
+        done = bool(self._fs.rename(self._path(attempt), self._path(place)))
+        if done and self._fs.exists(self._path(f"{place}/{name}")):
+            self._fs.delete(self._path(f"{place}/{name}"), True)
+            return False
+        return done
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Adds the changes unless a batch of this id is there; tells whether it did."""
@@ -100,27 +115,27 @@ class Rollup:
             return False
         attempt = f"{self.path}/attempts/{uuid.uuid4().hex}"
         totals(changes).write.parquet(attempt)
-        if self._fs.exists(self._path(self._place(batch))):
-            return False
-        return bool(self._fs.rename(self._path(attempt), self._path(self._place(batch))))
+        return self._renamed(attempt, self._place(batch))
+
+    def _totals(self, base: str | None, batches: list[str]) -> DataFrame:
+        places = [self._place(b) for b in batches] + ([f"{base}/totals"] if base else [])
+        return totals(self.spark.read.schema(TOTALS).parquet(*places)) if places else self.spark.createDataFrame([], TOTALS)
 
     def current(self) -> DataFrame:
-        base, ids = self._folded()
-        places = [self._place(b) for b in self._open() if b not in ids] + ([f"{base}/totals"] if base else [])
-        if not places:
-            return self.spark.createDataFrame([], TOTALS)
-        return totals(self.spark.read.schema(TOTALS).parquet(*places))
+        base, _, batches = self._state()
+        return self._totals(base, batches)
 
     def compact(self) -> None:
-        """Folds all committed batches into one base; the folders it replaces are removed after it is in place."""
-        base, _ = self._folded()
-        ids, old = sorted(self.committed()), self._open()
+        """Folds the batches of one listing into one base; what it replaces is removed after it is in place. Batches
+        committed meanwhile stay beside it. One compaction runs at a time: of two, one finds the other's base there and
+        changes nothing."""
+        base, ids, batches = self._state()
         generation = int(base.rsplit("-", 1)[1]) + 1 if base else 0
         attempt = f"{self.path}/attempts/{uuid.uuid4().hex}"
-        self.current().write.parquet(f"{attempt}/totals")
-        self.spark.createDataFrame([(json.dumps(ids),)], "ids string").coalesce(1).write.text(f"{attempt}/ids")
-        if self._fs.rename(self._path(attempt), self._path(f"{self.path}/base-{generation:08d}")):
-            for b in old:
+        self._totals(base, batches).write.parquet(f"{attempt}/totals")
+        self.spark.createDataFrame([(json.dumps(sorted(ids | set(batches))),)], "ids string").coalesce(1).write.text(f"{attempt}/ids")
+        if self._renamed(attempt, f"{self.path}/base-{generation:08d}"):
+            for b in batches:
                 self._fs.delete(self._path(self._place(b)), True)
             if base:
                 self._fs.delete(self._path(base), True)

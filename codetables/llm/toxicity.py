@@ -2,8 +2,9 @@
 
 Two bigram models, of toxic and of ordinary labelled texts, interpolate discounted counts (modified Kneser-Ney): bigrams
 back off to their class's words, and those to continuation counts that both classes share. An expression counts once a
-text, so that a text that repeats itself weighs no more than others, and what only one text of a class has is discounted
-wholly: it passes its mass to the backoff, so that an expression seen once or never says as much as the shared counts do.
+text, so that a text that repeats itself weighs no more than others. Words that one text of a class has, and pairs that
+fewer than LEAST have, are discounted wholly: they pass their mass to the backoff, so that an expression seen seldom or
+never says as much as the shared counts do.
 Counts are made over all labelled rows that are not held out; they and the models are tables that grow with the input,
 with no cap on words or pairs.
 
@@ -34,7 +35,9 @@ from codetables.llm.common import dropped, signed, staged, table, word_hashes
 
 SAMPLE = 50_000
 #: Rows of the models that are broadcast at most, and bits of the filter for the others.
-HEAD, FILTER_BITS = 300_000, 1 << 28
+HEAD, FILTER_BITS = 250_000, 1 << 28
+#: Texts of a class that must have a word, and a pair, for more than its backoff; fewer are discounted wholly.
+LEAST = {"word": 2, "pair": 20}
 #: Contexts that every word is given in the shared counts, so that the rarest words say least.
 FLOOR = 100.0
 #: Labels that are broadcast at most (12 bytes each), to meet their texts; more of them are joined.
@@ -78,9 +81,9 @@ def counted(rows: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             side = batch.column(1).to_numpy() + np.where(batch.column(2).to_numpy() == 2, 2, 0)
-            for at in range(0, len(batch), 1000):
+            for at in range(0, len(batch), 4000):
                 before, words, keys, sizes = [], [], [], []
-                for h in letter_words(batch.column(0)[at : at + 1000].to_pylist()):
+                for h in letter_words(batch.column(0)[at : at + 4000].to_pylist()):
                     pair, place = np.unique(pair_keys(h[:-1], h[1:]), return_index=True)
                     single = np.unique(h)
                     before += [np.zeros(len(single), np.uint64), h[place]]
@@ -88,13 +91,19 @@ def counted(rows: DataFrame) -> DataFrame:
                     keys += [single, pair]
                     sizes.append(len(single) + len(pair))
                 key, place, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-                where = np.repeat(side[at : at + 1000], sizes)
-                counts = np.bincount(inverse * 4 + where, minlength=4 * len(key)).reshape(-1, 4).astype(np.int32)
+                where = np.repeat(side[at : at + 4000], sizes)
+                counts = np.bincount(inverse * 4 + where, minlength=4 * len(key)).reshape(-1, 4).astype(np.int64)
                 cols = [pa.array(signed(np.concatenate(x)[place])) for x in (before, words)]
-                yield pa.RecordBatch.from_arrays([*cols, *[pa.array(counts[:, k]) for k in range(4)]], names=["h", "w", *COLUMNS])
+                # Two counts to a number, 32 bits each, and rows of one context together: fewer bytes to shuffle.
+                both = [pa.array(counts[:, k] + (counts[:, k + 1] << 32)) for k in (0, 2)]
+                yield pa.RecordBatch.from_arrays([*cols, *both], names=["h", "w", "f0", "f2"]).sort_by("h")
 
-    part = rows.select("text", "toxic", "fold").mapInArrow(emit, "h long, w long, " + ", ".join(f"{c} int" for c in COLUMNS))
-    return part.groupBy("h", "w").agg(*[F.sum(c).alias(c) for c in COLUMNS])
+    part = rows.select("text", "toxic", "fold").mapInArrow(emit, "h long, w long, f0 long, f2 long")
+    dealt = part.withColumn("p", F.when(F.col("h") == 0, F.col("w")).otherwise(F.col("h"))).repartition("p")
+    sums = dealt.groupBy("p", "h", "w").agg(F.sum("f0").alias("f0"), F.sum("f2").alias("f2"))
+    low = F.lit((1 << 32) - 1)
+    apart = {f"c{f}{c}": (F.shiftrightunsigned(f"f{f}", 32) if c else F.col(f"f{f}").bitwiseAND(low)) for f in "02" for c in (0, 1)}
+    return sums.withColumns(apart).select("h", "w", *COLUMNS)
 
 
 def _count(model: str, side: int) -> Column:
@@ -102,16 +111,21 @@ def _count(model: str, side: int) -> Column:
     return sum((F.col(f"c{f}{side}") for f in folds[1:]), F.col(f"c{folds[0]}{side}"))
 
 
-def _less(count: Column, off: tuple[float, float]) -> Column:
-    """A count without its discount: all of 1, and the given ones of 2 and of more."""
-    return F.when(count < 2, F.lit(0.0)).when(count == 2, F.lit(2 - off[0])).otherwise(count - F.lit(off[1]))
+def _less(count: Column, off: list[float]) -> Column:
+    """A count without its discount: off[k - 1] of k, the last of it and all above."""
+    out = F.when(count < 1, F.lit(0.0))
+    for k, x in enumerate(off[:-1], 1):
+        out = out.when(count == k, F.lit(k - x))
+    return out.otherwise(count - F.lit(off[-1]))
 
 
-def discounts(n: list[int]) -> tuple[float, float]:
-    """Modified Kneser-Ney discounts of counts of 2 and of 3 or more, from how many counts of 1 to 4 there are."""
+def discounts(n: list[int], least: int) -> list[float]:
+    """Modified Kneser-Ney discounts of counts of 1, 2, ... from how many counts of 1 to 4 there are. Counts below
+    `least` are discounted wholly, and so are no less than that by those above."""
     n = [max(1, x) for x in n]
     y = n[0] / (n[0] + 2 * n[1])
-    return tuple(min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.5 * k**0.5), 0.95 * k) for k in (2, 3))
+    usual = [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.5 * k**0.5), 0.95 * k) for k in (1, 2, 3)]
+    return [float(k) if k < least else usual[min(k, 3) - 1] for k in range(1, max(3, least) + 1)]
 
 
 @dataclass
@@ -123,21 +137,28 @@ class Learned:
 
 def build(rows: DataFrame) -> Learned | None:
     """The models for rows (text, toxic, fold); None without words of both classes."""
-    counts = staged(counted(rows), "expressions")
+    counts = staged(counted(rows).sortWithinPartitions("h"), "expressions")  # equal contexts take little space
     sides = [(m, c) for m in MODELS for c in (0, 1)]
     numbers = [F.count("*").alias("rows")]
     for m, c in sides:
         x = _count(m, c)
-        numbers += [F.sum(x).alias(f"sum_{m}{c}"), F.count(F.when(x >= 3, 1)).alias(f"more_{m}{c}"), *[F.count(F.when(x == k, 1)).alias(f"n{k}_{m}{c}") for k in (1, 2, 3, 4)]]
+        numbers += [F.sum(x).alias(f"sum_{m}{c}"), F.count(F.when(x > 0, 1)).alias(f"some_{m}{c}"), *[F.count(F.when(x == k, 1)).alias(f"n{k}_{m}{c}") for k in (1, 2, 3, 4)]]
     stats = {bool(r["pair"]): r.asDict() for r in counts.groupBy((F.col("h") != 0).alias("pair")).agg(*numbers).collect()}
     word = stats.get(False)
     if not word or not all(word[f"sum_{m}{c}"] for m, c in sides):
         return None
     pair = stats.get(True) or dict.fromkeys(word, 0)
-    off = {(kind, m, c): discounts([s[f"n{k}_{m}{c}"] for k in (1, 2, 3, 4)]) for kind, s in (("word", word), ("pair", pair)) for m, c in sides}
+    off = {(kind, m, c): discounts([s[f"n{k}_{m}{c}"] for k in (1, 2, 3, 4)], LEAST[kind]) for kind, s in (("word", word), ("pair", pair)) for m, c in sides}
     # Share of a class's words that its discounts leave to the shared counts.
-    left = {(m, c): (word[f"n1_{m}{c}"] + word[f"n2_{m}{c}"] * off["word", m, c][0] + word[f"more_{m}{c}"] * off["word", m, c][1]) / word[f"sum_{m}{c}"] for m, c in sides}
-    left = {k: max(v, 1e-6) for k, v in left.items()}
+    assert max(LEAST["word"], 3) <= 4
+
+    def left_of(m: str, c: int) -> float:
+        x, last = off["word", m, c], len(off["word", m, c])
+        exact = [word[f"n{k}_{m}{c}"] for k in range(1, last)]
+        taken = sum(d * n for d, n in zip(x, exact)) + x[-1] * (word[f"some_{m}{c}"] - sum(exact))
+        return max(taken / word[f"sum_{m}{c}"], 1e-6)
+
+    left = {(m, c): left_of(m, c) for m, c in sides}
     all_contexts = pair["rows"] + FLOOR * (word["rows"] + 1)
 
     pairs = counts.where("h <> 0")
@@ -147,7 +168,7 @@ def build(rows: DataFrame) -> Learned | None:
     p = {f"p_{m}{c}": _less(_count(m, c), off["word", m, c]) / word[f"sum_{m}{c}"] + left[m, c] * shared for m, c in sides}
     words = staged(words.withColumns(p).select("w", *COLUMNS, *p), "word-models")
 
-    held = (_count("all", 0) >= 2) | (_count("all", 1) >= 2)
+    held = {kind: (_count("all", 0) >= n) | (_count("all", 1) >= n) for kind, n in LEAST.items()}
     kept = {f"k_{m}{c}": _less(_count(m, c), off["pair", m, c]) for m, c in sides}
     seen = pairs.groupBy("h").agg(*[F.sum(c).alias(f"s{c[1:]}") for c in COLUMNS], *[F.sum(k).alias(f"of_{n}") for n, k in kept.items()])
     seen = seen.where(" or ".join(f"of_{n} > 0" for n in kept))
@@ -166,11 +187,11 @@ def build(rows: DataFrame) -> Learned | None:
     back = {m: ratio({c: F.col(f"rest_{m}{c}") for c in (0, 1)}) for m in MODELS}
     says = {m: ratio({c: F.col(f"p_{m}{c}") for c in (0, 1)}) for m in MODELS}
     texts_of = sum(F.col(c) for c in COLUMNS)
-    single = words.join(behind.withColumnRenamed("h", "w"), "w", "left").where(held | F.col("rest_all0").isNotNull())
+    single = words.join(behind.withColumnRenamed("h", "w"), "w", "left").where(held["word"] | F.col("rest_all0").isNotNull())
     single = single.select(F.col("w").alias("key"), F.lit(True).alias("word"), texts_of.alias("of"), *[x for m in MODELS for x in (says[m].alias(f"add_{m}"), F.coalesce(back[m], F.lit(0.0)).alias(f"back_{m}"), says[m].alias(f"peak_{m}"))])
 
     chances = {m: {c: F.col(f"k_{m}{c}") / F.col(f"total_{m}{c}") + F.col(f"rest_{m}{c}") * F.col(f"p_{m}{c}") for c in (0, 1)} for m in MODELS}
-    double = pairs.where(held).withColumns({**kept, "of": texts_of}).drop(*COLUMNS).join(behind, "h").join(words.drop(*COLUMNS), "w")
+    double = pairs.where(held["pair"]).withColumns({**kept, "of": texts_of}).drop(*COLUMNS).join(behind, "h").join(words.drop(*COLUMNS), "w")
     double = double.select(_pair_key("h", "w").alias("key"), F.lit(False).alias("word"), "of", *[x for m in MODELS for x in ((ratio(chances[m]) - says[m] - back[m]).alias(f"add_{m}"), F.lit(0.0).alias(f"back_{m}"), F.lit(None).cast("double").alias(f"peak_{m}"))])
     model = staged(single.union(double), "models")
     dropped(counts, words, behind)
@@ -235,19 +256,21 @@ def differences(docs: DataFrame, learned: Learned, id_col: str, text_col: str, h
     spark, names = docs.sparkSession, list(MODELS)
     parts = [f"{part}_{m}" for part in ("add", "back", "peak") for m in names]
     often, seldom = _split(learned.model, head)
-    top = often.select("key", *parts).toPandas()
+    top = often.select("key", *[F.col(c).cast("float") for c in parts]).toArrow()
     n_seldom = seldom.count()
     bits = 1 << min(max(16, (12 * n_seldom).bit_length()), int(filter_bits).bit_length() - 1)
     marks = np.zeros(bits // 64, np.uint64)
     if n_seldom:
         at = seldom.select(F.explode(F.array(*_places(F.col("key"), bits))).alias("at"))
         one = F.expr("shiftleft(1L, cast(at & 63 as int))")
-        got = at.groupBy(F.shiftright("at", 6).alias("at")).agg(F.bit_or(one).alias("bits")).toPandas()
-        marks[got["at"].to_numpy("int64")] = got["bits"].to_numpy("int64").view("uint64")
+        got = at.groupBy(F.shiftright("at", 6).alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()
+        marks[got["at"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+        del got
     unseen = np.array([learned.unseen[m] for m in names])
     # In the table and the sums, what words add is against an unseen word.
-    rows = top[parts].to_numpy("float32")
-    held = spark.sparkContext.broadcast((Keyed(top["key"].to_numpy("int64").view("uint64"), rows), marks, bits, bool(n_seldom)))
+    rows = np.column_stack([top[c].fill_null(0.0).to_numpy() for c in parts])
+    held = spark.sparkContext.broadcast((Keyed(top["key"].to_numpy().view(np.uint64), rows), marks, bits, bool(n_seldom)))
+    del top, rows, marks
     n = len(names)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
