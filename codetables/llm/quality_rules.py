@@ -129,11 +129,17 @@ def decision(rules: list[Rule]) -> Column:
     return out
 
 
-def learn(labelled: DataFrame, bad: str = "bad", bins: int = 32, max_rules: int = 8, max_conditions: int = 4, min_precision: float = 0.9, min_rows: int = 5) -> list[Rule]:
-    """The decision list for a table with FEATURES, a boolean `bad` and a boolean `prune` (rows kept for pruning)."""
+def learn(labelled: DataFrame, bad: str = "bad", bins: int = 32, min_precision: float = 0.9, min_rows: int = 5) -> list[Rule]:
+    """The decision list for a table with FEATURES, a boolean `bad` and a boolean `prune` (rows kept for pruning).
+
+    Cuts are quantiles (`bins` of them) of all rows, of the bad ones and of values other than 0, so that a rare kind of
+    junk and features that are mostly 0 have cuts of their own. A rule grows while a condition gains more bits than it
+    takes to name one; the list grows while a rule holds up on the rows kept apart. Where one doesn't, no later rule
+    begins with that feature and direction, and the next best is tried, until none is left."""
     shares = [k / bins for k in range(1, bins)]
-    found = labelled.agg(*[F.percentile_approx(f, shares, 10_000).alias(f) for f in FEATURES]).first()
-    cuts = {f: sorted(set(found[f] or ())) for f in FEATURES}
+    of = {"all": lambda f: F.col(f), "bad": lambda f: F.when(F.col(bad), F.col(f)), "some": lambda f: F.when(F.col(f) > 0, F.col(f))}
+    found = labelled.agg(*[F.percentile_approx(x(f), shares, 10_000).alias(f"{k}_{f}") for f in FEATURES for k, x in of.items()]).first()
+    cuts = {f: sorted({c for k in of for c in found[f"{k}_{f}"] or ()}) for f in FEATURES}
 
     def bin_of(f: str) -> Column:
         return F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts[f]]), lambda c: c < F.col(f))) if cuts[f] else F.lit(0)
@@ -142,38 +148,39 @@ def learn(labelled: DataFrame, bad: str = "bad", bins: int = 32, max_rules: int
     rows = staged(labelled.select(*FEATURES, bad, "prune", binned.alias("binned")), "labelled")
     is_bad = F.when(F.col(bad), 1).otherwise(0)
     rules: list[Rule] = []
+    failed: set[tuple[str, bool]] = set()
     free = F.lit(True)
-    while len(rules) < max_rules:
+    while True:
         rule: Rule = ()
         left = rows.where(free & ~F.col("prune"))
-        while len(rule) < max_conditions:
+        while True:
             counts = left.where(_all(rule)).select(F.explode("binned").alias("x"), is_bad.alias("p")).groupBy("x.f", "x.b").agg(F.sum("p").alias("p"), F.sum(1 - F.col("p")).alias("n"))
-            best = _best_condition(counts.collect(), cuts, min_rows)
+            best = _best_condition(counts.collect(), cuts, min_rows, set() if rule else failed)
             if best is None:
                 break
             rule += (best,)
         if not rule:
-            break
+            return rules
         kept = rows.where(free & F.col("prune"))
         heads = [rule[: k + 1] for k in range(len(rule))]
         sums = kept.agg(*[F.sum(F.when(_all(h), is_bad if want else 1 - is_bad)).alias(f"{'p' if want else 'n'}{k}") for k, h in enumerate(heads) for want in (True, False)]).first()
         scored = []
         for k in range(len(heads)):
             p, n = sums[f"p{k}"] or 0, sums[f"n{k}"] or 0
-            if p + n >= max(1, min_rows // 2):
+            if p + n >= min_rows:
                 scored.append(((p + 1) / (p + n + 2), p, k, p / (p + n)))
         good = [s for s in scored if s[3] >= min_precision]
         if not good:
-            break
+            failed.add((rule[0].feature, rule[0].above))
+            continue
         # Of the precise enough ones the one that rejects most: the shortest that holds up.
         rule = heads[max(good, key=lambda s: (s[1], s[0], -s[2]))[2]]
         rules.append(rule)
         free = free & ~_all(rule)
-    return rules
 
 
-def _best_condition(counts: list, cuts: dict[str, list[float]], min_rows: int) -> Condition | None:
-    """The condition of most FOIL information gain, for numbers of bad (p) and other (n) rows in each bin."""
+def _best_condition(counts: list, cuts: dict[str, list[float]], min_rows: int, failed: set[tuple[str, bool]]) -> Condition | None:
+    """The condition of most FOIL information gain that hasn't failed, for numbers of bad (p) and other (n) rows in each bin."""
     by = {f: [[0, 0] for _ in range(len(cuts[f]) + 1)] for f in cuts}
     for r in counts:
         by[r["f"]][r["b"]] = [r["p"], r["n"]]
@@ -181,7 +188,7 @@ def _best_condition(counts: list, cuts: dict[str, list[float]], min_rows: int) -
     if total[0] < min_rows or not total[1]:
         return None
     before = math.log2(total[0] / sum(total))
-    best, most = None, 1e-9
+    best, most = None, math.log2(2 + 2 * sum(map(len, cuts.values())))
     for f, bins in by.items():
         p = n = 0
         for k, cut in enumerate(cuts[f]):
@@ -189,7 +196,7 @@ def _best_condition(counts: list, cuts: dict[str, list[float]], min_rows: int) -
             for above, (a, b) in ((False, (p, n)), (True, (total[0] - p, total[1] - n))):
                 if a >= min_rows and b < total[1]:
                     gain = a * (math.log2(a / (a + b)) - before)
-                    if gain > most + 1e-9:
+                    if gain > most + 1e-9 and (f, above) not in failed:
                         best, most = Condition(f, above, float(cut)), gain
     return best
 
@@ -203,7 +210,7 @@ def count_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def learn_from(counts: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> list[Rule]:
     rated = labels.where("quality is not null").select(F.col("doc_id").alias(id_col), (F.col("quality") == 0).alias("bad"))
     apart = F.pmod(F.xxhash64(F.lit("prune"), F.col(id_col)), F.lit(3)) == 0
-    labelled = counts.where(~base_failed()).join(rated, id_col).withColumn("prune", apart).withColumns(features())
+    labelled = counts.select(id_col, *COUNTS).where(~base_failed()).join(rated, id_col).withColumn("prune", apart).withColumns(features())
     return learn(labelled.select(*FEATURES, "bad", "prune"), **options)
 
 
@@ -213,12 +220,10 @@ def with_verdict(counted: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs with COUNTS, base_failed, rule (number of the rule that rejects it, null if none) and kept."""
-    rules = learn_from(count_table(docs, id_col, text_col), labels, id_col, **options)
-    # A filter on kept stays above the counts, because the row's number can't be moved below it.
-    counted = text_counts(docs, text_col).withColumn("_row", F.monotonically_increasing_id())
-    out = with_verdict(counted, rules)
-    return out.withColumn("kept", F.col("kept") & (F.col("_row") >= 0)).drop("_row")
+    """docs with COUNTS, base_failed, rule (number of the rule that rejects it, null if none) and kept. docs is stored
+    once with its counts, so that texts are counted once."""
+    counted = staged(text_counts(docs, text_col), "counted-documents")
+    return with_verdict(counted, learn_from(counted, labels, id_col, **options))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -377,6 +377,13 @@ def test_token_counts(spark, tmp_path):
     store.compact()
     assert {(r["source"], r["tokenizer"]): (r["n_docs"], r["n_tokens"]) for r in store.current().collect()} == got
     assert store.committed() == {"one", "none", "two", "del", "rev"}
+    # A batch that is committed while others are folded is neither lost nor counted twice.
+    inner = store._totals
+    store._totals = lambda base, batches: (store.commit("late", token_counts.inserts(docs.where("source is null"), "words-1")), inner(base, batches))[1]
+    store.compact()
+    store._totals = inner
+    assert store.committed() == {"one", "none", "two", "del", "rev", "late"} and not store.commit("late", token_counts.inserts(docs, "words-1"))
+    assert {(r["source"], r["tokenizer"]): (r["n_docs"], r["n_tokens"]) for r in store.current().collect()} == got | {(None, "words-1"): (1, 1)}
 
 
 def test_toxicity(spark, docs, nothing):
