@@ -412,16 +412,119 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.learn(nothing, labels) is None and toxicity.score(nothing, None).count() == 0
 
 
-def test_pipeline(spark, docs, nothing, tmp_path):
+def _links(sets, percent=80):
+    """The least key that links reach from each key, for sets by key."""
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    keys = sorted(sets)
+    for n, a in enumerate(keys):
+        for b in keys[n + 1 :]:
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in sets}
+
+
+def _shingled(text, k):
+    w = re.findall(WORDS, "".join(c.lower() if c.isascii() else c for c in text or ""))
+    return {" ".join(w[i : i + k]) for i in range(len(w) - k + 1)} or ({" ".join(w)} if w else set())
+
+
+def test_near_duplicates_of_equal_ids(spark):
+    rng = np.random.Generator(np.random.PCG64(8))
+    own = [" ".join(rng.choice([f"w{k}" for k in range(500)], 80)) for _ in range(4)]
+    edit = lambda t: t + " end"
+    rows = [(7, own[0]), (7, own[1]), (7, own[1]), (8, edit(own[0])), (9, edit(own[1])), (None, own[2]), (None, edit(own[2])), (None, own[3]), (5, own[3] + " x"), (None, None), (4, "")]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    of = lambda text: [(r["doc_id"], r["component_id"], r["kept"]) for r in got if r["text"] == text]
+    assert of(own[0]) == [(7, 7, True)] and of(edit(own[0])) == [(8, 7, False)]
+    assert sorted(of(own[1])) == [(7, 7, False), (7, 7, True)] and of(edit(own[1])) == [(9, 7, False)]
+    # Of rows without an id that are near each other one stays, too; it is before all others.
+    assert sorted(k for _, _, k in of(own[2]) + of(edit(own[2]))) == [False, True]
+    assert of(own[3]) == [(None, None, True)] and of(own[3] + " x") == [(5, None, False)]
+    assert of(None) == [(None, None, True)] and of("") == [(4, 4, True)]
+
+
+def test_near_duplicates_of_one_template(spark):
+    """Copies of one text with edits of different sizes share buckets, and many are not similar enough to the hub."""
+    rng = np.random.Generator(np.random.PCG64(12))
+    base = [f"w{k}" for k in rng.integers(0, 4000, 120)]
+    texts = []
+    for n in range(150):
+        copy = list(base)
+        for i in rng.choice(120, n % 30, replace=False):
+            copy[i] = f"e{n}x{i}"
+        texts.append(" ".join(copy))
+    found = by_id(minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), k=2), "component_id")
+    assert {k: c for k, (c,) in found.items()} == _links({k: _shingled(t, 2) for k, t in enumerate(texts)})
+
+
+@pytest.fixture(scope="module")
+def folder(spark, docs, tmp_path_factory):
+    """The tables of a sf_dir, of the odd documents. The labels are too few for rules and of one class."""
+    path = str(tmp_path_factory.mktemp("sf"))
+    docs.drop("kept").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return path
+
+
+def _crc(data):
+    return zlib.crc32(data)
+
+
+def test_queries_against_brute_force(spark, folder, texts):
+    name = lambda k: None if k == 90 else k
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    media = by_id(matroska.op4_media_columns(spark, folder), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32")
+    found = by_id(secrets.op2_secret_scans(spark, folder), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+    coded = by_id(pieces.op8_sentencepiece(spark, folder), "n_pieces", "n_fallback", "ids_crc32", "decoded_sha256", "lossless")
+    scored = by_id(toxicity.op1_toxicity(spark, folder), "held_out", "score", "predicted")
+    encoder = pieces.Encoder(pieces.Model.load(pieces.model_path()))
+    for k, t in enumerate(texts):
+        data = (t or "").encode()
+        payload = data + b"\xff" * (max(1, -(-len(data) // 576)) * 576 - len(data))
+        assert media[name(k)] == (len(data), len(payload), sha(payload), _crc(payload[-32:]))
+        assert found[name(k)] == (0, 0, 0, sha(b""), "")
+        ids = encoder.encode(t)
+        fallback = sum(i in set(encoder.model.byte_ids) for (i,) in struct.iter_unpack("<I", ids))
+        assert coded[name(k)] == (len(ids) // 4, fallback, _crc(ids), sha(data), True)
+        held = zlib.crc32(str(k).encode()) % 3 == 1
+        assert scored[name(k)] == (held if k != 90 else None, 0.0, 0)
+    judged = by_id(quality_rules.op7_quality_rules(spark, folder), "base_failed", "kept")
+    assert all(kept == (not failed) for failed, kept in judged.values())
+
+
+def test_pipeline(spark, docs, nothing, folder, texts):
     import corpus_pipeline
 
-    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    docs.write.parquet(f"{tmp_path}/documents.parquet")
-    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert found and all(r["offset"] + r["length"] <= 2048 for r in found)
-    at = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    found = corpus_pipeline.run(spark, folder).collect()
+    at = spark.read.parquet(f"{folder}/documents.parquet")
+    # By brute force: the base rule (there are no labels to learn from), lines of ten documents, groups of near copies.
+    held = {}
+    for k, t in enumerate(texts):
+        w = re.findall(WORDS, t or "")
+        places = defaultdict(list)
+        for i in range(len(w) - 7):
+            places[tuple(w[i : i + 8])].append(i)
+        repeated = {j for p in places.values() if len(p) > 1 for i in p for j in range(i, i + 8)}
+        if len(w) >= 20 and 100 * len(repeated) <= 30 * len(w):
+            held[-1 if k == 90 else k] = t
+    key = lambda line: "".join(c.lower() if c.isascii() else c for c in line.strip(" \t\n\x0b\x0c\r"))
+    counts = Counter(x for t in held.values() for x in {key(line) for line in t.split("\n")})
+    held = {k: "\n".join(line for line in t.split("\n") if not key(line) or counts[key(line)] < 10) for k, t in held.items()}
+    root = _links({k: _shingled(t, 5) for k, t in held.items()})
+    held = {k: t for k, t in held.items() if root[k] == k}
+    tokens = packing.Tokens(packing.tokenizer_path())
+    lengths = defaultdict(int)
+    for r in found:
+        lengths[-1 if r["doc_id"] is None else r["doc_id"]] += r["length"]
+        assert r["offset"] + r["length"] <= 2048
+    assert dict(lengths) == {k: len(tokens.of(t)) // 4 + 1 for k, t in held.items()}
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, at, str(tmp_path))
-        assert out.columns == at.columns, name
-        assert stage(spark, nothing, str(tmp_path)).count() == 0
-    assert hashlib.sha256(b"").hexdigest()
+        assert stage(spark, at, folder).columns == at.columns, name
+        assert stage(spark, nothing, folder).count() == 0
