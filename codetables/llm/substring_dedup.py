@@ -11,9 +11,10 @@ A window is `length` consecutive words of one document; a word goes if a window
    runs share a group, hashed so that a group fits in memory. Prefixes with too many runs are made longer, up to the
    whole window: such suffixes agree to the full depth, so their node is known by its path's hash alone and its earliest
    suffix is found by partial aggregates, for any number of suffixes.
-3. Subtrees. In a group the suffixes (one for each window) are sorted by prefix doubling; neighbours that share a
-   window's words are below one internal node of that depth, and all but its earliest suffix repeat it. Consecutive
-   repeats are joined to maximal ones.
+3. Subtrees. In a group the suffixes (one for each window, to its run's end) are sorted by prefix doubling, and the
+   words that neighbours share are the depths of the tree above them. Neighbours that share a window's words are below
+   one internal node of that depth, and all but its earliest suffix repeat it; its deeper nodes are longer maximal
+   repeats (Subtree.maximal). Consecutive repeats are joined, also over groups.
 4. Each document gets its repeated stretches and is put together without the words they cover.
 
 Word hashes of 32 bits at each of 20 places and 64-bit gram hashes stand for words; a wrong match needs two windows
@@ -41,7 +42,7 @@ LENGTH, GRAM = 20, 8
 #: Windows in a run at most; longer stretches of one anchor are several runs.
 RUN_WINDOWS = 64
 #: Runs of one prefix beyond which it is made longer: what a group of it holds fits in a task's memory.
-HEAVY = 120_000
+HEAVY = 60_000
 #: Runs in a group, on average.
 GROUP_ROWS = 20_000
 #: Bytes of repeated stretches that are broadcast at most, to meet their texts; more of them are joined.
@@ -161,32 +162,86 @@ def _runs(docs: DataFrame, text_col: str, length: int, gram: int, heavy: bool) -
     return docs.select("_id", F.col(text_col).alias("text"), "_known", "_hot").mapInArrow(emit, WINDOW if heavy else RUN)
 
 
+class Subtree:
+    """The suffixes of one group (one for each window, to its run's end) in order, with the depths of the tree above them."""
+
+    def __init__(self, group: pa.Table):
+        windows = group["windows"].to_numpy()
+        words = [np.frombuffer(w, "<u4") for w in group["words"].to_pylist()]
+        inside = np.concatenate([np.arange(n) for n in windows])
+        self.doc = np.repeat(group["_id"].to_numpy(), windows)
+        self.start = np.repeat(group["start"].to_numpy().astype(np.int64), windows) + inside
+        sizes = np.array([len(w) for w in words])
+        begins = np.cumsum(np.append(0, sizes[:-1] + 1))
+        at = np.repeat(begins, windows) + inside
+        # Behind each run a word that is nowhere else, so that nothing is shared beyond its end.
+        known, rank = np.unique(np.concatenate(words), return_inverse=True)
+        flat = np.empty(len(rank) + len(words), np.int64)
+        ends = begins + sizes
+        flat[ends] = len(known) + np.arange(len(words))
+        mask = np.ones(len(flat), bool)
+        mask[ends] = False
+        flat[mask] = rank
+        # Prefix doubling: ranks of one word, then of 2, 4, ... till all suffixes are told apart.
+        levels, size = [flat.astype(np.int32)], 1
+        while size < sizes.max() + 1 and len(levels[-1]) > 1:
+            last = levels[-1].astype(np.int64)
+            after = np.append(last[size:], np.full(min(size, len(last)), -1))
+            new = np.unique((last + 1) * (len(flat) + len(known) + 2) + after + 1, return_inverse=True)[1].astype(np.int32)
+            levels.append(new)
+            size *= 2
+            if new.max() + 1 == len(new):
+                break
+        self.order = np.argsort(levels[-1][at], kind="stable")
+        # Words that neighbours share, from the longest stretches down.
+        a, b = at[self.order][:-1].copy(), at[self.order][1:].copy()
+        self.depth = np.zeros(len(a), np.int64)
+        for k in range(len(levels) - 1, -1, -1):
+            inner = np.minimum(a, b) >= 0
+            same = inner & (levels[k][np.minimum(a, len(flat) - 1)] == levels[k][np.minimum(b, len(flat) - 1)])
+            step = same * (1 << k)
+            self.depth, a, b = self.depth + step, a + step, b + step
+        before = np.where(inside > 0, flat[at - 1], -1 - np.arange(len(at)))  # where it isn't known, it is like no other
+        self.before = before[self.order]
+
+    def repeats(self, length: int) -> pa.Table:
+        """_id, start, windows: runs of windows below an internal node of at least that depth that are not its earliest."""
+        node = np.empty(len(self.order), np.int64)
+        node[self.order] = np.concatenate([[0], np.cumsum(self.depth < length)])
+        order = np.lexsort((self.start, self.doc, node))
+        later = np.concatenate([[False], node[order][1:] == node[order][:-1]])
+        spot = order[later]
+        spot = spot[np.lexsort((self.start[spot], self.doc[spot]))]
+        d, s = self.doc[spot], self.start[spot]
+        fresh = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] > s[:-1] + 1)])) if len(d) else np.empty(0, np.int64)
+        last = np.append(fresh[1:], len(d)) - 1 if len(d) else fresh
+        return pa.table({"_id": pa.array(d[fresh], pa.int64()), "start": pa.array(s[fresh].astype(np.int32)), "windows": pa.array((s[last] - s[fresh] + 1).astype(np.int32))})
+
+    def maximal(self, length: int) -> pa.Table:
+        """depth, n, _id, start: the internal nodes of at least that depth whose suffixes don't all follow one word: what n
+        suffixes share and no longer stretch does. The place is that of the earliest."""
+        out: list[tuple[int, int, int, int]] = []
+        stack: list[list] = []  # depth, first suffix
+
+        def close(depth: int, first: int, last: int) -> None:
+            if len(set(self.before[first : last + 1].tolist())) > 1:
+                below = self.order[first : last + 1]
+                least = below[np.lexsort((self.start[below], self.doc[below]))[0]]
+                out.append((depth, last - first + 1, int(self.doc[least]), int(self.start[least])))
+
+        for k, depth in enumerate([*self.depth.tolist(), 0]):
+            first = k
+            while stack and stack[-1][0] > depth:
+                top, first = stack.pop()
+                close(top, first, k)
+            if depth >= length and (not stack or stack[-1][0] < depth):
+                stack.append([depth, first])
+        cols = list(zip(*out)) or [(), (), (), ()]
+        return pa.table({name: pa.array(c, kind) for name, c, kind in zip(("depth", "n", "_id", "start"), cols, (pa.int32(), pa.int64(), pa.int64(), pa.int32()))})
+
+
 def subtree_repeats(group: pa.Table, length: int = LENGTH) -> pa.Table:
-    """_id, start, windows: runs of windows in one group that start earlier elsewhere."""
-    ids, starts = group["_id"].to_numpy(), group["start"].to_numpy().astype(np.int64)
-    windows = group["windows"].to_numpy()
-    words = [np.frombuffer(w, "<u4") for w in group["words"].to_pylist()]
-    doc = np.repeat(ids, windows)
-    start = np.repeat(starts, windows) + np.concatenate([np.arange(n) for n in windows])
-    # Suffix array of the group by prefix doubling: ranks of one word, then of 2, 4, ... up to `length` words.
-    flat = np.concatenate(words)
-    base = np.repeat(np.cumsum([0] + [len(w) for w in words[:-1]]), windows) + np.concatenate([np.arange(n) for n in windows])
-    rank, size = np.unique(flat, return_inverse=True)[1].astype(np.int64), 1
-    while size < length:
-        step = min(size, length - size)
-        pair = rank[: len(rank) - step] * (len(flat) + 1) + rank[step:]
-        rank, size = np.unique(pair, return_inverse=True)[1].astype(np.int64), size + step
-    node = rank[base]
-    order = np.lexsort((start, doc, node))
-    depth = np.where(node[order][1:] == node[order][:-1], length, 0)  # words that neighbours share, where it is all of them
-    # An internal node at full depth: a longest stretch of neighbours that share `length` words. Its first is earliest.
-    inner = np.concatenate([[False], depth >= length])
-    spot = order[inner]
-    spot = spot[np.lexsort((start[spot], doc[spot]))]
-    d, s = doc[spot], start[spot]
-    fresh = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] > s[:-1] + 1)])) if len(d) else np.empty(0, np.int64)
-    last = np.append(fresh[1:], len(d)) - 1 if len(d) else fresh
-    return pa.table({"_id": pa.array(d[fresh], pa.int64()), "start": pa.array(s[fresh].astype(np.int32)), "windows": pa.array((s[last] - s[fresh] + 1).astype(np.int32))})
+    return Subtree(group).repeats(length)
 
 
 def repeated_runs(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY, group_rows: int = GROUP_ROWS) -> DataFrame:

@@ -35,7 +35,7 @@ from codetables.llm.common import dropped, signed, staged, table, word_hashes
 
 SAMPLE = 50_000
 #: Rows of the models that are broadcast at most, and bits of the filter for the others.
-HEAD, FILTER_BITS = 250_000, 1 << 28
+HEAD, FILTER_BITS = 500_000, 1 << 28
 #: Texts of a class that must have a word, and a pair, for more than its backoff; fewer are discounted wholly.
 LEAST = {"word": 2, "pair": 20}
 #: Contexts that every word is given in the shared counts, so that the rarest words say least.

@@ -89,6 +89,28 @@ def test_substrings(docs, nothing, texts, heavy, held):
     assert substring_dedup.remove_repeats(nothing).count() == 0
 
 
+def test_subtrees():
+    rng = np.random.Generator(np.random.PCG64(14))
+    shared = rng.integers(0, 50, 45)
+    runs = []  # (id, start, words): two share 45 words, a third 30 of them, and one repeats nothing
+    for k, middle in enumerate((shared, shared, shared[:30], rng.integers(100, 150, 40))):
+        runs.append((k, 5 * k, np.concatenate([rng.integers(1000 + 100 * k, 1100 + 100 * k, 7), middle, rng.integers(2000 + 100 * k, 2100 + 100 * k, 9)])))
+    import pyarrow as pa
+
+    table = lambda length: pa.table({"_id": pa.array([k for k, _, _ in runs]), "start": pa.array([s for _, s, _ in runs], pa.int32()), "windows": pa.array([len(w) - length + 1 for _, _, w in runs], pa.int32()), "words": pa.array([w.astype("<u4").tobytes() for _, _, w in runs])})
+    tree = substring_dedup.Subtree(table(20))
+    assert sorted(tuple(r.values()) for r in tree.maximal(20).to_pylist()) == [(30, 3, 0, 7), (45, 2, 0, 7)]
+    assert [tuple(r.values()) for r in tree.repeats(20).to_pylist()] == [(1, 12, 26), (2, 17, 11)]
+    suffixes = [tuple(w[i:].tolist()) for _, _, w in runs for i in range(len(w) - 19)]
+    share = lambda x, y: next((n for n, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+    placed = [suffixes[k] for k in tree.order]
+    assert tree.depth.tolist() == [share(x, y) for x, y in zip(placed, placed[1:])]
+    again = np.tile(rng.integers(0, 5, 3), 30)  # a text that repeats itself
+    runs = [(9, 0, again)]
+    assert substring_dedup.subtree_repeats(table(20)).to_pylist() == [{"_id": 9, "start": 3, "windows": 68}]
+    assert max(substring_dedup.Subtree(table(20)).maximal(20)["depth"].to_pylist()) == 87
+
+
 @pytest.mark.parametrize("heavy", [120_000, 1])
 def test_substrings_of_equal_ids(spark, heavy):
     own = lambda name: " ".join(f"{name}{k}" for k in range(30))
