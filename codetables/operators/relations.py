@@ -83,10 +83,11 @@ Path = list[tuple[str, str]]
 
 def follow(concepts: DataFrame, rel: DataFrame, paths: dict[str, list[Path]]) -> DataFrame:
     """(code, target, chained): where the paths of each concept's type lead; chained if a way has several hops."""
-    ends = []
+    ends = [concepts.where(F.lit(False)).select("code", F.col("code").alias("target"), F.lit(True).alias("chained"))]
+    present = {r["type"] for r in concepts.select("type").distinct().collect()}  # types of concepts: a vocabulary of a few dozen
     for kind, ways in paths.items():
         start = concepts.where(F.col("type") == kind).select("code", F.col("code").alias("at"))
-        for way in ways:
+        for way in ways if kind in present else ():
             at = start
             for relation, target in way:
                 at = hop(at, rel, relation, concepts, target)
