@@ -300,38 +300,36 @@ def differences(docs: DataFrame, learned: Learned, id_col: str, text_col: str, h
                     if len(full):
                         sums[full, m] = np.add.reduceat(adds, begins[full])
                         peaks[full, m] = np.maximum.reduceat(peak, begins[full])
-                ident = batch.column(0)[start : start + 500]
-                own = batch.column(2)[start : start + 500].to_numpy()
-                empty = pa.nulls(len(found), pa.int64())
-                cols = [ident, pa.array(own), empty, empty.cast(pa.int32()), empty.cast(pa.int32()), pa.array(sizes, pa.int64())]
+                # What the broadcast rows don't have, by document: how often as a word or pair and how often as a context.
+                ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
+                lists = [pa.nulls(len(found), longs), pa.nulls(len(found), ints), pa.nulls(len(found), ints)]
+                if more:
+                    w, c = np.flatnonzero(at_word == none), np.flatnonzero(at_pair == none)
+                    keys = np.concatenate([h[w], pair[c]])
+                    docs_of = np.concatenate([doc[w], doc[context[c]]])
+                    follows = np.concatenate([inner[w], np.zeros(len(c), bool)])
+                    may = _may_hold(filter_words, keys, size)
+                    keys, docs_of, follows = keys[may], docs_of[may], follows[may]
+                    if len(keys):
+                        order = np.lexsort((keys, docs_of))
+                        keys, docs_of, follows = keys[order], docs_of[order], follows[order]
+                        new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (docs_of[1:] != docs_of[:-1])]))
+                        times = np.diff(np.append(new, len(keys))).astype(np.int32)
+                        before = np.add.reduceat(follows.astype(np.int32), new).astype(np.int32)
+                        places = np.append(0, np.cumsum(np.bincount(docs_of[new], minlength=len(found)))).astype(np.int32)
+                        lists = [pa.ListArray.from_arrays(pa.array(places), pa.array(x)) for x in (signed(keys[new]), times, before)]
+                cols = [batch.column(0)[start : start + 500], batch.column(2)[start : start + 500], *lists, pa.array(sizes, pa.int64())]
                 yield pa.RecordBatch.from_arrays([*cols, *[pa.array(x[:, m]) for x in (sums, peaks) for m in range(n)]], names=columns)
-                if not more:
-                    continue
-                # What the broadcast rows don't have: as (document, key), how often as a word or pair and how often as a context.
-                w, c = np.flatnonzero(at_word == none), np.flatnonzero(at_pair == none)
-                keys = np.concatenate([h[w], pair[c]])
-                docs_of = np.concatenate([doc[w], doc[context[c]]])
-                follows = np.concatenate([inner[w], np.zeros(len(c), bool)])
-                may = _may_hold(filter_words, keys, size)
-                keys, docs_of, follows = keys[may], docs_of[may], follows[may]
-                order = np.lexsort((keys, docs_of))
-                keys, docs_of, follows = keys[order], docs_of[order], follows[order]
-                new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (docs_of[1:] != docs_of[:-1])])) if len(keys) else np.empty(0, int)
-                if len(new):
-                    times = np.diff(np.append(new, len(keys))).astype(np.int32)
-                    before = np.add.reduceat(follows.astype(np.int32), new).astype(np.int32)
-                    blank = pa.nulls(len(new), pa.float64())
-                    cols = [pa.nulls(len(new), ident.type), pa.array(own[docs_of[new]]), pa.array(signed(keys[new])), pa.array(times), pa.array(before), pa.nulls(len(new), pa.int64())]
-                    yield pa.RecordBatch.from_arrays([*cols, *[blank] * (2 * n)], names=columns)
-
-    columns = ["_id", "_row", "key", "times", "before", "words", *[f"sum_{m}" for m in names], *[f"peak_{m}" for m in names]]
+
+    columns = ["_id", "_row", "keys", "times", "before", "words", *[f"sum_{m}" for m in names], *[f"peak_{m}" for m in names]]
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"_id {kind}, _row long, key long, times int, before int, words long, " + ", ".join(f"{c} double" for c in columns[6:])
+    schema = f"_id {kind}, _row long, keys array<long>, times array<int>, before array<int>, words long, " + ", ".join(f"{c} double" for c in columns[6:])
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).withColumn("_row", F.monotonically_increasing_id())
     made = staged(source.mapInArrow(emit, schema), "scored-texts")
-    out = made.where("words is not null").drop("key", "times", "before")
+    out = made.drop("keys", "times", "before")
     if n_seldom:
-        rest = made.where("key is not null").select("_row", "key", "times", "before").join(seldom, "key")
+        each = made.select("_row", F.explode(F.arrays_zip("keys", "times", "before")).alias("e"))
+        rest = each.select("_row", F.col("e.keys").alias("key"), F.col("e.times").alias("times"), F.col("e.before").alias("before")).join(seldom, "key")
         # Words were counted as unseen ones before.
         is_word = F.col("word")
         more = rest.groupBy("_row").agg(
