@@ -7,9 +7,12 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: White space that separates words, as a Java and Python pattern.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -66,6 +69,11 @@ def dropped(*tables: DataFrame | None) -> None:
                 place.getFileSystem(conf).delete(place, True)
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of rows that a mapInArrow function returns as `ddl`."""
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
 def id_or_least(col: str | Column) -> Column:
     """A document's id for comparisons: rows without one count as one document before all others."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(-(1 << 63))).cast("long")

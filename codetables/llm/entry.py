@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codetables.llm import line_dedup, matroska, minhash, packing, pieces, quality_rules, secrets, substring_dedup, token_counts, toxicity
+from codetables.llm import conversations, line_dedup, matroska, minhash, packing, pieces, quality_rules, secrets, substring_dedup, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sentencepiece": pieces.op8_sentencepiece,
         "op9_minhash_near_dedup": minhash.op9_minhash_near_dedup,
         "op10_best_fit_packing": packing.op10_best_fit_packing,
+        "op11_conversation_repair": conversations.op11_conversation_repair,
     }
 
 
@@ -30,4 +31,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_substring_dedup": substring_dedup.ORACLE,
         "op6_line_dedup": line_dedup.ORACLE,
         "op9_minhash_near_dedup": minhash.ORACLE,
+        "op11_conversation_repair": conversations.ORACLE,
     }
