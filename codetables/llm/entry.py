@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codetables.llm import conversations, line_dedup, matroska, minhash, packing, pieces, quality_rules, secrets, substring_dedup, token_counts, toxicity
+from codetables.llm import conversations, line_dedup, matroska, minhash, packing, pieces, quality_rules, search, secrets, sharding, substring_dedup, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_minhash_near_dedup": minhash.op9_minhash_near_dedup,
         "op10_best_fit_packing": packing.op10_best_fit_packing,
         "op11_conversation_repair": conversations.op11_conversation_repair,
+        "op12_sharding": sharding.op12_sharding,
+        "op13_ranked_search": search.op13_ranked_search,
     }
 
 
@@ -32,4 +34,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_line_dedup": line_dedup.ORACLE,
         "op9_minhash_near_dedup": minhash.ORACLE,
         "op11_conversation_repair": conversations.ORACLE,
+        "op12_sharding": sharding.ORACLE,
+        "op13_ranked_search": search.ORACLE,
     }
