@@ -37,7 +37,7 @@ SEPARATOR = 0
 SMALL = 256
 #: Sizes that remain after rounding.
 GROUPS = 32
-#: Unused tokens up to which a bin of a configuration is kept; the fewest sequences win, and of equal ones the first.
+#: Unused tokens up to which a bin of a configuration is kept: bounds that are tried for the fewest sequences.
 KEPT_WASTE = (CAPACITY, 512, 128, 64, 32, 16, 8, 4, 2, 1, 0)
 
 
@@ -272,7 +272,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, small: int = SMALL, g
 
     Small pieces fill what configurations leave unused. Where there are too few of them, bins with more unused tokens
     than a bound are better opened again, and their pieces placed by best fit with the rest. Several bounds are tried,
-    for the fewest sequences, and of those the one that opens fewest bins."""
+    and also best fit alone, so configurations never cost a sequence; then as many configured bins are taken back, those
+    of least waste first, as leave the number of sequences what it is."""
     runs: list[tuple[int, list[int]]] = []
     full = counts.get(capacity, 0)
     if full:
@@ -283,16 +284,28 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, small: int = SMALL, g
     if large:
         bins, left = configured(large, capacity, groups)
         rest |= left
-    tried = []
-    for waste in kept_waste:
-        good = [b for b in bins if capacity - sum(b[1]) <= waste]
+    bins.sort(key=lambda b: capacity - sum(b[1]))
+
+    def packed(kept: int) -> list[tuple[int, list[int]]]:
         others = dict(rest)
-        for times, lengths in bins:
-            if capacity - sum(lengths) > waste:
-                for length in lengths:
-                    others[length] = others.get(length, 0) + times
-        tried.append(_best_fit(good, others, capacity))
-    return runs + min(tried, key=lambda t: sum(n for n, _ in t))
+        for times, lengths in bins[kept:]:
+            for length in lengths:
+                others[length] = others.get(length, 0) + times
+        return _best_fit(bins[:kept], others, capacity)
+
+    number = lambda made: sum(n for n, _ in made)
+    tried = {k: packed(k) for k in {0, *[sum(capacity - sum(b) <= waste for _, b in bins) for waste in kept_waste]}}
+    fewest = min(map(number, tried.values()))
+    low = max(k for k, made in tried.items() if number(made) == fewest)
+    high = min((k for k in tried if k > low), default=low)
+    while high - low > 1:
+        middle = (low + high) // 2
+        made = packed(middle)
+        if number(made) <= fewest:
+            low, tried[middle], fewest = middle, made, number(made)
+        else:
+            high = middle
+    return runs + tried[low]
 
 
 def _best_fit(bins: list[tuple[int, list[int]]], rest: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:

@@ -68,16 +68,20 @@ def _append(items: Column, item: Column) -> Column:
     return F.concat(items, F.array(item))
 
 
-def located(text: Column, pattern: str, group: int) -> Column:
+def _in_blocks(items: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / _BLOCK).cast("int")), lambda b: F.slice(items, b * _BLOCK + 1, F.lit(_BLOCK)))
+
+
+def located(text: Column, pattern: str, group: int, keep: bool = False) -> Column:
     """(start, end, part) of each match: what lies between matches and the matches themselves, added up. Sums go by
-    blocks, so that a text with very many matches stays cheap. part: length of the given group."""
+    blocks, so that a text with very many matches stays cheap. part: length of the given group; s, if kept: the match."""
     whole, parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     lengths = F.zip_with(
         F.arrays_zip(whole.alias("m"), parts.alias("p")),
         F.slice(F.split(text, pattern, -1), 1, F.size(whole)),
-        lambda x, gap: F.struct(F.length(gap).alias("gap"), F.length(x["m"]).alias("m"), F.length(x["p"]).alias("p")),
+        lambda x, gap: F.struct(F.length(gap).alias("gap"), F.length(x["m"]).alias("m"), F.length(x["p"]).alias("p"), *([x["m"].alias("s")] if keep else [])),
     )
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / _BLOCK).cast("int")), lambda b: F.slice(lengths, b * _BLOCK + 1, F.lit(_BLOCK)))
+    blocks = _in_blocks(lengths)
     sums = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda a, x: a + x["gap"] + x["m"]))
     empty = F.array().cast("array<int>")
     starts = F.aggregate(
@@ -86,7 +90,7 @@ def located(text: Column, pattern: str, group: int) -> Column:
         lambda a, s: F.struct((a["at"] + s).alias("at"), _append(a["all"], a["at"]).alias("all")),
         lambda a: a["all"],
     )
-    none = F.array().cast("array<struct<start:int,end:int,part:int>>")
+    none = F.array().cast("array<struct<start:int,end:int,part:int" + (",s:string>>" if keep else ">>"))
 
     def inside(block: Column, start: Column) -> Column:
         return F.aggregate(
@@ -94,7 +98,7 @@ def located(text: Column, pattern: str, group: int) -> Column:
             F.struct(start.alias("at"), none.alias("all")),
             lambda a, x: F.struct(
                 (a["at"] + x["gap"] + x["m"]).alias("at"),
-                _append(a["all"], F.struct((a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + x["m"]).alias("end"), x["p"].alias("part"))).alias("all"),
+                _append(a["all"], F.struct((a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + x["m"]).alias("end"), x["p"].alias("part"), *([x["s"].alias("s")] if keep else []))).alias("all"),
             ),
             lambda a: a["all"],
         )
@@ -131,15 +135,17 @@ def hot_windows(candidate: Column) -> Column:
     one = lambda c: F.get(unit, c.bitwiseAND(7))
     count = lambda counts, c: F.call_function("shiftrightunsigned", F.get(counts, place(c)), c.bitwiseAND(7) * 5).bitwiseAND(F.lit(31)).cast("int")
 
-    def moved(x: Column) -> Column:
-        head = F.slice(x["c"], 1, x["w"])
+    def moved(x: Column, y: Column) -> Column:
+        """The windows of a part y (c, its characters, and at, its place) of the candidate x."""
+        head = F.slice(y["c"], 1, x["w"])
         each = F.transform(F.sequence(F.lit(0), F.lit(8 * groups - 1)), lambda k: F.size(F.filter(head, lambda c: c == k)))
         first = F.aggregate(each, F.lit(0), lambda a, c: a + F.get(weight, c))
         none_yet = F.array(*[F.lit(0).cast("long")] * groups)
         counts = F.aggregate(head, none_yet, lambda a, c: F.transform(a, lambda v, j: F.when(j == place(c), v + one(c)).otherwise(v)))
+        stretch = lambda a: F.struct((y["at"] + a["start"]).alias("start"), (y["at"] + a["end"]).alias("end"))
 
         def step(a: Column, i: Column) -> Column:
-            out, new = F.get(x["c"], i - 1), F.get(x["c"], i + x["w"] - 1)
+            out, new = F.get(y["c"], i - 1), F.get(y["c"], i + x["w"] - 1)
             stays = (i == 0) | (out == new)
             n_out, n_new = count(a["counts"], out), count(a["counts"], new)
             total = F.when(stays, a["sum"]).otherwise(a["sum"] - F.get(weight, n_out) + F.get(weight, n_out - 1) - F.get(weight, n_new) + F.get(weight, n_new + 1))
@@ -153,18 +159,31 @@ def hot_windows(candidate: Column) -> Column:
                 total.alias("sum"),
                 F.when(opens, i).otherwise(a["start"]).alias("start"),
                 F.when(joins | opens, i + x["w"]).otherwise(a["end"]).alias("end"),
-                F.when(opens & (a["end"] > 0), _append(a["done"], F.struct(a["start"].alias("start"), a["end"].alias("end")))).otherwise(a["done"]).alias("done"),
+                F.when(opens & (a["end"] > 0), _append(a["done"], stretch(a))).otherwise(a["done"]).alias("done"),
             )
 
         begin = F.struct(counts.alias("counts"), first.alias("sum"), F.lit(0).alias("start"), F.lit(-1).alias("end"), none.alias("done"))
         return F.aggregate(
-            F.sequence(F.lit(0), F.size(x["c"]) - x["w"]),
+            F.sequence(F.lit(0), F.size(y["c"]) - x["w"]),
             begin,
             step,
-            lambda a: F.when(a["end"] > 0, _append(a["done"], F.struct(a["start"].alias("start"), a["end"].alias("end")))).otherwise(a["done"]),
+            lambda a: F.when(a["end"] > 0, _append(a["done"], stretch(a))).otherwise(a["done"]),
         )
 
-    return F.flatten(F.transform(F.array(packed), moved))
+    def joined(found: Column) -> Column:
+        """Stretches that touch, as those of neighbouring parts do, are one. They are in order, by start and by end."""
+        first = F.filter(found, lambda v, i: (i == 0) | (v["start"] > F.get(found, i - 1)["end"]))
+        last = F.filter(found, lambda v, i: F.coalesce(F.get(found, i + 1)["start"] > v["end"], F.lit(True)))
+        return F.zip_with(first, last, lambda a, b: F.struct(a["start"].alias("start"), b["end"].alias("end")))
+
+    def scanned(x: Column) -> Column:
+        # Parts of so many windows: what a fold adds to stays short, so the cost grows with the candidate's length alone.
+        starts = F.transform(F.sequence(F.lit(0), F.floor((F.size(x["c"]) - x["w"]) / _BLOCK).cast("int")), lambda b: b * _BLOCK)
+        parts = F.transform(starts, lambda at: F.struct(at.alias("at"), F.slice(x["c"], at + 1, x["w"] + F.lit(_BLOCK - 1)).alias("c")))
+        return F.flatten(F.transform(parts, lambda y: moved(x, y)))
+
+    found = F.transform(F.array(packed), scanned)
+    return F.flatten(F.transform(found, joined))
 
 
 def of_words(candidate: Column) -> Column:
@@ -183,8 +202,7 @@ def find_spans(docs: DataFrame, text_col: str = "text", allowed: tuple[str, ...]
     })
     out = out.withColumn("_base", F.array_sort(F.concat("_assign", "_access", "_hex")))
     # Candidates that are not explained: most texts have none.
-    out = out.withColumn("_found", F.array_distinct(F.concat(located(text, CANDIDATE, 0), located(text, PART, 0))))
-    named = F.transform("_found", lambda x: F.struct(x["start"].alias("start"), F.substring(text, x["start"] + 1, x["part"]).alias("s")))
+    out = out.withColumn("_found", F.array_distinct(F.concat(located(text, CANDIDATE, 0, True), located(text, PART, 0, True))))
 
     def strange(x: Column) -> Column:
         ok = ~of_words(x["s"])
@@ -192,23 +210,31 @@ def find_spans(docs: DataFrame, text_col: str = "text", allowed: tuple[str, ...]
             ok = ok & ~x["s"].rlike(pattern)
         return ok
 
-    out = out.withColumn("_odd", F.when(F.size("_found") > 0, F.filter(named, strange)))
+    out = out.withColumn("_odd", F.when(F.size("_found") > 0, F.filter("_found", strange)))
     hot = F.flatten(F.transform("_odd", lambda x: F.transform(hot_windows(x["s"]), lambda w: F.struct((x["start"] + w["start"]).alias("start"), F.lit(3).alias("kind"), (x["start"] + w["end"]).alias("end")))))
     out = out.withColumn("_hot", F.when(F.size("_odd") > 0, hot))
     # In order of their starts, longest first: a span of entropy is within an earlier one if it ends no later than they do.
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     all_spans = F.array_sort(F.transform(F.concat("_base", F.coalesce("_hot", none)), lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind"))))
-    swept = F.aggregate(
-        all_spans,
-        F.struct(F.lit(-1).alias("end"), none.alias("all")),
+    out = out.withColumn("_all", F.when(F.size("_hot") > 0, all_spans))
+    blocks = _in_blocks(F.col("_all"))
+    reach = F.aggregate(
+        F.transform(blocks, lambda block: F.array_max(F.transform(block, lambda x: -x["back"]))),
+        F.struct(F.lit(-1).alias("end"), F.array().cast("array<int>").alias("all")),
+        lambda a, m: F.struct(F.greatest(a["end"], m).alias("end"), _append(a["all"], a["end"]).alias("all")),
+        lambda a: a["all"],
+    )
+    swept = F.flatten(F.zip_with(blocks, reach, lambda block, end: F.aggregate(
+        block,
+        F.struct(end.alias("end"), none.alias("all")),
         lambda a, x: F.struct(
             F.greatest(a["end"], -x["back"]).alias("end"),
             F.when((x["kind"] < 3) | (-x["back"] > a["end"]), _append(a["all"], F.struct(x["start"].alias("start"), x["kind"].alias("kind"), (-x["back"]).alias("end")))).otherwise(a["all"]).alias("all"),
         ),
-        lambda a: F.array_sort(a["all"]),
-    )
-    out = out.withColumn("spans_found", F.when(F.size("_hot") > 0, swept).otherwise(F.col("_base")))
-    return out.drop("_text", "_assign", "_access", "_hex", "_base", "_found", "_odd", "_hot")
+        lambda a: a["all"],
+    )))
+    out = out.withColumn("spans_found", F.when(F.size("_hot") > 0, F.array_sort(swept)).otherwise(F.col("_base")))
+    return out.drop("_text", "_assign", "_access", "_hex", "_base", "_found", "_odd", "_hot", "_all")
 
 
 def as_text(spans: Column) -> Column:

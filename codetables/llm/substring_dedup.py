@@ -7,18 +7,20 @@ A window is `length` consecutive words of one document; a word goes if a window
    anchors at equal places, and neighbouring windows mostly share theirs, so a run of windows is known by one anchor
    and anchors are sparse. Only 8-byte gram hashes are counted over all documents; a window whose anchor occurs once
    repeats nothing and is never shuffled.
-2. Groups. A run goes, with its words as 32-bit hashes, to the group of its prefix: the anchor gram. Prefixes with few
-   runs share a group, hashed so that a group fits in memory. Prefixes with too many runs are made longer, up to the
-   whole window: such suffixes agree to the full depth, so their node is known by its path's hash alone and its earliest
-   suffix is found by partial aggregates, for any number of suffixes.
+2. Groups. A run goes, with its words as 64-bit hashes, to the group of its prefix: the anchor gram. Prefixes with few
+   runs share a group, hashed so that a group fits in memory. Prefixes with too many runs are made longer, `GROW` words
+   at a time, by the words of the window that follow the anchor (or precede it, where the window ends), and counted
+   anew: a run so becomes several shorter ones, each in the group of its own longer prefix. Suffixes that agree in the
+   whole window and are still too many are known by its path's hash alone; their earliest is found by partial
+   aggregates, for any number of them.
 3. Subtrees. In a group the suffixes (one for each window, to its run's end) are sorted by prefix doubling, and the
-   words that neighbours share are the depths of the tree above them. Neighbours that share a window's words are below
-   one internal node of that depth, and all but its earliest suffix repeat it; its deeper nodes are longer maximal
-   repeats (Subtree.maximal). Consecutive repeats are joined, also over groups.
+   words that neighbours share are the depths of the tree above them. Of the suffixes below an internal node all but the
+   earliest repeat it; each suffix's longest repeat is the depth of its deepest node in which it isn't the earliest
+   (Subtree.repeats; the nodes themselves, as maximal repeats: Subtree.maximal). Overlapping ones are joined.
 4. Each document gets its repeated stretches and is put together without the words they cover.
 
-Word hashes of 32 bits at each of 20 places and 64-bit gram hashes stand for words; a wrong match needs two windows
-that differ only in words of equal hash.
+A word is its 64-bit hash, so a wrong match needs two windows that differ only in words of equal hash: a chance of 5e-20
+for each pair of windows that differ in one word.
 
 Defined results: a null, empty or short text loses nothing. Each row is a document of its own: rows without an id come
 before all others, and rows of equal or missing id follow each other by their text's hash and then as they are stored.
@@ -29,6 +31,7 @@ input stay, but for the text and for n_words and n_removed, which replace column
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -39,6 +42,8 @@ from pyspark.sql import functions as F
 from codetables.llm.common import WordHashes, gram_hashes, id_or_least, signed, staged, table, to_bytes
 
 LENGTH, GRAM = 20, 8
+#: Words by which a prefix of too many runs is made longer.
+GROW = 4
 #: Windows in a run at most; longer stretches of one anchor are several runs.
 RUN_WINDOWS = 64
 #: Runs of one prefix beyond which it is made longer: what a group of it holds fits in a task's memory.
@@ -121,45 +126,108 @@ RUN = "anchor long, _id long, start int, windows int, words binary"
 WINDOW = "path long, path2 long, _id long, start int"
 
 
+def prefixes(h: np.ndarray, length: int, gram: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window the key and the place of its prefix of `size` words: those from the anchor on, or the last ones of
+    the window where fewer follow. The key of equal windows is equal, and equal keys have equal shorter prefixes."""
+    if len(h) < length:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    g = _doubled(h, gram, _mix)
+    least = _doubled(g, length - gram + 1, np.minimum)
+    if size == gram:
+        return least, np.arange(len(least))
+    start = np.arange(len(least))
+    anchor = np.full(len(least), -1)
+    for k in range(length - gram, -1, -1):
+        anchor = np.where(g[start + k] == least, start + k, anchor)
+    place = np.minimum(anchor, start + length - size)
+    return _mix(gram_hashes(h, size)[place], (anchor - place).astype(np.uint64)), place
+
+
+def prefix_runs(h: np.ndarray, length: int, gram: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, first window, number of windows) of each run of windows with one prefix at one place."""
+    if size == gram:
+        return anchors(h, length, gram)
+    key, place = prefixes(h, length, gram, size)
+    if not len(key):
+        return key, place, place
+    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (place[1:] != place[:-1])]))
+    return key[first], first, np.diff(np.append(first, len(key)))
+
+
 def _member(values: np.ndarray, held: list[int] | None) -> np.ndarray:
     return np.isin(values, np.array(held or (), np.int64))
 
 
-def _runs(docs: DataFrame, text_col: str, length: int, gram: int, heavy: bool) -> DataFrame:
-    """Runs with a repeated anchor (_known); of heavy ones (_hot) each window by the hash of its path."""
+def longer_prefixes(docs: DataFrame, text_col: str, length: int, gram: int, size: int, longer: int) -> DataFrame:
+    """(_id, anchor, n): of windows whose prefix of `size` words is in _hot, the longer prefixes and their runs."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                part = batch.slice(at, 500)
+                ids, keys, counts = [], [], []
+                for doc, text, hot in zip(*(c.to_pylist() for c in part.columns)):
+                    h = hashes.of(_words(text))
+                    use = _member(signed(prefixes(h, length, gram, size)[0]), hot)
+                    found, first, _ = prefix_runs(h, length, gram, longer)
+                    a, n = np.unique(found[use[first]], return_counts=True)
+                    ids.append(np.full(len(a), doc, np.int64))
+                    keys.append(signed(a))
+                    counts.append(n.astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (ids, keys, counts)], names=["_id", "anchor", "n"])
+
+    return docs.select("_id", F.col(text_col).alias("text"), "_hot").mapInArrow(emit, "_id long, anchor long, n int")
+
+
+def _runs(docs: DataFrame, text_col: str, length: int, gram: int, size: int) -> DataFrame:
+    """Runs of windows whose prefix of `size` words is in _known."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32()] if heavy else [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-        names = [x.split()[0] for x in (WINDOW if heavy else RUN).split(", ")]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        names = [x.split()[0] for x in RUN.split(", ")]
         for batch in batches:
             for top in range(0, len(batch), 500):
                 part = batch.slice(top, 500)
                 cols: list[list] = [[] for _ in names]
-                for doc, text, known, hot in zip(*(c.to_pylist() for c in part.columns)):
+                for doc, text, known in zip(*(c.to_pylist() for c in part.columns)):
                     h = hashes.of(_words(text))
-                    found, first, windows = anchors(h, length, gram)
+                    found, first, windows = prefix_runs(h, length, gram, size)
                     a = signed(found)
-                    use = np.flatnonzero(_member(a, hot) if heavy else _member(a, known))
+                    use = np.flatnonzero(_member(a, known))
                     if not len(use):
                         continue
-                    if heavy:
-                        starts = np.concatenate([np.arange(first[i], first[i] + windows[i]) for i in use])
-                        path = signed(gram_hashes(h, length))[starts]
-                        path2 = signed(gram_hashes(h ^ np.uint64(0xA5A5A5A5A5A5A5A5), length))[starts]
-                        for c, v in zip(cols, (path, path2, np.full(len(starts), doc, np.int64), starts.astype(np.int32))):
-                            c.append(v)
-                    else:
-                        short = (h >> np.uint64(32)).astype("<u4").tobytes()
-                        ends = first + windows + length - 1
-                        words = [short[4 * i : 4 * j] for i, j in zip(first[use].tolist(), ends[use].tolist())]
-                        for c, v in zip(cols, (a[use].tolist(), [doc] * len(use), first[use].tolist(), windows[use].tolist(), words)):
-                            c += v
-                if heavy:
-                    cols = [np.concatenate(c) if c else [] for c in cols]
+                    every = h.astype("<u8").tobytes()
+                    ends = first + windows + length - 1
+                    words = [every[8 * i : 8 * j] for i, j in zip(first[use].tolist(), ends[use].tolist())]
+                    for c, v in zip(cols, (a[use].tolist(), [doc] * len(use), first[use].tolist(), windows[use].tolist(), words)):
+                        c += v
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
 
-    return docs.select("_id", F.col(text_col).alias("text"), "_known", "_hot").mapInArrow(emit, WINDOW if heavy else RUN)
+    return docs.select("_id", F.col(text_col).alias("text"), "_known").mapInArrow(emit, RUN)
+
+
+def _paths(docs: DataFrame, text_col: str, length: int, gram: int, size: int) -> DataFrame:
+    """Each window whose prefix of `size` words is in _hot, by two hashes of its path."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            for top in range(0, len(batch), 500):
+                part = batch.slice(top, 500)
+                cols: list[list] = [[] for _ in range(4)]
+                for doc, text, hot in zip(*(c.to_pylist() for c in part.columns)):
+                    h = hashes.of(_words(text))
+                    starts = np.flatnonzero(_member(signed(prefixes(h, length, gram, size)[0]), hot))
+                    path = signed(gram_hashes(h, length))[starts]
+                    path2 = signed(gram_hashes(h ^ np.uint64(0xA5A5A5A5A5A5A5A5), length))[starts]
+                    for c, v in zip(cols, (path, path2, np.full(len(starts), doc, np.int64), starts.astype(np.int32))):
+                        c.append(v)
+                names = [x.split()[0] for x in WINDOW.split(", ")]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=names)
+
+    return docs.select("_id", F.col(text_col).alias("text"), "_hot").mapInArrow(emit, WINDOW)
 
 
 class Subtree:
@@ -167,7 +235,7 @@ class Subtree:
 
     def __init__(self, group: pa.Table):
         windows = group["windows"].to_numpy()
-        words = [np.frombuffer(w, "<u4") for w in group["words"].to_pylist()]
+        words = [np.frombuffer(w, "<u8") for w in group["words"].to_pylist()]
         inside = np.concatenate([np.arange(n) for n in windows])
         self.doc = np.repeat(group["_id"].to_numpy(), windows)
         self.start = np.repeat(group["start"].to_numpy().astype(np.int64), windows) + inside
@@ -205,17 +273,33 @@ class Subtree:
         self.before = before[self.order]
 
     def repeats(self, length: int) -> pa.Table:
-        """_id, start, windows: runs of windows below an internal node of at least that depth that are not its earliest."""
-        node = np.empty(len(self.order), np.int64)
-        node[self.order] = np.concatenate([[0], np.cumsum(self.depth < length)])
-        order = np.lexsort((self.start, self.doc, node))
-        later = np.concatenate([[False], node[order][1:] == node[order][:-1]])
-        spot = order[later]
-        spot = spot[np.lexsort((self.start[spot], self.doc[spot]))]
-        d, s = self.doc[spot], self.start[spot]
-        fresh = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] > s[:-1] + 1)])) if len(d) else np.empty(0, np.int64)
-        last = np.append(fresh[1:], len(d)) - 1 if len(d) else fresh
-        return pa.table({"_id": pa.array(d[fresh], pa.int64()), "start": pa.array(s[fresh].astype(np.int32)), "windows": pa.array((s[last] - s[fresh] + 1).astype(np.int32))})
+        """_id, start, windows: for each suffix that is below an internal node of at least that depth and isn't its
+        earliest, the windows in the deepest such node; overlapping ones are joined."""
+        rank = np.empty(len(self.order), np.int64)
+        rank[np.lexsort((self.start, self.doc))] = np.arange(len(rank))
+        lost = np.zeros(len(rank), np.int64)  # by rank, the depth of the node in which an earlier suffix is
+        deep = np.flatnonzero(np.concatenate([self.depth >= length, [False]]))
+        # Suffixes that share nothing of that depth with a neighbour are no part of it.
+        part = np.union1d(deep, deep + 1)
+        stack: list[tuple[int, int]] = []  # depth, the earliest suffix below so far
+        for least, depth in zip(rank[self.order[part]].tolist(), np.append(self.depth, 0)[part].tolist()):
+            while stack and stack[-1][0] >= depth:
+                node, other = stack.pop()
+                lost[max(least, other)] = node
+                least = min(least, other)
+            if depth >= length:
+                stack.append((depth, least))
+        at = np.empty(len(rank), np.int64)
+        at[rank] = np.arange(len(rank))
+        spot = at[np.flatnonzero(lost)]  # by document and start
+        d, s, n = self.doc[spot], self.start[spot], lost[np.flatnonzero(lost)] - length + 1
+        if not len(d):
+            return pa.table({"_id": pa.array([], pa.int64()), "start": pa.array([], pa.int32()), "windows": pa.array([], pa.int32())})
+        own = np.cumsum(np.concatenate([[0], d[1:] != d[:-1]])) << 40  # documents apart, for one running maximum
+        reach = np.maximum.accumulate(own + s + n)
+        fresh = np.flatnonzero(np.concatenate([[True], (own + s)[1:] > reach[:-1]]))
+        last = reach[np.append(fresh[1:], len(d)) - 1] - own[fresh]
+        return pa.table({"_id": pa.array(d[fresh], pa.int64()), "start": pa.array(s[fresh].astype(np.int32)), "windows": pa.array((last - s[fresh]).astype(np.int32))})
 
     def maximal(self, length: int) -> pa.Table:
         """depth, n, _id, start: the internal nodes of at least that depth whose suffixes don't all follow one word: what n
@@ -247,24 +331,31 @@ def subtree_repeats(group: pa.Table, length: int = LENGTH) -> pa.Table:
 def repeated_runs(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(_id, start, windows): windows that start earlier elsewhere. docs has a column _id, unique."""
     mine = staged(document_anchors(docs, text_col, length, gram), "anchors")
-    counted = staged(mine.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"), "repeated-anchors")
-    total = counted.agg(F.sum(F.when(F.col("n") <= heavy, F.col("n"))).alias("runs"), F.max("n").alias("most")).first()
-    is_hot = F.col("total") > heavy
-    by_doc = mine.select("_id", "anchor").join(counted.select("anchor", F.col("n").alias("total")), "anchor").groupBy("_id")
-    listed = by_doc.agg(F.collect_list(F.when(~is_hot, F.col("anchor"))).alias("_known"), F.collect_list(F.when(is_hot, F.col("anchor"))).alias("_hot"))
-    listed = staged(listed, "document-anchors")
-    docs = docs.select("_id", text_col).join(listed, "_id")
-
-    groups = max(1, -(-(total["runs"] or 0) // group_rows))
-    runs = _runs(docs, text_col, length, gram, False).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(groups)).cast("int"))
-    found = runs.groupBy("bucket").applyInArrow(lambda t: subtree_repeats(t, length), "_id long, start int, windows int")
-    if (total["most"] or 0) > heavy:
-        paths = staged(_runs(docs, text_col, length, gram, True), "paths")
-        where = F.struct("_id", "start")
-        earliest = staged(paths.groupBy("path", "path2").agg(F.min(where).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "nodes")
-        later = paths.join(earliest, ["path", "path2"]).where(where > F.col("first"))
-        found = found.union(later.select("_id", "start", F.lit(1).alias("windows")))
-    return found
+    found, size = [], gram
+    while True:
+        counted = staged(mine.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"), "repeated-anchors")
+        total = counted.agg(F.sum(F.when(F.col("n") <= heavy, F.col("n"))).alias("runs"), F.max("n").alias("most")).first()
+        is_hot = F.col("total") > heavy
+        by_doc = mine.select("_id", "anchor").join(counted.select("anchor", F.col("n").alias("total")), "anchor").groupBy("_id")
+        listed = by_doc.agg(F.collect_list(F.when(~is_hot, F.col("anchor"))).alias("_known"), F.collect_list(F.when(is_hot, F.col("anchor"))).alias("_hot"))
+        listed = staged(listed, "document-anchors")
+        groups = max(1, -(-(total["runs"] or 0) // group_rows))
+        some = docs.select("_id", text_col).join(listed.where(F.size("_known") > 0), "_id")
+        runs = _runs(some, text_col, length, gram, size).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(groups)).cast("int"))
+        found.append(runs.groupBy("bucket").applyInArrow(lambda t: subtree_repeats(t, length), "_id long, start int, windows int"))
+        if (total["most"] or 0) <= heavy:
+            break
+        common = docs.select("_id", text_col).join(listed.where(F.size("_hot") > 0), "_id")
+        if size + GROW >= length:
+            paths = staged(_paths(common, text_col, length, gram, size), "paths")
+            where = F.struct("_id", "start")
+            earliest = staged(paths.groupBy("path", "path2").agg(F.min(where).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "nodes")
+            later = paths.join(earliest, ["path", "path2"]).where(where > F.col("first"))
+            found.append(later.select("_id", "start", F.lit(1).alias("windows")))
+            break
+        mine = staged(longer_prefixes(common, text_col, length, gram, size, size + GROW), "longer-prefixes")
+        size += GROW
+    return reduce(DataFrame.union, found)
 
 
 def _stretches(starts, windows, length: int) -> bytes:

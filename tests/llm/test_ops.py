@@ -69,7 +69,7 @@ def test_lines(docs, nothing, texts, held):
     assert line_dedup.drop_shared_lines(nothing, max_broadcast_keys=held).count() == 0
 
 
-@pytest.mark.parametrize(("heavy", "held"), [(120_000, 10**9), (3, 0)])
+@pytest.mark.parametrize(("heavy", "held"), [(120_000, 10**9), (3, 0), (12, 0)])
 def test_substrings(docs, nothing, texts, heavy, held):
     order = sorted(range(len(texts)), key=lambda k: -1 if k == 90 else k)
     first, expected = {}, {}
@@ -97,7 +97,7 @@ def test_subtrees():
         runs.append((k, 5 * k, np.concatenate([rng.integers(1000 + 100 * k, 1100 + 100 * k, 7), middle, rng.integers(2000 + 100 * k, 2100 + 100 * k, 9)])))
     import pyarrow as pa
 
-    table = lambda length: pa.table({"_id": pa.array([k for k, _, _ in runs]), "start": pa.array([s for _, s, _ in runs], pa.int32()), "windows": pa.array([len(w) - length + 1 for _, _, w in runs], pa.int32()), "words": pa.array([w.astype("<u4").tobytes() for _, _, w in runs])})
+    table = lambda length: pa.table({"_id": pa.array([k for k, _, _ in runs]), "start": pa.array([s for _, s, _ in runs], pa.int32()), "windows": pa.array([len(w) - length + 1 for _, _, w in runs], pa.int32()), "words": pa.array([w.astype("<u8").tobytes() for _, _, w in runs])})
     tree = substring_dedup.Subtree(table(20))
     assert sorted(tuple(r.values()) for r in tree.maximal(20).to_pylist()) == [(30, 3, 0, 7), (45, 2, 0, 7)]
     assert [tuple(r.values()) for r in tree.repeats(20).to_pylist()] == [(1, 12, 26), (2, 17, 11)]
@@ -111,6 +111,34 @@ def test_subtrees():
     assert max(substring_dedup.Subtree(table(20)).maximal(20)["depth"].to_pylist()) == 87
 
 
+@pytest.mark.parametrize("heavy", [60_000, 1])
+def test_substrings_that_differ_in_one_word(spark, heavy):
+    # The upper halves of both words' hashes are equal.
+    text = lambda word: " ".join([*[f"a{k}" for k in range(9)], word, *[f"b{k}" for k in range(10)]])
+    rows = [(1, text("id41682")), (2, text("id78972")), (3, text("id41682"))]
+    out = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), heavy=heavy)
+    assert by_id(out, "n_removed") == {1: (0,), 2: (0,), 3: (20,)}
+
+
+def test_prefixes():
+    rng = np.random.Generator(np.random.PCG64(31))
+    h = rng.integers(0, 6, 400).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    windows = [h[i : i + 20].tobytes() for i in range(len(h) - 19)]
+    shorter = substring_dedup.prefixes(h, 20, 8, 8)[0]
+    for size in (12, 16):
+        key, place = substring_dedup.prefixes(h, 20, 8, size)
+        start = np.arange(len(windows))
+        assert (place >= start).all() and (place + size <= start + 20).all()
+        of = {}
+        for i, w in enumerate(windows):
+            assert of.setdefault(w, (key[i], place[i] - i)) == (key[i], place[i] - i)  # equal windows
+        up = {}
+        assert all(up.setdefault(k, s) == s for k, s in zip(key.tolist(), shorter.tolist()))  # one shorter prefix each
+        shorter = key
+        found, first, n = substring_dedup.prefix_runs(h, 20, 8, size)
+        assert n.sum() == len(windows) and (key[first] == found).all()
+
+
 @pytest.mark.parametrize("heavy", [120_000, 1])
 def test_substrings_of_equal_ids(spark, heavy):
     own = lambda name: " ".join(f"{name}{k}" for k in range(30))
@@ -486,6 +514,27 @@ def test_near_duplicates_of_one_template(spark):
     assert {k: c for k, (c,) in found.items()} == _links({k: _shingled(t, 2) for k, t in enumerate(texts)})
 
 
+@pytest.mark.parametrize("kind", ["log 6", "log 5.5", "uniform", "large", "one length"])
+def test_plans_never_exceed_best_fit(kind):
+    rng = np.random.Generator(np.random.PCG64(17))
+    n = 60_000
+    lengths = {
+        "log 6": lambda: rng.lognormal(6, 1, n), "log 5.5": lambda: rng.lognormal(5.5, 1, n), "uniform": lambda: rng.integers(1, 2049, n),
+        "large": lambda: rng.integers(600, 1100, n), "one length": lambda: np.full(n, 683),
+    }[kind]()
+    counts = dict(Counter(np.clip(lengths, 1, 2048).astype(int).tolist()))
+    made = packing.plan(counts)
+    used = Counter()
+    for times, bin_ in made:
+        assert sum(bin_) <= 2048
+        for length in bin_:
+            used[length] += times
+    assert used == counts
+    full = counts.get(2048, 0)
+    alone = packing._best_fit([], {k: v for k, v in counts.items() if k < 2048}, 2048)
+    assert sum(t for t, _ in made) <= full + sum(t for t, _ in alone)
+
+
 @pytest.fixture(scope="module")
 def folder(spark, docs, tmp_path_factory):
     """The tables of a sf_dir, of the odd documents. The labels are too few for rules and of one class."""
