@@ -28,12 +28,12 @@ from codetables.llm.common import table
 KINDS = ["assign", "access", "hex", "entropy"]
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
-HEX = r"[0-9a-f]{32,}"
+HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 WINDOW = 24
 SHORT_WINDOW = 16
-CANDIDATE = r"[A-Za-z0-9+/=_-]{16,}"
+CANDIDATE = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{16,}"
 #: Looked at by itself as well, so that a name or separators beside it don't hide its class.
-PART = r"[A-Za-z0-9]{16,}"
+PART = r"(?<![A-Za-z0-9])[A-Za-z0-9]{16,}"
 #: Alphabets of the classes, the first that fits counts; all others are wide.
 CLASSES = {
     "digits": r"^[0-9]+$",
@@ -68,42 +68,52 @@ def _append(items: Column, item: Column) -> Column:
     return F.concat(items, F.array(item))
 
 
+def _let(value: Column, use) -> Column:
+    """use(value), with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _in_blocks(items: Column) -> Column:
+    """items, which must be a column or bound, in arrays of at most _BLOCK."""
     return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / _BLOCK).cast("int")), lambda b: F.slice(items, b * _BLOCK + 1, F.lit(_BLOCK)))
 
 
 def located(text: Column, pattern: str, group: int, keep: bool = False) -> Column:
     """(start, end, part) of each match: what lies between matches and the matches themselves, added up. Sums go by
     blocks, so that a text with very many matches stays cheap. part: length of the given group; s, if kept: the match."""
-    whole, parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    lengths = F.zip_with(
-        F.arrays_zip(whole.alias("m"), parts.alias("p")),
-        F.slice(F.split(text, pattern, -1), 1, F.size(whole)),
-        lambda x, gap: F.struct(F.length(gap).alias("gap"), F.length(x["m"]).alias("m"), F.length(x["p"]).alias("p"), *([x["m"].alias("s")] if keep else [])),
-    )
-    blocks = _in_blocks(lengths)
-    sums = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda a, x: a + x["gap"] + x["m"]))
-    empty = F.array().cast("array<int>")
-    starts = F.aggregate(
-        sums,
-        F.struct(F.lit(0).alias("at"), empty.alias("all")),
-        lambda a, s: F.struct((a["at"] + s).alias("at"), _append(a["all"], a["at"]).alias("all")),
-        lambda a: a["all"],
-    )
     none = F.array().cast("array<struct<start:int,end:int,part:int" + (",s:string>>" if keep else ">>"))
+    empty = F.array().cast("array<int>")
+    text_of = lambda x: [x["m"].alias("s")] if keep else []
+
+    def lengths(whole: Column) -> Column:
+        parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+        return F.zip_with(
+            F.arrays_zip(whole.alias("m"), parts.alias("p")) if group else F.transform(whole, lambda m: F.struct(m.alias("m"), m.alias("p"))),
+            F.slice(F.split(text, pattern, -1), 1, F.size(whole)),
+            lambda x, gap: F.struct(F.length(gap).alias("gap"), F.length(x["m"]).alias("n"), F.length(x["p"]).alias("p"), *([x["m"].alias("m")] if keep else [])),
+        )
 
     def inside(block: Column, start: Column) -> Column:
         return F.aggregate(
             block,
             F.struct(start.alias("at"), none.alias("all")),
             lambda a, x: F.struct(
-                (a["at"] + x["gap"] + x["m"]).alias("at"),
-                _append(a["all"], F.struct((a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + x["m"]).alias("end"), x["p"].alias("part"), *([x["s"].alias("s")] if keep else []))).alias("all"),
+                (a["at"] + x["gap"] + x["n"]).alias("at"),
+                _append(a["all"], F.struct((a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + x["n"]).alias("end"), x["p"].alias("part"), *text_of(x))).alias("all"),
             ),
             lambda a: a["all"],
         )
 
-    found = F.flatten(F.zip_with(blocks, starts, inside))
+    def added(blocks: Column) -> Column:
+        starts = F.aggregate(
+            F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda a, x: a + x["gap"] + x["n"])),
+            F.struct(F.lit(0).alias("at"), empty.alias("all")),
+            lambda a, s: F.struct((a["at"] + s).alias("at"), _append(a["all"], a["at"]).alias("all")),
+            lambda a: a["all"],
+        )
+        return F.flatten(F.zip_with(blocks, starts, inside))
+
+    found = _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda whole: _let(lengths(whole), lambda each: _let(_in_blocks(each), added)))
     return F.when(text.rlike(pattern), found).otherwise(none)
 
 
@@ -115,7 +125,7 @@ def _spans(found: Column, kind: int, least: int) -> Column:
 def hot_windows(candidate: Column) -> Column:
     """(start, end) within a candidate of joined windows whose entropy reaches the limit of its class."""
     scaled = [0] + [round(c * math.log2(c) * 1e6) for c in range(1, WINDOW + 2)]
-    weight = F.array(*[F.lit(v) for v in scaled])
+    weight = F.lit(scaled)
     chars = F.transform(F.regexp_extract_all(candidate, F.lit("(?s)."), F.lit(0)), lambda c: F.instr(F.lit(_ALPHABET), c) - 1)
     # Entropy >= limit exactly if the sum of c*log2(c) <= W * (log2(W) - limit).
     long = F.length(candidate) >= WINDOW
@@ -125,65 +135,53 @@ def hot_windows(candidate: Column) -> Column:
         return F.when(long, F.lit(math.floor(WINDOW * (math.log2(WINDOW) - LIMITS[kind]) * 1e6))).otherwise(F.lit(math.floor(SHORT_WINDOW * (math.log2(SHORT_WINDOW) - SHORT_LIMITS[kind]) * 1e6)))
 
     limit = F.coalesce(*[F.when(candidate.rlike(pattern), most(kind)) for kind, pattern in CLASSES.items()], most("wide"))
-    packed = F.struct(candidate.alias("text"), chars.alias("c"), limit.alias("limit"), size.alias("w"))
-    none = F.array().cast("array<struct<start:int,end:int>>")
+    packed = F.struct(chars.alias("c"), limit.alias("limit"), size.alias("w"))
 
     # Counts of 8 characters to a number, 5 bits each, so that a step changes few of them.
-    unit = F.array(*[F.lit(1 << 5 * k).cast("long") for k in range(8)])
+    unit = F.lit([1 << 5 * k for k in range(8)]).cast("array<long>")
+    rise = F.lit([b - a for a, b in zip(scaled, scaled[1:])])  # of the sum, by the count that grows
     groups = -(-len(_ALPHABET) // 8)
     place = lambda c: F.shiftright(c, 3)
     one = lambda c: F.get(unit, c.bitwiseAND(7))
     count = lambda counts, c: F.call_function("shiftrightunsigned", F.get(counts, place(c)), c.bitwiseAND(7) * 5).bitwiseAND(F.lit(31)).cast("int")
 
-    def moved(x: Column, y: Column) -> Column:
-        """The windows of a part y (c, its characters, and at, its place) of the candidate x."""
-        head = F.slice(y["c"], 1, x["w"])
-        each = F.transform(F.sequence(F.lit(0), F.lit(8 * groups - 1)), lambda k: F.size(F.filter(head, lambda c: c == k)))
-        first = F.aggregate(each, F.lit(0), lambda a, c: a + F.get(weight, c))
+    def sums(w: Column, chars: Column) -> Column:
+        """The sum of c*log2(c) of each window of w of these characters."""
         none_yet = F.array(*[F.lit(0).cast("long")] * groups)
-        counts = F.aggregate(head, none_yet, lambda a, c: F.transform(a, lambda v, j: F.when(j == place(c), v + one(c)).otherwise(v)))
-        stretch = lambda a: F.struct((y["at"] + a["start"]).alias("start"), (y["at"] + a["end"]).alias("end"))
+        head = F.aggregate(F.slice(chars, 1, w), none_yet, lambda a, c: F.transform(a, lambda v, j: F.when(j == place(c), v + one(c)).otherwise(v)))
+
+        def begun(counts: Column) -> Column:
+            each = F.transform(F.sequence(F.lit(0), F.lit(8 * groups - 1)), lambda k: count(counts, k))
+            return F.struct(counts.alias("counts"), F.array(F.aggregate(each, F.lit(0), lambda a, c: a + F.get(weight, c))).alias("sums"))
 
         def step(a: Column, i: Column) -> Column:
-            out, new = F.get(y["c"], i - 1), F.get(y["c"], i + x["w"] - 1)
-            stays = (i == 0) | (out == new)
-            n_out, n_new = count(a["counts"], out), count(a["counts"], new)
-            total = F.when(stays, a["sum"]).otherwise(a["sum"] - F.get(weight, n_out) + F.get(weight, n_out - 1) - F.get(weight, n_new) + F.get(weight, n_new + 1))
-            changed = F.transform(a["counts"], lambda v, j: v - F.when(j == place(out), one(out)).otherwise(F.lit(0)) + F.when(j == place(new), one(new)).otherwise(F.lit(0)))
-            now = F.when(stays, a["counts"]).otherwise(changed)
-            hot = total <= x["limit"]
-            joins = hot & (a["end"] >= i)
-            opens = hot & (a["end"] < i)
-            return F.struct(
-                now.alias("counts"),
-                total.alias("sum"),
-                F.when(opens, i).otherwise(a["start"]).alias("start"),
-                F.when(joins | opens, i + x["w"]).otherwise(a["end"]).alias("end"),
-                F.when(opens & (a["end"] > 0), _append(a["done"], stretch(a))).otherwise(a["done"]).alias("done"),
-            )
-
-        begin = F.struct(counts.alias("counts"), first.alias("sum"), F.lit(0).alias("start"), F.lit(-1).alias("end"), none.alias("done"))
-        return F.aggregate(
-            F.sequence(F.lit(0), F.size(y["c"]) - x["w"]),
-            begin,
-            step,
-            lambda a: F.when(a["end"] > 0, _append(a["done"], stretch(a))).otherwise(a["done"]),
-        )
+            """From the window that starts at i - 1 to the next."""
+
+            def moved(z: Column) -> Column:
+                total = F.element_at(a["sums"], -1) - F.get(rise, count(a["counts"], z["out"]) - 1) + F.get(rise, count(a["counts"], z["new"]))
+                counts = F.transform(a["counts"], lambda v, j: F.when(j == place(z["out"]), v - one(z["out"])).otherwise(v) + F.when(j == place(z["new"]), one(z["new"])).otherwise(F.lit(0)))
+                same = z["out"] == z["new"]
+                return F.struct(F.when(same, a["counts"]).otherwise(counts).alias("counts"), _append(a["sums"], F.when(same, F.element_at(a["sums"], -1)).otherwise(total)).alias("sums"))
+
+            return _let(F.struct(F.get(chars, i - 1).alias("out"), F.get(chars, i + w - 1).alias("new")), moved)
 
-    def joined(found: Column) -> Column:
-        """Stretches that touch, as those of neighbouring parts do, are one. They are in order, by start and by end."""
-        first = F.filter(found, lambda v, i: (i == 0) | (v["start"] > F.get(found, i - 1)["end"]))
-        last = F.filter(found, lambda v, i: F.coalesce(F.get(found, i + 1)["start"] > v["end"], F.lit(True)))
-        return F.zip_with(first, last, lambda a, b: F.struct(a["start"].alias("start"), b["end"].alias("end")))
+        steps = F.slice(F.sequence(F.lit(0), F.size(chars) - w), F.lit(2), F.lit(_BLOCK))
+        return F.aggregate(steps, _let(head, begun), step, lambda a: a["sums"])
 
-    def scanned(x: Column) -> Column:
+    def hot(x: Column) -> Column:
         # Parts of so many windows: what a fold adds to stays short, so the cost grows with the candidate's length alone.
         starts = F.transform(F.sequence(F.lit(0), F.floor((F.size(x["c"]) - x["w"]) / _BLOCK).cast("int")), lambda b: b * _BLOCK)
         parts = F.transform(starts, lambda at: F.struct(at.alias("at"), F.slice(x["c"], at + 1, x["w"] + F.lit(_BLOCK - 1)).alias("c")))
-        return F.flatten(F.transform(parts, lambda y: moved(x, y)))
+        each = F.transform(parts, lambda y: F.transform(sums(x["w"], y["c"]), lambda s, k: F.when(s <= x["limit"], y["at"] + k)))
+        return F.struct(x["w"].alias("w"), F.filter(F.flatten(each), lambda at: at.isNotNull()).alias("at"))
 
-    found = F.transform(F.array(packed), scanned)
-    return F.flatten(F.transform(found, joined))
+    def joined(x: Column) -> Column:
+        """Hot windows that touch are one stretch."""
+        first = F.filter(x["at"], lambda v, i: (i == 0) | (v > F.get(x["at"], i - 1) + x["w"]))
+        last = F.filter(x["at"], lambda v, i: F.coalesce(F.get(x["at"], i + 1) > v + x["w"], F.lit(True)))
+        return F.zip_with(first, last, lambda a, b: F.struct(a.alias("start"), (b + x["w"]).alias("end")))
+
+    return _let(_let(packed, hot), joined)
 
 
 def of_words(candidate: Column) -> Column:
@@ -217,23 +215,22 @@ def find_spans(docs: DataFrame, text_col: str = "text", allowed: tuple[str, ...]
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     all_spans = F.array_sort(F.transform(F.concat("_base", F.coalesce("_hot", none)), lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind"))))
     out = out.withColumn("_all", F.when(F.size("_hot") > 0, all_spans))
-    blocks = _in_blocks(F.col("_all"))
-    reach = F.aggregate(
-        F.transform(blocks, lambda block: F.array_max(F.transform(block, lambda x: -x["back"]))),
-        F.struct(F.lit(-1).alias("end"), F.array().cast("array<int>").alias("all")),
-        lambda a, m: F.struct(F.greatest(a["end"], m).alias("end"), _append(a["all"], a["end"]).alias("all")),
-        lambda a: a["all"],
-    )
-    swept = F.flatten(F.zip_with(blocks, reach, lambda block, end: F.aggregate(
-        block,
-        F.struct(end.alias("end"), none.alias("all")),
-        lambda a, x: F.struct(
+
+    def swept(blocks: Column) -> Column:
+        reach = F.aggregate(
+            F.transform(blocks, lambda block: F.array_max(F.transform(block, lambda x: -x["back"]))),
+            F.struct(F.lit(-1).alias("end"), F.array().cast("array<int>").alias("all")),
+            lambda a, m: F.struct(F.greatest(a["end"], m).alias("end"), _append(a["all"], a["end"]).alias("all")),
+            lambda a: a["all"],
+        )
+        step = lambda a, x: F.struct(
             F.greatest(a["end"], -x["back"]).alias("end"),
             F.when((x["kind"] < 3) | (-x["back"] > a["end"]), _append(a["all"], F.struct(x["start"].alias("start"), x["kind"].alias("kind"), (-x["back"]).alias("end")))).otherwise(a["all"]).alias("all"),
-        ),
-        lambda a: a["all"],
-    )))
-    out = out.withColumn("spans_found", F.when(F.size("_hot") > 0, F.array_sort(swept)).otherwise(F.col("_base")))
+        )
+        kept = lambda block, end: F.aggregate(block, F.struct(end.alias("end"), none.alias("all")), step, lambda a: a["all"])
+        return F.array_sort(F.flatten(F.zip_with(blocks, reach, kept)))
+
+    out = out.withColumn("spans_found", F.when(F.size("_hot") > 0, _let(_in_blocks(F.col("_all")), swept)).otherwise(F.col("_base")))
     return out.drop("_text", "_assign", "_access", "_hex", "_base", "_found", "_odd", "_hot", "_all")
 
 
