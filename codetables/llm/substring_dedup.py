@@ -7,7 +7,8 @@ A window is `length` consecutive words of one document; a word goes if a window
    anchors at equal places, and neighbouring windows mostly share theirs, so a run of windows is known by one anchor
    and anchors are sparse. Only 8-byte gram hashes are counted over all documents; a window whose anchor occurs once
    repeats nothing and is never shuffled.
-2. Groups. A run goes, with its words as 64-bit hashes, to the group of its prefix: the anchor gram. Prefixes with few
+2. Groups. A run goes, with its words as 32-bit hashes and the 64-bit hash of each window's path, to the group of its
+   prefix: the anchor gram. Prefixes with few
    runs share a group, hashed so that a group fits in memory. Prefixes with too many runs are made longer, `GROW` words
    at a time, by the words of the window that follow the anchor (or precede it, where the window ends), and counted
    anew: a run so becomes several shorter ones, each in the group of its own longer prefix. Suffixes that agree in the
@@ -16,11 +17,12 @@ A window is `length` consecutive words of one document; a word goes if a window
 3. Subtrees. In a group the suffixes (one for each window, to its run's end) are sorted by prefix doubling, and the
    words that neighbours share are the depths of the tree above them. Of the suffixes below an internal node all but the
    earliest repeat it; each suffix's longest repeat is the depth of its deepest node in which it isn't the earliest
-   (Subtree.repeats; the nodes themselves, as maximal repeats: Subtree.maximal). Overlapping ones are joined.
+   (Subtree.repeats; the nodes themselves, as maximal repeats: Subtree.maximal). Each window of a repeat is confirmed by
+   its path's hash, so words of equal 32-bit hash do no harm. Overlapping repeats are joined.
 4. Each document gets its repeated stretches and is put together without the words they cover.
 
-A word is its 64-bit hash, so a wrong match needs two windows that differ only in words of equal hash: a chance of 5e-20
-for each pair of windows that differ in one word.
+Windows are equal if the 64-bit hashes of their paths are, which are made of 64-bit hashes of words: a wrong match has a
+chance of 5e-20 for each pair of windows that meet in a node.
 
 Defined results: a null, empty or short text loses nothing. Each row is a document of its own: rows without an id come
 before all others, and rows of equal or missing id follow each other by their text's hash and then as they are stored.
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codetables.llm.common import WordHashes, gram_hashes, id_or_least, signed, staged, table, to_bytes
+from codetables.llm.common import WordHashes, dropped, gram_hashes, id_or_least, signed, staged, table, to_bytes
 
 LENGTH, GRAM = 20, 8
 #: Words by which a prefix of too many runs is made longer.
@@ -122,7 +124,7 @@ def document_anchors(docs: DataFrame, text_col: str, length: int, gram: int) ->
     return docs.select("_id", F.col(text_col).alias("text")).mapInArrow(emit, "_id long, anchor long, n int")
 
 
-RUN = "anchor long, _id long, start int, windows int, words binary"
+RUN = "anchor long, _id long, start int, windows int, words binary, paths binary"
 WINDOW = "path long, path2 long, _id long, start int"
 
 
@@ -185,7 +187,7 @@ def _runs(docs: DataFrame, text_col: str, length: int, gram: int, size: int) ->
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
         names = [x.split()[0] for x in RUN.split(", ")]
         for batch in batches:
             for top in range(0, len(batch), 500):
@@ -198,10 +200,11 @@ def _runs(docs: DataFrame, text_col: str, length: int, gram: int, size: int) ->
                     use = np.flatnonzero(_member(a, known))
                     if not len(use):
                         continue
-                    every = h.astype("<u8").tobytes()
-                    ends = first + windows + length - 1
-                    words = [every[8 * i : 8 * j] for i, j in zip(first[use].tolist(), ends[use].tolist())]
-                    for c, v in zip(cols, (a[use].tolist(), [doc] * len(use), first[use].tolist(), windows[use].tolist(), words)):
+                    every, path = (h >> np.uint64(32)).astype("<u4").tobytes(), gram_hashes(h, length).astype("<u8").tobytes()
+                    begins, counts = first[use].tolist(), windows[use].tolist()
+                    words = [every[4 * i : 4 * (i + n + length - 1)] for i, n in zip(begins, counts)]
+                    paths = [path[8 * i : 8 * (i + n)] for i, n in zip(begins, counts)]
+                    for c, v in zip(cols, (a[use].tolist(), [doc] * len(use), begins, counts, words, paths)):
                         c += v
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
 
@@ -235,8 +238,9 @@ class Subtree:
 
     def __init__(self, group: pa.Table):
         windows = group["windows"].to_numpy()
-        words = [np.frombuffer(w, "<u8") for w in group["words"].to_pylist()]
+        words = [np.frombuffer(w, "<u4") for w in group["words"].to_pylist()]
         inside = np.concatenate([np.arange(n) for n in windows])
+        self.path = np.concatenate([np.frombuffer(p, "<u8") for p in group["paths"].to_pylist()])
         self.doc = np.repeat(group["_id"].to_numpy(), windows)
         self.start = np.repeat(group["start"].to_numpy().astype(np.int64), windows) + inside
         sizes = np.array([len(w) for w in words])
@@ -274,10 +278,13 @@ class Subtree:
 
     def repeats(self, length: int) -> pa.Table:
         """_id, start, windows: for each suffix that is below an internal node of at least that depth and isn't its
-        earliest, the windows in the deepest such node; overlapping ones are joined."""
+        earliest, the windows in the deepest such node; those that lie beside each other are joined."""
         rank = np.empty(len(self.order), np.int64)
         rank[np.lexsort((self.start, self.doc))] = np.arange(len(rank))
-        lost = np.zeros(len(rank), np.int64)  # by rank, the depth of the node in which an earlier suffix is
+        at = np.empty(len(rank), np.int64)
+        at[rank] = np.arange(len(rank))
+        # By rank: the depth of the deepest node in which an earlier suffix is, and that suffix.
+        lost, earlier = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
         deep = np.flatnonzero(np.concatenate([self.depth >= length, [False]]))
         # Suffixes that share nothing of that depth with a neighbour are no part of it.
         part = np.union1d(deep, deep + 1)
@@ -285,21 +292,28 @@ class Subtree:
         for least, depth in zip(rank[self.order[part]].tolist(), np.append(self.depth, 0)[part].tolist()):
             while stack and stack[-1][0] >= depth:
                 node, other = stack.pop()
-                lost[max(least, other)] = node
-                least = min(least, other)
+                least, late = min(least, other), max(least, other)
+                lost[late], earlier[late] = node, least
             if depth >= length:
                 stack.append((depth, least))
-        at = np.empty(len(rank), np.int64)
-        at[rank] = np.arange(len(rank))
-        spot = at[np.flatnonzero(lost)]  # by document and start
-        d, s, n = self.doc[spot], self.start[spot], lost[np.flatnonzero(lost)] - length + 1
-        if not len(d):
-            return pa.table({"_id": pa.array([], pa.int64()), "start": pa.array([], pa.int32()), "windows": pa.array([], pa.int32())})
-        own = np.cumsum(np.concatenate([[0], d[1:] != d[:-1]])) << 40  # documents apart, for one running maximum
-        reach = np.maximum.accumulate(own + s + n)
-        fresh = np.flatnonzero(np.concatenate([[True], (own + s)[1:] > reach[:-1]]))
-        last = reach[np.append(fresh[1:], len(d)) - 1] - own[fresh]
-        return pa.table({"_id": pa.array(d[fresh], pa.int64()), "start": pa.array(s[fresh].astype(np.int32)), "windows": pa.array((last - s[fresh]).astype(np.int32))})
+        late = np.flatnonzero(lost)
+        n = lost[late] - length + 1
+        each = np.repeat(np.arange(len(n)), n)
+        k = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+        mine, theirs = at[late][each] + k, at[earlier[late]][each] + k
+        same = self.path[mine] == self.path[theirs]
+        if not same.all():  # different words of equal 32-bit hashes: look for the window's path itself
+            by = np.lexsort((rank, self.path))
+            again = np.zeros(len(rank), bool)
+            again[by[1:]] = self.path[by[1:]] == self.path[by[:-1]]
+            same |= again[mine]
+        gone = np.zeros(len(rank), bool)
+        gone[mine[same]] = True
+        spot = at[gone[at]]  # by document and start
+        d, s = self.doc[spot], self.start[spot]
+        fresh = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] > s[:-1] + 1)])) if len(d) else np.empty(0, np.int64)
+        last = np.append(fresh[1:], len(d)) - 1 if len(d) else fresh
+        return pa.table({"_id": pa.array(d[fresh], pa.int64()), "start": pa.array(s[fresh].astype(np.int32)), "windows": pa.array((s[last] - s[fresh] + 1).astype(np.int32))})
 
     def maximal(self, length: int) -> pa.Table:
         """depth, n, _id, start: the internal nodes of at least that depth whose suffixes don't all follow one word: what n
@@ -339,9 +353,10 @@ def repeated_runs(docs: DataFrame, text_col: str = "text", length: int = LENGTH,
         by_doc = mine.select("_id", "anchor").join(counted.select("anchor", F.col("n").alias("total")), "anchor").groupBy("_id")
         listed = by_doc.agg(F.collect_list(F.when(~is_hot, F.col("anchor"))).alias("_known"), F.collect_list(F.when(is_hot, F.col("anchor"))).alias("_hot"))
         listed = staged(listed, "document-anchors")
+        dropped(mine, counted)
         groups = max(1, -(-(total["runs"] or 0) // group_rows))
         some = docs.select("_id", text_col).join(listed.where(F.size("_known") > 0), "_id")
-        runs = _runs(some, text_col, length, gram, size).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(groups)).cast("int"))
+        runs = _runs(some, text_col, length, gram, size).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(groups)).cast("int")).drop("anchor")
         found.append(runs.groupBy("bucket").applyInArrow(lambda t: subtree_repeats(t, length), "_id long, start int, windows int"))
         if (total["most"] or 0) <= heavy:
             break

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from codetables.llm import line_dedup, matroska, minhash, packing, pieces, quality_rules, secrets, substring_dedup, token_counts, toxicity
@@ -97,7 +98,7 @@ def test_subtrees():
         runs.append((k, 5 * k, np.concatenate([rng.integers(1000 + 100 * k, 1100 + 100 * k, 7), middle, rng.integers(2000 + 100 * k, 2100 + 100 * k, 9)])))
     import pyarrow as pa
 
-    table = lambda length: pa.table({"_id": pa.array([k for k, _, _ in runs]), "start": pa.array([s for _, s, _ in runs], pa.int32()), "windows": pa.array([len(w) - length + 1 for _, _, w in runs], pa.int32()), "words": pa.array([w.astype("<u8").tobytes() for _, _, w in runs])})
+    table = lambda length: pa.table({"_id": pa.array([k for k, _, _ in runs]), "start": pa.array([s for _, s, _ in runs], pa.int32()), "windows": pa.array([len(w) - length + 1 for _, _, w in runs], pa.int32()), "words": pa.array([w.astype("<u4").tobytes() for _, _, w in runs]), "paths": pa.array([b"".join(xxhash.xxh64_digest(w[i : i + length].tobytes()) for i in range(len(w) - length + 1)) for _, _, w in runs])})
     tree = substring_dedup.Subtree(table(20))
     assert sorted(tuple(r.values()) for r in tree.maximal(20).to_pylist()) == [(30, 3, 0, 7), (45, 2, 0, 7)]
     assert [tuple(r.values()) for r in tree.repeats(20).to_pylist()] == [(1, 12, 26), (2, 17, 11)]
