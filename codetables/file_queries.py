@@ -15,9 +15,9 @@ from codetables.operators import relations as R
 from codetables.operators import summaries as S
 from codetables.operators import versions as V
 from codetables.plans import jobs as J
-from codetables.plans.build import BuildResult, build_version, refuse
+from codetables.plans.build import BuildResult, Publication, build_version, refuse
 from codetables.queries import PART, SUPP, _t, query
-from codetables.sources import readers, sinks
+from codetables.sources import commits, quoted, readers, sinks, trees
 from codetables.sources.shared import shared_path, written
 
 
@@ -41,12 +41,27 @@ def delimited_lines(spark, sf):
     return readers.read_delimited(spark, path).where(F.size("fields") == 4).select(f(0).alias("code"), f(1).alias("name"), f(2).alias("segment"))
 
 
-@query("SELECT CAST(p_partkey AS VARCHAR) AS code, p_name || ', \"' || p_brand || '\"' AS name, '' AS nothing FROM part")
-def strict_csv(spark, sf):
+def _quoted_parts(spark, sf) -> str:
+    """Parts as quoted CSV, whose names hold quotes and up to two line ends."""
     path = shared_path(spark, "csv")
-    named = F.concat("p_name", F.lit(', "'), "p_brand", F.lit('"'))
-    _t(spark, sf, "part").select(_s("p_partkey").alias("code"), named.alias("name"), F.lit("").alias("nothing")).write.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
-    return readers.read_csv_strict(spark, path, ["code", "name"])
+    named = F.concat("p_name", F.lit(', "'), "p_brand", F.lit('"'), F.repeat(F.lit("\n"), (F.col("p_partkey") % 3).cast("int")))
+    out = _t(spark, sf, "part").select(_s("p_partkey").alias("code"), named.alias("name"), F.lit("").alias("nothing"))
+    out.write.options(header=True, escape='"', emptyValue="", ignoreTrailingWhiteSpace=False).csv(path)
+    return path
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS code, p_name || ', \"' || p_brand || '\"' || repeat(chr(10), CAST(p_partkey % 3 AS INT)) AS name, '' AS nothing FROM part")
+def strict_csv(spark, sf):
+    return quoted.read_csv_strict(spark, _quoted_parts(spark, sf), ["code", "name"]).drop("number")
+
+
+@query("SELECT count(*) AS records, CAST(sum(1 + p_partkey % 3) AS BIGINT) AS lines FROM part")
+def csv_line_numbers(spark, sf):
+    """Records of several files, and the lines they take: a record's number is the line of its file that it ends on."""
+    files = [f"{_quoted_parts(spark, sf)}/*.csv"]
+    records, _ = quoted.read_records(spark, files)
+    each = records.groupBy("file").agg(F.count("*").alias("n"), F.max("number").alias("last"), F.min("number").alias("header"))
+    return each.agg(F.sum(F.col("n") - 1).alias("records"), F.sum(F.col("last") - F.col("header")).alias("lines"))
 
 
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS code, o_orderstatus AS flag, o_orderpriority AS title FROM orders")
@@ -107,30 +122,101 @@ def versions_written_and_read(spark, sf):
 
 
 @query("""
-WITH v AS (SELECT 'v' || o_orderkey AS iri, 's' || o_custkey AS series, o_orderdate < TIMESTAMP '1996-01-01' AS early, o_orderkey AS k FROM orders),
-e AS (SELECT series, max(k) AS k FROM v WHERE early GROUP BY series), l AS (SELECT series, max(k) AS k FROM v WHERE NOT early GROUP BY series)
-SELECT coalesce(e.series, l.series) AS iri, 'v' || coalesce(l.k, e.k) AS current_version,
-  CAST((e.k IS NOT NULL)::INT + (l.k IS NOT NULL)::INT AS BIGINT) AS n FROM e FULL JOIN l ON e.series = l.series""")
+WITH v AS (SELECT 'v' || o_orderkey AS iri, 's' || o_custkey AS series, o_orderdate < TIMESTAMP '1996-01-01' AS early, o_orderkey AS k, year(o_orderdate) AS y FROM orders),
+e AS (SELECT series, max(k) AS k, arg_max(y, k) AS y FROM v WHERE early GROUP BY series), l AS (SELECT series, max(k) AS k, arg_max(y, k) AS y FROM v WHERE NOT early GROUP BY series)
+SELECT coalesce(e.series, l.series) AS iri, 'v' || coalesce(l.k, e.k) AS current_version, CASE WHEN l.k IS NOT NULL THEN 'v' || e.k END AS revises,
+  CAST((e.k IS NOT NULL)::INT + (l.k IS NOT NULL)::INT AS BIGINT) AS n, 'file ' || coalesce(l.y, e.y) AS input FROM e FULL JOIN l ON e.series = l.series""")
 def catalog_of_two_releases(spark, sf):
-    """Each customer's newest order before and since 1996 as versions of a series: two releases into one catalog."""
-    o = _t(spark, sf, "orders").select(F.concat(F.lit("s"), "o_custkey").alias("series"), "o_orderkey", (F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp")).alias("early"))
+    """Each customer's newest order before and since 1996 as versions of a series, from a file a year: two commits."""
+    when = F.col("o_orderdate")
+    o = _t(spark, sf, "orders").select(F.concat(F.lit("s"), "o_custkey").alias("series"), "o_orderkey", F.concat(F.lit("file "), F.year(when)).alias("file"), (when < F.lit("1996-01-01").cast("timestamp")).alias("early"))
     path = shared_path(spark, "catalog")
-    series = o.select(F.col("series").alias("iri")).distinct().withColumn("current_version", F.lit(None).cast("string"))
-    sinks.write_catalog(spark, path, {"series": series})
+    commits.commit(spark, path, {"series": o.select(F.col("series").alias("iri")).distinct().withColumn("current_version", F.lit(None).cast("string"))})
     for early in (True, False):
-        version = o.where(F.col("early") == early).groupBy("series").agg(F.concat(F.lit("v"), F.max("o_orderkey")).alias("iri")).select("iri", "series")
-        held = sinks.read_catalog(spark, path)["series"]
-        moved = held.join(version.select(F.col("series").alias("iri"), F.col("iri").alias("_new")), "iri", "left")
-        pointers = moved.select("iri", F.coalesce("_new", "current_version").alias("current_version"))
-        sinks.write_catalog(spark, path, {"versions": version, "series": pointers})
-    got = sinks.read_catalog(spark, path)
-    return got["series"].join(got["versions"].groupBy(F.col("series").alias("iri")).agg(F.count("*").alias("n")), "iri")
+        held = commits.read_catalog(spark, path)
+        newest = o.where(F.col("early") == early).groupBy("series").agg(F.concat(F.lit("v"), F.max("o_orderkey")).alias("iri"), F.max_by("file", "o_orderkey").alias("file"))
+        revised = held["series"].select(F.col("iri").alias("series"), F.col("current_version").alias("revises"))
+        version = newest.join(revised, "series").select("iri", "series", "revises")
+        files = newest.select(F.col("iri").alias("version"), F.col("file").alias("iri"))
+        commits.commit(spark, path, V.add_version(held, version, files))
+    got = commits.read_catalog(spark, path)
+    counts = got["versions"].groupBy(F.col("series").alias("iri")).agg(F.count("*").alias("n"))
+    about = got["versions"].join(got["version_inputs"].withColumnRenamed("version", "iri"), "iri").select(F.col("iri").alias("current_version"), "revises", "input")
+    return got["series"].join(counts, "iri").join(about, "current_version").join(got["inputs"].select(F.col("iri").alias("input")), "input", "left_semi")
+
+
+@query("""
+SELECT p_type AS series, count(*) AS commits, 'v' || max(p_size) AS current_version, CAST(sum(p_size) AS BIGINT) AS total
+FROM (SELECT DISTINCT p_type, p_size FROM part) GROUP BY p_type""")
+def catalog_of_many_writers(spark, sf):
+    """Types of parts as series, whose sizes are versions, committed by four writers at once: nobody loses anything."""
+    import concurrent.futures
+
+    p = _t(spark, sf, "part").select("p_type", "p_size").distinct()
+    path = shared_path(spark, "catalog")
+    commits.commit(spark, path, {"series": p.select(F.col("p_type").alias("iri")).distinct().withColumn("current_version", F.lit(None).cast("string"))})
+    name = F.concat(F.lit("v"), "p_size", F.lit(" "), "p_type")
+    kinds = F.pmod(F.hash("p_type"), F.lit(4))
+
+    def one(k: int) -> None:
+        mine = p.where(kinds == k)
+        version = mine.select(name.alias("iri"), F.col("p_type").alias("series"), "p_size")
+        newest = mine.groupBy("p_type").agg(F.concat(F.lit("v"), F.max("p_size")).alias("current_version")).withColumnRenamed("p_type", "iri")
+        commits.commit(spark, path, {"versions": version, "series": newest.withColumn("was", F.lit(None).cast("string"))})
+
+    with concurrent.futures.ThreadPoolExecutor(4) as pool:
+        list(pool.map(one, range(4)))
+    got = commits.read_catalog(spark, path)
+    each = got["versions"].groupBy(F.col("series").alias("iri")).agg(F.count("*").alias("commits"), F.sum("p_size").cast("long").alias("total"))
+    return got["series"].join(each, "iri").withColumnRenamed("iri", "series")
+
+
+def _two_part_releases(spark, sf):
+    """Parts as names, before and after: dear ones of a size are renamed, cheap ones of another have left."""
+    p = _t(spark, sf, "part").withColumns({"iri": X.code_iri(PART, _s("p_partkey")), "code": _s("p_partkey"), "other": F.array("p_brand")})
+    renamed = F.when((F.col("p_size") == 7) & (F.col("p_retailprice") > 994), F.concat("p_name", F.lit(" (new)"))).otherwise(F.col("p_name"))
+    rows = lambda df: V.with_content(names_rows(df, "parts", "iri", "name", "other", "code"))
+    left = (F.col("p_size") == 9) & (F.col("p_retailprice") < 906)
+    return rows(p.withColumn("name", F.col("p_name"))), rows(p.where(~left).withColumn("name", renamed))
+
+
+_PART_CHANGES = f"""
+WITH c AS (SELECT '{PART}' || p_partkey AS key, CASE WHEN p_size = 7 AND p_retailprice > 994 THEN 'changed' WHEN p_size = 9 AND p_retailprice < 906 THEN 'removed' END AS change FROM part)"""
+
+
+def _tree_diff(spark, sf):
+    path = shared_path(spark, "trees")
+    for name, rows in zip(("v1", "v2"), _two_part_releases(spark, sf)):
+        trees.write_tree_version(rows, path, name, depth=1)
+    return trees.tree_diff(spark, path, "v1", "v2", depth=1)
+
+
+@query(f"{_PART_CHANGES} SELECT key, change FROM c WHERE change IS NOT NULL")
+def tree_diff(spark, sf):
+    """Two stored versions compared by their hash trees."""
+    return _tree_diff(spark, sf)[0].select("key", "change")
+
+
+@query(f"""{_PART_CHANGES}
+SELECT CAST(count(DISTINCT sha256(key)[1:1]) AS BIGINT) AS buckets, CAST(count(DISTINCT CASE WHEN change IS NOT NULL THEN sha256(key)[1:1] END) AS BIGINT) AS read FROM c""")
+def tree_pruning(spark, sf):
+    """How many buckets two versions have, and how many a comparison reads: those that hold a change."""
+    _, said = _tree_diff(spark, sf)
+    return spark.createDataFrame([(said["buckets"], said["read"])], "buckets long, read long")
+
+
+@query(f"{_PART_CHANGES} SELECT key, change FROM c WHERE change IS NOT NULL")
+def bucketed_diff(spark, sf):
+    """The same two versions as tables bucketed by their keys, compared without an exchange."""
+    names = [trees.write_bucketed(rows, ["series", "key"], 8) for rows in _two_part_releases(spark, sf)]
+    return trees.diff_bucketed(spark, *names).select("key", "change")
 
 
 # ---- builders
 
 
 def _rows_of(result: BuildResult, *cols: str) -> DataFrame:
+    result = result.staged()
     refuse(result.all_violations())
     return result.rows.select("series", *cols)
 
@@ -279,6 +365,32 @@ def built_version(spark, sf):
     return built.changes.select(X.code_of(PART, "key").cast("long").alias("code"), "change")
 
 
+@query("""
+WITH one AS (SELECT p_partkey AS k FROM part WHERE p_size <= 40), two AS (SELECT p_partkey AS k FROM part WHERE p_size > 2),
+c AS (SELECT (SELECT count(*) FROM one) AS n1, (SELECT count(*) FROM two) AS n2, (SELECT count(*) FROM two WHERE k NOT IN (SELECT k FROM one)) AS plus,
+  (SELECT count(*) FROM one WHERE k NOT IN (SELECT k FROM two)) AS minus, (SELECT count(*) FROM part WHERE p_size > 2 AND p_size < 5) AS other)
+SELECT '2026-10' AS label, n1 || ' added, 0 removed, 0 changed' AS notes, 1 AS covers, false AS revises, CAST(n1 AS BIGINT) AS n, 'a' AS inputs FROM c
+UNION ALL SELECT '2026-10 (builder 1)', plus || ' added, ' || minus || ' removed, ' || other || ' changed', 1, true, n2, 'a|b' FROM c
+UNION ALL SELECT '2026-10 (builder 1)', '0 added, 0 removed, 0 changed', 2, true, n2, 'a|d' FROM c""")
+def published_versions(spark, sf):
+    """Four builds into one catalog: parts, parts with changes, the same again (nothing new), and the same that cover more."""
+    p = _t(spark, sf, "part").withColumns({"iri": X.code_iri(PART, _s("p_partkey")), "code": _s("p_partkey")})
+    rows = lambda df, name: names_rows(df.withColumn("name", name), "parts", "iri", "name", F.lit(None), "code")
+    later = F.when(F.col("p_size") < 5, F.concat("p_name", F.lit(" (new)"))).otherwise(F.col("p_name"))
+    one, two = rows(p.where("p_size <= 40"), F.col("p_name")), rows(p.where("p_size > 2"), later)
+    place = shared_path(spark, "published")
+    current, version = one.where(F.lit(False)), None
+    for file, release, covers in (("a", one, ["x"]), ("b", two, ["x"]), ("c", two, ["x"]), ("d", two, ["x", "y"])):
+        files = spark.createDataFrame([("a",), (file,)], "iri string")
+        to = Publication(f"{place}/catalog", "2026-10", "parts", "1", {"parts": "CodeNames"}, covers={"parts": covers}, inputs=files)
+        built = build_version(BuildResult(release), current, {"parts": version}, path=f"{place}/rows", publish=to)
+        version = built.names["parts"] or version
+        current = built.rows
+    got = commits.read_catalog(spark, f"{place}/catalog")
+    files = got["version_inputs"].groupBy(F.col("version").alias("iri")).agg(F.array_join(F.array_sort(F.collect_list("input")), "|").alias("inputs"))
+    return got["versions"].join(files, "iri").select("label", "notes", F.size("covers").alias("covers"), F.col("revises").isNotNull().alias("revises"), "n", "inputs")
+
+
 # ---- expressions and joins that no other query runs
 
 
@@ -370,10 +482,3 @@ def retired_rows(spark, sf):
 
     s = _t(spark, sf, "supplier").withColumn("iri", X.code_iri(SUPP, _s("s_suppkey")))
     return status_rows(s.where("s_acctbal > 0"), "status", "iri").select("key")
-
-
-@query("SELECT source, CAST(count(DISTINCT md5(coalesce(text, ''))) AS BIGINT) AS n FROM documents GROUP BY source")
-def manifest_files(spark, sf):
-    """The files of each source's manifest, as many as it names."""
-    d = _t(spark, sf, "documents").select("source", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("checksum"))
-    return S.inputs_held(d.select(F.col("source").alias("title"), "checksum", F.lit(1).alias("modified"))).select(F.col("title").alias("source"), F.size("checksums").cast("long").alias("n"))

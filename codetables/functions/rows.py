@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codetables.functions.scalars import literal_text, table_row_name
+from codetables.sources.shared import written
 
 # Vocabularies.
 RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
@@ -187,15 +188,24 @@ def from_triples(triples: DataFrame) -> DataFrame:
     return found.select(*[F.col(c).cast(kind).alias(c) for c, kind in COLUMNS.items()])
 
 
+#: Keys of several rows that are broadcast at most, to fetch those rows; more of them are joined.
+MAX_BROADCAST_KEYS = 200_000
+
+
 def merge_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Equal rows merged, and what can't be: keys with different contents, series of two forms. Contents are compared
-    by hash; mapping and member count as one form."""
-    hashed = rows.withColumn("content", row_content())
-    struct = F.struct(*[c for c in COLUMNS if c not in ("series", "key")])
-    kept = hashed.groupBy("series", "key").agg(F.min("content").alias("content"), F.max("content").alias("other"), F.min_by(struct, "content").alias("r"))
-    merged = kept.select("series", "key", *[F.col(f"r.{c}").alias(c) for c in COLUMNS if c not in ("series", "key")], "content")
-    differ = kept.where("content <> other").select("series", "key", F.lit("a row of the same key has other content").alias("message"))
+    """Equal rows merged, and what can't be: keys with different contents, series of two forms; mapping and member count
+    as one form. Only keys and hashes of contents are shuffled; rows are fetched where a key has several."""
+    hashed = rows if "content" in rows.columns else rows.withColumn("content", row_content())
     kind = F.when(F.col("form") == "member", "mapping").otherwise(F.col("form"))
+    per = hashed.groupBy("series", "key").agg(F.count("*").alias("n"), F.min("content").alias("least"), F.max("content").alias("most"))
+    double = written(per.where("n > 1").select("series", "key", "least", "most"), "double-keys")
+    keys = double.select("series", "key")
+    keys = F.broadcast(keys) if double.count() <= MAX_BROADCAST_KEYS else keys
+    names = [c for c in COLUMNS if c not in ("series", "key")]
+    ordered = [*COLUMNS, "content"]
+    several = hashed.join(keys, ["series", "key"], "left_semi").groupBy("series", "key").agg(F.min_by(F.struct(*names, "content"), "content").alias("r")).select("series", "key", "r.*")
+    merged = hashed.join(keys, ["series", "key"], "left_anti").select(*ordered).unionByName(several.select(*ordered))
+    differ = double.where("least <> most").select("series", "key", F.lit("a row of the same key has other content").alias("message"))
     forms = rows.groupBy("series").agg(F.min(kind).alias("a"), F.max(kind).alias("b")).where("a <> b")
     mixed = forms.select("series", F.lit(None).cast("string").alias("key"), F.concat_ws(" ", F.lit("rows of two forms:"), "a", F.lit("and"), "b").alias("message"))
     return merged, differ.union(mixed)

@@ -170,7 +170,8 @@ def short_code(iri: C) -> Column:
 
 
 def escape_markdown(label: C) -> Column:
-    return F.regexp_replace(_c(label), r"([\\`*_{}\[\]()#+\-.!|<>])", r"\\$1")
+    """A label as it reads: marks that would format it, name someone or link are escaped, white space is one space."""
+    return F.regexp_replace(F.regexp_replace(_c(label), r"([\\`*_\[\]<>&|@~#])", r"\\$1"), r"\s+", " ")
 
 
 def literal_text(value: C) -> Column:

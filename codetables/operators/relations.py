@@ -1,17 +1,21 @@
 """Filters and joins on codes and their relations.
 
 Dimension tables (code systems, rules, labels) are joined as they come: Spark broadcasts those that its statistics show
-to be small and shuffles others. Replacement chains are followed hop by hop, each hop a join.
+to be small and shuffles others. Replacement chains are followed by doubling, each round two joins.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from codetables.operators.scans import running
+from codetables.sources.shared import written
+
 # ---- filters
 
 
@@ -102,15 +106,25 @@ def require_type(pairs: DataFrame, target: str, concepts: DataFrame, wanted: str
     return typed.where(F.col("type") == wanted).drop("type"), wrong
 
 
-def match_sets(left: DataFrame, right: DataFrame, key: str, item: str) -> DataFrame:
-    """(key, match): ids of both sides with exactly the same set of items, compared by the hash of the sorted set."""
+def _item_sets(df: DataFrame, key: str, item: str) -> tuple[DataFrame, DataFrame]:
+    """(key, item) each once, and each key's set as (n, f1, f2): its size and sums of two halves of its items' hashes,
+    which don't depend on an order and are added up map-side."""
+    items = df.select(F.col(key).alias("key"), F.col(item).cast("string").alias("item")).where("key is not null and item is not null").distinct()
+    part = lambda k: F.sum(F.conv(F.substring("h", k, 15), 16, 10).cast("decimal(20,0)")).cast("decimal(38,0)")
+    return items, items.withColumn("h", F.sha2("item", 256)).groupBy("key").agg(F.count("*").alias("n"), part(1).alias("f1"), part(17).alias("f2"))
 
-    def sets(df: DataFrame, name: str) -> DataFrame:
-        items = F.array_sort(F.collect_set(F.col(item).cast("string")))
-        return df.groupBy(F.col(key).alias(name)).agg(items.alias(f"{name}_items")).withColumn("h", F.sha2(F.to_json(f"{name}_items"), 256))
 
-    both = sets(left, "key").join(sets(right, "match"), "h")
-    return both.where(F.col("key_items") == F.col("match_items")).select("key", "match")
+def match_sets(left: DataFrame, right: DataFrame, key: str, item: str) -> tuple[DataFrame, DataFrame]:
+    """(key, match): each left id and the right id with exactly the same set of items; and violations: right ids that
+    share their set with another, the greatest of which is the one that matches. Sets are compared by hashes that need
+    no order, so none is collected; what they propose is confirmed item by item."""
+    a_items, a = _item_sets(left, key, item)
+    b_items, b = _item_sets(right, key, item)
+    b = b.groupBy("n", "f1", "f2").agg(F.max("key").alias("match"), F.min("key").alias("other"))
+    double = b.where("match <> other").select(F.col("match").cast("string").alias("key"), F.concat(F.lit("has the same set as "), F.col("other").cast("string")).alias("message"))
+    pairs = a.join(b, ["n", "f1", "f2"]).select("key", "match", "n")
+    both = pairs.join(a_items, "key").join(b_items.withColumnRenamed("key", "match"), ["match", "item"])
+    return both.groupBy("key", "match", "n").agg(F.count("*").alias("same")).where("same = n").select("key", "match"), double
 
 
 def typed_targets(concepts: DataFrame, rel: DataFrame, relation: str, pairs: DataFrame) -> DataFrame:
@@ -174,18 +188,115 @@ def replacement_flags(edges: DataFrame) -> DataFrame:
     return edges.join(outof, "prev").select("prev", "next", "merges", "splits")
 
 
-def _on_cycles(edges: DataFrame) -> DataFrame:
-    """The edges (prev, next) that may be on a cycle: those left after taking away, again and again, edges from codes that
-    none leads to and to codes that none leaves."""
-    left = edges.select("prev", "next").distinct()
-    n = left.count()
-    while n:
-        inner = left.join(left.select(F.col("next").alias("prev")).distinct(), "prev", "left_semi")
-        inner = inner.join(left.select(F.col("prev").alias("next")).distinct(), "next", "left_semi").select("prev", "next").checkpoint()
-        before, n, left = n, inner.count(), inner
-        if n == before:
+def _merged(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b) once, saying what any of them says."""
+    return pairs.groupBy("a", "b").agg(*[F.max(c).alias(c) for c in ("merged", "split", "direct")])
+
+
+def _then(first: DataFrame, second: DataFrame) -> DataFrame:
+    """a to c by a pair of first from a to b and one of second from b to c."""
+    f = first.select("a", F.col("b").alias("m"), F.col("merged").alias("m1"), F.col("split").alias("s1"))
+    s = second.select(F.col("a").alias("m"), "b", F.col("merged").alias("m2"), F.col("split").alias("s2"))
+    return f.join(s, "m").select("a", "b", (F.col("m1") | F.col("m2")).alias("merged"), (F.col("s1") | F.col("s2")).alias("split"), F.lit(False).alias("direct"))
+
+
+def double_paths(open_: DataFrame, ends: DataFrame, longest: int) -> tuple[DataFrame, DataFrame | None, int]:
+    """Of steps (a, b, merged, split, direct) between open codes and to ends: all pairs of a code and an end; the pairs that
+    are more than `longest` steps apart, if there are any (then there are cycles); and the rounds it took. Round k knows the pairs that
+    are exactly 2**k steps apart and the ends within as many, so a chain of any length takes its logarithm in rounds."""
+    rounds = 0
+    while True:
+        if open_.isEmpty():
+            return ends, None, rounds
+        if 1 << rounds > longest:
+            return ends, open_, rounds
+        ends = written(_merged(ends.unionByName(_then(open_, ends))), "ends")
+        open_ = written(_merged(_then(open_, open_)), "steps")
+        rounds += 1
+
+
+def _components(edges: DataFrame) -> DataFrame:
+    """(node, comp) for the nodes of edges (a, b) that lie on cycles: comp is the least node of a strongly connected component.
+    edges is what trimming has left around cycles; which of them reach each other is found by doubling, too."""
+    reach = written(edges.select("a", "b").distinct(), "reach")
+    n = reach.count()
+    while True:
+        more = reach.join(reach.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").select("a", F.col("c").alias("b"))
+        reach = written(reach.union(more).distinct(), "reach")
+        now = reach.count()
+        if now == n:
             break
-    return left
+        n = now
+    both = reach.join(reach.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_semi")
+    return both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("comp"))
+
+
+def ways_inside(edges: list[tuple]) -> list[tuple]:
+    """(a, b, merged, split) for all codes a, b of one component of edges (prev, next, merges, splits): whether a path from a
+    to b that holds no code twice says so. A marked edge is on such a path if two paths that share no code lead to it and
+    away from it; that is tried first with shortest paths, then by following all paths that can still arrive."""
+    after: dict = {}
+    for p, q, merges, splits in edges:
+        after.setdefault(p, {})[q] = (bool(merges), bool(splits))
+    nodes = sorted({x for e in edges for x in e[:2]}, key=str)
+
+    def path(a, b, without: set) -> list | None:
+        back, todo = {a: None}, [a]
+        for at in todo:
+            if at == b:
+                out = [at]
+                while back[at] is not None:
+                    at = back[at]
+                    out.append(at)
+                return out
+            for to in after.get(at, ()):
+                if to not in back and to not in without:
+                    back[to] = at
+                    todo.append(to)
+        return None
+
+    def exists(a, b, flag: int) -> bool:
+        marked = [(p, q) for p, to in after.items() for q, said in to.items() if said[flag]]
+        for p, q in marked:
+            if p == b or q == a:
+                continue
+            first = path(a, p, {q, b})
+            if first is not None and (q == b or path(q, b, set(first)) is not None):
+                return True
+        stack = [(a, frozenset([a]), False)]  # by all paths: only where shortest ones block each other
+        while stack:
+            at, seen, said = stack.pop()
+            for to, flags in after.get(at, {}).items():
+                if to in seen:
+                    continue
+                now = said or flags[flag]
+                if to == b:
+                    if now:
+                        return True
+                elif path(to, b, set(seen)) is not None:
+                    stack.append((to, seen | {to}, now))
+        return False
+
+    return [(a, b, a != b and exists(a, b, 0), a != b and exists(a, b, 1)) for a in nodes for b in nodes]
+
+
+def _condensed(steps: DataFrame, comps: DataFrame) -> DataFrame:
+    """The steps with those inside a component replaced: from each code of a component to wherever the component can be left."""
+    kind = steps.schema["a"].dataType.simpleString()
+    side = lambda end: comps.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}"))
+    placed = steps.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    placed = written(placed.withColumn("inside", F.coalesce(F.col("comp_a") == F.col("comp_b"), F.lit(False))), "placed-steps")
+
+    def solve(group: pa.Table) -> pa.Table:
+        edges = list(zip(*(group[c].to_pylist() for c in ("a", "b", "merged", "split"))))
+        cols = list(zip(*ways_inside(edges)))
+        return pa.table([pa.array(c, t) for c, t in zip(cols, [group.schema.field("a").type] * 2 + [pa.bool_()] * 2)], names=["from", "a", "m1", "s1"])
+
+    inside = placed.where("inside").select("comp_a", "a", "b", "merged", "split")
+    ways = written(inside.groupBy("comp_a").applyInArrow(solve, f"`from` {kind}, a {kind}, m1 boolean, s1 boolean"), "ways")
+    leaving = placed.where("not inside and comp_a is not null").join(ways, "a")
+    left = leaving.select(F.col("from").alias("a"), "b", (F.col("merged") | F.col("m1")).alias("merged"), (F.col("split") | F.col("s1")).alias("split"), (F.col("direct") & (F.col("from") == F.col("a"))).alias("direct"))
+    return placed.where("comp_a is null").select("a", "b", "merged", "split", "direct").unionByName(left)
 
 
 def resolve_replacements(edges: DataFrame, valid: DataFrame) -> DataFrame:
@@ -193,33 +304,29 @@ def resolve_replacements(edges: DataFrame, valid: DataFrame) -> DataFrame:
 
     Paths follow edges (prev, next) to any length, stop at the first code in effect and hold no code twice; dead ends
     are dropped. On the left a pair is `n` if any hop's target has other sources, on the right if any code on the way
-    has several successors; over several paths, if any of them says so. A frontier row is a code, where it has come to
-    and what was said on the way, each once, however many paths lead there; only codes on cycles are remembered as
-    visited. Each hop's frontier is checkpointed."""
+    has several successors; over several paths, if any of them says so. Without cycles that is path doubling, in as
+    many rounds as the longest path has binary digits. Where pairs are left that are further apart than there are
+    codes, the components that lie on cycles are found among those, each is replaced by the ways through it, and the
+    rest is doubled again; only inside a component are paths followed one by one."""
     flagged = replacement_flags(edges.distinct())
     good = valid.select("code").distinct().withColumn("ok", F.lit(True))
-    step = flagged.join(good.withColumnRenamed("code", "next"), "next", "left").select("prev", "next", "merges", "splits", F.coalesce("ok", F.lit(False)).alias("ends"))
-    open_steps = step.join(good.select(F.col("code").alias("prev")), "prev", "left_anti").checkpoint()
-    round_about = _on_cycles(open_steps.where("not ends"))
-    cyclic = round_about.select(F.col("prev").alias("next")).union(round_about.select("next")).distinct().withColumn("again", F.lit(True))
-    open_steps = open_steps.join(cyclic, "next", "left").withColumn("again", F.coalesce("again", F.lit(False)))
-    starts = open_steps.select(F.col("prev").alias("code")).distinct()
-    seen = F.when(F.col("again"), F.array("code")).otherwise(F.array().cast(f"array<{edges.schema['prev'].dataType.simpleString()}>"))
-    front = starts.join(cyclic.withColumnRenamed("next", "code"), "code", "left").withColumn("again", F.coalesce("again", F.lit(False)))
-    front = front.select("code", F.col("code").alias("at"), seen.alias("seen"), F.lit(False).alias("merged"), F.lit(False).alias("split"))
-    ends, first = [], True
-    while True:
-        moved = front.join(open_steps, front["at"] == open_steps["prev"]).where(~F.array_contains("seen", F.col("next")))
-        visited = F.when(F.col("again"), F.array_sort(F.concat("seen", F.array("next")))).otherwise(F.col("seen"))
-        moved = moved.select("code", F.col("next").alias("at"), visited.alias("seen"), (F.col("merged") | F.col("merges")).alias("merged"), (F.col("split") | F.col("splits")).alias("split"), "ends").distinct()
-        moved = moved.checkpoint()
-        ends.append(moved.where("ends").select("code", F.col("at").alias("target"), "merged", "split", F.lit(first).alias("direct")))
-        front, first = moved.where("not ends").drop("ends"), False
-        if front.isEmpty():
-            break
-    found = reduce(DataFrame.union, ends).groupBy("code", "target").agg(F.max("merged").alias("merged"), F.max("split").alias("split"), F.max("direct").alias("direct"))
+    step = flagged.join(good.withColumnRenamed("code", "next"), "next", "left").select("prev", "next", "merges", "splits", F.coalesce("ok", F.lit(False)).alias("stops"))
+    step = step.join(good.select(F.col("code").alias("prev")), "prev", "left_anti")
+    steps = written(step.select(F.col("prev").alias("a"), F.col("next").alias("b"), F.col("merges").alias("merged"), F.col("splits").alias("split"), "stops"), "replacements")
+    split = lambda df: (df.where("not stops").drop("stops"), df.where("stops").drop("stops"))
+    codes = steps.select("a").distinct().count()
+    open_, ends = split(steps.withColumn("direct", F.lit(False)))
+    found, far, _ = double_paths(open_, ends.withColumn("direct", F.lit(True)), codes)
+    if far is not None:
+        around = far.select(F.col("a").alias("node")).distinct().join(far.select(F.col("b").alias("node")).distinct(), "node", "left_semi")
+        core = open_.join(around.withColumnRenamed("node", "a"), "a", "left_semi").join(around.withColumnRenamed("node", "b"), "b", "left_semi")
+        comps = written(_components(core), "components")
+        direct = steps.withColumn("direct", F.col("stops"))
+        through = written(_condensed(direct.drop("stops"), comps).join(good.select(F.col("code").alias("b"), F.col("ok").alias("stops")), "b", "left").withColumn("stops", F.coalesce("stops", F.lit(False))), "condensed")
+        open_, ends = split(through)
+        found, _, _ = double_paths(written(_merged(open_), "steps"), written(_merged(ends), "ends"), codes + 1)
     side = lambda c: F.when(F.col(c), "n").otherwise("1")
-    return found.select("code", "target", F.concat(side("merged"), F.lit(":"), side("split")).alias("cardinality"), "direct")
+    return _merged(found).select(F.col("a").alias("code"), F.col("b").alias("target"), F.concat(side("merged"), F.lit(":"), side("split")).alias("cardinality"), "direct")
 
 
 def mapping_cardinality(pairs: DataFrame, a: str, b: str) -> DataFrame:
@@ -231,12 +338,29 @@ def mapping_cardinality(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return distinct.join(many_b, a).join(many_a, b).select(a, b, F.concat(side("many_a"), F.lit(":"), side("many_b")).alias("cardinality"))
 
 
-def newest_in_effect(folders: DataFrame, files: DataFrame, day: Column | str) -> DataFrame:
-    """(title, folder, effective): for each title the newest folder in effect on a day that has its file.
-    folders(folder, effective), files(folder, title)."""
-    on = F.to_date(F.lit(day)) if isinstance(day, str) else day
-    usable = files.join(folders.where(F.col("effective") <= on), "folder")
-    return usable.groupBy("title").agg(F.max(F.struct("effective", "folder")).alias("m")).select("title", "m.folder", "m.effective")
+def files_taken(folders: DataFrame, files: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(source, title, folder, effective, name) of all files that a title would be taken from: those that match its
+    pattern, or zips that match its archive's. folders(source, folder, effective), files(source, folder, name),
+    patterns(source, title, pattern, archive)."""
+    matching = lambda p: F.call_function("regexp", F.col("name"), F.concat(F.lit("(?i)"), F.col(p)))
+    zipped = F.col("archive").isNotNull() & F.col("name").rlike(r"(?i)\.zip$") & matching("archive")
+    named = files.join(patterns, "source").where(matching("pattern") | F.coalesce(zipped, F.lit(False)))
+    return named.select("source", "title", "folder", "name").join(folders, ["source", "folder"]).select("source", "title", "folder", "effective", "name")
+
+
+def newest_in_effect(folders: DataFrame, files: DataFrame, patterns: DataFrame, days: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(source, day, title, folder, effective): for each day and title the newest folder in effect that has a file for it
+    (of one date the last by name); and violations: titles that none has. days(source, day). Folders and days are one
+    ordered sequence of each source and title, in which a day takes the last folder before it."""
+    have = files_taken(folders, files, patterns).select("source", "title", "folder", "effective").distinct()
+    ask = days.select("source", "day").distinct().join(patterns.select("source", "title").distinct(), "source")
+    said = have.select("source", "title", F.col("effective").alias("at"), F.lit(0).alias("asks"), "folder", "effective")
+    none = dict(said.dtypes)
+    asked = ask.select("source", "title", F.col("day").alias("at"), F.lit(1).alias("asks"), F.lit(None).cast(none["folder"]).alias("folder"), F.lit(None).cast(none["effective"]).alias("effective"))
+    found = running(said.unionByName(asked), ["source", "title"], ["at", "asks", "folder"], last=["folder", "effective"]).where("asks = 1")
+    out = found.select("source", F.col("at").alias("day"), "title", F.col("last_folder").alias("folder"), F.col("last_effective").alias("effective"))
+    message = F.concat(F.lit("no release folder in effect on "), F.col("day").cast("string"), F.lit(" has a file for "), "title")
+    return out.where("folder is not null"), out.where("folder is null").select(F.col("source").cast("string").alias("key"), message.alias("message"))
 
 
 def newest_month(held: DataFrame, available: DataFrame, this_month: str) -> DataFrame:

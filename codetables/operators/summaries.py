@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from codetables.operators.scans import least, running
+
 
 def ambiguous_keys(pairs: list[DataFrame], key: str, owner: str) -> DataFrame:
     """Keys that more than one owner has over all inputs, with the least and the greatest of them."""
@@ -48,11 +50,16 @@ def first_by_order(df: DataFrame, key: str, value: str, line: str) -> DataFrame:
 
 
 def group_findings(df: DataFrame, kind: str, term: str, ident: str, examples: int = 5) -> DataFrame:
-    """For each kind and term the number of ids and the first examples; ids that are numbers in their order."""
-    sortable = F.struct(F.expr(f"try_cast({ident} as long)").alias("n"), F.col(ident).cast("string").alias("id"))
-    distinct = df.select(kind, term, sortable.alias("s")).distinct()
-    ranked = distinct.withColumn("rank", F.row_number().over(Window.partitionBy(kind, term).orderBy("s")))
-    return ranked.groupBy(kind, term).agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("rank") <= examples, F.col("s")))), lambda s: s["id"]), ", ").alias("examples"))
+    """For each kind and term the number of ids and the first examples; ids that are numbers in their order, behind others.
+    Every task counts and keeps its first ones, so no term's ids meet in one task."""
+    number = F.expr(f"try_cast({ident} as long)")
+    # As text in the order of the numbers: sixteen digits of the number above the least one.
+    ordered = F.lpad(F.hex(number.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    sortable = F.when(number.isNull(), F.concat(F.lit("0"), F.col(ident).cast("string"))).otherwise(F.concat(F.lit("1"), ordered, F.col(ident).cast("string")))
+    distinct = df.select(kind, term, sortable.alias("_id")).distinct()
+    found = least(distinct, [kind, term], "_id", examples)
+    named = F.transform("least", lambda x: F.when(F.startswith(x, F.lit("0")), F.substring(x, 2, 1 << 30)).otherwise(F.substring(x, 18, 1 << 30)))
+    return found.select(kind, term, "n", F.array_join(named, ", ").alias("examples"))
 
 
 def collect_replacements(retired: DataFrame, mapped: DataFrame, code: str, replacement: str) -> DataFrame:
@@ -93,6 +100,11 @@ def release_label(inputs: DataFrame, source: str = "source") -> DataFrame:
     return inputs.groupBy(source).agg(F.coalesce(F.date_format(F.max("modified"), "yyyy-MM-dd"), F.lit("unlabelled")).alias("label"))
 
 
+def listing_label(taken: DataFrame) -> DataFrame:
+    """(source, day, label): the newest date of the folders that a listing's files were taken from."""
+    return taken.groupBy("source", "day").agg(F.date_format(F.max("effective"), "yyyy-MM-dd").alias("label"))
+
+
 def pick_copy(copies: DataFrame, group: str, root: Column, parent: str) -> DataFrame:
     """Of several copies of a group its own one, else that of the lowest parent."""
     one = copies.select(group, parent, root.alias("_root")).distinct()
@@ -101,15 +113,12 @@ def pick_copy(copies: DataFrame, group: str, root: Column, parent: str) -> DataF
 
 
 def budget_lines(lines: DataFrame, group: str, order: str, text: str, share: int) -> tuple[DataFrame, DataFrame]:
-    """The lines of each list that fit in a share (a line costs its length and 3), and how many more there are. Only as
-    many as could fit at 3 characters each are ranked further."""
-    window = Window.partitionBy(group).orderBy(order)
-    ranked = lines.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= share // 3 + 1)
-    used = ranked.withColumn("used", F.sum(F.length(text) + 3).over(window.rowsBetween(Window.unboundedPreceding, 0)))
-    shown = used.where(F.col("used") <= share)
-    total = lines.groupBy(group).agg(F.count("*").alias("total"))
-    more = total.join(shown.groupBy(group).agg(F.count("*").alias("shown")), group, "left")
-    return shown.select(*lines.columns, "rank"), more.select(group, (F.col("total") - F.coalesce("shown", F.lit(0))).alias("more"))
+    """The lines of each list, with their rank, that fit in a share (a line costs its length and 3), and how many more
+    there are. A list of any length is many tasks: see `running`."""
+    placed = running(lines.withColumn("_cost", F.length(text) + 3), [group], [order, text], "_cost")
+    shown = placed.where(F.col("running") <= share)
+    more = placed.groupBy(group).agg(F.sum(F.when(F.col("running") <= share, 0).otherwise(1)).alias("more"))
+    return shown.select(*lines.columns, "rank"), more
 
 
 def share_budget(budget: int, sizes: list[int]) -> list[int]:

@@ -141,7 +141,8 @@ def drugs(conso: DataFrame, rels: DataFrame, series: dict[str, str]) -> BuildRes
     counted = found.withColumn("n", F.count("*").over(Window.partitionBy("code")))
     single = counted.where("n = 1").select("code", "target", F.when(F.col("chained"), CHAINED).otherwise(CURATED).alias("why"))
     parts = R.hop(concepts.where("type = 'MIN'").select("code", F.col("code").alias("at")), rel, "has_part", concepts, "IN").toDF("code", "target")
-    several = R.match_sets(counted.where("n > 1"), parts, "code", "target").select(F.col("key").alias("code"), F.col("match").alias("target"), F.lit(CHAINED).alias("why"))
+    several, double = R.match_sets(counted.where("n > 1"), parts, "code", "target")
+    several = several.select(F.col("key").alias("code"), F.col("match").alias("target"), F.lit(CHAINED).alias("why"))
     itself = concepts.where("type in ('IN', 'MIN')").select("code", F.col("code").alias("target"), F.lit(CURATED).alias("why"))
     active = single.union(several).union(itself).withColumn("property", F.lit(_ACTIVE))
     precise = R.follow(concepts, rel, PRECISE_PATHS).select("code", "target", F.when(F.col("chained"), CHAINED).otherwise(CURATED).alias("why")).withColumn("property", F.lit(_PRECISE))
@@ -156,7 +157,7 @@ def drugs(conso: DataFrame, rels: DataFrame, series: dict[str, str]) -> BuildRes
     products = concepts.where(F.col("type").isin("SCD", "SBD", "GPCK", "BPCK")).withColumn("iri", iri("code"))
     rows = rows.unionByName(term_type_rows(products, series["products"], "iri", "type"))
     named = own.join(others, "code", "left").withColumns({"iri": iri("code"), "also": alt_labels("name", F.coalesce("others", F.array().cast("array<string>")))})
-    return BuildResult(rows.unionByName(names_rows(named, series["names"], "iri", "name", "also", "code")), [wrong])
+    return BuildResult(rows.unionByName(names_rows(named, series["names"], "iri", "name", "also", "code")), [wrong, double])
 
 
 def drug_history(answers: DataFrame, series: str) -> BuildResult:

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from codetables.functions import scalars as X
 from codetables.functions.rows import (
-    MEMBER_OF, from_triples, mapping_rows, member_rows, merge_rows, names_rows, row_content, row_lines, status_rows,
+    CURATED, MEMBER_OF, from_triples, mapping_rows, member_rows, merge_rows, names_rows, row_content, row_lines, status_rows,
     term_type_rows, to_triples,
 )
 from codetables.operators import checks as Q
 from codetables.operators import relations as R
 from codetables.operators import summaries as S
 from codetables.operators import versions as V
-from codetables.operators.carry import carry_forward, carry_status, rekey_carried
+from codetables.operators.carry import apply_history, carry_forward, carry_status, rekey_carried
+from codetables.operators.scans import running
 from codetables.sources.shared import shared_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,11 +198,20 @@ def last_and_first_by_order(spark, sf):
 @query("""
 WITH s AS (SELECT l_orderkey AS k, list_sort(list(DISTINCT l_suppkey)) AS x FROM lineitem GROUP BY l_orderkey),
 c AS (SELECT o_custkey AS k, list_sort(list(DISTINCT l_suppkey)) AS x FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey)
-SELECT s.k AS key, c.k AS match FROM s JOIN c ON s.x = c.x""")
+SELECT s.k AS key, max(c.k) AS match FROM s JOIN c ON s.x = c.x GROUP BY s.k""")
 def set_match(spark, sf):
     line = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), "l_suppkey")
     cust = _t(spark, sf, "lineitem").join(_t(spark, sf, "orders"), F.expr("l_orderkey = o_orderkey")).select(F.col("o_custkey").alias("k"), "l_suppkey")
-    return R.match_sets(line, cust, "k", "l_suppkey")
+    return R.match_sets(line, cust, "k", "l_suppkey")[0]
+
+
+@query("""
+WITH c AS (SELECT o_custkey AS k, list_sort(list(DISTINCT o_orderpriority)) AS x FROM orders GROUP BY o_custkey)
+SELECT CAST(max(k) AS VARCHAR) AS key, 'has the same set as ' || min(k) AS message FROM c GROUP BY x HAVING count(*) > 1""")
+def set_doubles(spark, sf):
+    """Customers whose sets of priorities another customer has, too."""
+    o = _t(spark, sf, "orders").select(F.col("o_custkey").alias("k"), "o_orderpriority")
+    return R.match_sets(o, o, "k", "o_orderpriority")[1]
 
 
 @query("""
@@ -298,38 +308,107 @@ def lookup_labels(spark, sf):
     return R.lookup_labels(terms, "p_partkey", "terms", labels)[0].select("p_partkey", F.array_join("concepts", "|").alias("concepts"))
 
 
-@query("SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k FROM events GROUP BY event_type")
-def history_json(spark, sf):
-    e = _t(spark, sf, "events").select("event_type", F.from_json("props", "k long").alias("p"))
-    return e.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("p.k").alias("k"))
+@query(f"""
+SELECT '{X.SPACES["rxnorm"]}' || p_partkey AS key, CASE WHEN p_size > 40 THEN '' WHEN p_size > 30 THEN '{X.SPACES["rxnorm"]}' || p_size
+  ELSE array_to_string(list_transform(list_sort(list_distinct(['{X.SPACES["rxnorm"]}' || (p_partkey + 1), '{X.SPACES["rxnorm"]}' || p_size])), lambda x: x), '|') END AS replaced_by
+FROM part WHERE p_size > 20""")
+def history_rows(spark, sf):
+    """Status rows from history answers: codes of parts that are active, remapped, quantified or obsolete, by size."""
+    p = _t(spark, sf, "part")
+    status = F.when(F.col("p_size") > 40, "Obsolete").when(F.col("p_size") > 30, "Quantified").when(F.col("p_size") > 20, "Remapped").otherwise("Active")
+    code, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    remapped = F.array(*[F.struct(c.alias("remappedRxCui")) for c in ((F.col("p_partkey") + 1).cast("string"), size, size)])
+    derived = F.struct(remapped.alias("remappedConcept"), F.array(F.struct(size.alias("quantifiedRxcui"))).alias("quantifiedConcept"))
+    history = F.struct(F.struct(status.alias("status")).alias("metaData"), derived.alias("derivedConcepts"))
+    answers = p.select(F.to_json(F.struct(code.alias("code"), F.struct(history.alias("rxcuiStatusHistory")).alias("answer"))).alias("value"))
+    return apply_history(answers, "status", "rxnorm")[0].select("key", F.array_join("replacedBy", "|").alias("replaced_by"))
 
 
 @query("""
-SELECT page_id, unnest(list_distinct(regexp_extract_all(html, '<a [^>]*href="([^"]+)"', 1))) AS href FROM pages""")
+WITH f AS (SELECT o_custkey AS source, CAST(o_orderkey AS VARCHAR) AS title, md5(o_orderstatus || o_orderkey) AS checksum FROM orders)
+SELECT 's' || source || '-' || sha256(string_agg(checksum, chr(10) ORDER BY title))[1:12] AS tag, array_to_string(list(title ORDER BY title), '|') AS titles FROM f GROUP BY source""")
+def release_manifests(spark, sf):
+    """The tag and the files of each customer's release, whose files are the orders."""
+    o = _t(spark, sf, "orders").select(F.concat(F.lit("s"), "o_custkey").alias("source"), F.col("o_orderkey").cast("string").alias("title"), F.md5(F.concat("o_orderstatus", "o_orderkey").cast("binary")).alias("checksum"))
+    return V.release_manifests(o).select("tag", F.array_join("titles", "|").alias("titles"))
+
+
+@query(r"""
+WITH p AS (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*href="([^"]+)"[^>]*>', 1)) AS r FROM pages)
+SELECT DISTINCT page_id, replace(r[2:], '&amp;', '&') AS name, false AS is_folder FROM p WHERE r LIKE '/_%' AND NOT contains(r[2:], '/')""")
 def page_links(spark, sf):
-    return V.list_links(_t(spark, sf, "pages"), "page_id", "html").select("page_id", "href")
+    """Links of the pages, as listings of their hosts, that lie directly below."""
+    p = _t(spark, sf, "pages").withColumn("base", F.concat(F.regexp_extract("url", "^[a-z]+://[^/?#]+", 0), F.lit("/")))
+    return V.list_links(p, "page_id", "html", "base").select("page_id", "name", "is_folder")
+
+
+@query(r"""
+WITH o AS (SELECT o_custkey AS page, o_orderkey AS k, 'https://example.org/pub/' || o_custkey || '/' AS base, o_orderdate AS d, o_orderkey % 7 AS kind FROM orders)
+SELECT page, CASE WHEN kind IN (0, 1) THEN 'o' || k || '.txt' WHEN kind = 2 THEN 'o' || k WHEN kind = 4 THEN 'o ' || k || '+é.txt?v=1&w=2' ELSE '?C=' || k END AS name,
+  base || CASE WHEN kind IN (0, 1) THEN 'o' || k || '.txt' WHEN kind = 2 THEN 'o' || k || '/' WHEN kind = 4 THEN 'o%20' || k || '+%C3%A9.txt?v=1&w=2' ELSE '?C=' || k END AS href,
+  kind = 2 AS is_folder, CASE WHEN kind <> 6 THEN CAST(CAST(d AS DATE) AS TIMESTAMP) + INTERVAL 14 HOUR + INTERVAL 25 MINUTE END AS modified
+FROM o WHERE kind NOT IN (3, 5)""")
+def listing_links(spark, sf):
+    """A customer's orders as a folder listing, with every kind of reference, entities and times."""
+    o = _t(spark, sf, "orders").withColumns({"base": F.concat(F.lit("https://example.org/pub/"), "o_custkey", F.lit("/")), "n": F.col("o_orderkey").cast("string")})
+    kind = F.col("o_orderkey") % 7
+    reference = (
+        F.when(kind == 0, F.concat(F.lit("o"), "n", F.lit(".txt"))).when(kind == 1, F.concat(F.lit("/x/../pub/"), "o_custkey", F.lit("/./o"), "n", F.lit(".txt")))
+        .when(kind == 2, F.concat(F.lit("./a/b/../../o"), "n", F.lit("/"))).when(kind == 3, "../").when(kind == 4, F.concat(F.lit("HTTPS://EXAMPLE.org/pub/"), "o_custkey", F.lit("/o%20"), "n", F.lit("+&#233;.txt?v=1&amp;w=2")))
+        .when(kind == 5, F.concat(F.lit("//elsewhere.org/pub/"), "o_custkey", F.lit("/o"))).otherwise(F.concat(F.lit("?C="), "n"))
+    )
+    time = F.when(kind == 6, "no time ").otherwise(F.concat(F.date_format("o_orderdate", "M/d/yyyy"), F.lit("  2:25 PM  ")))
+    line = F.concat(time, F.lit('<A class="x" HREF="'), reference, F.lit('">'), "n", F.lit("</A><br/>"))
+    pages = o.groupBy("o_custkey", "base").agg(F.concat(F.lit("<html>[To Parent]<br>"), F.array_join(F.collect_list(line), "\n")).alias("html"))
+    return V.list_links(pages.withColumnRenamed("o_custkey", "page"), "page", "html", "base")
 
 
 @query("""
 WITH v AS (SELECT page_id, unnest(regexp_extract_all(html, '([0-9]+\\.[0-9]+)', 1)) AS version FROM pages),
 s AS (SELECT page_id, regexp_replace(string_split(version, '.')[1], '^0+(.)', '\\1') AS a, regexp_replace(string_split(version, '.')[2], '^0+(.)', '\\1') AS b FROM v),
 k AS (SELECT page_id, CASE WHEN b = '0' THEN [{'n': length(a), 'd': a}] ELSE [{'n': length(a), 'd': a}, {'n': length(b), 'd': b}] END AS n FROM s)
-SELECT page_id, array_to_string(list_transform(max(n), lambda x: x.d), '.') AS newest FROM k GROUP BY page_id""")
+SELECT page_id, array_to_string(list_transform(max(n), lambda x: x.d), '.') AS newest FROM k JOIN pages USING (page_id) GROUP BY page_id, url
+HAVING url NOT LIKE 'https:%' OR max(n) > [{'n': 2, 'd': '50'}]""")
 def newest_version(spark, sf):
     pages = _t(spark, sf, "pages")
-    held = pages.where(F.length("html") < 0).select("page_id", F.lit("").alias("version"))
+    held = pages.where(F.startswith("url", F.lit("https:"))).select("page_id", F.explode(F.array(F.lit("9.9"), F.lit("50.0"))).alias("version"))
     v = V.newer_versions(pages, held, "page_id", "html", r"([0-9]+\.[0-9]+)")[0]
     return v.select("page_id", F.array_join(X.parse_version("newest")["digits"], ".").alias("newest"))
 
 
-@query("""
-WITH f AS (SELECT DISTINCT o_orderpriority AS title, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderdate <= TIMESTAMP '1996-06-30')
-SELECT title, max(d) AS effective FROM f GROUP BY title""")
+_FILES = """
+f AS (SELECT DISTINCT o_orderstatus AS source, CAST(o_orderdate AS DATE) AS effective, o_orderpriority[1:1] AS title FROM orders),
+days AS (SELECT DISTINCT o_orderstatus AS source, CAST(l_shipdate AS DATE) AS day FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+ask AS (SELECT source, day, title FROM days, (SELECT unnest(['1', '2', '3', '4', '5']) AS title) AS t)"""
+
+
+def _listing(spark, sf):
+    """Order dates as release folders of the order's status, each with a file (or a zip of many) for each priority."""
+    o = _t(spark, sf, "orders").select(F.col("o_orderstatus").alias("source"), F.to_date("o_orderdate").alias("effective"), F.substring("o_orderpriority", 1, 1).alias("title"), "o_custkey")
+    folder = F.date_format("effective", "yyyy-MM-dd")
+    name = F.when(F.col("o_custkey") % 2 == 0, F.concat(F.lit("Pack-"), "title", F.lit(".ZIP"))).otherwise(F.concat(F.lit("file-"), "title", F.lit(".txt")))
+    folders, files = o.select("source", folder.alias("folder"), "effective").distinct(), o.select("source", folder.alias("folder"), name.alias("name")).distinct()
+    titles = o.select("source").distinct().select("source", F.explode(F.array(*[F.lit(str(k)) for k in range(1, 6)])).alias("title"))
+    patterns = titles.select("source", "title", F.concat(F.lit(r"^FILE-"), "title", F.lit(r"\.txt$")).alias("pattern"), F.concat(F.lit("^pack-"), "title").alias("archive"))
+    ship = _t(spark, sf, "lineitem").join(_t(spark, sf, "orders"), F.expr("l_orderkey = o_orderkey"))
+    return folders, files, patterns, ship.select(F.col("o_orderstatus").alias("source"), F.to_date("l_shipdate").alias("day")).distinct()
+
+
+@query(f"""
+WITH {_FILES.strip()}
+SELECT a.source, a.day, a.title, f.effective, strftime(f.effective, '%Y-%m-%d') AS folder
+FROM ask a ASOF JOIN f ON a.source = f.source AND a.title = f.title AND a.day >= f.effective""")
 def newest_in_effect(spark, sf):
-    o = _t(spark, sf, "orders").select("o_orderpriority", F.to_date("o_orderdate").alias("d"))
-    folders = o.select(F.date_format("d", "yyyy-MM-dd").alias("folder"), F.col("d").alias("effective")).distinct()
-    files = o.select(F.date_format("d", "yyyy-MM-dd").alias("folder"), F.col("o_orderpriority").alias("title")).distinct()
-    return R.newest_in_effect(folders, files, "1996-06-30").select("title", "effective")
+    return R.newest_in_effect(*_listing(spark, sf))[0]
+
+
+@query(f"""
+WITH {_FILES.strip()},
+r AS (SELECT a.source, a.day, max(f.effective) AS label FROM ask a ASOF JOIN f ON a.source = f.source AND a.title = f.title AND a.day >= f.effective GROUP BY a.source, a.day)
+SELECT source, day, strftime(label, '%Y-%m-%d') AS label FROM r""")
+def listing_labels(spark, sf):
+    """A listing's label on each day: the newest date of the folders used."""
+    return S.listing_label(R.newest_in_effect(*_listing(spark, sf))[0])
 
 
 @query("""
@@ -408,22 +487,58 @@ def unique_values(spark, sf):
     return S.unique_across_rows(_t(spark, sf, "part"), "p_name", "p_partkey")
 
 
-@query()
+@query("""
+WITH c AS (SELECT *, CAST(c_custkey AS VARCHAR) AS k, replace(c_name, '#', chr(92) || '#') AS name, c_mktsegment <> 'BUILDING' AS was, c_acctbal >= 0 OR c_mktsegment = 'MACHINERY' AS now FROM customer),
+d AS (SELECT *, CASE WHEN now AND NOT was THEN 'added' WHEN was AND NOT now THEN 'removed' ELSE 'changed' END AS change FROM c WHERE was OR now),
+l AS (
+  SELECT 'names' AS series, change, c_custkey AS o, '`' || k || '`: ' || name || CASE WHEN c_nationkey = 3 AND change <> 'removed' THEN ' ' || chr(92) || '<new' || chr(92) || '>' ELSE '' END ||
+    CASE WHEN change = 'changed' THEN ', also called ' || c_mktsegment || ' (was `' || k || '`: ' || name || ', also called ' || c_mktsegment || ')' ELSE '' END AS line
+  FROM d WHERE change <> 'changed' OR c_nationkey = 3
+  UNION ALL
+  SELECT 'nations', change, c_custkey, '`' || k || '` → `' || c_nationkey || '` (RO_0002350' || CASE WHEN change = 'changed' THEN ', justified by LexicalMatching) (was `' || k || '` → `' || c_nationkey || '` (RO_0002350, justified by ManualMappingCuration))' ELSE ')' END
+  FROM d WHERE change <> 'changed' OR c_acctbal > 5000)
+SELECT series, change, line, row_number() OVER (PARTITION BY series, change ORDER BY o) AS rank FROM l""")
 def describe_changes(spark, sf):
-    before, after, _ = _customers(spark, sf)
-    found = V.diff(V.with_content(before), V.with_content(after))
-    return V.describe_changes(found, before, after).select("key", "change", "line")
+    """Customers of one segment came, others in debt left; those of a nation have a new name, rich ones another reason."""
+    c = _t(spark, sf, "customer").withColumns({"iri": X.code_iri(CUST, F.col("c_custkey").cast("string")), "code": F.col("c_custkey").cast("string"), "other": F.array("c_mktsegment")})
+    c = c.withColumn("nation", X.code_iri("https://example.org/nation/", F.col("c_nationkey").cast("string")))
 
+    def release(df, new: bool):
+        df = df.withColumn("name", F.when((F.col("c_nationkey") == 3) & F.lit(new), F.concat("c_name", F.lit(" <new>"))).otherwise(F.col("c_name")))
+        why = F.when((F.col("c_acctbal") > 5000) & F.lit(new), "https://w3id.org/semapv/vocab/LexicalMatching").otherwise(CURATED)
+        return names_rows(df, "names", "iri", "name", "other", "code").unionByName(mapping_rows(df.withColumn("why", why), "nations", "iri", MEMBER_OF, "nation", "why"))
 
-@query("""
+    before, after = release(c.where("c_mktsegment <> 'BUILDING'"), False), release(c.where("c_acctbal >= 0 or c_mktsegment = 'MACHINERY'"), True)
+    lines = V.describe_changes(V.diff(V.with_content(before), V.with_content(after)), before, after)
+    return running(lines, ["series", "change"], ["order"]).select("series", "change", "line", "rank")
+
+
+_BUDGET = """
 WITH l AS (SELECT p_brand, p_name, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rank,
-  sum(length(p_name) + 3) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS used FROM part)
-SELECT p_brand, p_partkey, CAST(rank AS INTEGER) AS rank FROM l WHERE used <= 200""")
+  sum(length(p_name) + 3) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS used FROM part)"""
+
+
+@query(f"{_BUDGET} SELECT p_brand, p_partkey, rank FROM l WHERE used <= 200")
 def budget_lines(spark, sf):
     p = _t(spark, sf, "part").select("p_brand", "p_partkey", "p_name")
     return S.budget_lines(p, "p_brand", "p_partkey", "p_name", 200)[0].select("p_brand", "p_partkey", "rank")
 
 
+@query(f"{_BUDGET} SELECT p_brand, count(*) FILTER (used > 200) AS more FROM l GROUP BY p_brand")
+def budget_more(spark, sf):
+    p = _t(spark, sf, "part").select("p_brand", "p_partkey", "p_name")
+    return S.budget_lines(p, "p_brand", "p_partkey", "p_name", 200)[1]
+
+
+@query("""
+SELECT event_id, row_number() OVER w AS rank, CAST(sum(user_id) OVER w AS BIGINT) AS running, last_value(CASE WHEN user_id % 5 = 0 THEN event_id END IGNORE NULLS) OVER w AS last_fifth
+FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def running_sums(spark, sf):
+    """Numbers, sums and last values along the few, long lists of events of a type."""
+    e = _t(spark, sf, "events").select("event_id", "event_type", "user_id").withColumn("fifth", F.when(F.col("user_id") % 5 == 0, F.col("event_id")))
+    return running(e, ["event_type"], ["event_id"], "user_id", ["fifth"]).select("event_id", "rank", "running", "last_fifth")
+
+
 @query("""
 WITH h AS (SELECT sha256(l_orderkey || '|' || l_linenumber || '|' || l_returnflag) AS h FROM lineitem)
 SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST('0x' || h[1:15] AS BIGINT)) AS VARCHAR) AS f1, CAST(sum(CAST('0x' || h[17:31] AS BIGINT)) AS VARCHAR) AS f2 FROM h""")
@@ -486,7 +601,11 @@ def system_of(spark, sf):
     return R.system_of(c, "iri", registry)
 
 
-@query()
+@query(f"""
+WITH p AS (SELECT '{PART}' || url_encode(p_name) AS key, * FROM part), skos AS (SELECT 'http://www.w3.org/2004/02/skos/core#' AS s)
+SELECT key, '<' || key || '> <' || s || 'prefLabel> "' || p_name || '" .' AS line FROM p, skos
+UNION ALL SELECT key, '<' || key || '> <' || s || 'notation> "' || p_partkey || '" .' FROM p, skos
+UNION ALL SELECT key, '<' || key || '> <' || s || 'altLabel> "' || o || '" .' FROM (SELECT key, p_name, unnest(list_distinct([p_brand, p_type])) AS o FROM p), skos WHERE o <> p_name""")
 def nquad_lines(spark, sf):
     return _named_parts(spark, sf).select("key", F.explode(row_lines()).alias("line"))
 

@@ -11,6 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from codetables.sources.shared import written
+
+
+#: Blocks of files whose starts are broadcast at most; more of them are joined.
+MAX_BROADCAST_BLOCKS = 200_000
+
 
 class Refusal(Exception):
     """A release that can't be built: nothing is written."""
@@ -19,12 +25,15 @@ class Refusal(Exception):
 def numbered(df: DataFrame) -> DataFrame:
     """df (file, block, value) with `number`, the line's number in its file from 1, by the sizes of the blocks before it.
 
-    Lines keep their order within a partition, and a partition holds whole blocks of a file."""
+    Lines keep their order within a partition, and a partition holds whole blocks of a file. The blocks' starts are a row
+    each and are broadcast, up to a number of them, so no line is shuffled."""
     placed = df.withColumn("_row", F.monotonically_increasing_id())
     firsts = placed.groupBy("file", "block").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = firsts.select("file", "block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return placed.join(starts, ["file", "block"]).withColumn("number", F.col("_row") - F.col("_first") + F.col("_before") + 1)
+    starts = written(starts, "block-starts")
+    few = starts.count() <= MAX_BROADCAST_BLOCKS
+    return placed.join(F.broadcast(starts) if few else starts, ["file", "block"]).withColumn("number", F.col("_row") - F.col("_first") + F.col("_before") + 1)
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -41,21 +50,6 @@ def read_delimited(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
     return read_lines(spark, path).select("file", "number", F.split("value", f"\\Q{sep}\\E", -1).alias("fields"))
 
 
-def read_csv_strict(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
-    """A quoted CSV with a header, all columns text, missing values empty. Refuses an empty file, a missing column, an
-    open quote; a record of another width fails the job that reads it."""
-    quotes = spark.read.option("lineSep", "\n").text(path).agg(F.sum(F.length(F.regexp_replace("value", '[^"]', ""))).alias("q")).first()["q"]
-    if (quotes or 0) % 2:
-        raise Refusal(f"{path}: a quote is open at the end")
-    df = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST", inferSchema=False)
-    if not df.columns:
-        raise Refusal(f"{path} is empty")
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise Refusal(f"{path} has no column {missing[0]}")
-    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
-
-
 def read_fixed_width(spark: SparkSession, path: str, fields: dict[str, tuple[int, int | None]]) -> DataFrame:
     """number and the named fields, cut by columns (from 0, end excluded; None: to the line's end)."""
 

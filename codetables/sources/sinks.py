@@ -28,48 +28,6 @@ def read_version(spark: SparkSession, path: str, series: str, version: str) -> D
     return found.select(*COLUMNS)
 
 
-#: Tables of a catalog besides the pointers (`series`), and what names a row of them.
-CATALOG = {"versions": ["iri"], "inputs": ["iri"], "version_inputs": ["version", "input"], "checks": None}
-
-
-def _generations(spark: SparkSession, path: str) -> list[str]:
-    """The complete folders of pointers, oldest first."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    names = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().startswith("series-"))
-    return [n for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
-
-
-def write_catalog(spark: SparkSession, path: str, added: dict[str, DataFrame]) -> None:
-    """New rows of versions, inputs, links and checks are appended. The small table of pointers (`series`, whole) goes to
-    a new folder after them, which counts once it is complete; the one before it stays till then, and one generation
-    longer for readers that have begun."""
-    for name, df in added.items():
-        if name != "series":
-            df.write.mode("append").parquet(f"{path}/{name}")
-    if "series" in added:
-        held = _generations(spark, path)
-        number = int(held[-1].rsplit("-", 1)[1]) + 1 if held else 0
-        added["series"].write.mode("overwrite").parquet(f"{path}/series-{number:08d}")
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for old in held[:-1]:
-            place(f"{path}/{old}").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place(f"{path}/{old}"), True)
-
-
-def read_catalog(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The catalog's tables. A row that a repeated attempt appended again counts once."""
-    out = {"series": spark.read.parquet(f"{path}/{_generations(spark, path)[-1]}")}
-    jvm = spark.sparkContext._jvm
-    for name, keys in CATALOG.items():
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-        if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
-            out[name] = spark.read.parquet(f"{path}/{name}").dropDuplicates(keys) if keys else spark.read.parquet(f"{path}/{name}").distinct()
-    return out
-
-
 def file_digests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """path, sha256 (hex) and name (ni:) of each file's bytes."""
     files = spark.read.format("binaryFile").load(paths)

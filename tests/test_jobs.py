@@ -50,15 +50,6 @@ def test_lines(spark, tmp_path):
     assert readers.read_delimited(spark, str(tmp_path / "a.txt.gz")).count() == 2
 
 
-def test_csv(spark, tmp_path):
-    (tmp_path / "a.csv").write_text('x,y\n"a ""q"", b\nc",\n')
-    assert [tuple(r) for r in readers.read_csv_strict(spark, str(tmp_path / "a.csv"), ["x"]).collect()] == [('a "q", b\nc', "")]
-    for text, message in (('x,y\n"a,b\n', "open"), ("x,y\n1,2\n", "no column z")):
-        (tmp_path / "b.csv").write_text(text)
-        with pytest.raises(readers.Refusal, match=message):
-            readers.read_csv_strict(spark, str(tmp_path / "b.csv"), ["z"])
-
-
 def test_xlsx_and_zip(spark, tmp_path):
     ns = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
     sheet = f'<worksheet xmlns="{ns}"><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1"><v>2.50</v></c></row><row r="3"><c r="B3" t="inlineStr"><is><t>in</t></is></c></row></sheetData></worksheet>'
@@ -94,23 +85,6 @@ def test_escapes_of_quads(spark, tmp_path):
     assert [got[f"s:{k}"] for k in range(len(texts))] == list(texts.values())
 
 
-def test_catalog(spark, tmp_path):
-    path = str(tmp_path / "catalog")
-    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
-    sinks.write_catalog(spark, path, {"series": frame([("s", None), ("t", None)], "iri string, current_version string"), "versions": frame([], "iri string, series string"), "inputs": frame([], "iri string"), "version_inputs": frame([], "version string, input string")})
-    for n in range(3):
-        held = sinks.read_catalog(spark, path)
-        added = V.add_version(held, frame([(f"v{n}", "s")], "iri string, series string"), frame([("i0",), (f"i{n}",)], "iri string"))
-        if n == 1:  # an attempt that was lost before the pointers were written
-            sinks.write_catalog(spark, path, {k: v for k, v in added.items() if k != "series"})
-        sinks.write_catalog(spark, path, added)
-    got = sinks.read_catalog(spark, path)
-    rows = lambda name: sorted(tuple(r) for r in got[name].collect())
-    assert rows("versions") == [("v0", "s"), ("v1", "s"), ("v2", "s")] and rows("inputs") == [("i0",), ("i1",), ("i2",)]
-    assert rows("version_inputs") == [("v0", "i0"), ("v1", "i0"), ("v1", "i1"), ("v2", "i0"), ("v2", "i2")]
-    assert {r["iri"]: r["current_version"] for r in got["series"].collect()} == {"s": "v2", "t": None}
-
-
 def test_diagnoses(spark):
     order = [("A000", "0"), ("B001", "0"), ("C002", "1"), ("C003", "1"), ("Z002", "1")]
     lines = [(k, c, f, "short", "long " + c) for k, (c, f) in enumerate(order, 1)]

@@ -111,11 +111,55 @@ def test_merge_and_schema(spark):
     assert {r["message"] for r in check_row_schema(rows).collect()} == {"subject is no address", "prefLabel is empty"}
 
 
+def _rows(spark, form, rows):
+    from codetables.functions.rows import rows_of
+
+    names = {"names": ["subject", "prefLabel", "altLabel", "notation"], "mapping": ["subject_id", "object_id", "mapping_justification"], "status": ["subject", "replacedBy"], "classification": ["variation", "hgvs", "classification", "reviewStatus", "lastEvaluated", "contributingSubmitterCount"]}[form]
+    kinds = ", ".join(f"{n} {COLUMNS[n]}" for n in names)
+    more = {"predicate_id": F.lit("http://purl.obolibrary.org/obo/RO_0002350")} if form == "mapping" else {}
+    return rows_of(spark.createDataFrame(rows, kinds), form, "s", **{n: n for n in names}, **more)
+
+
+def _lines(spark, form, before, after, labels=None):
+    a, b = _rows(spark, form, before), _rows(spark, form, after)
+    found = V.describe_changes(V.diff(V.with_content(a), V.with_content(b)), a, b, labels)
+    out = {"added": [], "removed": [], "changed": []}
+    for r in found.orderBy("order").collect():
+        out[r["change"]].append(r["line"])
+    return out
+
+
+def test_lines_of_changes(spark):
+    c = "https://ns.cascadeprotocol.org/codes/cvx/"
+    name = lambda k, label, *also: (c + k, label, list(also) or None, k)
+    mapping = lambda a, b, why="ManualMappingCuration": (c + a, c + b, "https://w3id.org/semapv/vocab/" + why)
+    assert _lines(spark, "names", [name("9", "nine")], [name("10", "ten"), name("45", "forty"), name("7", "x")]) == {"added": ["`7`: x", "`10`: ten", "`45`: forty"], "removed": ["`9`: nine"], "changed": []}
+    assert _lines(spark, "mapping", [mapping("77", "222")], [mapping("88", "88"), mapping("8", "88")]) == {"added": ["`8` → `88` (RO_0002350)", "`88` → `88` (RO_0002350)"], "removed": ["`77` → `222` (RO_0002350)"], "changed": []}
+    assert _lines(spark, "status", [], [(c + "57", None), (c + "17", [c + "88", c + "45"])])["added"] == ["`17`: retired, replaced by `45`, `88`", "`57`: retired"]
+    v = "https://ns.cascadeprotocol.org/cascade#"
+    row = lambda classes, n: ("https://identifiers.org/clinvar:90011", [f"https://ns.cascadeprotocol.org/codes/hgvs/NM_1.{k}" for k in range(n)], [v + x for x in classes], v + "ClinVarExpertPanel", "2024-12-11", 5)
+    labels = spark.createDataFrame([(v + "Pathogenic", "Pathogenic"), (v + "LikelyPathogenic", "Likely pathogenic"), (v + "ClinVarExpertPanel", "reviewed by expert panel")], "concept string, label string")
+    assert _lines(spark, "classification", [row(["Pathogenic"], 1)], [row(["Pathogenic", "LikelyPathogenic"], 2)], labels)["changed"] == [
+        "`90011`: Likely pathogenic, Pathogenic (reviewed by expert panel), 2024-12-11, 2 expressions (was `90011`: Pathogenic (reviewed by expert panel), 2024-12-11, 1 expression)"
+    ]
+    assert _lines(spark, "names", [name("45", "old <label>")], [name("45", "new label")])["changed"] == ["`45`: new label (was `45`: old \\<label\\>)"]
+    assert _lines(spark, "names", [name("45", "Hep B", "hepatitis B")], [name("45", "Hep B", "hepatitis B vaccine")])["changed"] == ["`45`: Hep B, also called hepatitis B vaccine (was `45`: Hep B, also called hepatitis B)"]
+    assert _lines(spark, "mapping", [mapping("1", "2")], [mapping("1", "2", "LexicalMatching")])["changed"] == ["`1` → `2` (RO_0002350, justified by LexicalMatching) (was `1` → `2` (RO_0002350, justified by ManualMappingCuration))"]
+    assert _lines(spark, "names", [], [name("a1", "@octocat ~~fixes~~ #12"), name("a%zz", "plain")])["added"] == ["`a%zz`: plain", "`a1`: \\@octocat \\~\\~fixes\\~\\~ \\#12"]
+
+
 def test_report_and_budget(spark, build):
     from codetables.operators.summaries import share_budget
 
     one, two = build(ONE).rows, build(TWO).rows
     found = V.diff(V.with_content(one), V.with_content(two))
-    text = V.change_report(V.describe_changes(found, one, two), "By the publisher", {NAMES: "1 added, 1 removed, 1 changed"})
-    assert "140 flu, split, PF" in text and ", was 150 flu, quadrivalent" in text
+    text = V.change_report(V.describe_changes(found, one, two), "By the publisher", {NAMES: "1 added, 1 removed, 1 changed"}, ["a finding"], labels={NAMES: "Names", STATUS: "Status"}, names={NAMES: ("ni:2", "ni:1"), STATUS: (None, None)})
+    assert text.startswith("By the publisher\n\n") and "## Names\n\n`ni:2`, revising `ni:1`: 1 added, 1 removed, 1 changed.\n\nAdded (1):\n\n- `140`: " in text
+    assert "## Status\n\nNothing new: its rows equal the current version's.\n" in text and text.endswith("\n## Findings\n\n- a finding\n")
     assert share_budget(100, [10, 200, 300]) == [10, 45, 45]
+    many = lambda n: _rows(spark, "names", [(f"https://x.org/{k}", f"label {k}", None, str(k)) for k in range(n)])
+    lines = V.describe_changes(V.diff(V.with_content(many(0)), V.with_content(many(2000))), many(0), many(2000))
+    text = V.change_report(lines, "", {"s": "2000 added, 0 removed, 0 changed"}, budget=6000)
+    assert "<details><summary>Added (2000)</summary>\n\n- `0`: label 0\n- `1`: label 1\n" in text and len(text) < 6300
+    shown = text.count("\n- `")
+    assert f"- and {2000 - shown} more; the complete rows are in the release's rows files" in text and shown > 250
