@@ -52,6 +52,8 @@ RUN_WINDOWS = 64
 HEAVY = 60_000
 #: Runs in a group, on average.
 GROUP_ROWS = 20_000
+#: Keys of prefixes that are broadcast at most, to find the windows of too common ones; more of them are joined.
+MAX_BROADCAST_PREFIXES = 500_000
 #: Bytes of repeated stretches that are broadcast at most, to meet their texts; more of them are joined.
 MAX_BROADCAST_BYTES = 16_000_000
 
@@ -156,12 +158,17 @@ def prefix_runs(h: np.ndarray, length: int, gram: int, size: int) -> tuple[np.nd
     return key[first], first, np.diff(np.append(first, len(key)))
 
 
-def _member(values: np.ndarray, held: list[int] | None) -> np.ndarray:
-    return np.isin(values, np.array(held or (), np.int64))
+def _member(values: np.ndarray, own: list[int] | None, held) -> np.ndarray:
+    """Which values are in the document's own list or, if there is one, in the broadcast sorted keys."""
+    if held is None:
+        return np.isin(values, np.array(own or (), np.int64))
+    keys = held.value
+    return keys[np.minimum(np.searchsorted(keys, values), len(keys) - 1)] == values
 
 
-def longer_prefixes(docs: DataFrame, text_col: str, length: int, gram: int, size: int, longer: int) -> DataFrame:
-    """(_id, anchor, n): of windows whose prefix of `size` words is in _hot, the longer prefixes and their runs."""
+def longer_prefixes(docs: DataFrame, text_col: str, length: int, gram: int, size: int, longer: int, held) -> DataFrame:
+    """(_id, anchor, n): of windows whose prefix of `size` words is too common (in _hot, or held), the longer prefixes and
+    their runs."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -171,7 +178,7 @@ def longer_prefixes(docs: DataFrame, text_col: str, length: int, gram: int, size
                 ids, keys, counts = [], [], []
                 for doc, text, hot in zip(*(c.to_pylist() for c in part.columns)):
                     h = hashes.of(_words(text))
-                    use = _member(signed(prefixes(h, length, gram, size)[0]), hot)
+                    use = _member(signed(prefixes(h, length, gram, size)[0]), hot, held)
                     found, first, _ = prefix_runs(h, length, gram, longer)
                     a, n = np.unique(found[use[first]], return_counts=True)
                     ids.append(np.full(len(a), doc, np.int64))
@@ -182,8 +189,8 @@ def longer_prefixes(docs: DataFrame, text_col: str, length: int, gram: int, size
     return docs.select("_id", F.col(text_col).alias("text"), "_hot").mapInArrow(emit, "_id long, anchor long, n int")
 
 
-def _runs(docs: DataFrame, text_col: str, length: int, gram: int, size: int) -> DataFrame:
-    """Runs of windows whose prefix of `size` words is in _known."""
+def _runs(docs: DataFrame, text_col: str, length: int, gram: int, size: int, held) -> DataFrame:
+    """Runs of windows whose prefix of `size` words is in _known (or held)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -197,7 +204,7 @@ def _runs(docs: DataFrame, text_col: str, length: int, gram: int, size: int) ->
                     h = hashes.of(_words(text))
                     found, first, windows = prefix_runs(h, length, gram, size)
                     a = signed(found)
-                    use = np.flatnonzero(_member(a, known))
+                    use = np.flatnonzero(_member(a, known, held))
                     if not len(use):
                         continue
                     every, path = (h >> np.uint64(32)).astype("<u4").tobytes(), gram_hashes(h, length).astype("<u8").tobytes()
@@ -211,8 +218,8 @@ def _runs(docs: DataFrame, text_col: str, length: int, gram: int, size: int) ->
     return docs.select("_id", F.col(text_col).alias("text"), "_known").mapInArrow(emit, RUN)
 
 
-def _paths(docs: DataFrame, text_col: str, length: int, gram: int, size: int) -> DataFrame:
-    """Each window whose prefix of `size` words is in _hot, by two hashes of its path."""
+def _paths(docs: DataFrame, text_col: str, length: int, gram: int, size: int, held) -> DataFrame:
+    """Each window whose prefix of `size` words is too common (in _hot, or held), by two hashes of its path."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -222,7 +229,7 @@ def _paths(docs: DataFrame, text_col: str, length: int, gram: int, size: int) ->
                 cols: list[list] = [[] for _ in range(4)]
                 for doc, text, hot in zip(*(c.to_pylist() for c in part.columns)):
                     h = hashes.of(_words(text))
-                    starts = np.flatnonzero(_member(signed(prefixes(h, length, gram, size)[0]), hot))
+                    starts = np.flatnonzero(_member(signed(prefixes(h, length, gram, size)[0]), hot, held))
                     path = signed(gram_hashes(h, length))[starts]
                     path2 = signed(gram_hashes(h ^ np.uint64(0xA5A5A5A5A5A5A5A5), length))[starts]
                     for c, v in zip(cols, (path, path2, np.full(len(starts), doc, np.int64), starts.astype(np.int32))):
@@ -342,35 +349,46 @@ def subtree_repeats(group: pa.Table, length: int = LENGTH) -> pa.Table:
     return Subtree(group).repeats(length)
 
 
-def repeated_runs(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY, group_rows: int = GROUP_ROWS) -> DataFrame:
+def repeated_runs(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY, group_rows: int = GROUP_ROWS, max_broadcast_prefixes: int = MAX_BROADCAST_PREFIXES) -> DataFrame:
     """(_id, start, windows): windows that start earlier elsewhere. docs has a column _id, unique."""
+    spark = docs.sparkSession
     mine = staged(document_anchors(docs, text_col, length, gram), "anchors")
     found, size = [], gram
+
+    def met(keys: DataFrame, n: int, name: str) -> tuple[DataFrame, object]:
+        """docs with the column `name` of those of the keys that each holds, or docs and the keys as a broadcast. Prefixes
+        that are too common are few, so no text is shuffled for them till there are very many."""
+        if size + (name == "_hot") > gram and n <= max_broadcast_prefixes:
+            held = np.sort(keys.select("anchor").toPandas()["anchor"].to_numpy(np.int64))
+            return docs.select("_id", text_col, F.lit(None).cast("array<long>").alias(name)), spark.sparkContext.broadcast(held)
+        own = mine.select("_id", "anchor").join(keys.select("anchor"), "anchor").groupBy("_id").agg(F.collect_list("anchor").alias(name))
+        return docs.select("_id", text_col).join(staged(own, "document-anchors"), "_id"), None
+
     while True:
         counted = staged(mine.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"), "repeated-anchors")
-        total = counted.agg(F.sum(F.when(F.col("n") <= heavy, F.col("n"))).alias("runs"), F.max("n").alias("most")).first()
-        is_hot = F.col("total") > heavy
-        by_doc = mine.select("_id", "anchor").join(counted.select("anchor", F.col("n").alias("total")), "anchor").groupBy("_id")
-        listed = by_doc.agg(F.collect_list(F.when(~is_hot, F.col("anchor"))).alias("_known"), F.collect_list(F.when(is_hot, F.col("anchor"))).alias("_hot"))
-        listed = staged(listed, "document-anchors")
-        dropped(mine, counted)
-        groups = max(1, -(-(total["runs"] or 0) // group_rows))
-        some = docs.select("_id", text_col).join(listed.where(F.size("_known") > 0), "_id")
-        runs = _runs(some, text_col, length, gram, size).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(groups)).cast("int")).drop("anchor")
-        found.append(runs.groupBy("bucket").applyInArrow(lambda t: subtree_repeats(t, length), "_id long, start int, windows int"))
-        if (total["most"] or 0) <= heavy:
+        few = F.col("n") <= heavy
+        total = counted.agg(F.sum(F.when(few, F.col("n"))).alias("runs"), F.count(F.when(few, 1)).alias("few"), F.count(F.when(~few, 1)).alias("many")).first()
+        if total["few"]:
+            some, held = met(counted.where(few), total["few"], "_known")
+            groups = max(1, -(-total["runs"] // group_rows))
+            runs = _runs(some, text_col, length, gram, size, held).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(groups)).cast("int")).drop("anchor")
+            found.append(runs.groupBy("bucket").applyInArrow(lambda t: subtree_repeats(t, length), "_id long, start int, windows int"))
+        if not total["many"]:
+            dropped(mine, counted)
             break
-        common = docs.select("_id", text_col).join(listed.where(F.size("_hot") > 0), "_id")
+        common, held = met(counted.where(~few), total["many"], "_hot")
+        dropped(mine, counted)
         if size + GROW >= length:
-            paths = staged(_paths(common, text_col, length, gram, size), "paths")
+            paths = staged(_paths(common, text_col, length, gram, size, held), "paths")
             where = F.struct("_id", "start")
             earliest = staged(paths.groupBy("path", "path2").agg(F.min(where).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "nodes")
             later = paths.join(earliest, ["path", "path2"]).where(where > F.col("first"))
             found.append(later.select("_id", "start", F.lit(1).alias("windows")))
             break
-        mine = staged(longer_prefixes(common, text_col, length, gram, size, size + GROW), "longer-prefixes")
+        mine = staged(longer_prefixes(common, text_col, length, gram, size, size + GROW, held), "longer-prefixes")
         size += GROW
-    return reduce(DataFrame.union, found)
+    none = docs.select("_id", F.lit(0).alias("start"), F.lit(0).alias("windows")).where(F.lit(False))
+    return reduce(DataFrame.union, found, none)
 
 
 def _stretches(starts, windows, length: int) -> bytes:
@@ -404,10 +422,10 @@ def with_own_keys(docs: DataFrame, text_col: str) -> DataFrame:
     return staged(placed.withColumn("_id", F.monotonically_increasing_id()).drop("_row"), "own-keys")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY, max_broadcast_bytes: int = MAX_BROADCAST_BYTES, max_broadcast_prefixes: int = MAX_BROADCAST_PREFIXES) -> DataFrame:
     """docs with the words that stay (joined by one space) as text, n_words and n_removed."""
     docs = with_own_keys(docs.withColumn("_id", id_or_least(id_col)), text_col)
-    found = repeated_runs(docs.select("_id", text_col), text_col, length, gram, heavy)
+    found = repeated_runs(docs.select("_id", text_col), text_col, length, gram, heavy, max_broadcast_prefixes=max_broadcast_prefixes)
 
     @F.pandas_udf("binary")
     def stretches(starts: pd.Series, windows: pd.Series) -> pd.Series:

@@ -70,7 +70,7 @@ def test_lines(docs, nothing, texts, held):
     assert line_dedup.drop_shared_lines(nothing, max_broadcast_keys=held).count() == 0
 
 
-@pytest.mark.parametrize(("heavy", "held"), [(120_000, 10**9), (3, 0), (12, 0)])
+@pytest.mark.parametrize(("heavy", "held"), [(120_000, 10**9), (3, 0), (12, 10**9)])
 def test_substrings(docs, nothing, texts, heavy, held):
     order = sorted(range(len(texts)), key=lambda k: -1 if k == 90 else k)
     first, expected = {}, {}
@@ -85,7 +85,7 @@ def test_substrings(docs, nothing, texts, heavy, held):
                 gone.update(range(i, i + 20))
         kept = " ".join(w for i, w in enumerate(words[k]) if i not in gone)
         expected[None if k == 90 else k] = (len(words[k]), len(gone), kept)
-    out = substring_dedup.remove_repeats(docs, heavy=heavy, max_broadcast_bytes=held)
+    out = substring_dedup.remove_repeats(docs, heavy=heavy, max_broadcast_bytes=held, max_broadcast_prefixes=held)
     assert by_id(out, "n_words", "n_removed", "text") == expected
     assert substring_dedup.remove_repeats(nothing).count() == 0
 
