@@ -127,7 +127,7 @@ def document_anchors(docs: DataFrame, text_col: str, length: int, gram: int) ->
 
 
 RUN = "anchor long, _id long, start int, windows int, words binary, paths binary"
-WINDOW = "path long, path2 long, _id long, start int"
+WINDOW = "path long, path2 long, _id long, start int, keys array<long>, words binary, paths binary"
 
 
 def prefixes(h: np.ndarray, length: int, gram: int, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -147,17 +147,6 @@ def prefixes(h: np.ndarray, length: int, gram: int, size: int) -> tuple[np.ndarr
     return _mix(gram_hashes(h, size)[place], (anchor - place).astype(np.uint64)), place
 
 
-def prefix_runs(h: np.ndarray, length: int, gram: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, first window, number of windows) of each run of windows with one prefix at one place."""
-    if size == gram:
-        return anchors(h, length, gram)
-    key, place = prefixes(h, length, gram, size)
-    if not len(key):
-        return key, place, place
-    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (place[1:] != place[:-1])]))
-    return key[first], first, np.diff(np.append(first, len(key)))
-
-
 def _member(values: np.ndarray, own: list[int] | None, held) -> np.ndarray:
     """Which values are in the document's own list or, if there is one, in the broadcast sorted keys."""
     if held is None:
@@ -166,31 +155,8 @@ def _member(values: np.ndarray, own: list[int] | None, held) -> np.ndarray:
     return keys[np.minimum(np.searchsorted(keys, values), len(keys) - 1)] == values
 
 
-def longer_prefixes(docs: DataFrame, text_col: str, length: int, gram: int, size: int, longer: int, held) -> DataFrame:
-    """(_id, anchor, n): of windows whose prefix of `size` words is too common (in _hot, or held), the longer prefixes and
-    their runs."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
-                ids, keys, counts = [], [], []
-                for doc, text, hot in zip(*(c.to_pylist() for c in part.columns)):
-                    h = hashes.of(_words(text))
-                    use = _member(signed(prefixes(h, length, gram, size)[0]), hot, held)
-                    found, first, _ = prefix_runs(h, length, gram, longer)
-                    a, n = np.unique(found[use[first]], return_counts=True)
-                    ids.append(np.full(len(a), doc, np.int64))
-                    keys.append(signed(a))
-                    counts.append(n.astype(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (ids, keys, counts)], names=["_id", "anchor", "n"])
-
-    return docs.select("_id", F.col(text_col).alias("text"), "_hot").mapInArrow(emit, "_id long, anchor long, n int")
-
-
-def _runs(docs: DataFrame, text_col: str, length: int, gram: int, size: int, held) -> DataFrame:
-    """Runs of windows whose prefix of `size` words is in _known (or held)."""
+def _runs(docs: DataFrame, text_col: str, length: int, gram: int) -> DataFrame:
+    """Runs of windows whose anchor is in _known."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -202,9 +168,9 @@ def _runs(docs: DataFrame, text_col: str, length: int, gram: int, size: int, hel
                 cols: list[list] = [[] for _ in names]
                 for doc, text, known in zip(*(c.to_pylist() for c in part.columns)):
                     h = hashes.of(_words(text))
-                    found, first, windows = prefix_runs(h, length, gram, size)
+                    found, first, windows = anchors(h, length, gram)
                     a = signed(found)
-                    use = np.flatnonzero(_member(a, known, held))
+                    use = np.flatnonzero(_member(a, known, None))
                     if not len(use):
                         continue
                     every, path = (h >> np.uint64(32)).astype("<u4").tobytes(), gram_hashes(h, length).astype("<u8").tobytes()
@@ -218,24 +184,30 @@ def _runs(docs: DataFrame, text_col: str, length: int, gram: int, size: int, hel
     return docs.select("_id", F.col(text_col).alias("text"), "_known").mapInArrow(emit, RUN)
 
 
-def _paths(docs: DataFrame, text_col: str, length: int, gram: int, size: int, held) -> DataFrame:
-    """Each window whose prefix of `size` words is too common (in _hot, or held), by two hashes of its path."""
+def _windows(docs: DataFrame, text_col: str, length: int, gram: int, sizes: list[int], held) -> DataFrame:
+    """Each window whose anchor is too common (in _hot, or held), with the keys of its prefixes of the given sizes."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
+        names = [x.split()[0] for x in WINDOW.split(", ")]
         for batch in batches:
             for top in range(0, len(batch), 500):
                 part = batch.slice(top, 500)
-                cols: list[list] = [[] for _ in range(4)]
+                cols: list[list] = [[] for _ in names]
                 for doc, text, hot in zip(*(c.to_pylist() for c in part.columns)):
                     h = hashes.of(_words(text))
-                    starts = np.flatnonzero(_member(signed(prefixes(h, length, gram, size)[0]), hot, held))
-                    path = signed(gram_hashes(h, length))[starts]
-                    path2 = signed(gram_hashes(h ^ np.uint64(0xA5A5A5A5A5A5A5A5), length))[starts]
-                    for c, v in zip(cols, (path, path2, np.full(len(starts), doc, np.int64), starts.astype(np.int32))):
-                        c.append(v)
-                names = [x.split()[0] for x in WINDOW.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=names)
+                    starts = np.flatnonzero(_member(signed(prefixes(h, length, gram, gram)[0]), hot, held))
+                    if not len(starts):
+                        continue
+                    keys = np.stack([signed(prefixes(h, length, gram, size)[0])[starts] for size in sizes], axis=1)
+                    path, other = gram_hashes(h, length)[starts], gram_hashes(h ^ np.uint64(0xA5A5A5A5A5A5A5A5), length)[starts]
+                    every, own = (h >> np.uint64(32)).astype("<u4").tobytes(), path.astype("<u8").tobytes()
+                    words = [every[4 * i : 4 * (i + length)] for i in starts.tolist()]
+                    values = (signed(path).tolist(), signed(other).tolist(), [doc] * len(starts), starts.tolist(), keys.tolist(), words, [own[8 * i : 8 * i + 8] for i in range(len(starts))])
+                    for c, v in zip(cols, values):
+                        c += v
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
 
     return docs.select("_id", F.col(text_col).alias("text"), "_hot").mapInArrow(emit, WINDOW)
 
@@ -351,44 +323,54 @@ def subtree_repeats(group: pa.Table, length: int = LENGTH) -> pa.Table:
 
 def repeated_runs(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, heavy: int = HEAVY, group_rows: int = GROUP_ROWS, max_broadcast_prefixes: int = MAX_BROADCAST_PREFIXES) -> DataFrame:
     """(_id, start, windows): windows that start earlier elsewhere. docs has a column _id, unique."""
-    spark = docs.sparkSession
-    mine = staged(document_anchors(docs, text_col, length, gram), "anchors")
-    found, size = [], gram
-
-    def met(keys: DataFrame, n: int, name: str) -> tuple[DataFrame, object]:
-        """docs with the column `name` of those of the keys that each holds, or docs and the keys as a broadcast. Prefixes
-        that are too common are few, so no text is shuffled for them till there are very many."""
-        if size + (name == "_hot") > gram and n <= max_broadcast_prefixes:
-            held = np.sort(keys.select("anchor").toPandas()["anchor"].to_numpy(np.int64))
-            return docs.select("_id", text_col, F.lit(None).cast("array<long>").alias(name)), spark.sparkContext.broadcast(held)
+    spark, few = docs.sparkSession, F.col("n") <= heavy
+    repeats = "_id long, start int, windows int"
+    found = [spark.createDataFrame([], repeats)]
+
+    def in_groups(runs: DataFrame, key, n: int) -> DataFrame:
+        groups = max(1, -(-n // group_rows))
+        placed = runs.select(F.pmod(F.xxhash64(key), F.lit(groups)).cast("int").alias("bucket"), "_id", "start", "windows", "words", "paths")
+        return placed.groupBy("bucket").applyInArrow(lambda t: subtree_repeats(t, length), repeats)
+
+    def numbers(counted: DataFrame) -> dict[str, int]:
+        return counted.agg(F.coalesce(F.sum(F.when(few, F.col("n"))), F.lit(0)).alias("runs"), F.count(F.when(~few, 1)).alias("many"), F.count("*").alias("keys")).first().asDict()
+
+    def listed(keys: DataFrame, name: str) -> DataFrame:
+        """docs with the anchors of `keys` that each of them holds, if any."""
         own = mine.select("_id", "anchor").join(keys.select("anchor"), "anchor").groupBy("_id").agg(F.collect_list("anchor").alias(name))
-        return docs.select("_id", text_col).join(staged(own, "document-anchors"), "_id"), None
-
-    while True:
-        counted = staged(mine.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"), "repeated-anchors")
-        few = F.col("n") <= heavy
-        total = counted.agg(F.sum(F.when(few, F.col("n"))).alias("runs"), F.count(F.when(few, 1)).alias("few"), F.count(F.when(~few, 1)).alias("many")).first()
-        if total["few"]:
-            some, held = met(counted.where(few), total["few"], "_known")
-            groups = max(1, -(-total["runs"] // group_rows))
-            runs = _runs(some, text_col, length, gram, size, held).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(groups)).cast("int")).drop("anchor")
-            found.append(runs.groupBy("bucket").applyInArrow(lambda t: subtree_repeats(t, length), "_id long, start int, windows int"))
-        if not total["many"]:
-            dropped(mine, counted)
-            break
-        common, held = met(counted.where(~few), total["many"], "_hot")
+        return docs.select("_id", text_col).join(staged(own, "document-anchors"), "_id")
+
+    mine = staged(document_anchors(docs, text_col, length, gram), "anchors")
+    counted = staged(mine.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"), "repeated-anchors")
+    total = numbers(counted)
+    found.append(in_groups(_runs(listed(counted.where(few), "_known"), text_col, length, gram), "anchor", total["runs"]))
+    if not total["many"]:
         dropped(mine, counted)
-        if size + GROW >= length:
-            paths = staged(_paths(common, text_col, length, gram, size, held), "paths")
-            where = F.struct("_id", "start")
-            earliest = staged(paths.groupBy("path", "path2").agg(F.min(where).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "nodes")
-            later = paths.join(earliest, ["path", "path2"]).where(where > F.col("first"))
-            found.append(later.select("_id", "start", F.lit(1).alias("windows")))
-            break
-        mine = staged(longer_prefixes(common, text_col, length, gram, size, size + GROW, held), "longer-prefixes")
-        size += GROW
-    none = docs.select("_id", F.lit(0).alias("start"), F.lit(0).alias("windows")).where(F.lit(False))
-    return reduce(DataFrame.union, found, none)
+        return reduce(DataFrame.union, found)
+
+    # Too common anchors are few: no text is shuffled for them till there are very many. Their windows are written with
+    # the keys of all their longer prefixes, so texts are read once more, however long a prefix has to grow.
+    if total["many"] <= max_broadcast_prefixes:
+        hot = np.sort(counted.where(~few).select("anchor").toPandas()["anchor"].to_numpy(np.int64))
+        common, held = docs.select("_id", text_col, F.lit(None).cast("array<long>").alias("_hot")), spark.sparkContext.broadcast(hot)
+    else:
+        common, held = listed(counted.where(~few), "_hot"), None
+    dropped(mine, counted)
+    sizes = list(range(gram + GROW, length, GROW))
+    rest = staged(_windows(common, text_col, length, gram, sizes, held).withColumn("windows", F.lit(1)), "common-windows")
+    for k in range(len(sizes)):
+        keyed = rest.withColumn("key", F.get("keys", F.lit(k)))
+        counted = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "repeated-prefixes")
+        total = numbers(counted)
+        keyed = keyed.join(F.broadcast(counted) if total["keys"] <= max_broadcast_prefixes else counted, "key")
+        found.append(in_groups(keyed.where(few), "key", total["runs"]))
+        if not total["many"]:
+            return reduce(DataFrame.union, found)
+        rest = keyed.where(~few).drop("key", "n")
+    where = F.struct("_id", "start")
+    earliest = staged(rest.groupBy("path", "path2").agg(F.min(where).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "nodes")
+    later = rest.join(earliest, ["path", "path2"]).where(where > F.col("first"))
+    return reduce(DataFrame.union, [*found, later.select("_id", "start", "windows")])
 
 
 def _stretches(starts, windows, length: int) -> bytes:
