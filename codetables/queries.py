@@ -18,6 +18,7 @@ from codetables.operators import summaries as S
 from codetables.operators import versions as V
 from codetables.operators.carry import apply_history, carry_forward, carry_status, rekey_carried
 from codetables.operators.scans import running
+from codetables.sources.readers import pick_release_files
 from codetables.sources.shared import shared_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -728,3 +729,61 @@ def catalog_checks(spark, sf):
     s = series.select(F.concat(F.lit("urn:uuid:"), F.col("iri").cast("string")).alias("iri"), F.lit("x").alias("label"), F.when(F.col("current_version") % 10 != 0, name("current_version")).otherwise(F.col("current_version").cast("string")).alias("current_version"))
     i = _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("iri"), F.sha2("text", 256).alias("checksum"), F.col("source").alias("title"))
     return Q.check_catalog(s, v, i, i.select(F.lit("v").alias("version"), F.col("iri").alias("input"))).select("key", "message")
+
+
+# ---- declarations, checks and release files
+
+
+@query("""
+WITH s AS (SELECT 'c' || c_custkey AS source, c_nationkey AS licence, c_acctbal < 0 AS two, c_nationkey = 5 AS lookup FROM customer),
+k AS (SELECT 'c' || o_custkey AS source, 'o' || o_orderkey AS iri, o_orderstatus = 'P' AS unlabelled, o_orderpriority = '1-URGENT' AS unkind, o_orderpriority = '5-LOW' AS status, o_orderstatus = 'O' AS carries FROM orders),
+n AS (SELECT source, count(*) FILTER (status) AS st, count(*) FILTER (carries) AS ca FROM k GROUP BY source)
+SELECT source AS key, 'has no licence that publishes' AS message FROM s WHERE licence NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 3)
+UNION ALL SELECT source, 'has not one detection method' FROM s WHERE two
+UNION ALL SELECT iri, 'has no label' FROM k WHERE unlabelled
+UNION ALL SELECT iri, 'has no kind' FROM k WHERE unkind
+UNION ALL SELECT iri, 'is a status series that carries' FROM k WHERE status AND carries
+UNION ALL SELECT s.source, 'looks up a history without one status and one carrying series' FROM s LEFT JOIN n ON s.source = n.source WHERE lookup AND (st IS NULL OR st <> 1 OR ca = 0)""")
+def source_checks(spark, sf):
+    """Customers as sources under their nations' licences, and their orders as series: every rule is broken by some."""
+    c, o = _t(spark, sf, "customer"), _t(spark, sf, "orders")
+    methods = F.when(F.col("c_acctbal") < 0, F.array(F.lit("api"), F.lit("page"))).otherwise(F.array(F.lit("api")))
+    sources = c.select(F.concat(F.lit("c"), "c_custkey").alias("source"), F.col("c_nationkey").alias("licence"), methods.alias("methods"), (F.col("c_nationkey") == 5).alias("history_lookup"))
+    kind = F.when(F.col("o_orderpriority") == "5-LOW", "x#RetiredCodes").when(F.col("o_orderpriority") != "1-URGENT", "x#CodeNames")
+    series = o.select(F.concat(F.lit("c"), "o_custkey").alias("source"), F.concat(F.lit("o"), "o_orderkey").alias("iri"), F.when(F.col("o_orderstatus") != "P", "x").alias("label"), kind.alias("kind"), (F.col("o_orderstatus") == "O").alias("carries"))
+    licences = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("licence"), (F.col("n_regionkey") < 3).alias("publishes"))
+    return Q.check_sources(sources, series, licences).select("key", "message")
+
+
+@query("""
+WITH e AS (SELECT event_type AS key, user_id % 3 = 0 AS unseen, user_id % 5 = 0 AS reason, user_id % 7 = 0 AS short FROM events)
+SELECT key, 'has a reason or lacks one' AS message, count(*) AS n FROM e WHERE unseen <> reason GROUP BY key
+UNION ALL SELECT key, 'is no source name', count(*) FROM e WHERE NOT regexp_full_match(key, '[a-z0-9-]+') GROUP BY key
+UNION ALL SELECT key, 'has a checksum of another form', count(*) FROM e WHERE short GROUP BY key""")
+def check_checks(spark, sf):
+    e = _t(spark, sf, "events")
+    u = F.col("user_id")
+    digest = F.when(u % 7 == 0, F.md5(F.col("props").cast("binary"))).otherwise(F.sha2("props", 256))
+    found = F.when(u % 3 == 0, "not checked").otherwise("nothing new")
+    checks = e.select(F.col("event_type").alias("source"), found.alias("found"), F.when(u % 5 == 0, "x").alias("reason"), F.col("ts").alias("at"), F.array(F.struct(digest.alias("checksum"))).alias("inputs"))
+    return Q.check_checks(checks).groupBy("key", "message").agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT p_type AS series, 'is not declared by the source' AS message FROM part WHERE p_type NOT IN (SELECT p_type FROM part WHERE p_retailprice > 999.7)")
+def undeclared_series(spark, sf):
+    p = _t(spark, sf, "part")
+    return Q.declared_series_only(p.withColumnRenamed("p_type", "series"), p.where("p_retailprice > 999.7").select(F.col("p_type").alias("iri")).distinct()).select("series", "message")
+
+
+@query(r"""
+WITH f AS (SELECT DISTINCT 'FILE-' || c_nationkey || CASE WHEN c_mktsegment = 'BUILDING' AND c_nationkey > 20 THEN 'b' ELSE '' END || '.txt' AS name FROM customer WHERE c_nationkey <> 4),
+m AS (SELECT n_name AS title, count(name) AS n, min(name) AS name FROM nation LEFT JOIN f ON regexp_matches(name, '(?i)^file-' || n_nationkey || 'b?\.txt$') GROUP BY n_name)
+SELECT title, CASE WHEN n = 1 THEN name WHEN n = 0 THEN 'no file matches' ELSE 'several files match' END AS said FROM m""")
+def release_files(spark, sf):
+    """The one file for each nation among those that customers name; of some nations there are none or two."""
+    c = _t(spark, sf, "customer").where("c_nationkey <> 4")
+    more = F.when((F.col("c_mktsegment") == "BUILDING") & (F.col("c_nationkey") > 20), "b").otherwise("")
+    files = c.select(F.concat(F.lit("FILE-"), "c_nationkey", more, F.lit(".txt")).alias("name")).distinct()
+    patterns = _t(spark, sf, "nation").select(F.col("n_name").alias("title"), F.concat(F.lit("^file-"), "n_nationkey", F.lit(r"b?\.txt$")).alias("pattern"))
+    found, wrong = pick_release_files(files, patterns)
+    return found.withColumnRenamed("name", "said").unionByName(wrong.withColumnRenamed("message", "said"))
