@@ -135,10 +135,16 @@ def typed_targets(concepts: DataFrame, rel: DataFrame, relation: str, pairs: Dat
     return a.join(step, "code").join(b, ["target", "target_type"]).select("code", "target").distinct()
 
 
+#: Rules that are broadcast at most; more of them are joined.
+MAX_BROADCAST_RULES = 100_000
+
+
 def class_assignments(assoc: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(drug, class, relation, justification) by rules (relation, reversed, suffix); violations where a class's name
     doesn't end as its rule says. assoc(relation, from_code, from_name, to_code, to_name)."""
-    ruled = assoc.join(rules, "relation")
+    # Relations are few and have many associations each: a shuffle by relation would bring those of one into one task.
+    rules = written(rules, "rules")
+    ruled = assoc.join(F.broadcast(rules) if rules.count() <= MAX_BROADCAST_RULES else rules, "relation")
     side = lambda a, b: F.when(F.col("reversed"), F.col(b)).otherwise(F.col(a))
     out = ruled.select("relation", side("from_code", "to_code").alias("drug"), side("to_code", "from_code").alias("class"), side("to_name", "from_name").alias("class_name"), "suffix")
     ok = F.col("suffix").isNull() | F.endswith(F.col("class_name"), F.col("suffix"))
