@@ -5,6 +5,7 @@ Each query writes its release to the folder that driver and executors share, as
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,8 +94,13 @@ def xml_elements(spark, sf):
 def headed_tsv(spark, sf):
     pairs = _t(spark, sf, "lineitem").select("l_partkey", "l_suppkey").distinct()
     path = shared_path(spark, "tsv")
-    head = spark.createDataFrame([("##prose",), ("#part\tsupplier",)], "value string").coalesce(1)
-    head.union(pairs.select(F.concat_ws("\t", "l_partkey", "l_suppkey")).coalesce(1)).coalesce(1).write.text(path)
+
+    def headed(batches):
+        yield pa.RecordBatch.from_pydict({"value": ["##prose", "#part\tsupplier"]})
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(batch.columns, names=["value"])
+
+    pairs.select(F.concat_ws("\t", "l_partkey", "l_suppkey").alias("value")).mapInArrow(headed, "value string").write.text(path)
     return readers.read_headed_tsv(spark, path, ["supplier", "part"], ["more"]).where("more is null").select("supplier", "part")
 
 

@@ -157,24 +157,32 @@ def read_zip_entries(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(emit, "zip string, entry string, content binary")
 
 
-def read_headed_tsv(spark: SparkSession, path: str, required: list[str], optional: list[str] = ()) -> DataFrame:
-    """number and the wanted columns by name, whatever their order. The header is the first line of several fields,
-    its first character dropped; lines before it are prose. A missing optional column is null."""
+#: Names of a release's listing, or files of a table, that are broadcast at most.
+MAX_BROADCAST_FILES = 100_000
+
+
+def read_headed_tsv(spark: SparkSession, path: str | list[str], required: list[str], optional: list[str] = ()) -> DataFrame:
+    """number and the wanted columns by name, whatever their order. The header is a file's first line of several fields,
+    its first character dropped; lines before it are prose. A missing optional column is null. A table in several files
+    has the same header in each."""
     lines = read_lines(spark, path)
-    head = lines.where(F.col("value").contains("\t")).orderBy("number").limit(1).collect()
-    if not head:
-        raise Refusal(f"{path} has no header")
-    names = head[0]["value"][1:].split("\t")
+    tabbed = F.when(F.col("value").contains("\t"), F.col("number"))
+    starts = written(lines.groupBy("file").agg(F.min(tabbed).alias("_start")), "headers")
+    none = starts.where("_start is null").select("file").orderBy("file").limit(1).collect()
+    files = starts.count()
+    if none or not files:
+        raise Refusal(f"{none[0]['file'] if files > 1 else path} has no header")
+    lines = lines.join(F.broadcast(starts) if files <= MAX_BROADCAST_FILES else starts, "file")
+    heads = [r["value"] for r in lines.where("number = _start").select("value").distinct().orderBy("value").limit(2).collect()]
+    if len(heads) > 1:
+        raise Refusal(f"{path} has files of different headers")
+    names = heads[0][1:].split("\t")
     missing = [c for c in required if c not in names]
     if missing:
         raise Refusal(f"{path} has no column {missing[0]}")
     fields = F.split("value", "\t", -1)
     wanted = [(F.get(fields, F.lit(names.index(c))) if c in names else F.lit(None).cast("string")).alias(c) for c in [*required, *optional]]
-    return lines.where(F.col("number") > head[0]["number"]).select("number", *wanted)
-
-
-#: Names of a release's listing that are broadcast at most.
-MAX_BROADCAST_FILES = 100_000
+    return lines.where("number > _start").select("number", *wanted)
 
 
 def pick_release_files(files: DataFrame, patterns: DataFrame) -> tuple[DataFrame, DataFrame]:
