@@ -12,11 +12,20 @@ _PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where use names the value several times and it is to be computed once: an array of one, transformed."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _each(text: Column, pattern: str, change: Callable[[Column], Column]) -> Column:
     """text with every match of the pattern changed."""
-    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    changed = F.zip_with(gaps, found, lambda gap, m: F.concat(gap, F.coalesce(change(m), F.lit(""))))
-    return F.when(text.rlike(pattern), F.array_join(changed, "")).otherwise(text)
+
+    def changed(t: Column) -> Column:
+        found, gaps = F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), F.split(t, pattern, -1)
+        parts = F.zip_with(gaps, found, lambda gap, m: F.concat(gap, F.coalesce(change(m), F.lit(""))))
+        return F.when(t.rlike(pattern), F.array_join(parts, "")).otherwise(t)
+
+    return _once(text, changed)
 
 
 def unescaped(text: Column) -> Column:
@@ -45,6 +54,10 @@ def decoded(text: Column) -> Column:
 
 def without_dots(path: Column) -> Column:
     """A path without the segments . and .. (RFC 3986, 5.2.4)."""
+    return _once(path, _without_dots)
+
+
+def _without_dots(path: Column) -> Column:
     segments = F.split(path, "/", -1)
     last = F.element_at(segments, -1)
     none = F.array().cast("array<string>")
@@ -58,13 +71,17 @@ def without_dots(path: Column) -> Column:
 def resolved(base: Column, reference: Column) -> Column:
     """A reference against a base address (RFC 3986, 5.2), scheme and authority in lower case, encoded. An empty query or
     fragment counts as none."""
-    b, r = ([F.regexp_extract(x, _PARTS, k) for k in range(1, 6)] for x in (base, F.trim(reference)))
+    parts = lambda x: F.array(*[F.regexp_extract(x, _PARTS, k) for k in range(1, 6)])
+    return _once(F.struct(parts(base).alias("b"), parts(F.trim(reference)).alias("r")), lambda x: _resolved(*[[F.get(x[c], F.lit(k)) for k in range(5)] for c in "br"]))
+
+
+def _resolved(b: list[Column], r: list[Column]) -> Column:
     has = lambda x: F.length(x) > 0
     directory = F.regexp_extract(b[2], r"^(.*/)", 1)
     merged = F.when(has(b[1]) & ~has(b[2]), F.concat(F.lit("/"), r[2])).otherwise(F.concat(directory, r[2]))
     own = has(r[0]) | has(r[1])
     path = F.when(own | F.startswith(r[2], F.lit("/")), without_dots(r[2])).when(has(r[2]), without_dots(merged)).otherwise(b[2])
-    path = F.when(has(F.when(own, r[1]).otherwise(b[1])) & ~has(path), "/").otherwise(path)
+    path = _once(path, lambda p: F.when(has(F.when(own, r[1]).otherwise(b[1])) & ~has(p), "/").otherwise(p))
     query = F.when(own | has(r[2]) | has(r[3]), r[3]).otherwise(b[3])
     authority = F.lower(F.when(own, r[1]).otherwise(b[1]))
     part = lambda before, x: F.when(has(x), F.concat(F.lit(before), x)).otherwise("")

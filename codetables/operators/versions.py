@@ -18,6 +18,7 @@ from codetables.operators.summaries import current_and_previous, share_budget
 # Fixed value: the name that a version has in its own content.
 THIS_VERSION = "urn:cascade:this-version"
 
+from codetables.sources.shared import written
 
 def diff(before: DataFrame, after: DataFrame, keys: list[str] = ["series", "key"], content: str = "content") -> DataFrame:  # noqa: B006
     """Keys added, removed or changed. Only keys and content hashes are shuffled; texts are fetched afterwards."""
@@ -126,7 +127,8 @@ def newer_versions(pages: DataFrame, held: DataFrame, page: str, text: str, patt
 def list_links(pages: DataFrame, page: str, html: str, base: str) -> DataFrame:
     """(page, name, href, is_folder, modified), each once: the links of a folder listing that lie directly below its own
     address, with their time where the line gives one. base: the listing's address, ending in a slash."""
-    each = pages.select(page, F.col(base).alias("_base"), F.explode(links(F.col(html))).alias("l"))
+    # Written before it is filtered: filters that are pushed below would read and resolve each link again.
+    each = pages.select(page, F.col(base).alias("_base"), F.explode_outer(links(F.col(html))).alias("l"))
     out = each.select(page, "_base", resolved(F.col("_base"), F.col("l.reference")).alias("href"), listing_time("l.before").alias("modified"))
     below = F.startswith("href", F.col("_base")) & (F.col("href") != F.col("_base"))
     rest = F.substring(F.col("href"), F.length("_base") + 1, F.length("href"))
@@ -161,6 +163,7 @@ def _described(whole: bool) -> Column:
     said = lambda before, part: F.coalesce(F.concat(F.lit(before), part), F.lit(""))
     predicate = short_code(c("predicate_id"))
     place = F.when(c("sequence").isNotNull(), F.concat(F.lit(", at "), c("sequence").cast("string"), said(", ", c("required")))).otherwise("")
+    out = written(out, "links")
     reason = said(", justified by ", short_code(c("mapping_justification"))) if whole else F.lit("")
     mapping = F.concat(_code(c("subject_id")), F.lit(" → "), _code(c("object_id")), F.lit(" ("), predicate, place, reason, F.lit(")"))
     others = F.array_join(F.transform(F.array_sort("altLabel"), escape_markdown), "; ")
