@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +18,11 @@ from codetables.functions.rows import COLUMNS, PROV, row_content, row_lines
 from codetables.functions.scalars import escape_markdown, listing_time, natural_sort_key, parse_version, short_code
 from codetables.operators.scans import running
 from codetables.operators.summaries import current_and_previous, share_budget
+from codetables.sources.shared import written
 
 # Fixed value: the name that a version has in its own content.
 THIS_VERSION = "urn:cascade:this-version"
 
-from codetables.sources.shared import written
 
 def diff(before: DataFrame, after: DataFrame, keys: list[str] = ["series", "key"], content: str = "content") -> DataFrame:  # noqa: B006
     """Keys added, removed or changed. Only keys and content hashes are shuffled; texts are fetched afterwards."""
@@ -53,13 +57,42 @@ def version_lines(rows: DataFrame, series: str, previous: str | None) -> DataFra
     return lines.union(spark.createDataFrame(own, "line string")).distinct().orderBy("line")
 
 
-def version_name(rows: DataFrame, series: str, previous: str | None = None) -> str:
-    """A version's name: the SHA-256 of its sorted lines, which is serial by definition. Lines are sorted in Spark and
-    come to the driver one partition at a time, into a running hash; content_fingerprint() says first whether it's needed."""
+#: Bytes of lines that are packed together for the task that hashes them.
+NAME_BLOCK = 1 << 16
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of a sorted part as numbered, compressed blocks."""
+    part, n, held = TaskContext.get().partitionId(), 0, bytearray()
+
+    def block() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "n": pa.array([n], pa.int32()), "block": pa.array([zlib.compress(held, 1)], pa.binary())})
+
+    for batch in batches:
+        for line in batch.column(0).to_pylist():
+            held += line.encode() + b"\n"
+            if len(held) >= NAME_BLOCK:
+                yield block()
+                n, held = n + 1, bytearray()
+    if held:
+        yield block()
+
+
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digest = hashlib.sha256()
-    for row in version_lines(rows, series, previous).toLocalIterator():
-        digest.update(row["line"].encode() + b"\n")
-    return "ni:///sha-256;" + base64.urlsafe_b64encode(digest.digest()).decode().rstrip("=")
+    for batch in batches:
+        for block in batch.column("block"):
+            digest.update(zlib.decompress(block.as_py()))
+    yield pa.RecordBatch.from_pydict({"digest": [digest.digest()]})
+
+
+def version_name(rows: DataFrame, series: str, previous: str | None = None) -> str:
+    """A version's name: the SHA-256 of its sorted lines, which is serial by definition. Lines are sorted and packed in
+    parts; one task takes the packed blocks in order into a running hash, and only the digest comes to the driver.
+    content_fingerprint() says first whether it's needed."""
+    blocks = written(version_lines(rows, series, previous).mapInArrow(_packed, "part int, n int, block binary"), "name-blocks")
+    digest = blocks.repartition(1).sortWithinPartitions("part", "n").mapInArrow(_digested, "digest binary").first()["digest"]
+    return "ni:///sha-256;" + base64.urlsafe_b64encode(bytes(digest)).decode().rstrip("=")
 
 
 def content_fingerprint(df: DataFrame, content: str | Column = "content", by: list[str] | None = None) -> DataFrame:
@@ -130,6 +163,7 @@ def list_links(pages: DataFrame, page: str, html: str, base: str) -> DataFrame:
     # Written before it is filtered: filters that are pushed below would read and resolve each link again.
     each = pages.select(page, F.col(base).alias("_base"), F.explode_outer(links(F.col(html))).alias("l"))
     out = each.select(page, "_base", resolved(F.col("_base"), F.col("l.reference")).alias("href"), listing_time("l.before").alias("modified"))
+    out = written(out, "links")
     below = F.startswith("href", F.col("_base")) & (F.col("href") != F.col("_base"))
     rest = F.substring(F.col("href"), F.length("_base") + 1, F.length("href"))
     named = out.where(below).withColumn("name", decoded(F.regexp_replace(rest, "/$", "")))
@@ -163,7 +197,6 @@ def _described(whole: bool) -> Column:
     said = lambda before, part: F.coalesce(F.concat(F.lit(before), part), F.lit(""))
     predicate = short_code(c("predicate_id"))
     place = F.when(c("sequence").isNotNull(), F.concat(F.lit(", at "), c("sequence").cast("string"), said(", ", c("required")))).otherwise("")
-    out = written(out, "links")
     reason = said(", justified by ", short_code(c("mapping_justification"))) if whole else F.lit("")
     mapping = F.concat(_code(c("subject_id")), F.lit(" → "), _code(c("object_id")), F.lit(" ("), predicate, place, reason, F.lit(")"))
     others = F.array_join(F.transform(F.array_sort("altLabel"), escape_markdown), "; ")
