@@ -316,7 +316,8 @@ def builder_drug_classes(spark, sf):
     )
     concepts = _t(spark, sf, "part").select(F.concat(F.lit("c"), "p_partkey").alias("code"), name.alias("name"))
     path = _text(said, F.to_json(F.struct(*said.columns)), "associations")
-    lines = readers.read_json_lines(spark, path, said._jdf.schema().toDDL()).select("parsed.*")
+    # Written once: filters that are pushed below the parser would parse each line again.
+    lines = written(readers.read_json_lines(spark, path, said._jdf.schema().toDDL()).select("parsed"), "parsed").select("parsed.*")
     rows = _rows_of(J.drug_classes(lines, concepts, {"classes": "classes", "names": "names"}), "subject", "subject_id", "object_id", "prefLabel")
     return rows.select("series", F.coalesce(X.code_of("rxnorm", "subject_id"), X.code_of("medrt", "subject")).alias("a"), F.coalesce(X.code_of("medrt", "object_id"), "prefLabel").alias("b"))
 

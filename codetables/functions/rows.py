@@ -70,6 +70,9 @@ PREDICATES = {
     ],
 }
 
+#: What each form says of every row.
+_FIXED = {"mapping": (RDF + "type", OWL + "Axiom", "iri"), "member": (RDF + "type", OWL + "Axiom", "iri"), "status": (OWL + "deprecated", "true", XSD + "boolean")}
+
 
 def rows_of(df: DataFrame, form: str, series: str | Column, **columns: str | Column) -> DataFrame:
     """The form's rows, with columns given by name or expression; the others are null."""
@@ -122,10 +125,9 @@ def _statements(form: str) -> Column:
     def each(predicate: str, kind: str | None):
         return lambda v: one(predicate, v, kind)
 
-    fixed = {"mapping": (RDF + "type", OWL + "Axiom", "iri"), "member": (RDF + "type", OWL + "Axiom", "iri"), "status": (OWL + "deprecated", "true", XSD + "boolean")}
     parts = []
-    if form in fixed:
-        predicate, value, kind = fixed[form]
+    if form in _FIXED:
+        predicate, value, kind = _FIXED[form]
         parts.append(F.array(one(predicate, F.lit(value), kind)))
     for column, predicate, kind in PREDICATES[form]:
         if COLUMNS[column].startswith("array"):
@@ -159,9 +161,37 @@ def row_lines() -> Column:
     return F.array_sort(F.array_distinct(F.transform(statements(), lambda s: line_of(F.col("key"), s))))
 
 
+def _joined_lines(form: str) -> Column:
+    """The same lines joined by line ends. A row's lines differ in their predicates first, so their order is known and
+    only the values of a list are sorted: an expression of built-in functions without lambdas for all other columns."""
+
+    def line(predicate: str, value: Column, kind: str | None) -> Column:
+        before = F.concat(F.lit("<"), F.col("key"), F.lit(f"> <{predicate}> "))
+        text = value.cast("string")
+        if kind == "iri":
+            return F.concat(before, F.lit("<"), text, F.lit("> ."))
+        return F.concat(before, F.lit('"'), literal_text(text), F.lit('" .' if kind is None else f'"^^<{kind}> .'))
+
+    def lines(predicate: str, column: str, kind: str | None) -> Column:
+        if COLUMNS[column].startswith("array"):
+            each = F.transform(column, lambda v: line(predicate, v, kind))
+            return F.when(F.size(column) > 0, F.array_join(F.array_sort(F.array_distinct(F.array_compact(each))), "\n"))
+        return line(predicate, F.col(column), kind)
+
+    parts = {predicate: lines(predicate, column, kind) for column, predicate, kind in PREDICATES[form]}
+    if form in _FIXED:
+        predicate, value, kind = _FIXED[form]
+        parts[predicate] = line(predicate, F.lit(value), kind)
+    # A list of nothing but nulls has no line.
+    return F.concat_ws("\n", *[F.nullif(parts[p], F.lit("")) for p in sorted(parts, key=lambda p: f"{p}> ".encode())])
+
+
 def row_content() -> Column:
     """The hash of a row's sorted lines; no shuffle is needed for it."""
-    return F.sha2(F.array_join(row_lines(), "\n"), 256)
+    out = F.when(F.lit(False), F.lit(None).cast("string"))
+    for form in FORMS:
+        out = out.when(F.col("form") == form, F.sha2(_joined_lines(form), 256))
+    return out
 
 
 def from_triples(triples: DataFrame) -> DataFrame:
@@ -194,18 +224,22 @@ MAX_BROADCAST_KEYS = 200_000
 
 def merge_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Equal rows merged, and what can't be: keys with different contents, series of two forms; mapping and member count
-    as one form. Only keys and hashes of contents are shuffled; rows are fetched where a key has several."""
+    as one form. Rows are counted by hashes of their keys alone, which are all that is shuffled of most of them; the rows
+    whose hash occurs several times are then told apart by their keys."""
     hashed = rows if "content" in rows.columns else rows.withColumn("content", row_content())
     kind = F.when(F.col("form") == "member", "mapping").otherwise(F.col("form"))
-    per = hashed.groupBy("series", "key").agg(F.count("*").alias("n"), F.min("content").alias("least"), F.max("content").alias("most"))
-    double = written(per.where("n > 1").select("series", "key", "least", "most"), "double-keys")
-    keys = double.select("series", "key")
-    keys = F.broadcast(keys) if double.count() <= MAX_BROADCAST_KEYS else keys
     names = [c for c in COLUMNS if c not in ("series", "key")]
     ordered = [*COLUMNS, "content"]
-    several = hashed.join(keys, ["series", "key"], "left_semi").groupBy("series", "key").agg(F.min_by(F.struct(*names, "content"), "content").alias("r")).select("series", "key", "r.*")
-    merged = hashed.join(keys, ["series", "key"], "left_anti").select(*ordered).unionByName(several.select(*ordered))
-    differ = double.where("least <> most").select("series", "key", F.lit("a row of the same key has other content").alias("message"))
-    forms = rows.groupBy("series").agg(F.min(kind).alias("a"), F.max(kind).alias("b")).where("a <> b")
+    hashed = hashed.select(*ordered, F.xxhash64("series", "key").alias("_hash"))
+    often = written(hashed.groupBy("_hash").agg(F.count("*").alias("n")).where("n > 1").select("_hash"), "double-keys")
+    often = F.broadcast(often) if often.count() <= MAX_BROADCAST_KEYS else often
+    # A row without a series or a key is no other's double.
+    named = F.col("series").isNotNull() & F.col("key").isNotNull()
+    close = hashed.join(often, "_hash", "left_semi")
+    several = close.where(named).groupBy("series", "key").agg(F.min_by(F.struct(*names, "content"), "content").alias("r")).select("series", "key", "r.*")
+    merged = hashed.join(often, "_hash", "left_anti").select(*ordered).unionByName(close.where(~named).select(*ordered)).unionByName(several.select(*ordered))
+    per = close.groupBy("series", "key").agg(F.min("content").alias("least"), F.max("content").alias("most"))
+    differ = per.where("least <> most").select("series", "key", F.lit("a row of the same key has other content").alias("message"))
+    forms = rows.select("series", kind.alias("kind")).distinct().groupBy("series").agg(F.min("kind").alias("a"), F.max("kind").alias("b")).where("a <> b")
     mixed = forms.select("series", F.lit(None).cast("string").alias("key"), F.concat_ws(" ", F.lit("rows of two forms:"), "a", F.lit("and"), "b").alias("message"))
     return merged, differ.union(mixed)

@@ -203,13 +203,17 @@ def table_row_name(subject: C, predicate: C, obj: C, sequence: C | None = None)
     if sequence is not None:
         parts.append(_c(sequence).cast("long").cast("string"))
     missing = _c(subject).isNull() | _c(predicate).isNull() | _c(obj).isNull()
-    h = F.sha2(F.concat_ws("|", *parts), 256)
-    variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
-    name = F.concat(
-        F.lit("urn:uuid:"), F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-8"), F.substring(h, 14, 3),
-        F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12),
-    )
-    return F.when(~missing, name)
+
+    def name(h: Column) -> Column:
+        variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+        return F.concat(
+            F.lit("urn:uuid:"), F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-8"), F.substring(h, 14, 3),
+            F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12),
+        )
+
+    # An array of one, so that the hash is computed once and not for each of its pieces.
+    hashes = F.array(F.sha2(F.concat_ws("|", *parts), 256))
+    return F.when(~missing, F.get(F.transform(hashes, name), F.lit(0)))
 
 
 def require_fields(fields: C, n: int, code_at: int = 0) -> tuple[Column, Column]:

@@ -1,8 +1,7 @@
 """From a builder's rows to a version: checks, carrying forward, difference, name, rows and catalog.
 
-A builder is a callable that takes DataFrames and gives a BuildResult; nothing in it runs until build_version writes its
-rows, with their contents, to a scratch table. All that follows reads that table: the builder's plan runs once. Nothing
-is published before every check has passed; then rows go to the folder of their version, which nothing points to yet,
+A builder is a callable that takes DataFrames and gives a BuildResult; it may write what it reads several times to scratch
+tables. build_version writes its rows, with their contents, to one: all that follows reads that. Nothing is published before every check has passed; then rows go to the folder of their version, which nothing points to yet,
 and one commit makes versions, inputs and pointers appear together.
 """
 

@@ -1,4 +1,5 @@
-"""Builders: publishers' releases to rows. Each takes DataFrames as the readers give them."""
+"""Builders: publishers' releases to rows. Each takes DataFrames as the readers give them, and writes what it reads more
+than once to a scratch table first, so that a release is read and cut once."""
 
 from __future__ import annotations
 
@@ -18,6 +19,7 @@ from codetables.functions.scalars import (
 )
 from codetables.operators import relations as R
 from codetables.operators import summaries as S
+from codetables.sources.shared import written
 from codetables.plans.build import BuildResult
 
 
@@ -192,7 +194,7 @@ def drug_classes(associations: DataFrame, concepts: DataFrame, series: dict[str,
         .when(mesh & (F.col("class_name") == ""), "names no MeSH name")
         .when((F.col("space") != "MED-RT") & ~mesh, F.concat(F.lit("of Authority FDASPL goes to a "), "space", F.lit(" code")))
     )
-    use = use.withColumn("why", why)
+    use = written(use.withColumn("why", why), "associations")
     bad = use.where("why is not null").select(F.concat_ws(" ", "relation", "drug", "class").alias("key"), F.col("why").alias("message"))
     good = use.where("why is null").withColumns({"a": code_iri("rxnorm", "drug"), "b": F.when(mesh, code_iri("mesh", "class")).otherwise(code_iri("medrt", "class"))})
     rows = mapping_rows(good, series["classes"], "a", F.col("property"), "b")
