@@ -8,6 +8,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from codetables.functions import scalars as X
 from codetables.functions.rows import MEMBER_OF, names_rows
@@ -272,7 +273,10 @@ def builder_diagnoses(spark, sf):
     from codetables.sources.shared import shared_root
 
     shared_root(spark)
-    order = _text(_t(spark, sf, "part"), F.concat(F.rpad(_icd("p_partkey", ""), 8, " "), F.lit("1 "), F.rpad("p_brand", 60, " "), F.col("p_name")), "order")
+    # A code has room for keys below a million; a part beyond has the code of a smaller one and says its titles again.
+    titles = F.min_by(F.struct("p_brand", "p_name"), "p_partkey").over(Window.partitionBy(_icd("p_partkey", "")))
+    titled = _t(spark, sf, "part").select("p_partkey", titles.alias("t"))
+    order = _text(titled, F.concat(F.rpad(_icd("p_partkey", ""), 8, " "), F.lit("1 "), F.rpad("t.p_brand", 60, " "), F.col("t.p_name")), "order")
     lines = readers.read_fixed_width(spark, order, {"code": (0, 8), "flag": (8, 9), "short": (10, 70), "long": (70, None)})
     pairs = _t(spark, sf, "lineitem").select("l_partkey", "l_suppkey").distinct()
     cells = pairs.groupBy("l_partkey").agg(F.array_join(F.array_sort(F.collect_list(_icd("l_suppkey", letter="B"))), ", ").alias("cell"))
@@ -436,8 +440,6 @@ def codes_in_cells(spark, sf):
 
 @query("SELECT CAST(p_partkey AS BIGINT) AS k, row_number() OVER (ORDER BY p_brand[1:6], CAST(p_brand[7:] AS BIGINT), p_partkey) AS n FROM part")
 def natural_order(spark, sf):
-    from pyspark.sql.window import Window
-
     p = _t(spark, sf, "part").withColumn("_key", X.natural_sort_key(F.concat_ws(" ", "p_brand", _s("p_partkey"))))
     # Numbers are given within each brand's prefix, and brands are few.
     brands = p.groupBy("p_brand").agg(F.count("*").alias("c"), F.min("_key").alias("b"))

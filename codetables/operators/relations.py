@@ -187,9 +187,10 @@ def system_of(df: DataFrame, iri: str, registry: DataFrame) -> DataFrame:
 def replacement_flags(edges: DataFrame) -> DataFrame:
     """Edges (prev, next) with `merges` (the next code replaces other codes too; kept if given) and `splits` (prev has
     several successors)."""
-    outof = edges.groupBy("prev").agg((F.min("next") != F.max("next")).alias("splits"))
+    several = lambda key, other: edges.select(key, other).where(F.col(other).isNotNull()).distinct().groupBy(key).agg(F.count("*") > 1)
+    outof = several("prev", "next").toDF("prev", "splits")
     if "merges" not in edges.columns:
-        into = edges.groupBy("next").agg((F.min("prev") != F.max("prev")).alias("merges"))
+        into = several("next", "prev").toDF("next", "merges")
         edges = edges.join(into, "next")
     return edges.join(outof, "prev").select("prev", "next", "merges", "splits")
 

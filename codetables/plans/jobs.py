@@ -73,7 +73,7 @@ _CUT = r"\s*(?:,|;|&|\band\b)\s*"
 
 def diagnoses(order: DataFrame, table: DataFrame, series: dict[str, str]) -> BuildResult:
     """Diagnosis codes: names, status and conversions. order(number, code, flag, short, long), table(number, fields)."""
-    codes = order.withColumn("code", dotted(F.trim("code")))
+    codes = written(order.withColumn("code", dotted(F.trim("code"))), "codes")
     wrong = codes.where(~(F.col("code").rlike(ICD) & F.col("flag").isin("0", "1") & (F.col("long") != "")))
     bad = _say(wrong, F.concat(F.lit("icd10cm-order.txt line "), F.col("number").cast("string"), F.lit(" is not a code, its flag and its titles")))
     named = codes.withColumns({"iri": code_iri("icd10cm", "code"), "other": F.when((F.col("short") != F.col("long")) & (F.col("short") != ""), F.array("short"))})
@@ -81,12 +81,13 @@ def diagnoses(order: DataFrame, table: DataFrame, series: dict[str, str]) -> Bui
     field = lambda k: F.trim(F.coalesce(F.get("fields", F.lit(k)), F.lit("")))
     cells = table.select(field(0).alias("next"), field(2).alias("cell")).where(F.col("next").rlike(ICD))
     parts = cells.select("next", F.explode(F.split("cell", _CUT)).alias("prev")).where("prev <> ''").distinct()
+    parts = written(parts, "previous-codes")
     edges = parts.where(F.col("prev").rlike(ICD))
     # An edge merges if its target is given other text than its source as previous codes.
     given = parts.groupBy("next").agg(F.count("*").alias("given"))
     marked = edges.join(given, "next").withColumn("merges", F.col("given") > 1).drop("given")
     valid = named.where("flag = '1'").select("code")
-    found = R.resolve_replacements(marked, valid)
+    found = written(R.resolve_replacements(marked, valid), "replaced")
     retired = edges.select(F.col("prev").alias("code")).distinct().join(valid, "code", "left_anti")
     to = found.withColumns({"from_iri": code_iri("icd10cm", "code"), "to_iri": code_iri("icd10cm", "target"), "why": F.when(F.col("direct"), CURATED).otherwise(CHAINED)})
     status = retired.join(to.groupBy("code").agg(F.array_sort(F.collect_set("to_iri")).alias("ends")), "code", "left").withColumn("iri", code_iri("icd10cm", "code"))
