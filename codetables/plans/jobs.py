@@ -30,7 +30,8 @@ def _say(df: DataFrame, message: Column | str, key: str = "number") -> DataFrame
 def _fields(lines: DataFrame, file: str, names: list[str], code_at: int) -> tuple[DataFrame, DataFrame]:
     """Named fields of delimited lines, and the lines that are refused."""
     trimmed, wrong = require_fields("fields", len(names), code_at)
-    cut = lines.withColumns({"_f": trimmed, "_wrong": wrong})
+    cut = lines.select("number", trimmed.alias("_f"), wrong.alias("_wrong"))
+    cut = written(cut.select("number", "_wrong", *[F.get("_f", F.lit(k)).alias(n) for k, n in enumerate(names)]), "fields")
     bad = cut.where("_wrong is not null").select(F.col("number").cast("string").alias("key"), F.concat(F.lit(f"{file} line "), "number", F.lit(" "), "_wrong").alias("message"))
     return cut.where("_wrong is null").select("number", *[F.get("_f", F.lit(k)).alias(n) for k, n in enumerate(names)]), bad
 
@@ -60,7 +61,7 @@ def vaccines(cvx: DataFrame, vg: DataFrame, series: dict[str, str]) -> BuildResu
     codes = codes.withColumns({"iri": code_iri("cvx", "code"), "other": F.when(F.col("full") != F.col("short"), F.array("full"))})
     pairs, bad_pairs = _fields(vg, "VG.txt", ["short", "code", "status", "group_name", "group"], 1)
     no_group = _say(pairs.where(F.col("group") == ""), F.concat(F.lit("VG.txt line "), F.col("number").cast("string"), F.lit(" has no vaccine group CVX code")))
-    both = pairs.select("code").union(pairs.select("group")).where("code <> ''")
+    both = pairs.select("code").union(pairs.select("group")).where("code <> ''").distinct()
     unknown = R.require_known(both, "code", codes, "code", "is named by VG.txt, but CVX.txt lacks it")
     mapped = pairs.withColumns({"from": code_iri("cvx", "code"), "to": code_iri("cvx", "group")})
     rows = names_rows(codes, series["names"], "iri", "short", "other", "code")
