@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from codetables.functions.rows import (
     VOCABULARY, CHAINED, CURATED, DCT, HAS_MEMBER, MEMBER_OF, SKOS,
@@ -132,17 +131,18 @@ def drugs(conso: DataFrame, rels: DataFrame, series: dict[str, str]) -> BuildRes
     """Drug codes: names, products, ingredients, brand generics. conso, rels: delimited lines (number, fields)."""
     at = lambda k: F.get("fields", F.lit(k))
     terms = conso.select("number", at(0).alias("code"), at(11).alias("sab"), at(12).alias("type"), at(14).alias("name"), at(16).alias("suppress"))
-    terms = R.filter_equal(terms, sab="RXNORM", suppress="N")
+    terms = written(R.filter_equal(terms, sab="RXNORM", suppress="N"), "terms")
     other_types = ["SY", "TMSY", "PSN"]
     own = terms.where(~F.col("type").isin(other_types)).groupBy("code").agg(F.max_by(F.struct("type", "name"), "number").alias("t")).select("code", "t.*")
     others = terms.where(F.col("type").isin(other_types)).groupBy("code").agg(F.collect_set("name").alias("others"))
     rel = rels.select(at(2).alias("stype"), at(4).alias("from"), at(7).alias("relation"), at(0).alias("to"), at(10).alias("sab"))
     rel = R.filter_equal(rel, sab="RXNORM", stype="CUI").select("relation", "from", "to").distinct()
+    own, rel = written(own, "own-terms"), written(rel, "relations")
     concepts = own.select("code", "type")
     iri = lambda c: code_iri("rxnorm", c)
 
-    found = R.follow(concepts, rel, INGREDIENT_PATHS)
-    counted = found.withColumn("n", F.count("*").over(Window.partitionBy("code")))
+    found = written(R.follow(concepts, rel, INGREDIENT_PATHS), "ingredients")
+    counted = found.join(found.groupBy("code").agg(F.count("*").alias("n")), "code")
     single = counted.where("n = 1").select("code", "target", F.when(F.col("chained"), CHAINED).otherwise(CURATED).alias("why"))
     parts = R.hop(concepts.where("type = 'MIN'").select("code", F.col("code").alias("at")), rel, "has_part", concepts, "IN").toDF("code", "target")
     several, double = R.match_sets(counted.where("n > 1"), parts, "code", "target")
