@@ -18,8 +18,8 @@ from codetables.functions.scalars import (
 )
 from codetables.operators import relations as R
 from codetables.operators import summaries as S
-from codetables.sources.shared import written
 from codetables.plans.build import BuildResult
+from codetables.sources.shared import written
 
 
 def _say(df: DataFrame, message: Column | str, key: str = "number") -> DataFrame:
@@ -32,7 +32,7 @@ def _fields(lines: DataFrame, file: str, names: list[str], code_at: int) -> tupl
     cut = lines.select("number", trimmed.alias("_f"), wrong.alias("_wrong"))
     cut = written(cut.select("number", "_wrong", *[F.get("_f", F.lit(k)).alias(n) for k, n in enumerate(names)]), "fields")
     bad = cut.where("_wrong is not null").select(F.col("number").cast("string").alias("key"), F.concat(F.lit(f"{file} line "), "number", F.lit(" "), "_wrong").alias("message"))
-    return cut.where("_wrong is null").select("number", *[F.get("_f", F.lit(k)).alias(n) for k, n in enumerate(names)]), bad
+    return cut.where("_wrong is null").select("number", *names), bad
 
 
 def _status(df: DataFrame, word: str, mapped: dict[str, bool], file: str) -> tuple[DataFrame, DataFrame]:
@@ -215,19 +215,21 @@ def labs(terms: DataFrame, panels: DataFrame, map_to: DataFrame, series: dict[st
     twice = term.groupBy("code").agg(F.count("*").alias("n")).where("n > 1").select(F.col("code").alias("key"), F.lit("is repeated in Loinc.csv").alias("message"))
     unknown_panel = R.require_known(panels, "ParentLoinc", terms, "LOINC_NUM", "is a panel that Loinc.csv lacks")
     parent = term.select(F.col("code").alias("ParentLoinc"), F.col("ships").alias("panel_ships"), F.col("noticed").alias("panel_noticed"))
-    line = panels.join(parent, "ParentLoinc").where("panel_ships")
+    line = written(panels.join(parent, "ParentLoinc").where("panel_ships"), "panel-lines")
     noticed = (F.col("EXTERNAL_COPYRIGHT_NOTICE") != "") | (F.col("AdditionalCopyright") != "")
     wrong = F.when(~F.col("ParentId").rlike("^[0-9]+$"), "has a ParentId that is no number").when(~F.col("SEQUENCE").rlike("^-?[0-9]+$"), "has a SEQUENCE that is no integer").when(~F.col("Loinc").rlike(LOINC), "has a member that is no LOINC code")
     bad_line = line.withColumn("message", wrong).where("message is not null").select(F.col("ParentLoinc").alias("key"), "message")
     own = line.groupBy("ParentLoinc", "ParentId").agg(F.max(F.col("ID") == F.col("ParentId")).alias("root"))
     copy = S.pick_copy(line.join(own, ["ParentLoinc", "ParentId"]), "ParentLoinc", F.col("root"), "ParentId").where("Loinc <> ParentLoinc")
+    copy = written(copy, "panel-members")
     member_term = term.select(F.col("code").alias("Loinc"), F.col("noticed").alias("member_noticed"))
     unknown_member = R.require_known(copy, "Loinc", terms, "LOINC_NUM", "is a member that Loinc.csv lacks")
     flagged = line.select("ParentLoinc", (noticed | F.col("panel_noticed")).alias("f")).union(copy.join(member_term, "Loinc").select("ParentLoinc", "member_noticed"))
     free = copy.join(flagged.groupBy("ParentLoinc").agg(F.max("f").alias("f")).where("f"), "ParentLoinc", "left_anti")
     member = free.select(F.col("ParentLoinc").alias("panel"), F.col("Loinc").alias("code"), F.col("SEQUENCE").cast("long").alias("sequence"), F.when(F.col("ObservationRequiredInPanel") != "", F.col("ObservationRequiredInPanel")).alias("required"))
+    member = written(member, "members")
     named = term.where("ships and not noticed").select("code").union(member.select("panel")).union(member.select("code")).distinct()
-    full = term.join(named, "code", "left_semi").withColumn("retired", status_of("status", words))
+    full = written(term.join(named, "code", "left_semi").withColumn("retired", status_of("status", words)), "lab-terms")
     bad_term = full.withColumn("message", F.when(~F.col("code").rlike(LOINC), "is no LOINC code").when(F.col("name") == "", "has no LONG_COMMON_NAME").when(F.col("retired").isNull(), F.concat(F.lit('has the status "'), "status", F.lit('", which this builder does not map')))).where("message is not null").select(F.col("code").alias("key"), "message")
     gone = full.where("retired").select("code")
     target = map_to.select(F.col("LOINC").alias("code"), F.col("MAP_TO").alias("target")).join(gone, "code", "left_semi")
