@@ -20,12 +20,18 @@ from codetables.plans import jobs as J
 from codetables.plans.build import BuildResult, Publication, build_version, refuse
 from codetables.queries import PART, SUPP, _t, query
 from codetables.sources import commits, quoted, readers, sinks, trees
-from codetables.sources.shared import shared_path, written
+from codetables.sources.shared import shared_path, without_shuffles, written
 
 
-def _text(df: DataFrame, line: Column, label: str, **options) -> str:
+#: Lines of a gzipped file, which one task reads.
+TEXT_FILE_LINES = 500_000
+
+
+def _text(df: DataFrame, line: Column, label: str) -> str:
+    """Lines written as gzipped files of bounded length."""
     path = shared_path(df.sparkSession, label)
-    df.select(line.alias("value")).write.options(**options).text(path)
+    with without_shuffles(df.sparkSession):
+        df.select(line.alias("value")).write.options(**{"maxRecordsPerFile": TEXT_FILE_LINES, "zlib.compress.level": "BEST_SPEED"}).text(path, compression="gzip")
     return path
 
 
@@ -38,7 +44,7 @@ def _s(c: str) -> Column:
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS name, c_mktsegment AS segment FROM customer")
 def delimited_lines(spark, sf):
-    path = _text(_t(spark, sf, "customer"), F.concat_ws("|", _s("c_custkey"), "c_name", "c_mktsegment", F.lit("")), "delimited", compression="gzip")
+    path = _text(_t(spark, sf, "customer"), F.concat_ws("|", _s("c_custkey"), "c_name", "c_mktsegment", F.lit("")), "delimited")
     f = lambda k: F.get("fields", F.lit(k))
     return readers.read_delimited(spark, path).where(F.size("fields") == 4).select(f(0).alias("code"), f(1).alias("name"), f(2).alias("segment"))
 
@@ -320,8 +326,8 @@ def builder_drug_classes(spark, sf):
     )
     concepts = _t(spark, sf, "part").select(F.concat(F.lit("c"), "p_partkey").alias("code"), name.alias("name"))
     path = _text(said, F.to_json(F.struct(*said.columns)), "associations")
-    # Written once: filters that are pushed below the parser would parse each line again.
-    lines = written(readers.read_json_lines(spark, path, said._jdf.schema().toDDL()).select("parsed"), "parsed").select("parsed.*")
+    # An outer generator, below which no filter is pushed: there it would parse each line again.
+    lines = readers.read_json_lines(spark, path, said._jdf.schema().toDDL()).select(F.inline_outer(F.array("parsed")))
     rows = _rows_of(J.drug_classes(lines, concepts, {"classes": "classes", "names": "names"}), "subject", "subject_id", "object_id", "prefLabel")
     return rows.select("series", F.coalesce(X.code_of("rxnorm", "subject_id"), X.code_of("medrt", "subject")).alias("a"), F.coalesce(X.code_of("medrt", "object_id"), "prefLabel").alias("b"))
 

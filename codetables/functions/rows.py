@@ -240,6 +240,8 @@ def merge_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     merged = hashed.join(often, "_hash", "left_anti").select(*ordered).unionByName(close.where(~named).select(*ordered)).unionByName(several.select(*ordered))
     per = close.groupBy("series", "key").agg(F.min("content").alias("least"), F.max("content").alias("most"))
     differ = per.where("least <> most").select("series", "key", F.lit("a row of the same key has other content").alias("message"))
-    forms = rows.select("series", kind.alias("kind")).distinct().groupBy("series").agg(F.min("kind").alias("a"), F.max("kind").alias("b")).where("a <> b")
+    # Counted, since a distinct before min and max is left out, and all rows are sorted for those of texts.
+    kinds = rows.groupBy("series", kind.alias("kind")).agg(F.count("*").alias("n")).where("n > 0")
+    forms = kinds.groupBy("series").agg(F.min("kind").alias("a"), F.max("kind").alias("b")).where("a <> b")
     mixed = forms.select("series", F.lit(None).cast("string").alias("key"), F.concat_ws(" ", F.lit("rows of two forms:"), "a", F.lit("and"), "b").alias("message"))
     return merged, differ.union(mixed)

@@ -197,23 +197,19 @@ def table_row_name(subject: C, predicate: C, obj: C, sequence: C | None = None)
     """A mapping row's key: a UUID of version 8 from the SHA-256 of what it maps."""
 
     def safe(c: Column) -> Column:
-        return F.replace(F.replace(c, F.lit("%"), F.lit("%25")), F.lit("|"), F.lit("%7C"))
+        held = F.contains(c, F.lit("%")) | F.contains(c, F.lit("|"))
+        return F.when(held, F.replace(F.replace(c, F.lit("%"), F.lit("%25")), F.lit("|"), F.lit("%7C"))).otherwise(c)
 
-    parts = [F.lit(ROW_NAMESPACE), F.lit(ROW_RULE), *[safe(_c(x)) for x in (subject, predicate, obj)]]
+    parts = [F.lit(f"{ROW_NAMESPACE}|{ROW_RULE}|"), safe(_c(subject)), F.lit("|"), safe(_c(predicate)), F.lit("|"), safe(_c(obj))]
     if sequence is not None:
-        parts.append(_c(sequence).cast("long").cast("string"))
-    missing = _c(subject).isNull() | _c(predicate).isNull() | _c(obj).isNull()
-
-    def name(h: Column) -> Column:
-        variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
-        return F.concat(
-            F.lit("urn:uuid:"), F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-8"), F.substring(h, 14, 3),
-            F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12),
-        )
-
-    # An array of one, so that the hash is computed once and not for each of its pieces.
-    hashes = F.array(F.sha2(F.concat_ws("|", *parts), 256))
-    return F.when(~missing, F.get(F.transform(hashes, name), F.lit(0)))
+        parts.append(F.coalesce(F.concat(F.lit("|"), _c(sequence).cast("long").cast("string")), F.lit("")))
+    # Null if a part is; without a condition around its pieces, the hash is a common expression and computed once.
+    h = F.sha2(F.concat(*parts), 256)
+    variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    return F.concat(
+        F.lit("urn:uuid:"), F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-8"), F.substring(h, 14, 3),
+        F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12),
+    )
 
 
 def require_fields(fields: C, n: int, code_at: int = 0) -> tuple[Column, Column]:

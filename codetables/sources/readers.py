@@ -40,7 +40,9 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """file, number and value of the lines that aren't empty; blank ones count. BOM, CR before LF and gzip are undone."""
     raw = spark.read.option("lineSep", "\n").text(path)
     lines = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
-    out = numbered(lines).select("file", "number", F.regexp_replace("value", "\r$", "").alias("value"))
+    # Only lines that hold a CR meet the pattern.
+    bare = F.when(F.contains("value", F.lit("\r")), F.regexp_replace("value", "\r$", "")).otherwise(F.col("value"))
+    out = numbered(lines).select("file", "number", bare.alias("value"))
     bare = F.when(F.col("number") == 1, F.regexp_replace("value", "^﻿", "")).otherwise(F.col("value"))
     return out.withColumn("value", bare).where("value <> ''")
 

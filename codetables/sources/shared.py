@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +28,24 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/codetables/{label}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def without_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Files of the shuffles of what runs within are removed as soon as it has run, and not when the driver happens to
+    collect its garbage."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """df written to a new table in the shared folder and read back: computed once, and safe from lost executors."""
     path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with without_shuffles(df.sparkSession):
+        df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
